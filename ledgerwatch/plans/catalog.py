@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwatch.operators import marts, report, upsert
+from ledgerwatch.operators import alerts, audit, logs, marts, report, series, upsert
 from ledgerwatch.plans import oracle_sql as O
 from ledgerwatch.sources import fixtures as fx
 
@@ -84,6 +84,259 @@ def q_status(spark, sf_dir):
     return marts.order_status_summary(fx.silver_merged(spark, sf_dir))
 
 
+
+def _marts(spark, sf_dir):
+    silver = fx.silver_merged(spark, sf_dir)
+    return silver, marts.revenue_by_product(silver), marts.order_status_summary(silver)
+
+
+@register("a3_silver_quality", O.merged_query(O.SILVER_QUALITY))
+def q_quality(spark, sf_dir):
+    return report.silver_quality(fx.silver_merged(spark, sf_dir), fx.REPORT_AS_OF)
+
+
+@register("a5_revenue_top", O.merged_query(O.REVENUE_TOP),
+          ["product", "region", "total_orders", "total_quantity", "total_revenue", "avg_order_value"],
+          ["total_revenue", "avg_order_value"])
+def q_top(spark, sf_dir):
+    return report.revenue_top(_marts(spark, sf_dir)[1], 10)
+
+
+@register("a6_status_distribution", O.merged_query(O.STATUS_DIST),
+          ["status", "total_orders", "total_value", "avg_processing_min"],
+          ["total_value", "avg_processing_min"])
+def q_status_dist(spark, sf_dir):
+    return report.status_distribution(_marts(spark, sf_dir)[2])
+
+
+@register("a7_report_summary", O.merged_query(O.REPORT_SUMMARY),
+          ["report_date", "project_id", "total_rows", "null_order_ids", "null_customer_ids",
+           "empty_products", "invalid_prices", "minutes_since_last_ingest", "freshness_ok",
+           "top_total_revenue", "top_product", "top_product_count", "status_distribution"],
+          ["minutes_since_last_ingest", "top_total_revenue"])
+def q_summary(spark, sf_dir):
+    silver, rev, st = _marts(spark, sf_dir)
+    return report.report_summary(report.silver_quality(silver, fx.REPORT_AS_OF),
+                                 report.revenue_top(rev, 10), report.status_distribution(st),
+                                 fx.REPORT_DATE, fx.PROJECT_ID)
+
+
+@register("a8_row_count", O.merged_query("SELECT COUNT(*) AS row_count FROM merged"))
+def q_row_count(spark, sf_dir):
+    return report.row_count(fx.silver_merged(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- audits
+
+@register("a9_slot_time_audit", O.SLOT_AUDIT,
+          ["job_id", "project_id", "user_email", "job_type", "state", "creation_time", "end_time",
+           "total_slot_seconds", "total_bytes_processed", "total_bytes_billed", "query"],
+          ["total_slot_seconds"])
+def q_slot(spark, sf_dir):
+    return audit.slot_time_audit(fx.job_log(spark, sf_dir))
+
+
+@register("a10_storage_comparison", O.STORAGE,
+          ["snapshot_time", "dataset_id", "table_count", "total_logical_bytes", "total_physical_bytes",
+           "compression_ratio", "est_monthly_cost_logical", "est_monthly_cost_physical",
+           "recommended_billing_model"],
+          ["compression_ratio", "est_monthly_cost_logical", "est_monthly_cost_physical"])
+def q_storage(spark, sf_dir):
+    return audit.storage_comparison(fx.table_storage(spark, sf_dir), fx.REPORT_AS_OF)
+
+
+@register("j2_count_pairs", O.PAIR_COUNT, ["pair_count"], ["pair_count"])
+def q_pairs(spark, sf_dir):
+    return audit.count_pairs(fx.silver_merged(spark, sf_dir), "order_id")
+
+
+# --------------------------------------------------------------------------- log metrics
+
+_LOG_SQL = O.log_queries()
+
+
+def _log_query(name: str, metric_fn, extract: str = "json"):
+    def q(spark, sf_dir):
+        return logs.log_metric_counts(fx.log_entries(spark, sf_dir), metric_fn(), 300, extract)
+    register(name, _LOG_SQL[name])(q)
+
+
+_log_query("l1_task_errors", lambda: logs.task_errors(fx.ENV_NAME))
+_log_query("l1_task_errors_regex_labels", lambda: logs.task_errors(fx.ENV_NAME), "regex")
+_log_query("l2_dag_parse_errors", lambda: logs.dag_parse_errors(fx.ENV_NAME))
+_log_query("l3_scheduled_query_failures", logs.scheduled_query_failures)
+_log_query("l4_stream_errors", logs.stream_errors)
+_log_query("l5_backfill_errors", logs.backfill_errors)
+
+
+# --------------------------------------------------------------------------- series
+
+def _flat(df, label_keys=("user_id",), extra=("point_count",)):
+    return df.select("metric", *[F.col("labels")[k].alias(k) for k in label_keys],
+                     "window_start", "window_end", "value", *extra)
+
+
+def _align_query(name: str, period: int, aligner: str, sql_agg: str, health: bool = False):
+    def q(spark, sf_dir):
+        pts = fx.metric_points(spark, sf_dir, health=health)
+        return _flat(series.align(pts, period, aligner))
+    register(name, O.align_sql(period, sql_agg, health))(q)
+
+
+_align_query("t1_align_sum", 300, "ALIGN_SUM", "SUM(value)")
+_align_query("t2_align_rate", 300, "ALIGN_RATE", "SUM(value) / 300.0")
+_align_query("t3_align_mean_daily", 86400, "ALIGN_MEAN", "AVG(value)")
+_align_query("t4_align_max", 300, "ALIGN_MAX", "MAX(value)")
+_align_query("t5_align_p99", 300, "ALIGN_PERCENTILE_99", "quantile_cont(value, 0.99)")
+_align_query("t6_align_fraction_true", 300, "ALIGN_FRACTION_TRUE",
+             "AVG(CASE WHEN value <> 0 THEN 1.0 ELSE 0.0 END)", health=True)
+_align_query("t7_align_delta_hourly", 3600, "ALIGN_DELTA", "SUM(value)")
+
+
+@register("t8_reduce_sum_by_label", f"""
+WITH {O.log_entries_cte()},
+m AS (
+  SELECT json_extract_string(text_payload, '$.dag_id') AS dag_id,
+         json_extract_string(text_payload, '$.task_id') AS task_id,
+         time_bucket(INTERVAL '300 seconds', ts) AS window_start
+  FROM log_entries
+  WHERE severity IN ('ERROR', 'CRITICAL', 'ALERT', 'EMERGENCY')
+    AND resource_type = 'cloud_composer_environment'
+    AND resource_labels['environment_name'] = '{fx.ENV_NAME}'
+    AND regexp_matches(text_payload, '"alert_type":\\s*"TASK_FAILURE"')
+),
+aligned AS (SELECT dag_id, task_id, window_start, CAST(COUNT(*) AS DOUBLE) AS value FROM m GROUP BY ALL)
+SELECT 'composer_task_errors' AS metric, dag_id, window_start,
+       window_start + INTERVAL '300 seconds' AS window_end,
+       SUM(value) AS value, COUNT(*) AS series_count
+FROM aligned GROUP BY ALL""")
+def q_reduce_by_label(spark, sf_dir):
+    pts = logs.log_metric(fx.log_entries(spark, sf_dir), logs.task_errors(fx.ENV_NAME))
+    red = series.reduce(series.align(pts, 300, "ALIGN_SUM"), "REDUCE_SUM", ["dag_id"])
+    return _flat(red, ("dag_id",), ("series_count",))
+
+
+@register("t9_reduce_max", f"""
+WITH {O.aligned_cte(300, "MAX(value)")}
+SELECT metric, window_start, window_end, MAX(value) AS value, COUNT(*) AS series_count
+FROM aligned GROUP BY ALL""")
+def q_reduce_max(spark, sf_dir):
+    red = series.reduce(series.align(fx.metric_points(spark, sf_dir), 300, "ALIGN_MAX"), "REDUCE_MAX")
+    return _flat(red, (), ("series_count",))
+
+
+@register("t10_top_series", f"""
+WITH {O.aligned_cte(3600, "SUM(value)")}
+SELECT metric, user_id, SUM(value) AS total, COUNT(*) AS windows
+FROM aligned WHERE metric = 'error'
+GROUP BY metric, user_id
+ORDER BY total DESC, metric, user_id LIMIT 10""")
+def q_top_series(spark, sf_dir):
+    pts = fx.metric_points(spark, sf_dir).filter(F.col("metric") == "error")
+    top = series.top_series(series.reduce(series.align(pts, 3600, "ALIGN_DELTA"), "REDUCE_SUM", ["user_id"]), 10)
+    return top.select("metric", F.col("labels")["user_id"].alias("user_id"), "total", "windows")
+
+
+@register("t11_reduce_sum_all", f"""
+WITH {O.aligned_cte(300, "SUM(value)")}
+SELECT metric, window_start, window_end, SUM(value) AS value, COUNT(*) AS series_count
+FROM aligned GROUP BY ALL""")
+def q_reduce_all(spark, sf_dir):
+    red = series.reduce(series.align(fx.metric_points(spark, sf_dir), 300, "ALIGN_SUM"), "REDUCE_SUM")
+    return _flat(red, (), ("series_count",))
+
+
+@register("t12_scorecard", f"""
+WITH {O.aligned_cte(300, "AVG(CASE WHEN value <> 0 THEN 1.0 ELSE 0.0 END)", health=True)},
+reduced AS (SELECT metric, window_start, AVG(value) AS value FROM aligned GROUP BY ALL),
+latest AS (SELECT metric, arg_max(value, window_start) AS value, MAX(window_start) AS window_start
+           FROM reduced GROUP BY metric)
+SELECT metric, window_start, value,
+       CASE WHEN value < 0.5 THEN 'red' WHEN value < 0.9 THEN 'yellow' ELSE 'green' END AS colour
+FROM latest""")
+def q_scorecard(spark, sf_dir):
+    al = series.align(fx.metric_points(spark, sf_dir, health=True), 300, "ALIGN_FRACTION_TRUE")
+    card = series.scorecard(series.reduce(al, "REDUCE_MEAN"), "BELOW", yellow=0.9, red=0.5)
+    return card.select("metric", "window_start", "value", "colour")
+
+
+# --------------------------------------------------------------------------- alerts
+
+ALERT_AS_OF = "2024-02-01 00:00:00"
+ALERT_THRESHOLD = 50.0
+
+
+def _metric_series(spark, sf_dir, period=300):
+    return series.reduce(series.align(fx.metric_points(spark, sf_dir), period, "ALIGN_SUM"), "REDUCE_SUM")
+
+
+_REDUCED = f"""{O.aligned_cte(300, "SUM(value)")},
+reduced AS (SELECT metric, window_start, window_end, SUM(value) AS value FROM aligned GROUP BY ALL)"""
+
+_RUNS = f"""
+WITH {_REDUCED},
+v AS (SELECT * FROM reduced WHERE value > {ALERT_THRESHOLD}),
+n AS (SELECT *, CASE WHEN lag(window_start) OVER (PARTITION BY metric ORDER BY window_start) IS NULL
+                       OR window_start <> lag(window_start) OVER (PARTITION BY metric ORDER BY window_start)
+                          + INTERVAL '300 seconds' THEN 1 ELSE 0 END AS nw FROM v),
+r AS (SELECT *, SUM(nw) OVER (PARTITION BY metric ORDER BY window_start ROWS UNBOUNDED PRECEDING) AS run FROM n),
+g AS (SELECT metric, run, MIN(window_start) AS episode_start, MAX(window_start) AS last_start,
+             MAX(window_end) AS episode_end, COUNT(*) AS windows, MAX(value) AS peak_value
+      FROM r GROUP BY metric, run)"""
+
+
+@register("e1_threshold", f"""
+WITH {_REDUCED}
+SELECT metric, window_start, window_end, value, COALESCE(value > {ALERT_THRESHOLD}, FALSE) AS violating
+FROM reduced""")
+def q_threshold(spark, sf_dir):
+    fl = alerts.threshold_flags(_metric_series(spark, sf_dir), "COMPARISON_GT", ALERT_THRESHOLD)
+    return fl.select("metric", "window_start", "window_end", "value", "violating")
+
+
+@register("e2_hold_episodes", _RUNS + """
+SELECT metric, episode_start, episode_start + INTERVAL '300 seconds' AS fired_at, episode_end, windows, peak_value
+FROM g WHERE episode_start + INTERVAL '300 seconds' <= last_start""")
+def q_hold(spark, sf_dir):
+    fl = alerts.threshold_flags(_metric_series(spark, sf_dir), "COMPARISON_GT", ALERT_THRESHOLD)
+    ep = alerts.hold_episodes(fl, 300, 300)
+    return ep.select("metric", "episode_start", "fired_at", "episode_end", "windows", "peak_value")
+
+
+_GAPS = f"""
+WITH {_REDUCED},
+gaps AS (SELECT metric, window_end AS episode_start,
+                lead(window_start) OVER (PARTITION BY metric ORDER BY window_start) AS episode_end
+         FROM reduced),
+ep AS (SELECT metric, episode_start, episode_start + INTERVAL '900 seconds' AS fired_at, episode_end
+       FROM gaps
+       WHERE episode_start + INTERVAL '900 seconds' <= COALESCE(episode_end, TIMESTAMP '{ALERT_AS_OF}'))"""
+
+
+@register("e3_absence_episodes", _GAPS + "\nSELECT * FROM ep")
+def q_absence(spark, sf_dir):
+    ep = alerts.absence_episodes(_metric_series(spark, sf_dir), 900, ALERT_AS_OF)
+    return ep.select("metric", "episode_start", "fired_at", "episode_end")
+
+
+@register("e4_incidents", _GAPS + """,
+x AS (SELECT *, COALESCE(episode_end, TIMESTAMP '9999-12-31 00:00:00') AS e FROM ep),
+p AS (SELECT *, MAX(e) OVER (PARTITION BY metric ORDER BY fired_at, episode_start
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_end FROM x),
+q AS (SELECT *, CASE WHEN prev_end IS NULL OR fired_at >= prev_end + INTERVAL '3600 seconds' THEN 1 ELSE 0 END AS nw
+      FROM p),
+s AS (SELECT *, SUM(nw) OVER (PARTITION BY metric ORDER BY fired_at, episode_start ROWS UNBOUNDED PRECEDING)
+              AS incident_seq FROM q)
+SELECT metric, incident_seq, MIN(fired_at) AS opened_at, MAX(fired_at) AS last_fired_at,
+       CASE WHEN MAX(e) = TIMESTAMP '9999-12-31 00:00:00' THEN NULL ELSE MAX(e) END AS resolved_at,
+       COUNT(*) AS episodes
+FROM s GROUP BY metric, incident_seq""")
+def q_incidents(spark, sf_dir):
+    ep = alerts.absence_episodes(_metric_series(spark, sf_dir), 900, ALERT_AS_OF)
+    inc = alerts.incidents(ep, 3600)
+    return inc.select("metric", "incident_seq", "opened_at", "last_fired_at", "resolved_at", "episodes")
+
+
 def QUERIES_copy() -> dict[str, Query]:
     return dict(QUERIES)
 

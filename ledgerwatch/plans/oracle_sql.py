@@ -178,3 +178,184 @@ CROSS JOIN (
   SELECT CAST(to_json(map_from_entries(list((status, total_orders) ORDER BY status))) AS VARCHAR)
          AS status_distribution
   FROM ({STATUS_DIST}) d) st"""
+
+
+def merged_query(body: str) -> str:
+    return ORDERS_CTES + "\n" + body
+
+
+# --------------------------------------------------------------------------- audits
+
+JOB_LOG = f"""
+job_log AS (
+  SELECT 'job_' || CAST(event_id AS VARCHAR) AS job_id,
+         '{PROJECT_ID}' AS project_id,
+         'user' || CAST(user_id AS VARCHAR) || '@example.com' AS user_email,
+         'QUERY' AS job_type,
+         CASE WHEN event_type = 'error' THEN 'RUNNING' ELSE 'DONE' END AS state,
+         ts AS creation_time,
+         ts + to_seconds(CAST(trunc(value) AS BIGINT)) AS end_time,
+         CAST(trunc(value * 1e7) AS BIGINT) AS total_slot_ms,
+         CAST(trunc(value * 1e9) AS BIGINT) AS total_bytes_processed,
+         CAST(ceil(CAST(trunc(value * 1e9) AS BIGINT) / 10485760.0) AS BIGINT) * 10485760 AS total_bytes_billed,
+         'SELECT ' || props AS query
+  FROM events
+)"""
+
+SLOT_AUDIT = f"""
+WITH {JOB_LOG}
+SELECT job_id, project_id, user_email, job_type, state, creation_time, end_time,
+       total_slot_ms / 1000 AS total_slot_seconds, total_bytes_processed, total_bytes_billed, query
+FROM job_log
+WHERE creation_time >= (SELECT MAX(creation_time) FROM job_log) - INTERVAL 24 HOUR
+  AND state = 'DONE'
+  AND total_slot_ms / 1000 > 86400"""
+
+STORAGE = f"""
+WITH table_storage AS (
+  SELECT source AS table_schema, 'doc_' || CAST(doc_id AS VARCHAR) AS table_name,
+         CAST(n_chars AS BIGINT) AS total_logical_bytes,
+         CAST((n_chars * (1 + length(source) % 4)) // 4 AS BIGINT) AS total_physical_bytes
+  FROM documents
+)
+SELECT TIMESTAMP '{REPORT_AS_OF}' AS snapshot_time,
+       table_schema AS dataset_id,
+       COUNT(*) AS table_count,
+       CAST(SUM(total_logical_bytes) AS BIGINT) AS total_logical_bytes,
+       CAST(SUM(total_physical_bytes) AS BIGINT) AS total_physical_bytes,
+       CASE WHEN SUM(total_logical_bytes) = 0 THEN NULL
+            ELSE CAST(SUM(total_physical_bytes) AS DOUBLE) / CAST(SUM(total_logical_bytes) AS DOUBLE) END
+         AS compression_ratio,
+       SUM(total_logical_bytes) / POW(1024, 3) * 0.02 AS est_monthly_cost_logical,
+       SUM(total_physical_bytes) / POW(1024, 3) * 0.04 AS est_monthly_cost_physical,
+       CASE WHEN SUM(total_physical_bytes) / POW(1024, 3) * 0.04 < SUM(total_logical_bytes) / POW(1024, 3) * 0.02
+            THEN 'PHYSICAL_CHEAPER' ELSE 'LOGICAL_CHEAPER' END AS recommended_billing_model
+FROM table_storage
+GROUP BY table_schema"""
+
+PAIR_COUNT = merged_query(
+    ", s AS MATERIALIZED (SELECT order_id FROM merged)\n"
+    "SELECT CAST(COUNT(*) AS DOUBLE) AS pair_count FROM s a CROSS JOIN s b WHERE a.order_id <> b.order_id")
+
+# --------------------------------------------------------------------------- logs
+
+def _pick(values: list[str], idx: str) -> str:
+    return "list_value(" + ", ".join(f"'{v}'" for v in values) + f")[({idx}) % {len(values)} + 1]"
+
+
+def log_entries_cte() -> str:
+    from ledgerwatch.sources.fixtures import DAG_IDS, ENV_NAME, RESOURCE_TYPES, TASK_IDS, TRANSFER_METHOD
+    rt = _pick(RESOURCE_TYPES, "user_id")
+    dag = _pick(DAG_IDS, "event_id")
+    task = _pick(TASK_IDS, "user_id")
+    tss = "strftime(ts, '%Y-%m-%dT%H:%M:%S')"
+    body = (f"""'{{"alert_type": "TASK_FAILURE", "source": "global_listener", "message": "Task ' || {task} """
+            f"""|| ' in DAG ' || {dag} || ' failed", "dag_id": "' || {dag} || '", "task_id": "' || {task} """
+            f"""|| '", "run_id": "scheduled__' || {tss} || '", "try_number": ' || CAST(event_id % 3 + 1 AS VARCHAR) """
+            f"""|| ', "max_tries": 2, "execution_date": "' || {tss} || '", "log_url": "", "exception": "value ' """
+            f"""|| CAST(value AS VARCHAR) || '", "previous_state": "running", "operator": "PythonOperator", """
+            f""""duration": "' || CAST(value AS VARCHAR) || '", "timestamp": "' || {tss} || '"}}'""")
+    return f"""
+ev AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, {rt} AS rtype FROM events),
+log_entries AS (
+  SELECT rtype AS resource_type,
+         CASE WHEN rtype = '{RESOURCE_TYPES[0]}' THEN MAP {{'environment_name': '{ENV_NAME}'}}
+              WHEN rtype = '{RESOURCE_TYPES[2]}' THEN MAP {{'stream_id': 'orders-stream-' || CAST(user_id % 4 AS VARCHAR)}}
+              ELSE MAP {{'project_id': '{PROJECT_ID}'}} END AS resource_labels,
+         CASE WHEN event_type = 'error' THEN 'ERROR' WHEN event_type = 'signup' THEN 'WARNING' ELSE 'INFO' END
+           AS severity,
+         ts,
+         CASE WHEN rtype = '{RESOURCE_TYPES[0]}' THEN
+                CASE WHEN k < 20 THEN 'DagBag import_errors while parsing dag ' || {dag}
+                     WHEN event_type = 'error' THEN {body}
+                     ELSE 'Task ' || {task} || ' heartbeat' END
+              WHEN rtype = '{RESOURCE_TYPES[2]}' THEN
+                CASE WHEN k < 30 THEN 'Backfill failed for public.orders chunk ' || CAST(k AS VARCHAR)
+                     ELSE 'stream read batch ' || CAST(k AS VARCHAR) END
+              ELSE 'job ' || CAST(event_id AS VARCHAR) END AS text_payload,
+         CASE WHEN rtype = '{RESOURCE_TYPES[1]}' AND k < 50 THEN '{TRANSFER_METHOD}'
+              WHEN rtype = '{RESOURCE_TYPES[1]}' THEN 'jobservice.insert' END AS method_name,
+         CASE WHEN rtype = '{RESOURCE_TYPES[1]}' THEN
+              'projects/{PROJECT_ID}/locations/us/transferConfigs/cfg-' || CAST(k % 7 AS VARCHAR) || '/runs/r'
+              || CAST(event_id AS VARCHAR) END AS resource_name
+  FROM ev
+)"""
+
+
+_SEV_ERROR = "severity IN ('ERROR', 'CRITICAL', 'ALERT', 'EMERGENCY')"
+
+
+def log_counts(metric: str, where: str, labels: dict[str, str], period: int = 300) -> str:
+    lab = "".join(f"{expr} AS {name}, " for name, expr in sorted(labels.items()))
+    names = "".join(f"{name}, " for name in sorted(labels))
+    return f"""
+WITH {log_entries_cte()},
+m AS (
+  SELECT {lab}time_bucket(INTERVAL '{period} seconds', ts) AS window_start
+  FROM log_entries WHERE {_SEV_ERROR} AND {where}
+)
+SELECT '{metric}' AS metric, {names}window_start,
+       window_start + INTERVAL '{period} seconds' AS window_end, COUNT(*) AS log_count
+FROM m GROUP BY ALL"""
+
+
+def log_queries() -> dict[str, str]:
+    from ledgerwatch.sources.fixtures import ENV_NAME
+    env = f"resource_type = 'cloud_composer_environment' AND resource_labels['environment_name'] = '{ENV_NAME}'"
+    return {
+        "l1_task_errors": log_counts(
+            "composer_task_errors",
+            env + """ AND regexp_matches(text_payload, '"alert_type":\\s*"TASK_FAILURE"')""",
+            {"dag_id": "json_extract_string(text_payload, '$.dag_id')",
+             "task_id": "json_extract_string(text_payload, '$.task_id')",
+             "alert_type": "json_extract_string(text_payload, '$.alert_type')"}),
+        "l1_task_errors_regex_labels": log_counts(
+            "composer_task_errors",
+            env + """ AND regexp_matches(text_payload, '"alert_type":\\s*"TASK_FAILURE"')""",
+            {"dag_id": "NULLIF(regexp_extract(text_payload, 'dag_id.{3,6}([a-zA-Z0-9_.-]+)', 1), '')",
+             "task_id": "NULLIF(regexp_extract(text_payload, 'task_id.{3,6}([a-zA-Z0-9_.-]+)', 1), '')",
+             "alert_type": "NULLIF(regexp_extract(text_payload, 'alert_type.{3,6}([A-Z_]+)', 1), '')"}),
+        "l2_dag_parse_errors": log_counts(
+            "composer_dag_parse_errors",
+            env + " AND regexp_matches(text_payload, 'DagFileProcessorProcess|DagBag|import_errors')", {}),
+        "l3_scheduled_query_failures": log_counts(
+            "bq_scheduled_query_failures",
+            "resource_type = 'bigquery_resource' AND regexp_matches(method_name, 'google.cloud.bigquery.datatransfer')",
+            {"transfer_config_name": "NULLIF(regexp_extract(resource_name, 'transferConfigs/([^/]+)', 1), '')"}),
+        "l4_stream_errors": log_counts(
+            "datastream_stream_errors", "resource_type = 'datastream.googleapis.com/Stream'",
+            {"stream_id": "resource_labels['stream_id']"}),
+        "l5_backfill_errors": log_counts(
+            "datastream_backfill_errors",
+            "resource_type = 'datastream.googleapis.com/Stream' AND regexp_matches(text_payload, 'backfill|Backfill|BACKFILL')",
+            {}),
+    }
+
+
+# --------------------------------------------------------------------------- series
+
+def points_cte(health: bool = False) -> str:
+    v = f"CASE WHEN value > {HEALTH_THRESHOLD} THEN 1.0 ELSE 0.0 END" if health else "value"
+    return f"""points AS (
+  SELECT event_type AS metric, CAST(user_id AS VARCHAR) AS user_id, ts, CAST({v} AS DOUBLE) AS value
+  FROM events
+)"""
+
+
+def align_sql(period: int, agg: str, health: bool = False, keys: str = "metric, user_id") -> str:
+    return f"""
+WITH {points_cte(health)}
+SELECT {keys}, time_bucket(INTERVAL '{period} seconds', ts) AS window_start,
+       time_bucket(INTERVAL '{period} seconds', ts) + INTERVAL '{period} seconds' AS window_end,
+       CAST({agg} AS DOUBLE) AS value, COUNT(*) AS point_count
+FROM points GROUP BY ALL"""
+
+
+def aligned_cte(period: int, agg: str, health: bool = False) -> str:
+    return f"""{points_cte(health)},
+aligned AS (
+  SELECT metric, user_id, time_bucket(INTERVAL '{period} seconds', ts) AS window_start,
+         time_bucket(INTERVAL '{period} seconds', ts) + INTERVAL '{period} seconds' AS window_end,
+         CAST({agg} AS DOUBLE) AS value
+  FROM points GROUP BY ALL
+)"""
