@@ -157,3 +157,68 @@ def scorecard(df: DataFrame, direction: str = "BELOW", yellow: float | None = No
 def label(col_name: str, key: str) -> Column:
     """A label value as a column (``labels[key]``)."""
     return F.col(col_name)[key].alias(key)
+
+
+# --------------------------------------------------------------------------- many specs, one pass
+
+SPEC_SCHEMA = ("spec_id string, signal string, label_filter map<string,string>, aligner string, "
+               "period_s int, reducer string, group_by array<string>")
+_PCTS = [0.05, 0.5, 0.95, 0.99]
+
+
+def align_reduce_specs(points: DataFrame, specs: DataFrame, exact: bool = True) -> DataFrame:
+    """Evaluate many (signal, filter, aligner, period, reducer, group_by) specs
+    in one scan of ``points``.
+
+    ``specs`` is configuration (one row per policy or panel, tens of rows), so
+    it is broadcast; each point meets only the specs of its metric.  One
+    aggregate computes every aligner's partial state and the spec's aligner
+    picks its value; a second aggregate applies the cross-series reducer
+    (``reducer='NONE'`` keeps each series).  Percentile buffers hold values of
+    percentile specs only.
+    """
+    s = F.broadcast(specs.withColumnRenamed("signal", "_signal"))
+    j = points.join(s, points.metric == s._signal)
+    j = j.filter(F.forall(F.map_entries(F.coalesce("label_filter", F.create_map().cast("map<string,string>"))),
+                          lambda e: F.coalesce(F.col("labels")[e["key"]] == e["value"], F.lit(False))))
+    aligner = F.col("aligner")
+    is_pct = aligner.startswith("ALIGN_PERCENTILE_")
+    pct_fn = (lambda v: F.percentile(v, F.array(*[F.lit(p) for p in _PCTS]))) if exact else \
+        (lambda v: F.percentile_approx(v, F.array(*[F.lit(p) for p in _PCTS]), F.lit(PERCENTILE_ACCURACY)))
+    keys = ["spec_id", "aligner", "period_s", "reducer", "group_by"]
+    al = (j.groupBy(*keys, sorted_label_entries("labels").alias("series_key"),
+                    bucket_start("ts", F.col("period_s")).alias("window_start"))
+           .agg(F.sum("value").alias("_sum"), F.avg("value").alias("_mean"), F.max("value").alias("_max"),
+                F.min("value").alias("_min"), F.count("value").alias("_n"),
+                F.avg((F.col("value") != 0).cast("double")).alias("_frac"),
+                F.max_by("value", "ts").alias("_last"),
+                pct_fn(F.when(is_pct, F.col("value"))).alias("_pct")))
+    pct_idx = {f"ALIGN_PERCENTILE_{int(p * 100):02d}": i for i, p in enumerate(_PCTS)}
+    value = (F.when(aligner.isin("ALIGN_SUM", "ALIGN_DELTA"), F.col("_sum"))
+              .when(aligner == "ALIGN_RATE", F.col("_sum") / F.col("period_s"))
+              .when(aligner == "ALIGN_MEAN", F.col("_mean"))
+              .when(aligner == "ALIGN_MAX", F.col("_max"))
+              .when(aligner == "ALIGN_MIN", F.col("_min"))
+              .when(aligner == "ALIGN_COUNT", F.col("_n").cast("double"))
+              .when(aligner == "ALIGN_FRACTION_TRUE", F.col("_frac"))
+              .when(aligner == "ALIGN_NEXT_OLDER", F.col("_last")))
+    for name, i in pct_idx.items():
+        value = value.when(aligner == name, F.col("_pct")[i])
+    al = al.select(*keys, "series_key", "window_start", value.cast("double").alias("value"))
+    reducer = F.col("reducer")
+    red_key = F.when(reducer == "NONE", F.col("series_key")).otherwise(
+        F.filter("series_key", lambda e: F.array_contains(F.col("group_by"), e["key"])))
+    red = (al.groupBy(*keys, red_key.alias("series_key"), "window_start")
+             .agg(F.sum("value").alias("_sum"), F.max("value").alias("_max"), F.min("value").alias("_min"),
+                  F.avg("value").alias("_mean"), F.count("value").alias("_n"),
+                  F.sum((F.col("value") != 0).cast("double")).alias("_ntrue")))
+    rvalue = (F.when(reducer.isin("NONE", "REDUCE_SUM"), F.col("_sum"))
+               .when(reducer == "REDUCE_MAX", F.col("_max"))
+               .when(reducer == "REDUCE_MIN", F.col("_min"))
+               .when(reducer == "REDUCE_MEAN", F.col("_mean"))
+               .when(reducer == "REDUCE_COUNT", F.col("_n").cast("double"))
+               .when(reducer == "REDUCE_COUNT_TRUE", F.col("_ntrue")))
+    return red.select(
+        "spec_id", "series_key", F.map_from_entries("series_key").alias("labels"), "window_start",
+        F.timestamp_add("SECOND", F.col("period_s"), F.col("window_start")).alias("window_end"),
+        rvalue.cast("double").alias("value"), F.col("_n").alias("series_count"))

@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 from ledgerwatch.operators import alerts, audit, logs, marts, report, series, upsert
 from ledgerwatch.plans import oracle_sql as O
+from ledgerwatch.plans import panels as PN
+from ledgerwatch.plans import policies as PL
 from ledgerwatch.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -337,6 +339,51 @@ def q_incidents(spark, sf_dir):
     return inc.select("metric", "incident_seq", "opened_at", "last_fired_at", "resolved_at", "episodes")
 
 
+# --------------------------------------------------------------------------- policies and panels
+# Rows-only checks: the signal binding spans events, log entries and jobs; the
+# tests check the one-pass evaluation against per-policy evaluation instead.
+
+
+def _policy_outputs(spark, sf_dir):
+    pts = fx.monitoring_points(spark, sf_dir)
+    pol = PL.monitoring_policies(fx.ENV_NAME, fx.STREAM_IDS, fx.DATASETS)
+    return PL.evaluate_policies(pts, pol, ALERT_AS_OF)
+
+
+@register("e5_policy_episodes")
+def q_policy_episodes(spark, sf_dir):
+    ep = _policy_outputs(spark, sf_dir)["episodes"]
+    return ep.select(F.col("spec_id").alias("policy_id"), F.to_json(F.map_from_entries("series_key")).alias("labels"),
+                     "episode_start", "fired_at", "episode_end", "peak_value")
+
+
+@register("e8_policy_notifications")
+def q_policy_notes(spark, sf_dir):
+    n = _policy_outputs(spark, sf_dir)["notifications"]
+    return n.select("policy_id", "policy_name", "severity", F.to_json("labels").alias("labels"), "incident_seq",
+                    "opened_at", "resolved_at", "episodes", "message")
+
+
+@register("p1_panel_series")
+def q_panels(spark, sf_dir):
+    ps = PN.evaluate_panels(fx.monitoring_points(spark, sf_dir))
+    return ps.select(F.col("spec_id").alias("panel_id"), F.to_json("labels").alias("labels"), "window_start",
+                     "window_end", "value", "series_count")
+
+
+@register("p2_panel_scorecards")
+def q_scorecards(spark, sf_dir):
+    cards = PN.scorecards(PN.evaluate_panels(fx.monitoring_points(spark, sf_dir)))
+    return cards.select(F.col("spec_id").alias("panel_id"), F.to_json("labels").alias("labels"),
+                        "window_start", "value", "colour")
+
+
+@register("p3_panel_top_series")
+def q_top_panels(spark, sf_dir):
+    top = PN.top_panels(PN.evaluate_panels(fx.monitoring_points(spark, sf_dir)))
+    return top.select(F.col("spec_id").alias("panel_id"), F.to_json("labels").alias("labels"), "total", "rank")
+
+
 def QUERIES_copy() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -3,7 +3,7 @@
 Each function reads the parquet tables under ``sf_dir`` and derives one input
 of the pipeline with DataFrame operations only, so the work grows with the
 tables.  The mapping is documented in FIXTURES.md; the DuckDB oracle SQL in
-``__spark_entry__`` derives the same inputs with the same rules.
+``ledgerwatch/plans/oracle_sql.py`` derives the same inputs with the same rules.
 
 Join strategy for ``raw_orders``: lineitem and orders are joined on the order
 key and customer on the customer key as shuffle joins that AQE may turn into
@@ -224,3 +224,57 @@ def metric_points(spark: SparkSession, sf_dir: str, health: bool = False) -> Dat
         F.create_map(F.lit("user_id"), F.col("user_id").cast("string")).alias("labels"),
         F.col("ts").cast("timestamp_ntz").alias("ts"),
         value.cast("double").alias("value"))
+
+
+# --------------------------------------------------------------------------- monitoring signals
+
+STREAM_IDS = [f"orders-stream-{i}" for i in range(4)]
+DATASETS = ["orders_raw", "orders_silver"]
+
+
+def monitoring_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals for the policies and panels, derived from ``events``,
+    ``log_entries`` and ``job_log`` (one fixture binding per signal type).
+
+    Each event feeds the signal of its type; the label values come from the
+    event's user and id.  Log metrics come from the five log-metric filters.
+    """
+    from ledgerwatch.operators import logs as _logs
+    from ledgerwatch.plans import policies as P
+
+    ev = read_table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"), "value")
+    stream = F.concat(F.lit("orders-stream-"), (F.col("user_id") % 4).cast("string"))
+    dag = _pick(DAG_IDS, F.col("event_id"))
+    empty = F.create_map().cast("map<string,string>")
+    one = F.lit(1.0)
+    et = F.col("event_type")
+    # (signal, event type, labels, value): fixed fixture binding
+    binding = [
+        (P.COMPOSER_RUNS, "error", F.create_map(F.lit("state"), F.lit("failed"),
+                                                F.lit("workflow_name"), dag), one),
+        (P.COMPOSER_RUNS, "purchase", F.create_map(F.lit("state"), F.lit("success"),
+                                                   F.lit("workflow_name"), dag), one),
+        (P.COMPOSER_TASKS, "click", F.create_map(
+            F.lit("state"), F.when(F.col("value") > 40, F.lit("failed")).otherwise(F.lit("success"))), one),
+        (P.HEARTBEAT, "view", empty, one),
+        (P.EVICTIONS, "click", empty, (F.col("value") > 45).cast("double")),
+        (P.DB_HEALTH, "signup", empty, (F.col("value") > HEALTH_THRESHOLD).cast("double")),
+        (P.WEB_HEALTH, "click", empty, (F.col("value") > 2.0).cast("double")),
+        (P.STREAM_EVENTS, "purchase", F.create_map(F.lit("stream_id"), stream), one),
+        (P.STREAM_LATENCY, "view", F.create_map(F.lit("stream_id"), stream), F.col("value") * 60.0),
+        (P.UPLOADED_ROWS, "signup", F.create_map(
+            F.lit("dataset_id"), F.when(F.col("user_id") % 2 == 0, F.lit(DATASETS[1])).otherwise(F.lit(DATASETS[0]))),
+         F.col("value")),
+    ]
+    structs = [F.when(et == e, F.struct(F.lit(sig).alias("metric"), lab.alias("labels"), val.cast("double").alias("value")))
+               for sig, e, lab, val in binding]
+    from_events = (ev.select("ts", F.explode(F.filter(F.array(*structs), lambda x: x.isNotNull())).alias("s"))
+                     .select(F.col("s.metric").alias("metric"), F.col("s.labels").alias("labels"), "ts",
+                             F.col("s.value").alias("value")))
+    log_pts = (_logs.all_log_metric_points(log_entries(spark, sf_dir), ENV_NAME)
+               .withColumn("metric", F.concat(F.lit("logging.googleapis.com/user/"), F.col("metric"))))
+    jobs = job_log(spark, sf_dir).filter(F.col("state") == "DONE").select(
+        F.lit(P.QUERY_TIMES).alias("metric"), empty.alias("labels"), F.col("creation_time").alias("ts"),
+        (F.col("total_slot_ms") / 1000.0).alias("value"))
+    return from_events.unionByName(log_pts).unionByName(jobs)
