@@ -87,6 +87,69 @@ def hold_episodes(flagged: DataFrame, period_seconds: int | Column, duration_sec
                .select(*keys, "episode_start", "fired_at", "episode_end", "windows", "peak_value", "low_value"))
 
 
+def condition_sequence(flagged: DataFrame, period_seconds: int | Column,
+                       keys: Sequence[str] = SERIES) -> DataFrame:
+    """Per-series window columns shared by hold and absence evaluation.
+
+    Adds ``_run`` (id of the run of consecutive violating windows; a missing
+    or non-violating window ends a run) and ``_next`` (start of the series'
+    next window with data).  One exchange and sort per series key.
+    """
+    keys = list(keys)
+    period = _dur(period_seconds)
+    w = Window.partitionBy(*keys).orderBy("window_start")
+    prev_start = F.lag("window_start").over(w)
+    prev_viol = F.lag("violating").over(w)
+    adjacent = F.coalesce(F.col("window_start") == F.timestamp_add("SECOND", period, prev_start), F.lit(False))
+    new_run = F.when(F.col("violating") & ~(adjacent & F.coalesce(prev_viol, F.lit(False))), 1).otherwise(0)
+    return (flagged.withColumn("_new", new_run)
+                   .withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                   .withColumn("_next", F.lead("window_start").over(w)))
+
+
+def hold_from_sequence(seq: DataFrame, period_seconds: int | Column, duration_seconds: int | Column,
+                       keys: Sequence[str] = SERIES) -> DataFrame:
+    """E2 on a :func:`condition_sequence` output (same result as :func:`hold_episodes`)."""
+    keys = list(keys)
+    period = _dur(period_seconds)
+    agg = seq.filter("violating").groupBy(*keys, "_run").agg(
+        F.min("window_start").alias("episode_start"),
+        F.max("window_start").alias("_last_start"),
+        F.max("window_end").alias("episode_end"),
+        F.count(F.lit(1)).alias("windows"),
+        F.max("value").alias("peak_value"),
+        F.min("value").alias("low_value"))
+    steps = F.ceil(_dur(duration_seconds).cast("double") / period.cast("double")).cast("int")
+    fired = F.timestamp_add("SECOND", steps * period, F.col("episode_start"))
+    return (agg.withColumn("fired_at", fired)
+               .filter(F.col("fired_at") <= F.col("_last_start"))
+               .select(*keys, "episode_start", "fired_at", "episode_end", "windows", "peak_value", "low_value"))
+
+
+def absence_from_sequence(seq: DataFrame, duration_seconds: int | Column, as_of,
+                          expected: DataFrame | None = None, since=None,
+                          keys: Sequence[str] = SERIES) -> DataFrame:
+    """E3 on a :func:`condition_sequence` output (same result as :func:`absence_episodes`)."""
+    keys = list(keys)
+    gaps = seq.select(*keys, F.col("window_end").alias("episode_start"), F.col("_next").alias("episode_end"))
+    return _close_gaps(gaps, seq, duration_seconds, as_of, expected, since, keys)
+
+
+def _close_gaps(gaps: DataFrame, seen_from: DataFrame, duration_seconds, as_of, expected, since,
+                keys: list[str]) -> DataFrame:
+    now = _ts_literal(as_of)
+    if expected is not None:
+        seen = seen_from.select(*keys).distinct()
+        silent = expected.select(*keys).join(seen, on=keys, how="left_anti")
+        gaps = gaps.unionByName(silent.select(*keys, _ts_literal(since).alias("episode_start"),
+                                              F.lit(None).cast("timestamp_ntz").alias("episode_end")))
+    fired = F.timestamp_add("SECOND", _dur(duration_seconds), F.col("episode_start"))
+    limit = F.coalesce(F.col("episode_end"), now)
+    return (gaps.withColumn("fired_at", fired)
+                .filter(F.col("fired_at") <= limit)
+                .select(*keys, "episode_start", "fired_at", "episode_end"))
+
+
 def absence_episodes(aligned: DataFrame, duration_seconds: int | Column, as_of,
                      expected: DataFrame | None = None, since=None,
                      keys: Sequence[str] = SERIES) -> DataFrame:
@@ -98,22 +161,11 @@ def absence_episodes(aligned: DataFrame, duration_seconds: int | Column, as_of,
     columns) that must report; those with no data at all get a gap from ``since``.
     """
     keys = list(keys)
-    now = _ts_literal(as_of)
-    dur = _dur(duration_seconds)
     w = Window.partitionBy(*keys).orderBy("window_start")
     gaps = (aligned.select(*keys, "window_start", "window_end")
             .withColumn("_next", F.lead("window_start").over(w))
             .select(*keys, F.col("window_end").alias("episode_start"), F.col("_next").alias("episode_end")))
-    if expected is not None:
-        seen = aligned.select(*keys).distinct()
-        silent = expected.select(*keys).join(seen, on=keys, how="left_anti")
-        gaps = gaps.unionByName(silent.select(*keys, _ts_literal(since).alias("episode_start"),
-                                              F.lit(None).cast("timestamp_ntz").alias("episode_end")))
-    fired = F.timestamp_add("SECOND", dur, F.col("episode_start"))
-    limit = F.coalesce(F.col("episode_end"), now)
-    return (gaps.withColumn("fired_at", fired)
-                .filter(F.col("fired_at") <= limit)
-                .select(*keys, "episode_start", "fired_at", "episode_end"))
+    return _close_gaps(gaps, aligned, duration_seconds, as_of, expected, since, keys)
 
 
 def incidents(episodes: DataFrame, auto_close_seconds: int | Column, as_of=None,

@@ -166,34 +166,19 @@ SPEC_SCHEMA = ("spec_id string, signal string, label_filter map<string,string>,
 _PCTS = [0.05, 0.5, 0.95, 0.99]
 
 
-def align_reduce_specs(points: DataFrame, specs: DataFrame, exact: bool = True) -> DataFrame:
-    """Evaluate many (signal, filter, aligner, period, reducer, group_by) specs
-    in one scan of ``points``.
-
-    ``specs`` is configuration (one row per policy or panel, tens of rows), so
-    it is broadcast; each point meets only the specs of its metric.  One
-    aggregate computes every aligner's partial state and the spec's aligner
-    picks its value; a second aggregate applies the cross-series reducer
-    (``reducer='NONE'`` keeps each series).  Percentile buffers hold values of
-    percentile specs only.
-    """
-    s = F.broadcast(specs.withColumnRenamed("signal", "_signal"))
-    j = points.join(s, points.metric == s._signal)
-    j = j.filter(F.forall(F.map_entries(F.coalesce("label_filter", F.create_map().cast("map<string,string>"))),
-                          lambda e: F.coalesce(F.col("labels")[e["key"]] == e["value"], F.lit(False))))
+def _align_specs(j: DataFrame, exact: bool, with_pct: bool) -> DataFrame:
     aligner = F.col("aligner")
-    is_pct = aligner.startswith("ALIGN_PERCENTILE_")
-    pct_fn = (lambda v: F.percentile(v, F.array(*[F.lit(p) for p in _PCTS]))) if exact else \
-        (lambda v: F.percentile_approx(v, F.array(*[F.lit(p) for p in _PCTS]), F.lit(PERCENTILE_ACCURACY)))
     keys = ["spec_id", "aligner", "period_s", "reducer", "group_by"]
-    al = (j.groupBy(*keys, sorted_label_entries("labels").alias("series_key"),
-                    bucket_start("ts", F.col("period_s")).alias("window_start"))
-           .agg(F.sum("value").alias("_sum"), F.avg("value").alias("_mean"), F.max("value").alias("_max"),
-                F.min("value").alias("_min"), F.count("value").alias("_n"),
-                F.avg((F.col("value") != 0).cast("double")).alias("_frac"),
-                F.max_by("value", "ts").alias("_last"),
-                pct_fn(F.when(is_pct, F.col("value"))).alias("_pct")))
-    pct_idx = {f"ALIGN_PERCENTILE_{int(p * 100):02d}": i for i, p in enumerate(_PCTS)}
+    aggs = [F.sum("value").alias("_sum"), F.avg("value").alias("_mean"), F.max("value").alias("_max"),
+            F.min("value").alias("_min"), F.count("value").alias("_n"),
+            F.avg((F.col("value") != 0).cast("double")).alias("_frac"),
+            F.max_by("value", "ts").alias("_last")]
+    if with_pct:
+        pcts = F.array(*[F.lit(p) for p in _PCTS])
+        aggs.append((F.percentile(F.col("value"), pcts) if exact else
+                     F.percentile_approx(F.col("value"), pcts, F.lit(PERCENTILE_ACCURACY))).alias("_pct"))
+    al = j.groupBy(*keys, sorted_label_entries("labels").alias("series_key"),
+                   bucket_start("ts", F.col("period_s")).alias("window_start")).agg(*aggs)
     value = (F.when(aligner.isin("ALIGN_SUM", "ALIGN_DELTA"), F.col("_sum"))
               .when(aligner == "ALIGN_RATE", F.col("_sum") / F.col("period_s"))
               .when(aligner == "ALIGN_MEAN", F.col("_mean"))
@@ -202,9 +187,53 @@ def align_reduce_specs(points: DataFrame, specs: DataFrame, exact: bool = True)
               .when(aligner == "ALIGN_COUNT", F.col("_n").cast("double"))
               .when(aligner == "ALIGN_FRACTION_TRUE", F.col("_frac"))
               .when(aligner == "ALIGN_NEXT_OLDER", F.col("_last")))
-    for name, i in pct_idx.items():
-        value = value.when(aligner == name, F.col("_pct")[i])
-    al = al.select(*keys, "series_key", "window_start", value.cast("double").alias("value"))
+    if with_pct:
+        for i, p in enumerate(_PCTS):
+            value = value.when(aligner == f"ALIGN_PERCENTILE_{int(p * 100):02d}", F.col("_pct")[i])
+    return al.select(*keys, "series_key", "window_start", value.cast("double").alias("value"))
+
+
+def align_reduce_specs(points: DataFrame, specs: DataFrame, exact: bool = True,
+                       percentile_signals: Sequence[str] | None = None,
+                       other_signals: Sequence[str] | None = None) -> DataFrame:
+    """Evaluate many (signal, filter, aligner, period, reducer, group_by) specs
+    over ``points``.
+
+    ``specs`` is configuration (one row per policy or panel, tens of rows), so
+    it is broadcast; each point meets only the specs of its metric.  One hash
+    aggregate computes every plain aligner's partial state and the spec's
+    aligner picks its value; a second aggregate applies the cross-series
+    reducer (``reducer='NONE'`` keeps each series).
+
+    Percentile aligners need a per-group value buffer (an object aggregate), so
+    when the caller names the signals of percentile specs
+    (``percentile_signals``) and of the others (``other_signals``) they are
+    aggregated apart: each branch filters the points on its own metrics, a
+    filter the scan receives, so together they still read each point once.
+    """
+    s = F.broadcast(specs.withColumnRenamed("signal", "_signal"))
+    empty_map = F.create_map().cast("map<string,string>")
+
+    def joined(pts: DataFrame, spec_filter) -> DataFrame:
+        j = pts.join(s.filter(spec_filter), pts.metric == F.col("_signal"))
+        return j.filter(F.forall(F.map_entries(F.coalesce("label_filter", empty_map)),
+                                 lambda e: F.coalesce(F.col("labels")[e["key"]] == e["value"], F.lit(False))))
+
+    is_pct = F.col("aligner").startswith("ALIGN_PERCENTILE_")
+    if percentile_signals is None or other_signals is None:
+        al = _align_specs(joined(points, F.lit(True)), exact, with_pct=True)
+    else:
+        parts = []
+        if other_signals:
+            parts.append(_align_specs(joined(points.filter(F.col("metric").isin(list(other_signals))), ~is_pct),
+                                      exact, with_pct=False))
+        if percentile_signals:
+            parts.append(_align_specs(joined(points.filter(F.col("metric").isin(list(percentile_signals))), is_pct),
+                                      exact, with_pct=True))
+        al = parts[0]
+        for p in parts[1:]:
+            al = al.unionByName(p)
+    keys = ["spec_id", "aligner", "period_s", "reducer", "group_by"]
     reducer = F.col("reducer")
     red_key = F.when(reducer == "NONE", F.col("series_key")).otherwise(
         F.filter("series_key", lambda e: F.array_contains(F.col("group_by"), e["key"])))

@@ -145,6 +145,18 @@ def merge_upsert(target: DataFrame, source: DataFrame, ingest_ts,
     return j.select(*out)
 
 
+def initial_load(source: DataFrame, ingest_ts) -> DataFrame:
+    """MERGE into an empty target: every row takes the insert branch (M4).
+
+    Same result as ``merge_upsert(empty, source)`` without the join, so the
+    output keeps the source's hash partitioning on ``order_id`` (the latest-row
+    aggregate's), and a later merge on ``order_id`` needs no new exchange.
+    """
+    ts = _ts_literal(ingest_ts)
+    return source.select(*BUSINESS_COLUMNS, ts.alias("_ingested_at"), F.lit(DEFAULT_SOURCE).alias("_source"),
+                         F.to_date("created_at").alias(SILVER_PARTITION))
+
+
 def merge_counts(merged: DataFrame) -> DataFrame:
     """Branch counts of a merge (inserted / updated / unchanged / untouched)."""
     return merged.groupBy("_action").agg(F.count(F.lit(1)).alias("rows"))

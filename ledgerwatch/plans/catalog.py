@@ -265,6 +265,7 @@ def q_scorecard(spark, sf_dir):
 # --------------------------------------------------------------------------- alerts
 
 ALERT_AS_OF = "2024-02-01 00:00:00"
+ALERT_SINCE = "2024-01-01 00:00:00"
 ALERT_THRESHOLD = 50.0
 
 
@@ -347,7 +348,7 @@ def q_incidents(spark, sf_dir):
 def _policy_outputs(spark, sf_dir):
     pts = fx.monitoring_points(spark, sf_dir)
     pol = PL.monitoring_policies(fx.ENV_NAME, fx.STREAM_IDS, fx.DATASETS)
-    return PL.evaluate_policies(pts, pol, ALERT_AS_OF)
+    return PL.evaluate_policies(pts, pol, ALERT_AS_OF, since=ALERT_SINCE)
 
 
 @register("e5_policy_episodes")

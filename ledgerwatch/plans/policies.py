@@ -153,25 +153,33 @@ def expected_table(spark: SparkSession, policies: list[Policy]) -> DataFrame:
 
 
 def evaluate_policies(points: DataFrame, policies: list[Policy], as_of, since=None,
-                      exact: bool = True) -> dict[str, DataFrame]:
+                      exact: bool = False) -> dict[str, DataFrame]:
     """Evaluate every policy over ``points`` in one pass.
 
     Returns ``{"series", "episodes", "incidents", "notifications"}``.
     ``since`` starts the gap of expected series that never reported (default:
-    earliest point time).
+    earliest point time, which costs one extra pass over the points).
+    ``exact=False`` (default) aligns percentile policies with
+    ``percentile_approx``, whose per-group state is bounded; the monitored
+    service's percentile aligners are approximate as well.
     """
     spark = points.sparkSession
     cfg = policy_table(spark, policies)
     meta = F.broadcast(cfg.select("spec_id", "kind", "comparison", "threshold", "duration_s",
                                   "auto_close_s", "period_s"))
-    reduced = series.align_reduce_specs(points, cfg, exact=exact)
-    joined = reduced.join(meta.drop("period_s"), "spec_id")
+    pct = sorted({p.signal for p in policies if p.aligner.startswith("ALIGN_PERCENTILE_")})
+    other = sorted({p.signal for p in policies if not p.aligner.startswith("ALIGN_PERCENTILE_")})
+    reduced = series.align_reduce_specs(points, cfg, exact=exact, percentile_signals=pct, other_signals=other)
+    joined = reduced.join(meta, "spec_id")
     keys = ["spec_id", "series_key", "duration_s", "auto_close_s"]
 
-    thr = alerts.threshold_flags(joined.filter(F.col("kind") == "threshold"),
-                                 F.col("comparison"), F.col("threshold"))
-    thr = thr.join(meta.select("spec_id", "period_s"), "spec_id")
-    hold = alerts.hold_episodes(thr, F.col("period_s"), F.col("duration_s"), keys=keys + ["period_s"])
+    # One windowed pass per series serves both condition kinds: the window
+    # columns are computed over every aligned row and the kind filters come
+    # after, so both branches read the same exchange.
+    flagged = alerts.threshold_flags(joined, F.col("comparison"), F.col("threshold"))
+    seq = alerts.condition_sequence(flagged, F.col("period_s"), keys=keys + ["kind", "period_s"])
+    hold = alerts.hold_from_sequence(seq.filter(F.col("kind") == "threshold"), F.col("period_s"),
+                                     F.col("duration_s"), keys=keys + ["period_s"])
     hold = hold.select(*keys, "episode_start", "fired_at", "episode_end", "peak_value")
 
     absent_cfg = [p for p in policies if p.kind == "absent"]
@@ -180,8 +188,8 @@ def evaluate_policies(points: DataFrame, policies: list[Policy], as_of, since=No
     if absent_cfg:
         expected = expected_table(spark, absent_cfg).join(
             meta.select("spec_id", "duration_s", "auto_close_s"), "spec_id")
-    gaps = alerts.absence_episodes(joined.filter(F.col("kind") == "absent"), F.col("duration_s"), as_of,
-                                   expected=expected, since=start, keys=keys)
+    gaps = alerts.absence_from_sequence(seq.filter(F.col("kind") == "absent"), F.col("duration_s"), as_of,
+                                        expected=expected, since=start, keys=keys)
     gaps = gaps.select(*keys, "episode_start", "fired_at", "episode_end",
                        F.lit(None).cast("double").alias("peak_value"))
     episodes = hold.unionByName(gaps)

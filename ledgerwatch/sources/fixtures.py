@@ -19,7 +19,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwatch.operators.upsert import empty_silver, merge_upsert, prepare_source
+from ledgerwatch.operators.upsert import initial_load, merge_upsert, prepare_source
 from ledgerwatch.sources.contracts import BUSINESS_COLUMNS, MONEY
 
 # Fixed fixture parameters (deterministic stand-ins for CURRENT_TIMESTAMP()).
@@ -97,7 +97,7 @@ def split_raw(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 def silver_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     seed, _ = split_raw(raw_orders(spark, sf_dir))
     latest, _rej = prepare_source(seed, extra_order=TIE_BREAK)
-    return merge_upsert(empty_silver(spark), latest, SEED_INGEST_TS, with_action=False)
+    return initial_load(latest, SEED_INGEST_TS)
 
 
 def silver_merged(spark: SparkSession, sf_dir: str, with_action: bool = False) -> DataFrame:
