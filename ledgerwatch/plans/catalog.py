@@ -19,6 +19,7 @@ from ledgerwatch.plans import oracle_sql as O
 from ledgerwatch.plans import panels as PN
 from ledgerwatch.plans import policies as PL
 from ledgerwatch.sources import fixtures as fx
+from ledgerwatch.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,6 +129,34 @@ def q_row_count(spark, sf_dir):
     return report.row_count(fx.silver_merged(spark, sf_dir))
 
 
+@register("a4_freshness", O.merged_query(O.FRESHNESS))
+def q_freshness(spark, sf_dir):
+    dq = report.with_freshness(report.silver_quality(fx.silver_merged(spark, sf_dir), fx.REPORT_AS_OF))
+    return dq.select("total_rows", "minutes_since_last_ingest", "freshness_ok")
+
+
+@register("a5_revenue_top_weighted", O.merged_query(O.REVENUE_TOP_WEIGHTED),
+          ["product", "region", "total_orders", "total_quantity", "total_revenue", "avg_order_value"],
+          ["total_revenue", "avg_order_value"])
+def q_top_weighted(spark, sf_dir):
+    return report.revenue_top_weighted(_marts(spark, sf_dir)[1], 10)
+
+
+@register("j1_latest_per_key_window",
+          "WITH " + O.RAW_CTE + "," + O.latest_cte("all_latest") + "\nSELECT * FROM all_latest",
+          _BUS, ["unit_price", "total_price"])
+def q_latest_window(spark, sf_dir):
+    raw = upsert.cast_projection(fx.raw_orders(spark, sf_dir), keep=["l_partkey", "l_suppkey", "l_linenumber"])
+    valid, _ = upsert.split_rejects(raw)
+    return upsert.latest_per_key(valid, "order_id", ["updated_at"] + fx.TIE_BREAK, method="window") \
+        .select(*_BUS)
+
+
+@register("s12_failure_records", O.failure_records_sql())
+def q_failure_records(spark, sf_dir):
+    return tables.parse_failure_records(fx.log_entries(spark, sf_dir))
+
+
 # --------------------------------------------------------------------------- audits
 
 @register("a9_slot_time_audit", O.SLOT_AUDIT,

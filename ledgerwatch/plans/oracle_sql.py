@@ -359,3 +359,33 @@ aligned AS (
          CAST({agg} AS DOUBLE) AS value
   FROM points GROUP BY ALL
 )"""
+
+
+REVENUE_TOP_WEIGHTED = f"""
+SELECT product, region,
+       CAST(SUM(order_count) AS BIGINT) AS total_orders,
+       CAST(SUM(total_quantity) AS BIGINT) AS total_quantity,
+       ROUND(SUM(total_revenue), 2) AS total_revenue,
+       ROUND(SUM(total_revenue) / SUM(order_count), 2) AS avg_order_value
+FROM ({REVENUE_MART}) m
+GROUP BY product, region
+ORDER BY total_revenue DESC, product, region
+LIMIT 10"""
+
+FRESHNESS = f"""
+SELECT total_rows, minutes_since_last_ingest,
+       COALESCE(minutes_since_last_ingest <= 60, FALSE) AS freshness_ok
+FROM ({SILVER_QUALITY}) dq"""
+
+
+def failure_records_sql() -> str:
+    fields = ["alert_type", "source", "message", "dag_id", "task_id", "run_id", "execution_date", "log_url",
+              "exception", "previous_state", "operator", "duration", "timestamp"]
+    cols = ", ".join(f"json_extract_string(text_payload, '$.{f}') AS {f}" for f in fields)
+    return f"""
+WITH {log_entries_cte()}
+SELECT ts, severity, {cols},
+       CAST(json_extract(text_payload, '$.try_number') AS BIGINT) AS try_number,
+       CAST(json_extract(text_payload, '$.max_tries') AS BIGINT) AS max_tries
+FROM log_entries
+WHERE starts_with(text_payload, '{{') AND json_extract_string(text_payload, '$.alert_type') IS NOT NULL"""
