@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerwatch.sources.contracts import RAW_ORDERS
-from ledgerwatch.sources.tables import SilverTable
+from ledgerwatch.sources.tables import SilverTable, refresh_revenue_mart
 
 
 def cdc_stream(spark: SparkSession, root: str, include_tables: list[str] = ("public_orders",),
@@ -39,10 +39,17 @@ def cdc_stream(spark: SparkSession, root: str, include_tables: list[str] = ("pub
 
 def start_silver_upsert(feed: DataFrame, silver: SilverTable, checkpoint_location: str,
                         processing_time: str | None = "15 minutes", available_now: bool = False,
-                        ingest_ts=None, query_name: str | None = None) -> StreamingQuery:
-    """Start the continuous MERGE; returns the running query."""
+                        ingest_ts=None, query_name: str | None = None,
+                        revenue_mart_path: str | None = None) -> StreamingQuery:
+    """Start the continuous MERGE; returns the running query.
+
+    With ``revenue_mart_path`` every micro-batch also refreshes the revenue
+    mart for the dates it changed (incremental A1).
+    """
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        silver.upsert(batch.drop("_table"), ingest_ts=ingest_ts)
+        result = silver.upsert(batch.drop("_table"), ingest_ts=ingest_ts)
+        if revenue_mart_path:
+            refresh_revenue_mart(silver, result.changed_dates, revenue_mart_path)
 
     w = feed.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint_location)
     if query_name:
