@@ -85,6 +85,37 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order_by: Sequence[s
               .select(*df.columns)
 
 
+def latest_per_key_batches(df: DataFrame, key: str, order_by: Sequence[str],
+                           batches: dict[str, Column]) -> dict[str, DataFrame]:
+    """J1 for several batches of one input in one aggregate.
+
+    ``batches`` maps a name to the predicate selecting that batch's rows; the
+    result maps each name to its latest row per ``key`` (same ordering and
+    tie-break as :func:`latest_per_key`).  The input is scanned and shuffled
+    once: one hash aggregate on ``key`` keeps ``max(struct)`` per batch, and
+    every output reads that aggregate, so the shared exchange is reused and
+    the outputs keep its partitioning on ``key`` (a later join of two batches
+    on ``key`` needs no new exchange).
+    """
+    order = list(order_by)
+    rest = [c for c in df.columns if c != key and c not in order]
+    packed = F.struct(*[F.col(c) for c in order + rest])
+    agg = df.groupBy(key).agg(*[F.max(F.when(pred, packed)).alias(f"_w_{name}")
+                                for name, pred in batches.items()])
+    # One row per (key, batch) through a generator that reads every batch
+    # column: the optimizer cannot prune the aggregate per output, so all
+    # outputs share one plan below the batch filter (exchange reuse).
+    tagged = agg.select(key, F.explode(F.array(*[
+        F.struct(F.lit(name).alias("batch"), F.col(f"_w_{name}").alias("row")) for name in batches
+    ])).alias("_b"))
+    out = {}
+    for name in batches:
+        out[name] = (tagged.filter((F.col("_b.batch") == name) & F.col("_b.row").isNotNull())
+                           .select(key, *[F.col(f"_b.row.{c}").alias(c) for c in order + rest])
+                           .select(*df.columns))
+    return out
+
+
 def _ts_literal(ts) -> Column:
     if isinstance(ts, Column):
         return ts
