@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerwatch.operators import alerts, audit, logs, marts, report, series, upsert
+from ledgerwatch.plans import oracle_signals as OS
 from ledgerwatch.plans import oracle_sql as O
 from ledgerwatch.plans import panels as PN
 from ledgerwatch.plans import policies as PL
@@ -380,35 +381,35 @@ def _policy_outputs(spark, sf_dir):
     return PL.evaluate_policies(pts, pol, ALERT_AS_OF, since=ALERT_SINCE)
 
 
-@register("e5_policy_episodes")
+@register("e5_policy_episodes", OS.policy_episodes_sql(ALERT_AS_OF, ALERT_SINCE))
 def q_policy_episodes(spark, sf_dir):
     ep = _policy_outputs(spark, sf_dir)["episodes"]
     return ep.select(F.col("spec_id").alias("policy_id"), F.to_json(F.map_from_entries("series_key")).alias("labels"),
                      "episode_start", "fired_at", "episode_end", "peak_value")
 
 
-@register("e8_policy_notifications")
+@register("e8_policy_notifications", OS.policy_notifications_sql(ALERT_AS_OF, ALERT_SINCE))
 def q_policy_notes(spark, sf_dir):
     n = _policy_outputs(spark, sf_dir)["notifications"]
     return n.select("policy_id", "policy_name", "severity", F.to_json("labels").alias("labels"), "incident_seq",
                     "opened_at", "resolved_at", "episodes", "message")
 
 
-@register("p1_panel_series")
+@register("p1_panel_series", OS.panel_series_sql())
 def q_panels(spark, sf_dir):
     ps = PN.evaluate_panels(fx.monitoring_points(spark, sf_dir))
     return ps.select(F.col("spec_id").alias("panel_id"), F.to_json("labels").alias("labels"), "window_start",
                      "window_end", "value", "series_count")
 
 
-@register("p2_panel_scorecards")
+@register("p2_panel_scorecards", OS.panel_scorecards_sql())
 def q_scorecards(spark, sf_dir):
     cards = PN.scorecards(PN.evaluate_panels(fx.monitoring_points(spark, sf_dir)))
     return cards.select(F.col("spec_id").alias("panel_id"), F.to_json("labels").alias("labels"),
                         "window_start", "value", "colour")
 
 
-@register("p3_panel_top_series")
+@register("p3_panel_top_series", OS.panel_top_sql())
 def q_top_panels(spark, sf_dir):
     top = PN.top_panels(PN.evaluate_panels(fx.monitoring_points(spark, sf_dir)))
     return top.select(F.col("spec_id").alias("panel_id"), F.to_json("labels").alias("labels"), "total", "rank")

@@ -299,39 +299,44 @@ SELECT '{metric}' AS metric, {names}window_start,
 FROM m GROUP BY ALL"""
 
 
-def log_queries() -> dict[str, str]:
+def log_metric_specs() -> dict[str, tuple[str, str, dict[str, str]]]:
+    """Query name -> (metric, filter, label expressions) of the five log metrics."""
     from ledgerwatch.sources.fixtures import ENV_NAME
     env = f"resource_type = 'cloud_composer_environment' AND resource_labels['environment_name'] = '{ENV_NAME}'"
+    task_failure = env + """ AND regexp_matches(text_payload, '"alert_type":\\s*"TASK_FAILURE"')"""
     return {
-        "l1_task_errors": log_counts(
-            "composer_task_errors",
-            env + """ AND regexp_matches(text_payload, '"alert_type":\\s*"TASK_FAILURE"')""",
+        "l1_task_errors": (
+            "composer_task_errors", task_failure,
             {"dag_id": "json_extract_string(text_payload, '$.dag_id')",
              "task_id": "json_extract_string(text_payload, '$.task_id')",
              "alert_type": "json_extract_string(text_payload, '$.alert_type')"}),
-        "l1_task_errors_regex_labels": log_counts(
-            "composer_task_errors",
-            env + """ AND regexp_matches(text_payload, '"alert_type":\\s*"TASK_FAILURE"')""",
+        "l1_task_errors_regex_labels": (
+            "composer_task_errors", task_failure,
             {"dag_id": "NULLIF(regexp_extract(text_payload, 'dag_id.{3,6}([a-zA-Z0-9_.-]+)', 1), '')",
              "task_id": "NULLIF(regexp_extract(text_payload, 'task_id.{3,6}([a-zA-Z0-9_.-]+)', 1), '')",
              "alert_type": "NULLIF(regexp_extract(text_payload, 'alert_type.{3,6}([A-Z_]+)', 1), '')"}),
-        "l2_dag_parse_errors": log_counts(
+        "l2_dag_parse_errors": (
             "composer_dag_parse_errors",
             env + " AND regexp_matches(text_payload, 'DagFileProcessorProcess|DagBag|import_errors')", {}),
-        "l3_scheduled_query_failures": log_counts(
+        "l3_scheduled_query_failures": (
             "bq_scheduled_query_failures",
             "resource_type = 'bigquery_resource' AND regexp_matches(method_name, 'google.cloud.bigquery.datatransfer')",
             {"transfer_config_name": "NULLIF(regexp_extract(resource_name, 'transferConfigs/([^/]+)', 1), '')"}),
-        "l4_stream_errors": log_counts(
+        "l4_stream_errors": (
             "datastream_stream_errors", "resource_type = 'datastream.googleapis.com/Stream'",
             {"stream_id": "resource_labels['stream_id']"}),
-        "l5_backfill_errors": log_counts(
+        "l5_backfill_errors": (
             "datastream_backfill_errors",
-            "resource_type = 'datastream.googleapis.com/Stream' AND regexp_matches(text_payload, 'backfill|Backfill|BACKFILL')",
+            "resource_type = 'datastream.googleapis.com/Stream' AND "
+            "regexp_matches(text_payload, 'backfill|Backfill|BACKFILL')",
             {}),
     }
 
 
+def log_queries() -> dict[str, str]:
+    return {name: log_counts(metric, where, labels) for name, (metric, where, labels) in log_metric_specs().items()}
+
+
 # --------------------------------------------------------------------------- series
 
 def points_cte(health: bool = False) -> str:
