@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.functions.scalar import bucket_start, sorted_label_entries
+from ledgerwatch.operators.joins import small_side
 
 PERCENTILE_ACCURACY = 10000
 
@@ -200,7 +201,8 @@ def align_reduce_specs(points: DataFrame, specs: DataFrame, exact: bool = True,
     over ``points``.
 
     ``specs`` is configuration (one row per policy or panel, tens of rows), so
-    it is broadcast; each point meets only the specs of its metric.  One hash
+    it is broadcast behind a size check (``joins.small_side``); each point
+    meets only the specs of its metric.  One hash
     aggregate computes every plain aligner's partial state and the spec's
     aligner picks its value; a second aggregate applies the cross-series
     reducer (``reducer='NONE'`` keeps each series).
@@ -211,7 +213,7 @@ def align_reduce_specs(points: DataFrame, specs: DataFrame, exact: bool = True,
     aggregated apart: each branch filters the points on its own metrics, a
     filter the scan receives, so together they still read each point once.
     """
-    s = F.broadcast(specs.withColumnRenamed("signal", "_signal"))
+    s = small_side(specs.withColumnRenamed("signal", "_signal"))
     empty_map = F.create_map().cast("map<string,string>")
 
     def joined(pts: DataFrame, spec_filter) -> DataFrame:

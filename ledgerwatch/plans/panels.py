@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerwatch.operators import series
+from ledgerwatch.operators.joins import local_table
 
 
 @dataclass(frozen=True)
@@ -111,7 +112,7 @@ PANELS = [
 def panel_table(spark: SparkSession, panels: list[Panel] = PANELS) -> DataFrame:
     rows = [(p.panel_id, p.signal, dict(p.label_filter), p.aligner, int(p.period_s), p.reducer, list(p.group_by))
             for p in panels]
-    return spark.createDataFrame(rows, series.SPEC_SCHEMA)
+    return local_table(spark, rows, series.SPEC_SCHEMA)
 
 
 def evaluate_panels(points: DataFrame, panels: list[Panel] = PANELS, exact: bool = True) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.functions.scalar import render_template
 from ledgerwatch.operators import alerts, series
+from ledgerwatch.operators.joins import local_table, small_side
 
 COMPOSER_RUNS = "composer.googleapis.com/workflow/run_count"
 COMPOSER_TASKS = "composer.googleapis.com/environment/finished_task_instance_count"
@@ -140,7 +141,7 @@ def policy_table(spark: SparkSession, policies: list[Policy]) -> DataFrame:
               "label_filter map<string,string>, aligner string, period_s int, reducer string, "
               "group_by array<string>, comparison string, threshold double, duration_s int, "
               "severity string, auto_close_s int")
-    return spark.createDataFrame(rows, schema)
+    return local_table(spark, rows, schema)
 
 
 def expected_table(spark: SparkSession, policies: list[Policy]) -> DataFrame:
@@ -149,7 +150,7 @@ def expected_table(spark: SparkSession, policies: list[Policy]) -> DataFrame:
         for lab in p.expected:
             keep = {k: v for k, v in lab.items() if p.reducer == "NONE" or k in p.group_by}
             rows.append((p.policy_id, [{"key": k, "value": v} for k, v in _entries(keep)]))
-    return spark.createDataFrame(rows, "spec_id string, series_key array<struct<key:string,value:string>>")
+    return local_table(spark, rows, "spec_id string, series_key array<struct<key:string,value:string>>")
 
 
 def evaluate_policies(points: DataFrame, policies: list[Policy], as_of, since=None,
@@ -165,7 +166,7 @@ def evaluate_policies(points: DataFrame, policies: list[Policy], as_of, since=No
     """
     spark = points.sparkSession
     cfg = policy_table(spark, policies)
-    meta = F.broadcast(cfg.select("spec_id", "kind", "comparison", "threshold", "duration_s",
+    meta = small_side(cfg.select("spec_id", "kind", "comparison", "threshold", "duration_s",
                                   "auto_close_s", "period_s"))
     pct = sorted({p.signal for p in policies if p.aligner.startswith("ALIGN_PERCENTILE_")})
     other = sorted({p.signal for p in policies if not p.aligner.startswith("ALIGN_PERCENTILE_")})
@@ -195,7 +196,7 @@ def evaluate_policies(points: DataFrame, policies: list[Policy], as_of, since=No
     episodes = hold.unionByName(gaps)
     inc = alerts.incidents(episodes, F.col("auto_close_s"), keys=keys)
 
-    names = F.broadcast(cfg.select("spec_id", "policy_name", "severity"))
+    names = small_side(cfg.select("spec_id", "policy_name", "severity"))
     labels = F.map_from_entries("series_key")
     message = F.lit("")
     for p in policies:

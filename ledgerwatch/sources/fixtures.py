@@ -9,7 +9,7 @@ Join strategy for ``raw_orders``: lineitem and orders are joined on the order
 key and customer on the customer key as shuffle joins that AQE may turn into
 broadcasts when its runtime size check allows; ``nation`` (25 rows) and
 ``region`` (5 rows) have a size fixed by the TPC-H schema and are broadcast
-explicitly.
+behind the plan-time size check of ``operators.joins.small_side``.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerwatch.operators.joins import small_side
 from ledgerwatch.operators.upsert import (
     cast_projection,
     initial_load,
@@ -86,8 +87,8 @@ def raw_orders(spark: SparkSession, sf_dir: str, lineage: bool = True) -> DataFr
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
 
     cust_region = (customer
-                   .join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey)
-                   .join(F.broadcast(region), F.col("n_regionkey") == region.r_regionkey)
+                   .join(small_side(nation), customer.c_nationkey == nation.n_nationkey)
+                   .join(small_side(region), F.col("n_regionkey") == region.r_regionkey)
                    .select("c_custkey", "r_name"))
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
            .join(cust_region, F.col("o_custkey") == cust_region.c_custkey)
