@@ -375,6 +375,7 @@ def q_incidents(spark, sf_dir):
 # tests check the one-pass evaluation against per-policy evaluation instead.
 
 
+@fx.per_session
 def _policy_outputs(spark, sf_dir):
     pts = fx.monitoring_points(spark, sf_dir)
     pol = PL.monitoring_policies(fx.ENV_NAME, fx.STREAM_IDS, fx.DATASETS)
@@ -395,23 +396,28 @@ def q_policy_notes(spark, sf_dir):
                     "opened_at", "resolved_at", "episodes", "message")
 
 
+@fx.per_session
+def _panel_series(spark, sf_dir):
+    return PN.evaluate_panels(fx.monitoring_points(spark, sf_dir))
+
+
 @register("p1_panel_series", OS.panel_series_sql())
 def q_panels(spark, sf_dir):
-    ps = PN.evaluate_panels(fx.monitoring_points(spark, sf_dir))
+    ps = _panel_series(spark, sf_dir)
     return ps.select(F.col("spec_id").alias("panel_id"), F.to_json("labels").alias("labels"), "window_start",
                      "window_end", "value", "series_count")
 
 
 @register("p2_panel_scorecards", OS.panel_scorecards_sql())
 def q_scorecards(spark, sf_dir):
-    cards = PN.scorecards(PN.evaluate_panels(fx.monitoring_points(spark, sf_dir)))
+    cards = PN.scorecards(_panel_series(spark, sf_dir))
     return cards.select(F.col("spec_id").alias("panel_id"), F.to_json("labels").alias("labels"),
                         "window_start", "value", "colour")
 
 
 @register("p3_panel_top_series", OS.panel_top_sql())
 def q_top_panels(spark, sf_dir):
-    top = PN.top_panels(PN.evaluate_panels(fx.monitoring_points(spark, sf_dir)))
+    top = PN.top_panels(_panel_series(spark, sf_dir))
     return top.select(F.col("spec_id").alias("panel_id"), F.to_json("labels").alias("labels"), "total", "rank")
 
 

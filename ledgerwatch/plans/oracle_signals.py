@@ -60,7 +60,7 @@ def monitoring_points_cte() -> str:
     parts.append(f"SELECT '{P.QUERY_TIMES}' AS metric, {label_list([])} AS labels, creation_time AS ts, "
                  "CAST(total_slot_ms AS DOUBLE) / 1000.0 AS value FROM job_log WHERE state = 'DONE'")
     union = "\n  UNION ALL ".join(parts)
-    return f"{log_entries_cte()},{JOB_LOG},\nmonitoring_points AS (\n  {union}\n)"
+    return f"{log_entries_cte()},{JOB_LOG},\nmonitoring_points AS MATERIALIZED (\n  {union}\n)"
 
 
 def _aligner(aligner: str, period: int, approx: bool = False) -> str:

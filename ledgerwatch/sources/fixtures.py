@@ -45,7 +45,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-def _per_session(fn):
+def per_session(fn):
     """Build a fixture's DataFrame once per session and arguments.
 
     A DataFrame is an immutable plan, so queries that start from the same
@@ -62,7 +62,7 @@ def _per_session(fn):
     return wrapper
 
 
-@_per_session
+@per_session
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
@@ -74,7 +74,7 @@ def _status(returnflag: Column, linestatus: Column) -> Column:
              .when(linestatus == "F", F.lit("shipped")))
 
 
-@_per_session
+@per_session
 def raw_orders(spark: SparkSession, sf_dir: str, lineage: bool = True) -> DataFrame:
     """RAW ``public_orders``: one row per line item, lines act as versions."""
     li = read_table(spark, sf_dir, "lineitem").select(
@@ -128,7 +128,7 @@ def silver_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return initial_load(latest, SEED_INGEST_TS)
 
 
-@_per_session
+@per_session
 def latest_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Latest valid row per order of the seed half and of the incoming half.
 
@@ -145,7 +145,7 @@ def latest_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return (halves["seed"].select(*BUSINESS_COLUMNS), halves["incoming"].select(*BUSINESS_COLUMNS))
 
 
-@_per_session
+@per_session
 def silver_merged(spark: SparkSession, sf_dir: str, with_action: bool = False) -> DataFrame:
     """SILVER after the seed load and one incoming CDC batch."""
     seed, incoming = latest_halves(spark, sf_dir)
@@ -153,7 +153,7 @@ def silver_merged(spark: SparkSession, sf_dir: str, with_action: bool = False) -
                         with_action=with_action)
 
 
-@_per_session
+@per_session
 def latest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest, _ = prepare_source(raw_orders(spark, sf_dir), extra_order=TIE_BREAK)
     return latest.select(*BUSINESS_COLUMNS)
@@ -161,7 +161,7 @@ def latest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- jobs
 
-@_per_session
+@per_session
 def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Job history from ``events``: one job per event, state by event type."""
     ev = read_table(spark, sf_dir, "events")
@@ -182,7 +182,7 @@ def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_per_session
+@per_session
 def table_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Storage metadata from ``documents``: one table per document."""
     d = read_table(spark, sf_dir, "documents")
@@ -209,7 +209,7 @@ def _pick(values: list[str], idx: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx % len(values)).cast("int") + 1)
 
 
-@_per_session
+@per_session
 def log_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log entries from ``events``.
 
@@ -262,7 +262,7 @@ def log_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 HEALTH_THRESHOLD = 5.0  # boolean health = value above this constant
 
 
-@_per_session
+@per_session
 def metric_points(spark: SparkSession, sf_dir: str, health: bool = False) -> DataFrame:
     """Metric points from ``events``: metric = event_type, labels {user_id}.
 
@@ -283,7 +283,7 @@ STREAM_IDS = [f"orders-stream-{i}" for i in range(4)]
 DATASETS = ["orders_raw", "orders_silver"]
 
 
-@_per_session
+@per_session
 def monitoring_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signals for the policies and panels, derived from ``events``,
     ``log_entries`` and ``job_log`` (one fixture binding per signal type).
