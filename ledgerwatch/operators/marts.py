@@ -50,8 +50,13 @@ def sorted_status(mart: DataFrame) -> DataFrame:
 
 
 def write_mart(mart: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """CREATE OR REPLACE TABLE AS SELECT -> full overwrite of the mart."""
-    w = mart.write.mode("overwrite")
+    """CREATE OR REPLACE TABLE AS SELECT -> full overwrite of the mart.
+
+    The overwrite is static even when the session default is dynamic partition
+    overwrite (used by the SILVER upsert): dates absent from the new mart must
+    disappear too.
+    """
+    w = mart.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)

@@ -157,8 +157,8 @@ def branch_counts_row(counts: DataFrame) -> DataFrame:
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    """CREATE OR REPLACE / WRITE_TRUNCATE -> full overwrite."""
-    df.write.mode("overwrite").parquet(path)
+    """CREATE OR REPLACE / WRITE_TRUNCATE -> full (static) overwrite."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
 def write_json_report(summary_json: DataFrame, path: str) -> None:
