@@ -67,6 +67,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread_scan(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan that yields fewer partitions than task slots.
+
+    A table stored as one parquet row group is read by one task, and every
+    operator before the first shuffle (joins, casts, the partial aggregate)
+    then runs in that task.  Such a scan is spread over the slots by ``key``;
+    a scan that already has enough splits (any large table) is left as is,
+    so no exchange is added at scale.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots, key)
+    return df
+
+
 def _status(returnflag: Column, linestatus: Column) -> Column:
     return (F.when(returnflag == "R", F.lit("cancelled"))
              .when(returnflag == "A", F.lit("delivered"))
@@ -77,9 +92,9 @@ def _status(returnflag: Column, linestatus: Column) -> Column:
 @per_session
 def raw_orders(spark: SparkSession, sf_dir: str, lineage: bool = True) -> DataFrame:
     """RAW ``public_orders``: one row per line item, lines act as versions."""
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = spread_scan(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
+        "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"), "l_orderkey")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
