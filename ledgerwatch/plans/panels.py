@@ -145,13 +145,22 @@ def scorecards(panel_series: DataFrame, panels: list[Panel] = PANELS) -> DataFra
 
 
 def top_panels(panel_series: DataFrame, panels: list[Panel] = PANELS) -> DataFrame:
-    """T10 for every ``top_n`` panel: the top series by total, ties by key."""
+    """T10 for every ``top_n`` panel: the top series by total, ties by key.
+
+    Each top panel gets its own rank filter with a literal limit, so Spark
+    plans a WindowGroupLimit that keeps a partial top-n per task before the
+    shuffle; a panel with millions of series never sorts them all in one task.
+    The totals aggregate is shared by the panels (one exchange, reused).
+    """
     tops = [p for p in panels if p.top_n]
     totals = (panel_series.filter(F.col("spec_id").isin([p.panel_id for p in tops]))
               .groupBy("spec_id", "series_key").agg(F.sum("value").alias("total")))
-    limit = F.lit(0)
-    for p in tops:
-        limit = F.when(F.col("spec_id") == p.panel_id, F.lit(p.top_n)).otherwise(limit)
     w = Window.partitionBy("spec_id").orderBy(F.col("total").desc(), "series_key")
-    return (totals.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
-            .select("spec_id", F.map_from_entries("series_key").alias("labels"), "total", "rank"))
+    out = None
+    for p in tops:
+        ranked = (totals.filter(F.col("spec_id") == p.panel_id)
+                  .withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= p.top_n))
+        out = ranked if out is None else out.unionByName(ranked)
+    if out is None:
+        out = totals.withColumn("rank", F.lit(0)).filter(F.lit(False))
+    return out.select("spec_id", F.map_from_entries("series_key").alias("labels"), "total", "rank")
