@@ -60,9 +60,10 @@ def bucket_start(ts: Column | str, period_seconds: Column | int) -> Column:
     """
     period_us = (period_seconds if isinstance(period_seconds, Column)
                  else F.lit(int(period_seconds))).cast("long") * F.lit(1_000_000)
-    micros = F.unix_micros(_col(ts).cast("timestamp"))
-    start = micros - F.pmod(micros, period_us)
-    return F.timestamp_micros(start).cast("timestamp_ntz")
+    # wall-clock arithmetic on timestamp_ntz: independent of the session time zone
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", epoch, _col(ts).cast("timestamp_ntz"))
+    return F.timestamp_add("MICROSECOND", micros - F.pmod(micros, period_us), epoch)
 
 
 def add_seconds(ts: Column | str, seconds: Column | int) -> Column:

@@ -22,14 +22,20 @@ from pyspark.sql import types as T
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of ``df`` in bytes (no job runs)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` in bytes (no job runs); ``None``
+    when the session does not expose plan statistics (e.g. Spark Connect)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except Exception:  # noqa: BLE001 - no classic JVM handle
+        return None
 
 
 def small_side(df: DataFrame, max_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """``broadcast(df)`` when its estimate is at most ``max_bytes``, else ``df``."""
-    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
+    """``broadcast(df)`` when its estimate is at most ``max_bytes``, else ``df``
+    (also when no estimate is available)."""
+    size = estimated_bytes(df)
+    return F.broadcast(df) if size is not None and size <= max_bytes else df
 
 
 def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

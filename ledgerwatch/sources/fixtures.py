@@ -76,10 +76,12 @@ def spread_scan(df: DataFrame, key: str) -> DataFrame:
     a scan that already has enough splits (any large table) is left as is,
     so no exchange is added at scale.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots, key)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no partition count without a classic session
+        return df
+    return df.repartition(slots, key) if splits < slots else df
 
 
 def _status(returnflag: Column, linestatus: Column) -> Column:
