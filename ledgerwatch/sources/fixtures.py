@@ -67,21 +67,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread_scan(df: DataFrame, key: str) -> DataFrame:
+def spread_scan(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-spread a scan that yields fewer partitions than task slots.
 
     A table stored as one parquet row group is read by one task, and every
     operator before the first shuffle (joins, casts, the partial aggregate)
-    then runs in that task.  Such a scan is spread over the slots by ``key``;
-    a scan that already has enough splits (any large table) is left as is,
-    so no exchange is added at scale.
+    then runs in that task.  Such a scan is spread over the slots by
+    ``keys``; a scan that already has enough splits (any large table) is left
+    as is, so no exchange is added at scale.
     """
     try:
         slots = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no partition count without a classic session
         return df
-    return df.repartition(slots, key) if splits < slots else df
+    return df.repartition(slots, *keys) if splits < slots else df
 
 
 def _status(returnflag: Column, linestatus: Column) -> Column:
@@ -96,7 +96,7 @@ def raw_orders(spark: SparkSession, sf_dir: str, lineage: bool = True) -> DataFr
     """RAW ``public_orders``: one row per line item, lines act as versions."""
     li = spread_scan(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"), "l_orderkey")
+        "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"), "l_orderkey", "l_linenumber")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
