@@ -57,3 +57,30 @@ def byte_rows(column: pa.Array) -> Iterator[bytes]:
     nulls = binary.is_null().to_pylist() if binary.null_count else None
     for i in range(len(binary)):
         yield b"" if nulls and nulls[i] else bytes(data[offsets[i]:offsets[i + 1]])
+
+
+#: Bounds of an Arrow batch between the JVM and Python; a single longer row makes a batch of its own.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 2000
+
+
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` with small batches: texts are long, and the default of 64 MB a batch is held several times.
+
+    Lowers the session's batch bounds where they are larger.
+    """
+    conf = df.sparkSession.conf
+    for key, bound in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)):
+        if not 0 < _number(conf.get(key)) <= bound:
+            conf.set(key, str(bound))
+    return df.mapInArrow(function, schema)
+
+
+def _number(value: str) -> int:
+    digits = value.rstrip("bBkKmMgG")
+    return int(digits) * {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}[value[len(digits):].lower()[:1]]
+
+
+def ragged(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Places first[k], first[k] + 1, ... (count[k] of them) for every k, in one array."""
+    ends = np.cumsum(count)
+    return np.repeat(first - (ends - count), count) + np.arange(int(ends[-1]) if len(ends) else 0)

@@ -27,13 +27,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import byte_rows, staged
+from .common import byte_rows, map_arrow, ragged, staged
 
 WINDOW = 5
 CONTAINMENT = 0.8
@@ -41,7 +42,7 @@ CONTAINMENT = 0.8
 LEAST_WORDS = 2
 FILTER_BITS = 1 << 24
 #: Tokens that are hashed at a time, and words that are remembered.
-CHUNK, MEMO = 1 << 20, 1 << 18
+CHUNK, MEMO = 1 << 18, 1 << 18
 
 NUMBER_WORDS = frozenset("""zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen
     fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred
@@ -55,59 +56,79 @@ UNITS = frozenset("""mm cm m km in inch inches ft foot feet yd yard yards mi mil
 
 _TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+")
 WORD, NUMBER, UNIT, CAPITAL, NAME = range(5)
+_END = 8
 _PLACES = np.array([xxhash.xxh64_intdigest(f"<{k}>".encode()) for k in ("", "number", "unit", "", "name")], np.uint64)
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _kinds(names: Iterable[str]) -> dict[str, int]:
+    return {u: UNIT for u in UNITS} | {n: NUMBER for n in NUMBER_WORDS} | {n.lower(): NAME for n in names}
+
+
 class Words:
-    """Tokens of white-space words, remembered by word: literal hash, kind, and whether a sentence ends behind it."""
+    """Tokens of white-space words, remembered by word: literal hash, and kind with a bit for a sentence's end behind it."""
 
     def __init__(self, names: Iterable[str] = ()):
-        self.names = frozenset(n.lower() for n in names)
+        self.kinds = _kinds(names)
         self.clear()
 
     def clear(self):
         self.place: dict[bytes, int] = {}
-        self.first, self.count, self.literal, self.kind, self.end = [], [], [], [], []
-
-    def add(self, word: bytes) -> int:
-        text = word.decode("utf-8", "replace")
-        self.first.append(len(self.literal))
-        at = -1
-        for m in _TOKEN.finditer(text):
-            token, at = m[0], m.end()
-            low = token.lower()
-            if token[0].isdigit() or low in NUMBER_WORDS:
-                kind = NUMBER
-            elif low in self.names:
-                kind = NAME
-            elif low in UNITS:
-                kind = UNIT
-            elif token[0].isupper() and (len(token) == 1 or not token.isupper()):
-                kind = CAPITAL
-            else:
-                kind = WORD
-            self.literal.append(xxhash.xxh64_intdigest(low.encode()))
-            self.kind.append(kind)
-            self.end.append(False)
-        if at >= 0:
-            self.end[-1] = any(c in ".!?:;" for c in text[at:])
-        self.count.append(len(self.literal) - self.first[-1])
-        self.place[word] = n = len(self.place)
-        return n
-
-    def tokens(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Literal hashes, kinds, sentence ends and text numbers of the tokens of many texts."""
+        self.first, self.count, self.literal, self.kind = (np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.int8))
+
+    def learn(self, words: set[bytes]):
+        count, literal, kind = [], [], []
+        digest, kinds = xxhash.xxh64_intdigest, self.kinds
+        for word in words:
+            core = word.rstrip(b".,;:!?")
+            if core.isalpha():  # ASCII letters, maybe with stops behind them
+                low = core.lower()
+                known = kinds.get(low.decode("ascii"), WORD)
+                if known == WORD and 65 <= core[0] <= 90 and (len(core) == 1 or not core.isupper()):
+                    known = CAPITAL
+                count.append(1)
+                literal.append(digest(low))
+                kind.append(known + _END * any(c in b".!?:;" for c in word[len(core):]))
+                continue
+            text, n, at = word.decode("utf-8", "replace"), len(literal), -1
+            for m in _TOKEN.finditer(text):
+                token, at = m[0], m.end()
+                low = token.lower()
+                known = NUMBER if token[0].isdigit() else kinds.get(low, WORD)
+                if known == WORD and token[0].isupper() and (len(token) == 1 or not token.isupper()):
+                    known = CAPITAL
+                literal.append(digest(low.encode()))
+                kind.append(known)
+            if at >= 0 and any(c in ".!?:;" for c in text[at:]):
+                kind[-1] += _END
+            count.append(len(literal) - n)
+        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
+        count = np.array(count, np.int64)
+        self.first = np.concatenate([self.first, len(self.literal) + np.cumsum(count) - count])
+        self.count = np.concatenate([self.count, count])
+        self.literal = np.concatenate([self.literal, np.array(literal, np.uint64)])
+        self.kind = np.concatenate([self.kind, np.array(kind, np.int8)])
+
+    def tokens(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Literal hashes and kinds of the tokens of many texts, and the offsets of the texts."""
         if len(self.place) > MEMO:
             self.clear()
-        place, add = self.place, self.add
-        ids = np.fromiter((place[w] if w in place else add(w) for t in texts for w in t), np.int64, sum(map(len, texts)))
-        count = np.array(self.count, np.int64)[ids] if len(ids) else ids
-        starts = np.array(self.first, np.int64)[ids] if len(ids) else ids
-        total = int(count.sum())
-        at = np.repeat(starts - (np.cumsum(count) - count), count) + np.arange(total)
-        text = np.repeat(np.repeat(np.arange(len(texts)), [len(t) for t in texts]), count)
-        return (np.array(self.literal, np.uint64)[at], np.array(self.kind, np.int8)[at], np.array(self.end, bool)[at], text)
+        new = set(chain.from_iterable(texts)).difference(self.place)
+        if new:
+            self.learn(new)
+        ids = np.fromiter(map(self.place.__getitem__, chain.from_iterable(texts)), np.int64, sum(map(len, texts)))
+        count = self.count[ids]
+        at = ragged(self.first[ids], count)
+        ends = np.concatenate([[0], np.cumsum(count)])[np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)]
+        return self.literal[at], self.kind[at], ends
+
+
+def row_hashes(rows: np.ndarray) -> np.ndarray:
+    """A hash of each row of literal hashes."""
+    out = np.zeros(len(rows), np.uint64)
+    for k in range(rows.shape[1]):
+        out = out * _PRIME + rows[:, k]
+    return _mix(out)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -125,28 +146,41 @@ def _rolled(h: np.ndarray, window: int) -> np.ndarray:
 
 
 def windows(words: Words, texts: list[list[bytes]], window: int) -> Iterator[tuple]:
-    """Per variant: text number, place in the text, template hash, literal hash, and literals at slots (0 elsewhere)."""
-    literal, kind, end, text = words.tokens(texts)
+    """Template windows of many texts: (variant, first token, hash) and what the caller needs to look at them.
+
+    Variant 1 has only the windows that hold a name; the others are those of variant 0.
+    """
+    literal, kind, ends = words.tokens(texts)
     n = len(literal) - window + 1
     if n <= 0:
         return
-    first = np.ones(len(text), bool)
-    first[1:] = text[1:] != text[:-1]
+    end, kind = kind >= _END, kind & (_END - 1)
+    first = np.zeros(len(literal), bool)
+    first[ends[:-1][ends[:-1] < len(literal)]] = True
+    number = kind == NUMBER
+    behind = np.zeros(len(literal), bool)
+    behind[1:] = number[:-1] & ~first[1:]
+    slot = np.where(number, NUMBER, np.where((kind == UNIT) & behind, UNIT, WORD)).astype(np.int8)
     opens = first.copy()
     opens[1:] |= end[:-1]
-    place = np.arange(len(text)) - np.maximum.accumulate(np.where(first, np.arange(len(text)), 0))
-    behind_number = np.zeros(len(text), bool)
-    behind_number[1:] = (kind[:-1] == NUMBER) & ~first[1:]
-    slot = np.where(kind == NUMBER, NUMBER, np.where((kind == UNIT) & behind_number, UNIT, WORD))
-    named = np.where((slot == WORD) & ((kind == NAME) | (kind == CAPITAL) & ~opens), NAME, slot)
-    whole = text[:n] == text[window - 1:]
-    exact = _rolled(literal, window)
+    names = (kind == NAME) | (kind == CAPITAL) & ~opens
+    named = np.where(names, np.int8(NAME), slot)
+    whole = np.ones(n, bool)
+    for k in range(1, window):  # windows that reach into the next text
+        over = ends[1:-1] - k
+        whole[over[(over >= 0) & (over < n)]] = False
     for variant, slots in enumerate((slot, named)):
-        template = np.where(slots > 0, _PLACES[slots], literal)
-        filled = np.concatenate([[0], np.cumsum(slots > 0)])
-        good = np.flatnonzero(whole & (window - (filled[window:] - filled[:-window]) >= LEAST_WORDS))
-        yield variant, text[good], place[good], _rolled(template, window)[good] + np.uint64(variant), exact[good], \
-            good, np.where(slots > 0, literal, np.uint64(0))
+        if variant and not names.any():
+            return
+        used = _sums(slots > 0, window) <= window - LEAST_WORDS
+        good = np.flatnonzero(whole & used & (_sums(names, window) > 0) if variant else whole & used)
+        hashes = _rolled(np.where(slots > 0, _PLACES[slots], literal), window)[good]
+        yield variant, good, hashes, literal, slots, ends
+
+
+def _sums(flags: np.ndarray, window: int) -> np.ndarray:
+    total = np.concatenate([[0], np.cumsum(flags, dtype=np.int32)])
+    return total[window:] - total[:-window]
 
 
 _SCHEMA = pa.schema([("id", pa.int64()), ("variant", pa.int8()), ("place", pa.int64()), ("hash", pa.int64()),
@@ -165,18 +199,24 @@ def _windows(window: int, names: tuple[str, ...], filter_of=None):
 
         def rows(ids: list, texts: list) -> Iterator[pa.RecordBatch]:
             ids = np.array(ids, np.int64)
-            for variant, text, place, template, exact, good, slots in windows(words, texts, window):
+            for variant, good, hashes, literal, slots, ends in windows(words, texts, window):
                 if bits is not None:
-                    a, b = _places(template)
+                    a, b = _places(hashes)
                     one = np.uint64(1)
-                    hit = (bits[a >> np.uint64(6)] >> (a & np.uint64(63)) & bits[b >> np.uint64(6)] >> (b & np.uint64(63)) & one).astype(bool)
-                    text, place, template, exact, good = (x[hit] for x in (text, place, template, exact, good))
-                if len(good):
-                    flat = slots[good[:, None] + np.arange(window)].view(np.int64).ravel()
-                    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, window), pa.int32()), pa.array(flat))
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(ids[text]), pa.array(np.full(len(good), variant, np.int8)), pa.array(place),
-                        pa.array(template.view(np.int64)), pa.array(exact.view(np.int64)), lists], schema=_SCHEMA)
+                    hit = np.flatnonzero(bits[a >> np.uint64(6)] >> (a & np.uint64(63)) & one)
+                    b = b[hit]
+                    hit = hit[(bits[b >> np.uint64(6)] >> (b & np.uint64(63)) & one).astype(bool)]
+                    good, hashes = good[hit], hashes[hit]
+                if not len(good):
+                    continue
+                text = np.searchsorted(ends, good, side="right") - 1
+                at = good[:, None] + np.arange(window)
+                exact = row_hashes(literal[at])
+                filled = np.where(slots[at] > 0, literal[at], np.uint64(0)).view(np.int64).ravel()
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(filled) + 1, window), pa.int32()), pa.array(filled))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(ids[text]), pa.array(np.full(len(good), variant, np.int8)), pa.array(good - ends[text]),
+                    pa.array(hashes.view(np.int64)), pa.array(exact.view(np.int64)), lists], schema=_SCHEMA)
 
         for batch in batches:
             ids, texts, size = [], [], 0
@@ -214,15 +254,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     names = tuple(names)
     spark = docs.sparkSession
     unique = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(item_text_col).alias("t")).groupBy("i").agg(F.max("t").alias("t"))
-    items = staged(unique.mapInArrow(_windows(window, names), _DDL), "benchmark-windows").select(
+    own = map_arrow(unique, _windows(window, names), _DDL)
+    # Variant 1 of an item: its windows with names as placeholders, and those that hold no name.
+    named = own.filter("variant = 1").select("id", "place").withColumnsRenamed({"id": "nid", "place": "nplace"})
+    plain = own.filter("variant = 0").join(named, (F.col("id") == F.col("nid")) & (F.col("place") == F.col("nplace")), "left_anti")
+    items = staged(own.unionByName(plain.withColumn("variant", F.lit(1).cast("byte"))), "benchmark-windows").select(
         F.col("id").alias("item_id"), F.col("variant").alias("iv"), F.col("place").alias("item_place"), F.col("hash").alias("item_hash"),
         F.col("exact").alias("item_exact"), F.col("slots").alias("item_slots"))
     totals = items.groupBy(F.col("item_id").alias("ti"), F.col("iv").alias("tv")).agg(F.count(F.lit(1)).alias("total"))
     bloom = spark.sparkContext.broadcast(_filter(items.withColumnRenamed("item_hash", "hash")))
-    found = docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_windows(window, names, bloom), _DDL)
+    found = map_arrow(docs.select(F.col(id_col).cast("long"), F.col(text_col)), _windows(window, names, bloom), _DDL)
     pairs = F.filter(F.arrays_zip("item_slots", "slots"), lambda p: p["item_slots"] != 0)
-    met = found.join(items, (F.col("hash") == F.col("item_hash")) & (F.col("variant") == F.col("iv"))).select(
-        F.col("id").alias("doc_id"), "item_id", "variant", "item_place", (F.col("place") - F.col("item_place")).alias("diagonal"),
+    met = found.join(items, F.col("hash") == F.col("item_hash")).select(
+        F.col("id").alias("doc_id"), "item_id", F.col("iv").alias("variant"), "item_place", (F.col("place") - F.col("item_place")).alias("diagonal"),
         (F.col("exact") == F.col("item_exact")).alias("same"), pairs.alias("pairs"))
     # A document's windows on one diagonal are as many as the item's, so the sets below stay as small as an item.
     aligned = met.groupBy("doc_id", "item_id", "variant", "diagonal").agg(

@@ -30,12 +30,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import byte_rows
+from .common import byte_rows, map_arrow
 
 WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
 MAX_BYTES = 32 << 20
-BATCH = 1024
-#: Names of the helper columns; input columns of these names are not allowed to survive a clash.
+#: Prefix of the helper columns.
 _P = "__exact_dedup_"
 
 
@@ -221,10 +220,10 @@ def _merge_owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bytes: int = MAX_BYTES) -> DataFrame:
     """One row per distinct normalised text: ``text_sha256`` (binary), the owner's points and id, and ``n``."""
-    local = df.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(
-        _local_owners(max_bytes), "len long, hash long, key binary, points long, id long, n long")
-    return (local.repartition("len", "hash").sortWithinPartitions("len", "hash")
-            .mapInArrow(_merge_owners, "text_sha256 binary, points long, id long, n long"))
+    local = map_arrow(df.select(F.col(id_col).cast("long"), F.col(text_col)),
+                      _local_owners(max_bytes), "len long, hash long, key binary, points long, id long, n long")
+    return map_arrow(local.repartition("len", "hash").sortWithinPartitions("len", "hash"),
+                     _merge_owners, "text_sha256 binary, points long, id long, n long")
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,7 +242,7 @@ def owners(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_by
     The join back carries an id and a digest a row; a digest that a third of the
     rows share makes a skewed partition of the left side, which AQE splits.
     """
-    ids = df.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_digests, "doc_id long, points long, sha binary")
+    ids = map_arrow(df.select(F.col(id_col).cast("long"), F.col(text_col)), _digests, "doc_id long, points long, sha binary")
     found = classes(df, id_col, text_col, max_bytes).select(
         F.col("text_sha256").alias("class_sha"), F.col("points").alias("keep_points"), F.col("id").alias("keep_id"), "n")
     joined = ids.join(found, ids["sha"] == found["class_sha"])
@@ -291,8 +290,8 @@ def survivors(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max
     columns = [f"c{i}" for i in range(len(df.columns))]  # by place: names may clash or hold any character
     by_place = df.toDF(*columns)
     fields = ", ".join(f"{c} {t}" for c, t in by_place.dtypes)
-    local = by_place.mapInArrow(_new_rows(max_bytes, id_at, text_at, False),
-                                f"{fields}, {_P}len long, {_P}hash long, {_P}points long")
+    local = map_arrow(by_place, _new_rows(max_bytes, id_at, text_at, False),
+                      f"{fields}, {_P}len long, {_P}hash long, {_P}points long")
     order = (f"{_P}len", f"{_P}hash", F.desc(f"{_P}points"), F.asc_nulls_last(columns[id_at]))
-    return (local.repartition(f"{_P}len", f"{_P}hash").sortWithinPartitions(*order)
-            .mapInArrow(_new_rows(max_bytes, id_at, text_at, True), fields).toDF(*df.columns))
+    grouped = local.repartition(f"{_P}len", f"{_P}hash").sortWithinPartitions(*order)
+    return map_arrow(grouped, _new_rows(max_bytes, id_at, text_at, True), fields).toDF(*df.columns)

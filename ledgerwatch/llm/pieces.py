@@ -34,7 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import byte_rows
+from .common import byte_rows, map_arrow, ragged
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -222,12 +222,6 @@ _WORDS = re.compile(r" *[^ ]+| +")
 _WORDS_LF = re.compile(r"\n| *[^ \n]+| +")
 
 
-def ragged(first: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """Places first[k], first[k] + 1, ... (count[k] of them) for every k, in one array."""
-    ends = np.cumsum(count)
-    return np.repeat(first - (ends - count), count) + np.arange(int(ends[-1]) if len(ends) else 0)
-
-
 class Encoder:
     """Encodes texts in bulk; remembers where the ids of a word lie."""
 
@@ -403,7 +397,7 @@ def _encode(shared):
 def encode(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """One row per input row: id, (the text,) ids array<int>, n_ids, n_byte_ids.  No shuffle."""
     cols = [F.col(id_col).cast("long").alias("doc_id"), *([F.col(text_col).alias("text")] if keep_text else []), F.col(text_col).alias("t")]
-    return df.select(*cols).mapInArrow(_encode(model.shared), f"doc_id long, {'text string, ' if keep_text else ''}ids array<int>, n_ids int, n_byte_ids int")
+    return map_arrow(df.select(*cols), _encode(model.shared), f"doc_id long, {'text string, ' if keep_text else ''}ids array<int>, n_ids int, n_byte_ids int")
 
 
 def _decode(shared, at: int):
@@ -422,11 +416,25 @@ def _decode(shared, at: int):
 def decode(df: DataFrame, model: Model, ids_col: str = "ids") -> DataFrame:
     """``df`` with ``decoded`` behind its columns, which must not have that name yet.  No shuffle."""
     fields = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
-    return df.mapInArrow(_decode(model.shared, df.columns.index(ids_col)), f"{fields}, decoded string")
+    return map_arrow(df, _decode(model.shared, df.columns.index(ids_col)), f"{fields}, decoded string")
+
+
+def _round_trip(shared):
+    encode_part = _encode(shared)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = Decoder(Tables.of(shared.value))
+        for part in encode_part(batches):  # doc_id, text, ids, n_ids, n_byte_ids
+            lists = part.column(2)
+            decoded = decoder.texts(lists.values.to_numpy(), lists.offsets.to_numpy().astype(np.int64))
+            same = pc.equal(decoded, pc.fill_null(part.column(1), ""))
+            yield pa.RecordBatch.from_arrays([part.column(0), *part.columns[2:], pc.utf8_length(decoded), same],
+                                             names=["doc_id", "ids", "n_ids", "n_byte_ids", "n_decoded", "round_trip"])
+    return run
 
 
 def round_trip(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode and decode again: doc_id, ids, n_ids, n_byte_ids, n_chars decoded, round_trip."""
-    both = decode(encode(df, model, id_col, text_col, keep_text=True), model)
-    return both.select("doc_id", "ids", "n_ids", "n_byte_ids", F.length("decoded").alias("n_decoded"),
-                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+    """Encode and decode again in one pass: doc_id, ids, n_ids, n_byte_ids, n_decoded (characters), round_trip."""
+    cols = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(text_col).alias("t")]
+    return map_arrow(df.select(*cols), _round_trip(model.shared),
+                     "doc_id long, ids array<int>, n_ids int, n_byte_ids int, n_decoded int, round_trip boolean")

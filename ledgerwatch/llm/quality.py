@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import byte_rows
+from .common import byte_rows, map_arrow
 
 MAX_ROWS = 20_000
 THRESHOLD = 0.3
@@ -161,9 +161,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     usable = labels.select(F.col(id_col).cast("long").alias("lid"), F.col(label_col).cast("int").alias("label")).dropna()
     usable = usable.filter(~held_out(F.col("lid"))).groupBy("lid").agg(F.max("label").alias("label"))
     sample = usable.orderBy(F.xxhash64("lid"), "lid").limit(max_rows)
-    rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-            .join(F.broadcast(sample), F.col("id") == F.col("lid"))  # at most max_rows pairs of numbers
-            .select("id", "label", "text").mapInArrow(_sample_statistics, "id long, label int, x binary")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    learnt = texts.join(F.broadcast(sample), F.col("id") == F.col("lid"))  # at most max_rows pairs of numbers
+    rows = (map_arrow(learnt.select("id", "label", "text"), _sample_statistics, "id long, label int, x binary")
             .groupBy("id").agg(F.max("label").alias("label"), F.max("x").alias("x")).collect())  # of repeated ids one
     rows.sort(key=lambda r: (r["id"], r["x"]))
     x = np.array([np.frombuffer(r["x"]) for r in rows]).reshape(-1, N_STATISTICS)
@@ -183,11 +183,11 @@ def _scorer(model: Trees, at: int, keep: float | None):
 
 def scores(docs: DataFrame, model: Trees, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, score."""
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_scorer(model, 1, None), "doc_id long, score double")
+    return map_arrow(docs.select(F.col(id_col).cast("long"), F.col(text_col)), _scorer(model, 1, None), "doc_id long, score double")
 
 
 def accepted(docs: DataFrame, model: Trees, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows whose score is at least ``threshold``, whole; no shuffle."""
     columns = [f"c{i}" for i in range(len(docs.columns))]
     by_place = docs.toDF(*columns)
-    return by_place.mapInArrow(_scorer(model, docs.columns.index(text_col), threshold), by_place.schema).toDF(*docs.columns)
+    return map_arrow(by_place, _scorer(model, docs.columns.index(text_col), threshold), by_place.schema).toDF(*docs.columns)

@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import byte_rows, staged
+from .common import byte_rows, map_arrow, staged
 from .components import components
 
 SEED = 42
@@ -71,7 +71,7 @@ def _fingerprints(shingle: int):
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """doc_id, fp (the 64 bits as a signed long)."""
-    return df.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_fingerprints(shingle), "doc_id long, fp long")
+    return map_arrow(df.select(F.col(id_col).cast("long"), F.col(text_col)), _fingerprints(shingle), "doc_id long, fp long")
 
 
 def _neighbours(radius: int) -> list[tuple[int, ...]]:
@@ -230,11 +230,11 @@ def link_edges(distinct: DataFrame, radius: int = 3, tile: int = TILE) -> DataFr
     if many:
         of = F.create_map(*[F.lit(x) for pair in many.items() for x in pair])
         number = F.pmod(F.xxhash64("fp"), F.coalesce(of[F.col("cell")], F.lit(1))).cast("int")
-    shipped = (cells.select("cell", number.alias("tile"), "fp").repartition("cell", "tile").sortWithinPartitions("cell", "tile")
-               .mapInArrow(_pack(radius, tiles), _SENT_DDL))
+    tiled = cells.select("cell", number.alias("tile"), "fp").repartition("cell", "tile").sortWithinPartitions("cell", "tile")
+    shipped = map_arrow(tiled, _pack(radius, tiles), _SENT_DDL)
     home_first = F.when((F.col("cell") == F.col("from_cell")) & (F.col("tile") == F.col("from_tile")), 0).otherwise(1)
-    return (shipped.withColumn("late", home_first).repartition("cell", "tile").sortWithinPartitions("cell", "tile", "late")
-            .drop("late").mapInArrow(_compare(radius), "u long, v long"))
+    met = shipped.withColumn("late", home_first).repartition("cell", "tile").sortWithinPartitions("cell", "tile", "late")
+    return map_arrow(met.drop("late"), _compare(radius), "u long, v long")
 
 
 def components_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3,
