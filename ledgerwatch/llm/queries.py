@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, exact_dedup, pieces, quality, simhash
-from .common import read_table
+from . import decontamination, exact_dedup, html_text, pieces, pii, quality, simhash, token_counts, url_filter, warc
+from .common import new_path, read_table, staged
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,10 +25,59 @@ window best as (partition by body order by points desc, doc_id
 """
 
 
+def op2_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches of changes over all documents: all are inserted; the counts of those with repeated
+    lines are revised to the text without them; exact copies (equal text, a greater id) are deleted at their
+    revised counts.  The second batch is sent twice, and counts once."""
+    docs = read_table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.select("doc_id", F.sha2(text, 256).alias("sha"))
+    first = keyed.groupBy("sha").agg(F.min("doc_id").alias("first_id")).withColumnRenamed("sha", "first_sha")
+    copies = staged(keyed.join(first, F.col("sha") == F.col("first_sha")).filter("doc_id > first_id").select("doc_id"), "copies")
+    counted = staged(token_counts.counts(docs), "token-counts")
+    images = lambda rows, before, after: token_counts.signed_changes(rows.select(
+        *token_counts.KEYS, before.alias("n_before"), after.alias("n_after")))
+    none = F.lit(None).cast("long")
+    store = token_counts.Rollup(spark, new_path(spark, "token-rollup"))
+    store.commit("1-insert", images(counted, none, F.col("n_tokens")))
+    for _ in range(2):
+        store.commit("2-revise", images(counted, F.col("n_tokens"), F.col("n_revised")))
+    store.commit("3-delete", images(counted.join(copies, "doc_id", "left_semi"), F.col("n_revised"), none))
+    return store.totals()
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.build(warc.responses_of(read_table(spark, sf_dir, "pages")))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read_table(spark, sf_dir, "pages"), url_filter.rule_table(spark))
+
+
+OP5_SQL = r"""
+with u as (
+    select page_id, case when contains(url, '://') then url[strpos(url, '://') + 3:] else '' end as rest from pages),
+p as (
+    select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+    from u),
+r(rule_host, rule_path, verdict) as (
+    values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+           ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+fits as (
+    select page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) as rule,
+           arg_max(verdict, length(rule_host || rule_path)) as verdict
+    from p join r on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+    group by page_id)
+select p.page_id, host, path, rule, coalesce(verdict, 'allow') as verdict
+from p left join fits using (page_id)
+"""
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = quality.fit(docs, read_table(spark, sf_dir, "labels"))
@@ -37,6 +86,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(read_table(spark, sf_dir, "documents"), pieces.Model(spark))
 
@@ -46,5 +99,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_decontamination, op6_quality, op8_pieces, op9_simhash)}
-ORACLE = {"op1_exact_dedup": OP1_SQL}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.extract(read_table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_exact_dedup, op2_token_rollup, op3_decontamination, op4_warc, op5_url_filter, op6_quality, op7_html_text, op8_pieces,
+    op9_simhash, op10_pii)}
+ORACLE = {"op1_exact_dedup": OP1_SQL, "op5_url_filter": OP5_SQL}
