@@ -28,6 +28,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from itertools import chain
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ CONTAINMENT = 0.8
 LEAST_WORDS = 2
 FILTER_BITS = 1 << 24
 #: Tokens that are hashed at a time, and words that are remembered.
-CHUNK, MEMO = 1 << 18, 1 << 18
+CHUNK, MEMO = 1 << 18, 1 << 19
 
 NUMBER_WORDS = frozenset("""zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen
     fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred
@@ -57,6 +58,7 @@ UNITS = frozenset("""mm cm m km in inch inches ft foot feet yd yard yards mi mil
 _TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+")
 WORD, NUMBER, UNIT, CAPITAL, NAME = range(5)
 _END = 8
+_PUNCTUATION, _STOPS = punctuation.encode(), frozenset(b".!?:;")
 _PLACES = np.array([xxhash.xxh64_intdigest(f"<{k}>".encode()) for k in ("", "number", "unit", "", "name")], np.uint64)
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
@@ -76,31 +78,46 @@ class Words:
         self.place: dict[bytes, int] = {}
         self.first, self.count, self.literal, self.kind = (np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.int8))
 
-    def learn(self, words: set[bytes]):
-        count, literal, kind = [], [], []
-        digest, kinds = xxhash.xxh64_intdigest, self.kinds
-        for word in words:
-            core = word.rstrip(b".,;:!?")
-            if core.isalpha():  # ASCII letters, maybe with stops behind them
-                low = core.lower()
-                known = kinds.get(low.decode("ascii"), WORD)
-                if known == WORD and 65 <= core[0] <= 90 and (len(core) == 1 or not core.isupper()):
-                    known = CAPITAL
-                count.append(1)
-                literal.append(digest(low))
-                kind.append(known + _END * any(c in b".!?:;" for c in word[len(core):]))
-                continue
-            text, n, at = word.decode("utf-8", "replace"), len(literal), -1
+    def learn(self, new: set[bytes]):
+        words, texts, rest = [], [], []
+        for word in new:
+            text = word.decode("utf-8", "replace")
+            if text.isalpha():
+                words.append(word)
+                texts.append(text)
+            else:
+                rest.append((word, text))
+        plain = len(texts)
+        odd = []
+        for word, text in rest:
+            core = text.strip(punctuation)
+            if core.isalpha():  # letters with punctuation around them
+                words.append(word)
+                texts.append(core)
+            else:
+                odd.append((word, text))
+        low = [t.lower() for t in texts]
+        literal = list(map(xxhash.xxh64_intdigest, low))
+        get = self.kinds.get
+        kind = [get(x, WORD) or (CAPITAL if t != x and t[0].isupper() and (len(t) == 1 or not t.isupper()) else WORD) for t, x in zip(texts, low)]
+        for k in range(plain, len(texts)):
+            word = words[k]
+            if not _STOPS.isdisjoint(word[len(word.rstrip(_PUNCTUATION)):]):
+                kind[k] += _END
+        count = [1] * len(words)
+        for word, text in odd:
+            n, at = len(literal), -1
             for m in _TOKEN.finditer(text):
                 token, at = m[0], m.end()
-                low = token.lower()
-                known = NUMBER if token[0].isdigit() else kinds.get(low, WORD)
+                x = token.lower()
+                known = NUMBER if token[0].isdigit() else get(x, WORD)
                 if known == WORD and token[0].isupper() and (len(token) == 1 or not token.isupper()):
                     known = CAPITAL
-                literal.append(digest(low.encode()))
+                literal.append(xxhash.xxh64_intdigest(x))
                 kind.append(known)
             if at >= 0 and any(c in ".!?:;" for c in text[at:]):
                 kind[-1] += _END
+            words.append(word)
             count.append(len(literal) - n)
         self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
         count = np.array(count, np.int64)
