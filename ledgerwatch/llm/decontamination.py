@@ -285,6 +285,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     met = found.join(items, F.col("hash") == F.col("item_hash")).select(
         F.col("id").alias("doc_id"), "item_id", F.col("iv").alias("variant"), "item_place", (F.col("place") - F.col("item_place")).alias("diagonal"),
         (F.col("exact") == F.col("item_exact")).alias("same"), pairs.alias("pairs"))
+    met = staged(met, "benchmark-hits")  # small, and read twice below
     # A document's windows on one diagonal are as many as the item's, so the sets below stay as small as an item.
     aligned = met.groupBy("doc_id", "item_id", "variant", "diagonal").agg(
         F.collect_set("item_place").alias("hits"), F.collect_set(F.when(F.col("same"), F.col("item_place"))).alias("same_hits"),
