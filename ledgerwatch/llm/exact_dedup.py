@@ -270,7 +270,7 @@ def _new_rows(max_bytes: int, id_at: int, text_at: int, keep: bool):
                     take.append(i)
                     parts.append(at)
                     points.append(n)
-                if trie.held > max_bytes:
+                if trie.held > max_bytes and not keep:  # a forgotten subtree only lets rows through to the merge
                     for _ in trie.spill():
                         pass
             if not take:

@@ -169,5 +169,6 @@ def digest(extracted: DataFrame) -> DataFrame:
     joined = lambda c: F.array_join(F.transform(c, lambda x: x["s"]), ",")
     per = extracted.groupBy("row", "doc_id").agg(F.array_sort(F.collect_list(span)).alias("a"))
     base = F.filter("a", lambda x: x["o"] < len(KINDS))
-    return per.select("doc_id", *(F.size(F.filter("a", lambda x, i=i: x["o"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)),
+    count = lambda i: F.size(F.filter("a", lambda x: x["o"] == i)).cast("long")
+    return per.select("doc_id", *(count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)),
                       F.sha2(joined(base), 256).alias("base_sha256"), joined("a").alias("spans"))

@@ -2,7 +2,7 @@
 
 Statistics come from the whole text alone (never its id, language, source or
 label).  The model is fitted on at most ``max_rows`` labelled rows (a documented
-bound: those with the smallest hash of their id), whose statistics, some 30
+bound: a sample by the hash of their id), whose statistics, some 30
 numbers a row, go to the driver.  Every document is scored inside Spark tasks by
 walking the flattened trees for a whole batch at a time.
 
@@ -160,7 +160,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Fit on at most ``max_rows`` labelled rows outside the held-out fifth."""
     usable = labels.select(F.col(id_col).cast("long").alias("lid"), F.col(label_col).cast("int").alias("label")).dropna()
     usable = usable.filter(~held_out(F.col("lid"))).groupBy("lid").agg(F.max("label").alias("label"))
-    sample = usable.orderBy(F.xxhash64("lid"), "lid").limit(max_rows)
+    # A share by hash first, so that the ordered cut gets little more than max_rows rows however many are labelled.
+    share = 1.5 * max_rows / max(1, usable.count())
+    thinned = usable if share >= 1 else usable.filter(F.pmod(F.xxhash64("lid"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    sample = thinned.orderBy(F.xxhash64("lid"), "lid").limit(max_rows)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     learnt = texts.join(F.broadcast(sample), F.col("id") == F.col("lid"))  # at most max_rows pairs of numbers
     rows = (map_arrow(learnt.select("id", "label", "text"), _sample_statistics, "id long, label int, x binary")

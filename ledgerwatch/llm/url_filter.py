@@ -167,9 +167,8 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     host, path = host_path(F.col(url_col))
     urls = pages.select(F.col(id_col).cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
     urls = urls.withColumn("h", F.pmod(F.xxhash64("page_id", "path"), F.lit(MAX_RANGES)))
-    sample = [host_key(r["host"]) + r["path"] for r in
-              urls.select("host", "path").orderBy(F.rand(7)).limit(SAMPLE * ranges).collect()]
-    sample.sort()
+    share = min(1.0, SAMPLE * ranges / max(1, pages.count()))  # about SAMPLE urls a range, whatever the table's size
+    sample = sorted(host_key(r["host"]) + r["path"] for r in urls.select("host", "path").sample(share, 7).toLocalIterator())
     bounds = [sample[len(sample) * k // ranges] for k in range(1, ranges)] if sample else []
     wanted = rules.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("host", "path", "verdict")))
     wanted = wanted.withColumn("host", F.translate("host", _UPPER, _LOWER)).distinct()
