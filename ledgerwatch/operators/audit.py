@@ -67,7 +67,7 @@ def count_pairs(df: DataFrame, key: str) -> DataFrame:
     per key value, the count is ``n^2 - sum(n_k^2)`` (a NULL key never compares
     unequal).  One partial aggregate by key, then one global sum: no cross join.
     """
-    per_key = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_k"))
-    return per_key.agg(
-        (F.pow(F.coalesce(F.sum("n_k"), F.lit(0)), 2) - F.coalesce(F.sum(F.col("n_k") * F.col("n_k")), F.lit(0)))
-        .cast("decimal(38,0)").alias("pair_count"))
+    per_key = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).cast("decimal(19,0)").alias("n_k"))
+    n, squares = F.coalesce(F.sum("n_k"), F.lit(0)), F.coalesce(F.sum(F.col("n_k") * F.col("n_k")), F.lit(0))
+    return per_key.agg(n.cast("decimal(19,0)").alias("n"), squares.cast("decimal(38,0)").alias("s")).select(
+        (F.col("n") * F.col("n") - F.col("s")).cast("decimal(38,0)").alias("pair_count"))

@@ -167,6 +167,20 @@ SPEC_SCHEMA = ("spec_id string, signal string, label_filter map<string,string>,
 _PCTS = [0.05, 0.5, 0.95, 0.99]
 
 
+#: Names a spec may use; others are refused when the spec table is built.
+SPEC_ALIGNERS = frozenset(["ALIGN_SUM", "ALIGN_DELTA", "ALIGN_RATE", "ALIGN_MEAN", "ALIGN_MAX", "ALIGN_MIN", "ALIGN_COUNT",
+                           "ALIGN_FRACTION_TRUE", "ALIGN_NEXT_OLDER", *(f"ALIGN_PERCENTILE_{int(p * 100):02d}" for p in _PCTS)])
+SPEC_REDUCERS = frozenset(["NONE", "REDUCE_SUM", "REDUCE_MAX", "REDUCE_MIN", "REDUCE_MEAN", "REDUCE_COUNT", "REDUCE_COUNT_TRUE"])
+SPEC_COMPARISONS = frozenset(f"COMPARISON_{c}" for c in ("GT", "GE", "LT", "LE", "EQ", "NE"))
+
+
+def check_spec(spec_id: str, aligner: str, reducer: str, comparison: str | None = None) -> None:
+    """Refuse a spec whose aligner, reducer or comparison is unknown."""
+    for name, known in ((aligner, SPEC_ALIGNERS), (reducer, SPEC_REDUCERS), (comparison, SPEC_COMPARISONS | {None})):
+        if name not in known:
+            raise ValueError(f"{spec_id}: unknown {name!r}")
+
+
 def _align_specs(j: DataFrame, exact: bool, with_pct: bool) -> DataFrame:
     aligner = F.col("aligner")
     keys = ["spec_id", "aligner", "period_s", "reducer", "group_by"]
@@ -210,8 +224,8 @@ def align_reduce_specs(points: DataFrame, specs: DataFrame, exact: bool = True,
     Percentile aligners need a per-group value buffer (an object aggregate), so
     when the caller names the signals of percentile specs
     (``percentile_signals``) and of the others (``other_signals``) they are
-    aggregated apart: each branch filters the points on its own metrics, a
-    filter the scan receives, so together they still read each point once.
+    aggregated apart: each branch keeps the points of its own metrics, behind
+    the derivation of the points, so each branch reads their source.
     """
     s = small_side(specs.withColumnRenamed("signal", "_signal"))
     empty_map = F.create_map().cast("map<string,string>")

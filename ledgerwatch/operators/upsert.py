@@ -2,10 +2,10 @@
 
 Plan shape (one action when written): the source is cast, split into valid
 rows and rejects, reduced to one row per ``order_id`` and full-outer joined
-with the target on ``order_id``.  The reduction is a hash aggregate of
-``max(struct(order keys..., payload...))``, so a key that holds a third of all
-rows is folded map-side (partial aggregation) before the shuffle instead of
-being sorted in one task as a ``row_number`` window would do.
+with the target on ``order_id``.  The reduction is an aggregate of
+``max(struct(order keys..., payload...))`` (planned as a sort aggregate), so a
+key that holds a third of all rows is folded map-side before the shuffle, as
+Spark's window group limit does for a ``row_number`` filter.
 """
 
 from __future__ import annotations
@@ -68,7 +68,7 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order_by: Sequence[s
     final tie-break, so the result is deterministic even when whole rows tie on
     the order keys (Q1).  NULL order values rank last, as with DESC in SQL.
 
-    ``method="aggregate"`` (default) uses a partial hash aggregate and is skew
+    ``method="aggregate"`` (default) folds each key before the shuffle and is skew
     safe; ``method="window"`` uses ``row_number`` (WindowGroupLimit).
     """
     keys = [key] if isinstance(key, str) else list(key)

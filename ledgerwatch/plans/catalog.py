@@ -19,6 +19,7 @@ from ledgerwatch.plans import oracle_signals as OS
 from ledgerwatch.plans import oracle_sql as O
 from ledgerwatch.plans import panels as PN
 from ledgerwatch.plans import policies as PL
+from ledgerwatch.session import scratch_path
 from ledgerwatch.sources import fixtures as fx
 from ledgerwatch.sources import tables
 
@@ -260,11 +261,11 @@ def q_reduce_max(spark, sf_dir):
 @register("t10_top_series", f"""
 WITH {O.aligned_cte(3600, "SUM(value)")}
 SELECT metric, user_id, SUM(value) AS total, COUNT(*) AS windows
-FROM aligned WHERE metric = 'error'
+FROM aligned
 GROUP BY metric, user_id
-ORDER BY total DESC, metric, user_id LIMIT 10""")
+ORDER BY total DESC, metric, user_id LIMIT 10""", ["metric", "user_id", "total", "windows"], ["total"])
 def q_top_series(spark, sf_dir):
-    pts = fx.metric_points(spark, sf_dir).filter(F.col("metric") == "error")
+    pts = fx.metric_points(spark, sf_dir)
     top = series.top_series(series.reduce(series.align(pts, 3600, "ALIGN_DELTA"), "REDUCE_SUM", ["user_id"]), 10)
     return top.select("metric", F.col("labels")["user_id"].alias("user_id"), "total", "windows")
 
@@ -370,12 +371,73 @@ def q_incidents(spark, sf_dir):
     return inc.select("metric", "incident_seq", "opened_at", "last_fired_at", "resolved_at", "episodes")
 
 
+# --------------------------------------------------------------------------- tables and sinks, written and read back
+
+DRIFT_DAYS = 3
+_DRIFTED = f"CASE WHEN _action = 'inserted' THEN created_at + INTERVAL '{DRIFT_DAYS} days' ELSE created_at END"
+
+
+@register("m1_table_upsert", O.ORDERS_CTES + f"""
+SELECT * REPLACE ({_DRIFTED} AS created_at, CAST({_DRIFTED} AS DATE) AS order_date) FROM merged""",
+          _SILVER_COLS, ["unit_price", "total_price"])
+def q_table_upsert(spark, sf_dir):
+    """SILVER written twice; the second batch's versions carry a later ``created_at`` than the stored rows."""
+    seed, incoming = fx.split_raw(fx.raw_orders(spark, sf_dir))
+    silver = tables.SilverTable(spark, scratch_path(spark, "m1-silver"))
+    silver.upsert(seed, fx.SEED_INGEST_TS, extra_order=fx.TIE_BREAK, batch_id="seed")
+    later = F.col("created_at") + F.make_dt_interval(F.lit(DRIFT_DAYS))
+    silver.upsert(incoming.withColumn("created_at", later), fx.INCOMING_INGEST_TS, extra_order=fx.TIE_BREAK, batch_id="incoming")
+    return silver.read().select(*_SILVER_COLS)
+
+
+@register("s7_rejects", O.ORDERS_CTES + """
+SELECT order_id, customer_id, product, quantity, l_partkey, l_suppkey, l_linenumber,
+       'null:' || CASE WHEN region = 'ASIA' THEN 'status,region' ELSE 'status' END AS reason
+FROM raw WHERE quantity = 13""")
+def q_rejects(spark, sf_dir):
+    broken = F.col("quantity") == 13
+    raw = fx.raw_orders(spark, sf_dir).withColumn("status", F.when(~broken, F.col("status")))
+    raw = raw.withColumn("region", F.when(~(broken & (F.col("region") == "ASIA")), F.col("region")))
+    keep = ["l_partkey", "l_suppkey", "l_linenumber"]
+    _, rejects = upsert.split_rejects(upsert.cast_projection(raw, keep=keep))
+    return rejects.select("order_id", "customer_id", "product", "quantity", *keep, F.col("_reject_reason").alias("reason"))
+
+
+@register("s9_mart_table", O.ORDERS_CTES + O.REVENUE_MART,
+          ["product", "region", "order_date", "order_count", "total_quantity", "total_revenue",
+           "avg_order_value", "first_order", "last_order"], ["total_revenue", "avg_order_value"])
+def q_mart_table(spark, sf_dir):
+    mart, path = marts.revenue_by_product(fx.silver_merged(spark, sf_dir)), scratch_path(spark, "s9-mart")
+    for _ in range(2):  # the second write replaces the first
+        marts.write_mart(mart, path)
+    return spark.read.parquet(path)
+
+
+@register("s10_report_table", O.STORAGE, ["dataset_id", "table_count", "total_logical_bytes", "recommended_billing_model"])
+def q_report_table(spark, sf_dir):
+    path = scratch_path(spark, "s10-report")
+    for _ in range(2):
+        tables.write_report(audit.storage_comparison(fx.table_storage(spark, sf_dir), fx.REPORT_AS_OF), path)
+    return spark.read.parquet(path).select("dataset_id", "table_count", "total_logical_bytes", "recommended_billing_model")
+
+
+@register("s13_json_report", O.merged_query(O.REPORT_SUMMARY), ["report_date", "total_rows", "invalid_prices", "top_product"])
+def q_json_report(spark, sf_dir):
+    silver, revenue, status = _marts(spark, sf_dir)
+    quality = report.silver_quality(silver, fx.REPORT_AS_OF)
+    summary = report.report_summary(quality, report.revenue_top(revenue, 10), report.status_distribution(status),
+                                    fx.REPORT_DATE, fx.PROJECT_ID)
+    path = scratch_path(spark, "s13-report")
+    tables.write_json_report(report.summary_json(summary, fx.REPORT_AS_OF), path)
+    field = lambda p, t="string": F.get_json_object("value", p).cast(t)
+    return spark.read.text(path).select(field("$.report_date").alias("report_date"), field("$.data_quality.total_rows", "bigint").alias("total_rows"),
+                                        field("$.data_quality.invalid_prices", "bigint").alias("invalid_prices"),
+                                        field("$.revenue.top_product").alias("top_product"))
+
+
 # --------------------------------------------------------------------------- policies and panels
-# Rows-only checks: the signal binding spans events, log entries and jobs; the
-# tests check the one-pass evaluation against per-policy evaluation instead.
 
 
-@fx.per_session
 def _policy_outputs(spark, sf_dir):
     pts = fx.monitoring_points(spark, sf_dir)
     pol = PL.monitoring_policies(fx.ENV_NAME, fx.STREAM_IDS, fx.DATASETS)
@@ -396,7 +458,6 @@ def q_policy_notes(spark, sf_dir):
                     "opened_at", "resolved_at", "episodes", "message")
 
 
-@fx.per_session
 def _panel_series(spark, sf_dir):
     return PN.evaluate_panels(fx.monitoring_points(spark, sf_dir))
 
@@ -419,11 +480,3 @@ def q_scorecards(spark, sf_dir):
 def q_top_panels(spark, sf_dir):
     top = PN.top_panels(_panel_series(spark, sf_dir))
     return top.select(F.col("spec_id").alias("panel_id"), F.to_json("labels").alias("labels"), "total", "rank")
-
-
-def QUERIES_copy() -> dict[str, Query]:
-    return dict(QUERIES)
-
-
-def ORACLE_copy() -> dict[str, str]:
-    return dict(ORACLE)

@@ -95,11 +95,14 @@ def _reducer(reducer: str) -> str:
 
 
 def spec_series_sql(spec_id: str, signal: str, label_filter: dict, aligner: str, period: int,
-                    reducer: str, group_by, approx: bool = False, extra: str = "") -> str:
+                    reducer: str, group_by, approx: bool = False, extra: str = "", label_any: dict | None = None) -> str:
     """One spec on its own: filter, per-series alignment, cross-series reduction."""
     where = [f"metric = '{signal}'"]
     for k, v in sorted(dict(label_filter).items()):
         where.append(f"len(list_filter(labels, lambda kv: kv.key = '{k}' AND kv.value = '{v}')) > 0")
+    for k, values in (label_any or {}).items():
+        among = "[" + ", ".join(f"'{v}'" for v in values) + "]"
+        where.append(f"len(list_filter(labels, lambda kv: kv.key = '{k}' AND list_contains({among}, kv.value))) > 0")
     if reducer == "NONE":
         key = "series_key"
     else:
@@ -210,7 +213,7 @@ def policy_episodes_cte(as_of: str, since: str) -> str:
                 f"{int(p.duration_s)} AS duration_s, {int(p.auto_close_s)} AS auto_close_s, "
                 f"{int(p.period_s)} AS period_s, ")
         parts.append(spec_series_sql(p.policy_id, p.signal, dict(p.label_filter), p.aligner, p.period_s,
-                                     p.reducer, p.group_by, approx=True, extra=meta))
+                                     p.reducer, p.group_by, approx=True, extra=meta, label_any=p.label_any))
     expected = []
     for p in pols:
         for lab in p.expected:
@@ -245,9 +248,10 @@ r AS (
 hold AS (
   SELECT spec_id, series_key, auto_close_s, MIN(window_start) AS episode_start,
          MIN(window_start) + to_seconds(CAST(ceil(duration_s / period_s) AS BIGINT) * period_s) AS fired_at,
-         MAX(window_start) AS last_start, MAX(window_end) AS episode_end, MAX(value) AS peak_value
+         MAX(window_start) AS last_start, MAX(window_end) AS episode_end,
+         CASE WHEN comparison IN ('COMPARISON_LT', 'COMPARISON_LE') THEN MIN(value) ELSE MAX(value) END AS peak_value
   FROM r WHERE kind = 'threshold' AND violating
-  GROUP BY spec_id, series_key, auto_close_s, duration_s, period_s, run
+  GROUP BY spec_id, series_key, auto_close_s, duration_s, period_s, comparison, run
 ),
 expected AS ({exp_sql}),
 gaps AS (

@@ -60,7 +60,7 @@ PANELS = [
           period_s=900),
     Panel("composer_memory_used", "Worker Memory Used", C + "workload/memory/bytes_used", "ALIGN_MEAN",
           reducer="REDUCE_SUM"),
-    Panel("composer_memory_limit", "Worker Memory Limit", C + "workload/memory/bytes_limit", "ALIGN_MEAN",
+    Panel("composer_memory_limit", "Worker Memory Limit", C + "workload/memory/quota", "ALIGN_MEAN",
           reducer="REDUCE_SUM"),
     Panel("composer_parse_time", "DAG Parse Time", C + "environment/dag_processing/total_parse_time", "ALIGN_MEAN"),
     Panel("composer_parse_errors", "DAG Parse Errors", L + "composer_dag_parse_errors", "ALIGN_SUM"),
@@ -85,7 +85,7 @@ PANELS = [
     Panel("summary_database", "Database", C + "environment/database_health", "ALIGN_FRACTION_TRUE",
           scorecard=("BELOW", None, 0.9)),
     Panel("summary_failed_runs_total", "Failed DAG Runs (Total)", C + "workflow/run_count", "ALIGN_DELTA",
-          period_s=3600, reducer="REDUCE_SUM", label_filter=(("state", "failed"),)),
+          period_s=3600, reducer="REDUCE_SUM", label_filter=(("state", "failed"),), scorecard=("ABOVE", None, 1)),
     Panel("summary_failed_runs_top", "Failed DAG Runs by Workflow (Top 10)", C + "workflow/run_count",
           "ALIGN_DELTA", period_s=300, reducer="REDUCE_SUM", group_by=("workflow_name",),
           label_filter=(("state", "failed"),), top_n=10),
@@ -110,6 +110,8 @@ PANELS = [
 
 
 def panel_table(spark: SparkSession, panels: list[Panel] = PANELS) -> DataFrame:
+    for p in panels:
+        series.check_spec(p.panel_id, p.aligner, p.reducer)
     rows = [(p.panel_id, p.signal, dict(p.label_filter), p.aligner, int(p.period_s), p.reducer, list(p.group_by))
             for p in panels]
     return local_table(spark, rows, series.SPEC_SCHEMA)

@@ -6,7 +6,7 @@ once, aligns and reduces every policy's series in one aggregate
 (``series.align_reduce_specs``), turns threshold policies into hold episodes
 and absence policies into gap episodes, merges episodes into incidents with the
 policy's auto-close, and renders the notification payload.  Nothing is run per
-policy, so 15 policies cost one scan of the points.
+policy; the derivation of the points is read by each branch of the evaluation.
 
 E6: policies that the reference only creates when a list is non-empty (stream
 ids, monitored datasets) are filtered at plan time in :func:`monitoring_policies`.
@@ -61,6 +61,7 @@ class Policy:
     documentation: str = ""
     enabled: bool = True
     expected: tuple = ()            # absence: series that must report, as label dicts
+    label_any: dict = field(default_factory=dict)   # label -> values, one of which a series must carry
 
 
 def monitoring_policies(environment_name: str, stream_ids: list[str] = (), monitored_datasets: list[str] = (),
@@ -68,7 +69,6 @@ def monitoring_policies(environment_name: str, stream_ids: list[str] = (), monit
                         freshness_absent_s: int = 3600) -> list[Policy]:
     """The 15 policies (fixed values: signals, aligners, periods, conditions,
     severities and auto-close of the reference's monitoring specs)."""
-    env = {"environment_name": environment_name}
     failed = {"state": "failed"}
     out = [
         Policy("composer_failed_runs", "Composer - Failed DAG Runs", COMPOSER_RUNS, "threshold",
@@ -101,7 +101,7 @@ def monitoring_policies(environment_name: str, stream_ids: list[str] = (), monit
         out += [
             Policy("stream_stale", "Datastream - Stream Throughput Stale", STREAM_EVENTS, "absent",
                    duration_s=900, severity="CRITICAL", auto_close_s=3600,
-                   expected=tuple({"stream_id": s} for s in stream_ids),
+                   expected=tuple({"stream_id": s} for s in stream_ids), label_any={"stream_id": tuple(stream_ids)},
                    documentation="No events received from stream ${metric.labels.stream_id} for 15 minutes."),
             Policy("stream_unhealthy", "Datastream - Stream Unhealthy", STREAM_ERRORS, "threshold",
                    severity="CRITICAL", auto_close_s=3600,
@@ -125,6 +125,7 @@ def monitoring_policies(environment_name: str, stream_ids: list[str] = (), monit
         out.append(Policy("bq_freshness", "BigQuery - Data Freshness Stale", UPLOADED_ROWS, "absent",
                           duration_s=freshness_absent_s, severity="WARNING", auto_close_s=3600,
                           expected=tuple({"dataset_id": d} for d in monitored_datasets),
+                          label_any={"dataset_id": tuple(monitored_datasets)},
                           documentation="Dataset ${metric.labels.dataset_id} has had no uploads."))
     return [p for p in out if p.enabled]
 
@@ -134,6 +135,8 @@ def _entries(d: dict) -> list[tuple[str, str]]:
 
 
 def policy_table(spark: SparkSession, policies: list[Policy]) -> DataFrame:
+    for p in policies:
+        series.check_spec(p.policy_id, p.aligner, p.reducer, p.comparison)
     rows = [(p.policy_id, p.name, p.signal, p.kind, dict(p.label_filter), p.aligner, int(p.period_s),
              p.reducer, list(p.group_by), p.comparison, float(p.threshold), int(p.duration_s),
              p.severity, int(p.auto_close_s)) for p in policies]
@@ -171,6 +174,9 @@ def evaluate_policies(points: DataFrame, policies: list[Policy], as_of, since=No
     pct = sorted({p.signal for p in policies if p.aligner.startswith("ALIGN_PERCENTILE_")})
     other = sorted({p.signal for p in policies if not p.aligner.startswith("ALIGN_PERCENTILE_")})
     reduced = series.align_reduce_specs(points, cfg, exact=exact, percentile_signals=pct, other_signals=other)
+    for p in policies:
+        for k, values in p.label_any.items():  # E6: only the configured streams and datasets
+            reduced = reduced.filter((F.col("spec_id") != p.policy_id) | F.coalesce(F.col("labels")[k].isin(*values), F.lit(False)))
     joined = reduced.join(meta, "spec_id")
     keys = ["spec_id", "series_key", "duration_s", "auto_close_s"]
 
@@ -178,10 +184,12 @@ def evaluate_policies(points: DataFrame, policies: list[Policy], as_of, since=No
     # columns are computed over every aligned row and the kind filters come
     # after, so both branches read the same exchange.
     flagged = alerts.threshold_flags(joined, F.col("comparison"), F.col("threshold"))
-    seq = alerts.condition_sequence(flagged, F.col("period_s"), keys=keys + ["kind", "period_s"])
+    seq = alerts.condition_sequence(flagged, F.col("period_s"), keys=keys + ["kind", "period_s", "comparison"])
     hold = alerts.hold_from_sequence(seq.filter(F.col("kind") == "threshold"), F.col("period_s"),
-                                     F.col("duration_s"), keys=keys + ["period_s"])
-    hold = hold.select(*keys, "episode_start", "fired_at", "episode_end", "peak_value")
+                                     F.col("duration_s"), keys=keys + ["period_s", "comparison"])
+    # The worst value: of a policy that fires below its threshold the lowest.
+    worst = F.when(F.col("comparison").isin("COMPARISON_LT", "COMPARISON_LE"), F.col("low_value")).otherwise(F.col("peak_value"))
+    hold = hold.select(*keys, "episode_start", "fired_at", "episode_end", worst.alias("peak_value"))
 
     absent_cfg = [p for p in policies if p.kind == "absent"]
     start = since if since is not None else points.select(F.min("ts")).scalar()

@@ -1,15 +1,12 @@
 """Session helpers.
 
 The library never creates a session behind the caller's back; these helpers are
-for tests, the bench and the driver entry.  ``checkpoint_dir`` reads the shared
-folder the cluster names in ``spark.checkpoint.dir`` and only falls back to a
-scratch folder when the setting is absent (local tests).
+for tests, the bench and the driver entry.  Staged data goes to the shared
+folder the cluster names in ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -41,11 +38,17 @@ def get_spark(app: str = "ledgerwatch", cpus: int | str = "*",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a scratch one only if unset."""
+    """The folder all executors share (``spark.checkpoint.dir``).
+
+    On a cluster the setting is required.  Only a local master, whose one JVM
+    sees its own folders, falls back to a sub-folder of the warehouse.
+    """
     current = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="ledgerwatch-ckpt-")
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        current = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
@@ -53,5 +56,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder (for staging writes)."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "ledgerwatch", f"{name}-{uuid.uuid4().hex}")
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerwatch/{name}-{uuid.uuid4().hex}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a staging folder that has been consumed."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)

@@ -5,16 +5,15 @@ of the pipeline with DataFrame operations only, so the work grows with the
 tables.  The mapping is documented in FIXTURES.md; the DuckDB oracle SQL in
 ``ledgerwatch/plans/oracle_sql.py`` derives the same inputs with the same rules.
 
-Join strategy for ``raw_orders``: lineitem and orders are joined on the order
-key and customer on the customer key as shuffle joins that AQE may turn into
-broadcasts when its runtime size check allows; ``nation`` (25 rows) and
+Join strategy for ``raw_orders``: lineitem and orders, the two large tables, are
+sort-merge joined on the order key at every size (skewed keys are split by AQE);
+customer joins on the customer key, by broadcast where its size allows; ``nation`` (25 rows) and
 ``region`` (5 rows) have a size fixed by the TPC-H schema and are broadcast
 behind the plan-time size check of ``operators.joins.small_side``.
 """
 
 from __future__ import annotations
 
-import functools
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,45 +44,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-def per_session(fn):
-    """Build a fixture's DataFrame once per session and arguments.
-
-    A DataFrame is an immutable plan, so queries that start from the same
-    fixture share one plan object instead of re-deriving it (and re-reading
-    parquet footers) per query; nothing is cached in memory.
-    """
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, sf_dir: str, *args, **kwargs):
-        memo = spark.__dict__.setdefault("_fixture_plans", {})
-        key = (fn.__name__, os.path.abspath(sf_dir), args, tuple(sorted(kwargs.items())))
-        if key not in memo:
-            memo[key] = fn(spark, sf_dir, *args, **kwargs)
-        return memo[key]
-    return wrapper
-
-
-@per_session
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread_scan(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread a scan that yields fewer partitions than task slots.
-
-    A table stored as one parquet row group is read by one task, and every
-    operator before the first shuffle (joins, casts, the partial aggregate)
-    then runs in that task.  Such a scan is spread over the slots by
-    ``keys``; a scan that already has enough splits (any large table) is left
-    as is, so no exchange is added at scale.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no partition count without a classic session
-        return df
-    return df.repartition(slots, *keys) if splits < slots else df
-
-
 def _status(returnflag: Column, linestatus: Column) -> Column:
     return (F.when(returnflag == "R", F.lit("cancelled"))
              .when(returnflag == "A", F.lit("delivered"))
@@ -91,12 +55,11 @@ def _status(returnflag: Column, linestatus: Column) -> Column:
              .when(linestatus == "F", F.lit("shipped")))
 
 
-@per_session
 def raw_orders(spark: SparkSession, sf_dir: str, lineage: bool = True) -> DataFrame:
     """RAW ``public_orders``: one row per line item, lines act as versions."""
-    li = spread_scan(read_table(spark, sf_dir, "lineitem").select(
+    li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"), "l_orderkey", "l_linenumber")
+        "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
@@ -107,7 +70,7 @@ def raw_orders(spark: SparkSession, sf_dir: str, lineage: bool = True) -> DataFr
                    .join(small_side(nation), customer.c_nationkey == nation.n_nationkey)
                    .join(small_side(region), F.col("n_regionkey") == region.r_regionkey)
                    .select("c_custkey", "r_name"))
-    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+    j = (li.join(orders.hint("merge"), li.l_orderkey == orders.o_orderkey)
            .join(cust_region, F.col("o_custkey") == cust_region.c_custkey)
            .join(part, li.l_partkey == part.p_partkey))
     minutes = F.datediff(F.to_date("l_shipdate"), F.lit(UPDATED_AT_EPOCH).cast("date"))
@@ -145,7 +108,6 @@ def silver_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return initial_load(latest, SEED_INGEST_TS)
 
 
-@per_session
 def latest_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Latest valid row per order of the seed half and of the incoming half.
 
@@ -162,7 +124,6 @@ def latest_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return (halves["seed"].select(*BUSINESS_COLUMNS), halves["incoming"].select(*BUSINESS_COLUMNS))
 
 
-@per_session
 def silver_merged(spark: SparkSession, sf_dir: str, with_action: bool = False) -> DataFrame:
     """SILVER after the seed load and one incoming CDC batch."""
     seed, incoming = latest_halves(spark, sf_dir)
@@ -170,7 +131,6 @@ def silver_merged(spark: SparkSession, sf_dir: str, with_action: bool = False) -
                         with_action=with_action)
 
 
-@per_session
 def latest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest, _ = prepare_source(raw_orders(spark, sf_dir), extra_order=TIE_BREAK)
     return latest.select(*BUSINESS_COLUMNS)
@@ -178,7 +138,6 @@ def latest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- jobs
 
-@per_session
 def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Job history from ``events``: one job per event, state by event type."""
     ev = read_table(spark, sf_dir, "events")
@@ -199,7 +158,6 @@ def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@per_session
 def table_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Storage metadata from ``documents``: one table per document."""
     d = read_table(spark, sf_dir, "documents")
@@ -226,7 +184,6 @@ def _pick(values: list[str], idx: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx % len(values)).cast("int") + 1)
 
 
-@per_session
 def log_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log entries from ``events``.
 
@@ -279,7 +236,6 @@ def log_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 HEALTH_THRESHOLD = 5.0  # boolean health = value above this constant
 
 
-@per_session
 def metric_points(spark: SparkSession, sf_dir: str, health: bool = False) -> DataFrame:
     """Metric points from ``events``: metric = event_type, labels {user_id}.
 
@@ -300,7 +256,6 @@ STREAM_IDS = [f"orders-stream-{i}" for i in range(4)]
 DATASETS = ["orders_raw", "orders_silver"]
 
 
-@per_session
 def monitoring_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signals for the policies and panels, derived from ``events``,
     ``log_entries`` and ``job_log`` (one fixture binding per signal type).

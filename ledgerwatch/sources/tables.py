@@ -5,22 +5,25 @@ and clustered by sorting each file on ``region, status`` (S6).  An upsert
 (:meth:`SilverTable.upsert`) rewrites only the partitions the batch touches:
 
 1. the batch is cast, split into valid rows and rejects, reduced to the
-   latest row per key;
-2. the target is read for the touched dates only (a semi-join on the
-   partition column, which Spark turns into partition pruning);
+   latest row per key, and staged; rejects are always written, by batch id;
+2. the dates to read are those of stored rows whose key is in the batch (a
+   key and date scan of SILVER, semi-joined with the batch) and the batch's own
+   dates, since a newer version may carry another ``created_at``; the list is at
+   most the calendar's days and reaches the scan as a partition filter;
 3. the merge result is written to a staging folder under the cluster's
    shared ``spark.checkpoint.dir`` - this cuts the lineage, so a lost executor
    recomputes from the staged files, never from the half-overwritten table;
-4. the staged partitions replace the touched partitions of the table
-   (dynamic partition overwrite).
+4. the staged partitions with an insert or update replace those of the table
+   (dynamic partition overwrite), and the staging folders are removed.
 
-This relies on ``created_at`` never changing for an ``order_id`` (the source
-sets it once); ``prune=False`` merges against the whole table instead.
+Readers that must not see the middle of step 4 should read a copy; a plain
+parquet folder has no snapshots.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerwatch.operators.upsert import ACTIONS, merge_counts, merge_upsert, prepare_source
-from ledgerwatch.session import scratch_path
+from ledgerwatch.session import drop_path, scratch_path
 from ledgerwatch.sources.contracts import (
     FAILURE_RECORD,
     SILVER_CLUSTER,
@@ -66,7 +69,11 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite", dynamic
 class UpsertResult:
     counts: DataFrame          # rows per branch (_action, rows)
     changed_dates: DataFrame   # order_date values with an insert or update
-    staged: DataFrame          # the staged merge output (lineage already cut)
+    rejects_path: str          # folder of this batch's rejected rows
+
+
+#: More partition dates than this are not listed: the target is then read whole, with the same result.
+MAX_DATES = 20_000
 
 
 def _delete_partitions(spark: SparkSession, path: str, column: str, values: list) -> None:
@@ -97,34 +104,45 @@ class SilverTable:
     def count(self) -> DataFrame:
         return self.read().agg(F.count(F.lit(1)).alias("row_count"))
 
-    def upsert(self, raw: DataFrame, ingest_ts=None, prune: bool = True,
-               extra_order: tuple = (), rejects_path: str | None = None) -> UpsertResult:
+    def upsert(self, raw: DataFrame, ingest_ts=None, extra_order: tuple = (), rejects_path: str | None = None,
+               batch_id: str | None = None) -> UpsertResult:
         """MERGE a RAW batch; returns branch counts and the changed dates.
 
         ``ingest_ts`` defaults to the current time (S8 default of
-        ``_ingested_at``).  Rejected rows (NULL contract columns, Q11) are
-        appended to ``rejects_path`` when given.
+        ``_ingested_at``).  Rejected rows (NULL contract columns, Q11) go to
+        ``rejects_path`` (default: beside the table), in a folder per
+        ``batch_id``: a replay of the batch writes the same folder again.
         """
         self.create_if_missing()
         ts = F.current_timestamp().cast("timestamp_ntz") if ingest_ts is None else ingest_ts
         source, rejects = prepare_source(raw, extra_order=list(extra_order))
-        target = self.read()
-        if prune:
-            touched = source.select(F.to_date("created_at").alias(SILVER_PARTITION)).distinct()
-            target = target.join(touched, SILVER_PARTITION, "left_semi")
-        merged = merge_upsert(target, source, ts)
-        stage = scratch_path(self.spark, "silver-stage")
-        merged.write.parquet(stage)
+        rejected = f"{(rejects_path or self.path + '_rejects').rstrip('/')}/batch_id={batch_id or uuid.uuid4().hex}"
+        rejects.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(rejected)
+        batch, stage = scratch_path(self.spark, "silver-batch"), scratch_path(self.spark, "silver-stage")
+        source.write.parquet(batch)
+        source = self.spark.read.schema(source.schema).parquet(batch)
+        target = self.target_of(source)
+        merge_upsert(target, source, ts).write.parquet(stage)
         staged = self.spark.read.schema(
             T.StructType(SILVER_ORDERS.fields + [T.StructField("_action", T.StringType())])).parquet(stage)
+        counts = [tuple(r) for r in merge_counts(staged).collect()]
         # Only partitions with an insert or update are replaced; each is
         # rewritten whole (its untouched rows included), as dynamic overwrite needs.
-        changed_dates = staged.filter(F.col("_action").isin("inserted", "updated")) \
-                              .select(SILVER_PARTITION).distinct()
-        write_partitioned(staged.join(changed_dates, SILVER_PARTITION, "left_semi").drop("_action"), self.path)
-        if rejects_path:
-            rejects.write.mode("append").parquet(rejects_path)
-        return UpsertResult(merge_counts(staged), changed_dates, staged)
+        changed = staged.filter(F.col("_action").isin("inserted", "updated")).select(SILVER_PARTITION).distinct()
+        dates = [r[0] for r in changed.collect()]
+        if dates:
+            write_partitioned(staged.filter(F.col(SILVER_PARTITION).isin(dates)).drop("_action"), self.path)
+        for path in (batch, stage):
+            drop_path(self.spark, path)
+        return UpsertResult(self.spark.createDataFrame(counts, "_action string, rows long"),
+                            self.spark.createDataFrame([(d,) for d in dates], f"{SILVER_PARTITION} date"), rejected)
+
+    def target_of(self, source: DataFrame) -> DataFrame:
+        """The stored partitions a batch can touch: those that hold its keys, and its own dates."""
+        stored = self.read().select("order_id", SILVER_PARTITION).join(source.select("order_id"), "order_id", "left_semi")
+        own = source.select(F.to_date("created_at").alias(SILVER_PARTITION))
+        dates = [r[0] for r in stored.select(SILVER_PARTITION).unionByName(own).distinct().limit(MAX_DATES + 1).collect()]
+        return self.read() if len(dates) > MAX_DATES else self.read().filter(F.col(SILVER_PARTITION).isin(dates))
 
 
 def refresh_revenue_mart(silver: SilverTable, changed_dates: DataFrame, mart_path: str) -> None:
@@ -139,16 +157,20 @@ def refresh_revenue_mart(silver: SilverTable, changed_dates: DataFrame, mart_pat
     """
     from ledgerwatch.operators.marts import revenue_by_product
     spark = silver.spark
-    dates = changed_dates.select(SILVER_PARTITION).distinct()
-    part = silver.read().join(dates, SILVER_PARTITION, "left_semi")
+    dates = [r[0] for r in changed_dates.select(SILVER_PARTITION).distinct().limit(MAX_DATES + 1).collect()]
+    if not dates:
+        return
+    part = silver.read().filter(F.col(SILVER_PARTITION).isin(dates)) if len(dates) <= MAX_DATES else \
+        silver.read().join(changed_dates, SILVER_PARTITION, "left_semi")
     fresh = revenue_by_product(part)
     stage = scratch_path(spark, "revenue-stage")
     fresh.write.parquet(stage)
     staged = spark.read.schema(fresh.schema).parquet(stage)
     write_partitioned(staged, mart_path, mode="overwrite" if _exists(spark, mart_path) else "errorifexists",
                       key="product")
-    emptied = dates.join(staged.select(SILVER_PARTITION).distinct(), SILVER_PARTITION, "left_anti")
+    emptied = changed_dates.distinct().join(staged.select(SILVER_PARTITION).distinct(), SILVER_PARTITION, "left_anti")
     _delete_partitions(spark, mart_path, SILVER_PARTITION, [r[0] for r in emptied.collect()])
+    drop_path(spark, stage)
 
 
 def branch_counts_row(counts: DataFrame) -> DataFrame:

@@ -1,8 +1,10 @@
 """Continuous CDC upsert into SILVER.
 
 The CDC feed lands files per table (``<root>/<table>/``); only tables on the
-include-list are read.  Every micro-batch runs the batch upsert
-(``SilverTable.upsert``) through ``foreachBatch``.  Replaying a batch after a
+include-list are read, and each is merged into a SILVER table of its own
+(:func:`start_table_upserts`).  Every micro-batch runs the batch upsert
+(``SilverTable.upsert``) through ``foreachBatch``; rejected rows are written by
+batch id.  Replaying a batch after a
 failure is harmless: rows already merged compare as not newer (M3) and stay.
 The trigger stands for the delivery cadence (15 minutes by default, or
 ``available_now`` for a catch-up run of the backfill).
@@ -40,14 +42,16 @@ def cdc_stream(spark: SparkSession, root: str, include_tables: list[str] = ("pub
 def start_silver_upsert(feed: DataFrame, silver: SilverTable, checkpoint_location: str,
                         processing_time: str | None = "15 minutes", available_now: bool = False,
                         ingest_ts=None, query_name: str | None = None,
-                        revenue_mart_path: str | None = None) -> StreamingQuery:
-    """Start the continuous MERGE; returns the running query.
+                        revenue_mart_path: str | None = None, table: str = "public_orders",
+                        rejects_path: str | None = None) -> StreamingQuery:
+    """Start the continuous MERGE of one table's rows of the feed; returns the running query.
 
     With ``revenue_mart_path`` every micro-batch also refreshes the revenue
     mart for the dates it changed (incremental A1).
     """
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        result = silver.upsert(batch.drop("_table"), ingest_ts=ingest_ts)
+        rows = batch.filter(F.col("_table") == table).drop("_table")
+        result = silver.upsert(rows, ingest_ts=ingest_ts, rejects_path=rejects_path, batch_id=f"{table}-{epoch_id}")
         if revenue_mart_path:
             refresh_revenue_mart(silver, result.changed_dates, revenue_mart_path)
 
@@ -56,3 +60,10 @@ def start_silver_upsert(feed: DataFrame, silver: SilverTable, checkpoint_locatio
         w = w.queryName(query_name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
+
+
+def start_table_upserts(spark: SparkSession, root: str, targets: dict[str, SilverTable], checkpoint_root: str,
+                        **settings) -> dict[str, StreamingQuery]:
+    """One stream per included table, each merged into its own target."""
+    return {t: start_silver_upsert(cdc_stream(spark, root, [t]), silver, f"{checkpoint_root.rstrip('/')}/{t}", table=t, **settings)
+            for t, silver in targets.items()}
