@@ -6,7 +6,8 @@ once, aligns and reduces every policy's series in one aggregate
 (``series.align_reduce_specs``), turns threshold policies into hold episodes
 and absence policies into gap episodes, merges episodes into incidents with the
 policy's auto-close, and renders the notification payload.  Nothing is run per
-policy; the derivation of the points is read by each branch of the evaluation.
+policy.  The aligned series, small beside the points, are written to the shared
+folder once; episodes, gaps and incidents are evaluated on them.
 
 E6: policies that the reference only creates when a list is non-empty (stream
 ids, monitored datasets) are filtered at plan time in :func:`monitoring_policies`.
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from ledgerwatch.functions.scalar import render_template
 from ledgerwatch.operators import alerts, series
 from ledgerwatch.operators.joins import local_table, small_side
+from ledgerwatch.session import scratch_path
 
 COMPOSER_RUNS = "composer.googleapis.com/workflow/run_count"
 COMPOSER_TASKS = "composer.googleapis.com/environment/finished_task_instance_count"
@@ -177,6 +179,10 @@ def evaluate_policies(points: DataFrame, policies: list[Policy], as_of, since=No
     for p in policies:
         for k, values in p.label_any.items():  # E6: only the configured streams and datasets
             reduced = reduced.filter((F.col("spec_id") != p.policy_id) | F.coalesce(F.col("labels")[k].isin(*values), F.lit(False)))
+    # Hold, absence and the expected series all read the aligned series, which is small: it is written once.
+    path = scratch_path(spark, "policy-series")
+    reduced.write.parquet(path)
+    reduced = spark.read.schema(reduced.schema).parquet(path)
     joined = reduced.join(meta, "spec_id")
     keys = ["spec_id", "series_key", "duration_s", "auto_close_s"]
 

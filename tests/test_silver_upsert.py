@@ -113,3 +113,12 @@ def test_below_policies_report_their_lowest_value_and_only_named_series(spark):
     assert [r["peak_value"] for r in rows if r["spec_id"] == "low"] == [0.25]
     assert {tuple(e["value"] for e in r["series_key"]) for r in rows if r["spec_id"] == "fresh"} == {("mine",)}
     assert series.SPEC_REDUCERS >= {"NONE"}
+
+
+def test_policy_plans_read_the_aligned_series_only(spark):
+    points = fx.monitoring_points(spark, "/root/testdata/sf0.001")
+    policies = PL.monitoring_policies(fx.ENV_NAME, fx.STREAM_IDS, fx.DATASETS)
+    out = PL.evaluate_policies(points, policies, dt.datetime(2024, 2, 1), since=dt.datetime(2024, 1, 1))
+    for name in ("episodes", "notifications"):
+        plan = out[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert "event_type" not in plan and "props" not in plan
