@@ -183,6 +183,15 @@ def q_pairs(spark, sf_dir):
     return audit.count_pairs(fx.silver_merged(spark, sf_dir), "order_id")
 
 
+@register("j2_count_pairs_repeated", O.ORDERS_CTES + """
+SELECT CAST(SUM(n) AS DECIMAL(38,0)) * SUM(n) - SUM(CAST(n AS DECIMAL(38,0)) * n) AS pair_count
+FROM (SELECT customer_id, COUNT(*) AS n FROM raw WHERE customer_id IS NOT NULL GROUP BY customer_id) k""",
+          ["pair_count"], ["pair_count"])
+def q_pairs_repeated(spark, sf_dir):
+    """The same count on a key with many rows each: RAW lines by customer."""
+    return audit.count_pairs(fx.raw_orders(spark, sf_dir), "customer_id")
+
+
 # --------------------------------------------------------------------------- log metrics
 
 _LOG_SQL = O.log_queries()
