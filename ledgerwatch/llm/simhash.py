@@ -225,12 +225,10 @@ def link_edges(distinct: DataFrame, radius: int = 3, tile: int = TILE) -> DataFr
     cells = distinct.select("fp", (((quarter(0) * 17 + quarter(1)) * 17 + quarter(2)) * 17 + quarter(3)).cast("int").alias("cell"))
     counts = {r["cell"]: r["n"] for r in cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).toLocalIterator()}
     tiles = {c: -(-n // tile) for c, n in counts.items()}
-    many = {c: n for c, n in tiles.items() if n > 1}
-    number = F.lit(0)
-    if many:
-        of = F.create_map(*[F.lit(x) for pair in many.items() for x in pair])
-        number = F.pmod(F.xxhash64("fp"), F.coalesce(of[F.col("cell")], F.lit(1))).cast("int")
-    tiled = cells.select("cell", number.alias("tile"), "fp").repartition("cell", "tile").sortWithinPartitions("cell", "tile")
+    number = distinct.sparkSession.createDataFrame(list(tiles.items()), "of_cell int, n int")  # a row per cell
+    tiled = cells.join(F.broadcast(number), F.col("cell") == F.col("of_cell")).select(
+        "cell", F.pmod(F.xxhash64("fp"), F.col("n")).cast("int").alias("tile"), "fp")
+    tiled = tiled.repartition("cell", "tile").sortWithinPartitions("cell", "tile")
     shipped = map_arrow(tiled, _pack(radius, tiles), _SENT_DDL)
     home_first = F.when((F.col("cell") == F.col("from_cell")) & (F.col("tile") == F.col("from_tile")), 0).otherwise(1)
     met = shipped.withColumn("late", home_first).repartition("cell", "tile").sortWithinPartitions("cell", "tile", "late")
