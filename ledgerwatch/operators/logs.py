@@ -146,6 +146,8 @@ def all_log_metric_points(logs: DataFrame, environment_name: str, extract: str =
                   if names else F.create_map().cast("map<string,string>"))
         structs.append(F.when(m.predicate(), F.struct(F.lit(m.name).alias("metric"), labels.alias("labels"))))
     matched = F.filter(F.array(*structs), lambda x: x.isNotNull())
-    return (logs.select(F.col("ts"), F.explode(matched).alias("m"))
-            .select(F.col("m.metric").alias("metric"), F.col("m.labels").alias("labels"),
+    # Entries of the warehouse count under the global resource.
+    of = F.when(F.col("resource_type") == BIGQUERY, F.lit("global")).otherwise(F.col("resource_type"))
+    return (logs.select("ts", of.alias("resource_type"), "resource_labels", F.explode(matched).alias("m"))
+            .select(F.col("m.metric").alias("metric"), "resource_type", "resource_labels", F.col("m.labels").alias("labels"),
                     F.col("ts"), F.lit(1.0).alias("value")))

@@ -162,7 +162,7 @@ def label(col_name: str, key: str) -> Column:
 
 # --------------------------------------------------------------------------- many specs, one pass
 
-SPEC_SCHEMA = ("spec_id string, signal string, label_filter map<string,string>, aligner string, "
+SPEC_SCHEMA = ("spec_id string, signal string, resource_filter string, resource_label_filter map<string,string>, label_filter map<string,string>, aligner string, "
                "period_s int, reducer string, group_by array<string>")
 _PCTS = [0.05, 0.5, 0.95, 0.99]
 
@@ -211,8 +211,13 @@ def _align_specs(j: DataFrame, exact: bool, with_pct: bool) -> DataFrame:
 def align_reduce_specs(points: DataFrame, specs: DataFrame, exact: bool = True,
                        percentile_signals: Sequence[str] | None = None,
                        other_signals: Sequence[str] | None = None) -> DataFrame:
-    """Evaluate many (signal, filter, aligner, period, reducer, group_by) specs
-    over ``points``.
+    """Evaluate many (signal, resource, filter, aligner, period, reducer, group_by)
+    specs over ``points``.
+
+    A spec may name a resource type and resource labels (an environment); points
+    that do not say where they come from meet only specs that do not ask.  A
+    series is known by its metric labels: a spec that admits several resources
+    takes points of equal labels as one series.
 
     ``specs`` is configuration (one row per policy or panel, tens of rows), so
     it is broadcast behind a size check (``joins.small_side``); each point
@@ -230,10 +235,18 @@ def align_reduce_specs(points: DataFrame, specs: DataFrame, exact: bool = True,
     s = small_side(specs.withColumnRenamed("signal", "_signal"))
     empty_map = F.create_map().cast("map<string,string>")
 
+    for name, kind in (("resource_type", "string"), ("resource_labels", "map<string,string>")):
+        if name not in points.columns:
+            points = points.withColumn(name, F.lit(None).cast(kind))
+
+    def carries(labels, wanted):
+        return F.forall(F.map_entries(F.coalesce(wanted, empty_map)),
+                        lambda e: F.coalesce(F.col(labels)[e["key"]] == e["value"], F.lit(False)))
+
     def joined(pts: DataFrame, spec_filter) -> DataFrame:
         j = pts.join(s.filter(spec_filter), pts.metric == F.col("_signal"))
-        return j.filter(F.forall(F.map_entries(F.coalesce("label_filter", empty_map)),
-                                 lambda e: F.coalesce(F.col("labels")[e["key"]] == e["value"], F.lit(False))))
+        of_type = F.col("resource_filter").isNull() | F.coalesce(F.col("resource_type") == F.col("resource_filter"), F.lit(False))
+        return j.filter(of_type & carries("resource_labels", F.col("resource_label_filter")) & carries("labels", F.col("label_filter")))
 
     is_pct = F.col("aligner").startswith("ALIGN_PERCENTILE_")
     if percentile_signals is None or other_signals is None:

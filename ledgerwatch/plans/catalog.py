@@ -448,8 +448,8 @@ def q_json_report(spark, sf_dir):
 
 
 def _policy_outputs(spark, sf_dir):
-    pts = fx.monitoring_points(spark, sf_dir)
     pol = PL.monitoring_policies(fx.ENV_NAME, fx.STREAM_IDS, fx.DATASETS)
+    pts = fx.monitoring_points(spark, sf_dir, {p.signal for p in pol})
     return PL.evaluate_policies(pts, pol, ALERT_AS_OF, since=ALERT_SINCE)
 
 
@@ -463,12 +463,15 @@ def q_policy_episodes(spark, sf_dir):
 @register("e8_policy_notifications", OS.policy_notifications_sql(ALERT_AS_OF, ALERT_SINCE))
 def q_policy_notes(spark, sf_dir):
     n = _policy_outputs(spark, sf_dir)["notifications"]
-    return n.select("policy_id", "policy_name", "severity", F.to_json("labels").alias("labels"), "incident_seq",
+    return n.select("policy_id", "policy_name", "condition_name", "severity", F.to_json("labels").alias("labels"), "incident_seq",
                     "opened_at", "resolved_at", "episodes", "message")
 
 
-def _panel_series(spark, sf_dir):
-    return PN.evaluate_panels(fx.monitoring_points(spark, sf_dir))
+_PANELS = PN.dashboard_panels(fx.ENV_NAME)
+
+
+def _panel_series(spark, sf_dir, panels=_PANELS):
+    return PN.evaluate_panels(fx.monitoring_points(spark, sf_dir, {p.signal for p in panels}), panels)
 
 
 @register("p1_panel_series", OS.panel_series_sql())
@@ -480,12 +483,14 @@ def q_panels(spark, sf_dir):
 
 @register("p2_panel_scorecards", OS.panel_scorecards_sql())
 def q_scorecards(spark, sf_dir):
-    cards = PN.scorecards(_panel_series(spark, sf_dir))
+    panels = [p for p in _PANELS if p.scorecard]
+    cards = PN.scorecards(_panel_series(spark, sf_dir, panels), panels)
     return cards.select(F.col("spec_id").alias("panel_id"), F.to_json("labels").alias("labels"),
                         "window_start", "value", "colour")
 
 
 @register("p3_panel_top_series", OS.panel_top_sql())
 def q_top_panels(spark, sf_dir):
-    top = PN.top_panels(_panel_series(spark, sf_dir))
+    panels = [p for p in _PANELS if p.top_n]
+    top = PN.top_panels(_panel_series(spark, sf_dir, panels), panels)
     return top.select(F.col("spec_id").alias("panel_id"), F.to_json("labels").alias("labels"), "total", "rank")

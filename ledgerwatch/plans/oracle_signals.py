@@ -3,14 +3,14 @@
 ``monitoring_points_cte`` derives the signal points from ``events`` with the
 fixture binding of ``sources.fixtures.monitoring_points`` (written again in
 SQL).  Labels are a key-sorted ``list<struct<key, value>>``, the SQL form of
-the Spark series key.  Panel and policy SQL is generated per spec from the
-same configuration objects the Spark side evaluates in one pass; the SQL
-evaluates each spec on its own (one SELECT per spec, UNION ALL), so the
-one-pass evaluation is checked against a per-spec one.
+the Spark series key.  The specs are stated a second time in
+``plans/oracle_specs.py``; the SQL evaluates each on its own (one SELECT per
+spec, UNION ALL), so the one-pass evaluation is checked against a per-spec one.
 """
 
 from __future__ import annotations
 
+from ledgerwatch.plans.oracle_specs import ENV, PANEL_SPECS, POLICY_SPECS, SCORECARDS, TOP_PANELS
 from ledgerwatch.plans.oracle_sql import JOB_LOG, _pick, log_entries_cte, log_metric_specs, wrap
 
 KV = "STRUCT(key VARCHAR, value VARCHAR)"
@@ -31,33 +31,63 @@ def labels_json(col: str) -> str:
 
 
 def monitoring_points_cte() -> str:
-    from ledgerwatch.plans import policies as P
-    from ledgerwatch.sources.fixtures import DAG_IDS, DATASETS, HEALTH_THRESHOLD
+    from ledgerwatch.sources.fixtures import DAG_IDS
 
     dag = _pick(DAG_IDS, "event_id")
-    stream = "'orders-stream-' || CAST(user_id % 4 AS VARCHAR)"
+    stream = [("stream_id", "'orders-stream-' || CAST(user_id % 4 AS VARCHAR)")]
+    dataset = [("dataset_id", "CASE user_id % 3 WHEN 0 THEN 'orders_raw' WHEN 1 THEN 'orders_silver' ELSE 'scratch' END")]
+    bucket = [("bucket_name", "CASE user_id % 2 WHEN 0 THEN 'orders-landing' ELSE 'orders-archive' END")]
+    env = "CASE WHEN user_id % 5 = 4 THEN 'other-composer' ELSE 'orders-composer' END"
+    environment, job = "cloud_composer_environment", "bigquery_project"
+    workload, data = "cloud_composer_workload", "bigquery_dataset"
+    flow, gcs, feed = "cloud_composer_workflow", "gcs_bucket", "datastream.googleapis.com/Stream"
+    c, d, b, g = "composer.googleapis.com/", "datastream.googleapis.com/stream/", "bigquery.googleapis.com/", "storage.googleapis.com/"
+    # (signal, event type, resource type, environment, labels, value)
     binding = [
-        (P.COMPOSER_RUNS, "error", [("state", "'failed'"), ("workflow_name", dag)], "1.0"),
-        (P.COMPOSER_RUNS, "purchase", [("state", "'success'"), ("workflow_name", dag)], "1.0"),
-        (P.COMPOSER_TASKS, "click", [("state", "CASE WHEN value > 40 THEN 'failed' ELSE 'success' END")], "1.0"),
-        (P.HEARTBEAT, "view", [], "1.0"),
-        (P.EVICTIONS, "click", [], "CAST(value > 45 AS DOUBLE)"),
-        (P.DB_HEALTH, "signup", [], f"CAST(value > {HEALTH_THRESHOLD} AS DOUBLE)"),
-        (P.WEB_HEALTH, "click", [], "CAST(value > 2.0 AS DOUBLE)"),
-        (P.STREAM_EVENTS, "purchase", [("stream_id", stream)], "1.0"),
-        (P.STREAM_LATENCY, "view", [("stream_id", stream)], "value * 60.0"),
-        (P.UPLOADED_ROWS, "signup",
-         [("dataset_id", f"CASE WHEN user_id % 2 = 0 THEN '{DATASETS[1]}' ELSE '{DATASETS[0]}' END")], "value"),
+        (c + "workflow/run_count", "error", flow, None, [("state", "'failed'"), ("workflow_name", dag)], "1.0"),
+        (c + "workflow/run_count", "purchase", flow, None, [("state", "'success'"), ("workflow_name", dag)], "1.0"),
+        (c + "environment/finished_task_instance_count", "click", environment, env,
+         [("state", "CASE WHEN value > 40 THEN 'failed' ELSE 'success' END")], "1.0"),
+        (c + "environment/scheduler_heartbeat_count", "view", environment, env, [], "1.0"),
+        (c + "environment/worker/pod_eviction_count", "click", environment, env, [], "CAST(value > 45 AS DOUBLE)"),
+        (c + "environment/database_health", "signup", environment, env, [], "CAST(value > 5.0 AS DOUBLE)"),
+        (c + "environment/web_server/health", "click", environment, env, [], "CAST(value > 2.0 AS DOUBLE)"),
+        (c + "environment/dagbag_size", "view", environment, env, [], "floor(value)"),
+        (c + "environment/unfinished_task_instances", "click", environment, env, [], "floor(value)"),
+        (c + "environment/scheduler/zombies_killed", "error", environment, env, [], "CAST(value > 40 AS DOUBLE)"),
+        (c + "environment/dag_processing/total_parse_time", "signup", environment, env, [], "value"),
+        (c + "workload/memory/bytes_used", "click", workload, env, [], "floor(value) * 1048576"),
+        (c + "workload/memory/quota", "view", workload, env, [], "134217728"),
+        (d + "event_count", "purchase", feed, None, stream, "1.0"),
+        (d + "total_latencies", "view", feed, None, stream, "value * 60.0"),
+        (d + "freshness", "click", feed, None, stream, "value"),
+        (d + "unsupported_event_count", "error", feed, None, stream, "1.0"),
+        (d + "bytes_count", "purchase", feed, None, stream, "floor(value) * 1024"),
+        (b + "slots/total_available", "view", job, None, [], "floor(value) + 100"),
+        (b + "slots/allocated_for_project", "purchase", job, None, [], "floor(value)"),
+        (b + "job/num_in_flight", "click", job, None, [("state", "CASE WHEN value > 30 THEN 'pending' ELSE 'running' END")], "floor(value)"),
+        (b + "query/scanned_bytes", "purchase", "global", None, [], "floor(value) * 1048576"),
+        (b + "query/scanned_bytes_billed", "view", "global", None, [], "floor(value) * 10485760"),
+        (b + "storage/uploaded_row_count", "signup", data, None, dataset, "value"),
+        (b + "storage/uploaded_bytes", "signup", data, None, dataset, "floor(value) * 1024"),
+        (b + "storage/stored_bytes", "click", data, None, dataset, "floor(value) * 1048576"),
+        (b + "storage/table_count", "purchase", data, None, dataset, "floor(value)"),
+        (g + "api/request_count", "view", gcs, None, bucket, "1.0"),
+        (g + "network/sent_bytes_count", "click", gcs, None, bucket, "floor(value) * 2048"),
+        (g + "storage/total_bytes", "signup", gcs, None, bucket, "floor(value) * 1048576"),
+        (g + "storage/object_count", "purchase", gcs, None, bucket, "floor(value)"),
     ]
-    parts = [f"SELECT '{sig}' AS metric, {label_list(lab)} AS labels, ts, CAST({val} AS DOUBLE) AS value "
-             f"FROM events WHERE event_type = '{et}'" for sig, et, lab, val in binding]
+    parts = [f"SELECT '{sig}' AS metric, '{kind}' AS resource_type, CAST({where or 'NULL'} AS VARCHAR) AS env, {label_list(lab)} AS labels, ts, "
+             f"CAST({val} AS DOUBLE) AS value FROM events WHERE event_type = '{et}'" for sig, et, kind, where, lab, val in binding]
     for name, (metric, where, labels) in log_metric_specs().items():
         if name == "l1_task_errors_regex_labels":
             continue
         parts.append(f"SELECT 'logging.googleapis.com/user/{metric}' AS metric, "
+                     "CASE resource_type WHEN 'bigquery_resource' THEN 'global' ELSE resource_type END AS resource_type, NULL AS env, "
                      f"{label_list(list(labels.items()))} AS labels, ts, 1.0::DOUBLE AS value "
                      f"FROM log_entries WHERE {_SEV_ERROR} AND {where}")
-    parts.append(f"SELECT '{P.QUERY_TIMES}' AS metric, {label_list([])} AS labels, creation_time AS ts, "
+    parts.append(f"SELECT 'bigquery.googleapis.com/query/execution_times' AS metric, 'bigquery_project' AS resource_type, NULL AS env, "
+                 f"{label_list([])} AS labels, creation_time AS ts, "
                  "CAST(total_slot_ms AS DOUBLE) / 1000.0 AS value FROM job_log WHERE state = 'DONE'")
     union = "\n  UNION ALL ".join(parts)
     return f"{log_entries_cte()},{JOB_LOG},\nmonitoring_points AS MATERIALIZED (\n  {union}\n)"
@@ -94,15 +124,17 @@ def _reducer(reducer: str) -> str:
             "COUNT_TRUE": "SUM(CAST(value <> 0 AS DOUBLE))"}[r]
 
 
-def spec_series_sql(spec_id: str, signal: str, label_filter: dict, aligner: str, period: int,
-                    reducer: str, group_by, approx: bool = False, extra: str = "", label_any: dict | None = None) -> str:
+def spec_series_sql(spec_id: str, signal: str, resource: str, own_env: bool, state: str | None, aligner: str, period: int,
+                    reducer: str, group_by, approx: bool = False, extra: str = "", among: tuple | None = None) -> str:
     """One spec on its own: filter, per-series alignment, cross-series reduction."""
-    where = [f"metric = '{signal}'"]
-    for k, v in sorted(dict(label_filter).items()):
-        where.append(f"len(list_filter(labels, lambda kv: kv.key = '{k}' AND kv.value = '{v}')) > 0")
-    for k, values in (label_any or {}).items():
-        among = "[" + ", ".join(f"'{v}'" for v in values) + "]"
-        where.append(f"len(list_filter(labels, lambda kv: kv.key = '{k}' AND list_contains({among}, kv.value))) > 0")
+    where = [f"metric = '{signal}'", f"resource_type = '{resource}'"]
+    if own_env:
+        where.append(f"env = '{ENV}'")
+    if state:
+        where.append(f"len(list_filter(labels, lambda kv: kv.key = 'state' AND kv.value = '{state}')) > 0")
+    if among:
+        values = "[" + ", ".join(f"'{v}'" for v in among[1]) + "]"
+        where.append(f"len(list_filter(labels, lambda kv: kv.key = '{among[0]}' AND list_contains({values}, kv.value))) > 0")
     if reducer == "NONE":
         key = "series_key"
     else:
@@ -124,9 +156,8 @@ def spec_series_sql(spec_id: str, signal: str, label_filter: dict, aligner: str,
 # --------------------------------------------------------------------------- panels
 
 def panel_series_cte() -> str:
-    from ledgerwatch.plans.panels import PANELS
-    parts = [spec_series_sql(p.panel_id, p.signal, dict(p.label_filter), p.aligner, p.period_s, p.reducer,
-                             p.group_by) for p in PANELS]
+    parts = [spec_series_sql(pid, signal, resource, own, state, aligner, period, reducer, group_by)
+             for pid, signal, resource, own, aligner, period, reducer, group_by, state in PANEL_SPECS]
     return f"WITH {monitoring_points_cte()},\npanel_series AS ({' UNION ALL '.join(parts)}\n)"
 
 
@@ -136,20 +167,10 @@ SELECT spec_id AS panel_id, {labels_json('series_key')} AS labels, window_start,
 FROM panel_series""", ["panel_id", "labels", "window_start", "window_end", "value", "series_count"], ["value"])
 
 
-def _breach(direction: str, th) -> str:
-    if th is None:
-        return "FALSE"
-    return f"value < {float(th)}" if direction == "BELOW" else f"value > {float(th)}"
-
-
 def panel_scorecards_sql() -> str:
-    from ledgerwatch.plans.panels import PANELS
-    cards = [p for p in PANELS if p.scorecard]
-    colour = "CASE " + " ".join(
-        f"WHEN spec_id = '{p.panel_id}' AND ({_breach(p.scorecard[0], p.scorecard[2])}) THEN 'red' "
-        f"WHEN spec_id = '{p.panel_id}' AND ({_breach(p.scorecard[0], p.scorecard[1])}) THEN 'yellow' "
-        for p in cards) + "ELSE 'green' END"
-    ids = ", ".join(f"'{p.panel_id}'" for p in cards)
+    colour = "CASE " + " ".join(f"WHEN spec_id = '{pid}' AND {rules[c]} THEN '{c}'" for c in ("red", "yellow")
+                                for pid, rules in SCORECARDS.items() if c in rules) + " ELSE 'green' END"
+    ids = ", ".join(f"'{pid}'" for pid in SCORECARDS)
     return wrap(panel_series_cte() + f""",
 latest AS (
   SELECT spec_id, series_key, arg_max(value, window_start) AS value, MAX(window_start) AS window_start
@@ -160,10 +181,8 @@ FROM latest""", ["panel_id", "labels", "window_start", "value", "colour"], ["val
 
 
 def panel_top_sql() -> str:
-    from ledgerwatch.plans.panels import PANELS
-    tops = [p for p in PANELS if p.top_n]
-    limit = "CASE " + " ".join(f"WHEN spec_id = '{p.panel_id}' THEN {int(p.top_n)} " for p in tops) + "ELSE 0 END"
-    ids = ", ".join(f"'{p.panel_id}'" for p in tops)
+    limit = "CASE " + " ".join(f"WHEN spec_id = '{pid}' THEN {n}" for pid, n in TOP_PANELS.items()) + " ELSE 0 END"
+    ids = ", ".join(f"'{pid}'" for pid in TOP_PANELS)
     return wrap(panel_series_cte() + f""",
 totals AS (
   SELECT spec_id, series_key, SUM(value) AS total
@@ -187,41 +206,26 @@ def _label_value(key: str) -> str:
     return f"(list_filter(series_key, lambda kv: kv.key = '{key}'))[1].value"
 
 
-def _render(template: str, keys: set[str]) -> str:
-    """``${metric.labels.k}`` -> the series' label ``k`` ('' when missing)."""
-    import re
-    out, pos = [], 0
-    for m in re.finditer(r"\$\{([A-Za-z0-9_.]+)\}", template):
-        out.append(_sql_text(template[pos:m.start()]))
-        name = m.group(1)
-        key = name.removeprefix("metric.labels.")
-        out.append(f"COALESCE({_label_value(key)}, '')" if name.startswith("metric.labels.") and key in keys
-                   else _sql_text(m.group(0)))
-        pos = m.end()
-    out.append(_sql_text(template[pos:]))
-    return " || ".join(out)
+def _message(parts: tuple) -> str:
+    """Texts and, between them, labels of the series ('' when missing)."""
+    return " || ".join(f"COALESCE({_label_value(x)}, '')" if i % 2 else _sql_text(x) for i, x in enumerate(parts))
 
 
 def policy_episodes_cte(as_of: str, since: str) -> str:
     """Every policy's episodes: hold runs of threshold policies and gaps of absence policies."""
-    from ledgerwatch.plans import policies as PL
-    from ledgerwatch.sources.fixtures import DATASETS, ENV_NAME, STREAM_IDS
-    pols = PL.monitoring_policies(ENV_NAME, STREAM_IDS, DATASETS)
     parts = []
-    for p in pols:
+    for p in POLICY_SPECS:
         meta = (f"'{p.kind}' AS kind, '{p.comparison}' AS comparison, {float(p.threshold)} AS threshold, "
-                f"{int(p.duration_s)} AS duration_s, {int(p.auto_close_s)} AS auto_close_s, "
-                f"{int(p.period_s)} AS period_s, ")
-        parts.append(spec_series_sql(p.policy_id, p.signal, dict(p.label_filter), p.aligner, p.period_s,
-                                     p.reducer, p.group_by, approx=True, extra=meta, label_any=p.label_any))
+                f"{p.duration_s} AS duration_s, {p.auto_close_s} AS auto_close_s, {p.period_s} AS period_s, ")
+        parts.append(spec_series_sql(p.policy_id, p.signal, p.resource, p.own_env, p.state, p.aligner, p.period_s,
+                                     p.reducer, p.group_by, approx=True, extra=meta, among=p.among))
     expected = []
-    for p in pols:
-        for lab in p.expected:
-            keep = [(k, f"'{v}'") for k, v in lab.items() if p.reducer == "NONE" or k in p.group_by]
-            expected.append(f"SELECT '{p.policy_id}' AS spec_id, {label_list(keep)} AS series_key, "
-                            f"{int(p.duration_s)} AS duration_s, {int(p.auto_close_s)} AS auto_close_s")
-    exp_sql = " UNION ALL ".join(expected) if expected else \
-        f"SELECT NULL::VARCHAR AS spec_id, {label_list([])} AS series_key, 0 AS duration_s, 0 AS auto_close_s WHERE FALSE"
+    for p in POLICY_SPECS:
+        if p.kind == "absent":
+            for keep in [[(p.among[0], f"'{v}'")] for v in p.among[1]] if p.among else [[]]:
+                expected.append(f"SELECT '{p.policy_id}' AS spec_id, {label_list(keep)} AS series_key, "
+                                f"{p.duration_s} AS duration_s, {p.auto_close_s} AS auto_close_s")
+    exp_sql = " UNION ALL ".join(expected)
     return f"""WITH {monitoring_points_cte()},
 ps AS ({' UNION ALL '.join(parts)}
 ),
@@ -279,14 +283,9 @@ FROM episodes""", ["policy_id", "labels", "episode_start", "fired_at", "episode_
 
 
 def policy_notifications_sql(as_of: str, since: str) -> str:
-    from ledgerwatch.plans import policies as PL
-    from ledgerwatch.sources.fixtures import DATASETS, ENV_NAME, STREAM_IDS
-    pols = PL.monitoring_policies(ENV_NAME, STREAM_IDS, DATASETS)
-    keys = {"dag_id", "task_id", "alert_type", "stream_id", "transfer_config_name", "dataset_id"}
-    name = "CASE spec_id " + " ".join(f"WHEN '{p.policy_id}' THEN {_sql_text(p.name)}" for p in pols) + " END"
-    sev = "CASE spec_id " + " ".join(f"WHEN '{p.policy_id}' THEN '{p.severity}'" for p in pols) + " END"
-    msg = "CASE spec_id " + " ".join(f"WHEN '{p.policy_id}' THEN {_render(p.documentation, keys)}"
-                                     for p in pols) + " END"
+    by_policy = lambda f: "CASE spec_id " + " ".join(f"WHEN '{p.policy_id}' THEN {f(p)}" for p in POLICY_SPECS) + " END"
+    name, sev = by_policy(lambda p: _sql_text(p.name)), by_policy(lambda p: f"'{p.severity}'")
+    condition, msg = by_policy(lambda p: _sql_text(p.condition)), by_policy(lambda p: _message(p.message))
     return policy_episodes_cte(as_of, since) + f""",
 x AS (SELECT *, COALESCE(episode_end, TIMESTAMP '9999-12-31 00:00:00') AS e FROM episodes),
 p AS (
@@ -302,7 +301,7 @@ inc AS (
   SELECT spec_id, series_key, incident_seq, MIN(fired_at) AS opened_at, MAX(e) AS e, COUNT(*) AS episodes
   FROM t GROUP BY spec_id, series_key, incident_seq
 )
-SELECT spec_id AS policy_id, {name} AS policy_name, {sev} AS severity, {labels_json('series_key')} AS labels,
+SELECT spec_id AS policy_id, {name} AS policy_name, {condition} AS condition_name, {sev} AS severity, {labels_json('series_key')} AS labels,
        CAST(incident_seq AS BIGINT) AS incident_seq, opened_at,
        CASE WHEN e = TIMESTAMP '9999-12-31 00:00:00' THEN NULL ELSE e END AS resolved_at,
        CAST(episodes AS BIGINT) AS episodes, {msg} AS message

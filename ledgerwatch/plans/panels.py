@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.operators import series
 from ledgerwatch.operators.joins import local_table
+from ledgerwatch.plans import metrics as M
 
 
 @dataclass(frozen=True)
 class Panel:
     panel_id: str
-    title: str
     signal: str
+    resource: str | tuple             # type, or (type, environment)
     aligner: str
     period_s: int = 300
     reducer: str = "NONE"
@@ -31,93 +32,65 @@ class Panel:
     top_n: int | None = None
 
 
-C = "composer.googleapis.com/"
-D = "datastream.googleapis.com/stream/"
-B = "bigquery.googleapis.com/"
-G = "storage.googleapis.com/"
-L = "logging.googleapis.com/user/"
-
-# The 34 panels of the three dashboards (signal, aligner,
-# period, reducer, group-by, scorecard thresholds), in dashboard order.
-PANELS = [
-    Panel("composer_db_health", "Database Health", C + "environment/database_health", "ALIGN_FRACTION_TRUE",
-          scorecard=("BELOW", None, 0.9)),
-    Panel("composer_heartbeat", "Scheduler Heartbeat", C + "environment/scheduler_heartbeat_count", "ALIGN_SUM",
-          scorecard=("BELOW", None, 1)),
-    Panel("composer_dagbag", "Total DAGs Loaded", C + "environment/dagbag_size", "ALIGN_MEAN",
-          scorecard=("ABOVE", None, None)),
-    Panel("composer_unfinished", "Active/Queued Tasks", C + "environment/unfinished_task_instances", "ALIGN_MAX",
-          scorecard=("ABOVE", 50, None)),
-    Panel("composer_zombies", "Zombie Task Count", C + "environment/scheduler/zombies_killed", "ALIGN_SUM",
-          scorecard=("ABOVE", 1, None)),
-    Panel("composer_runs_by_state", "DAG Run Status", C + "workflow/run_count", "ALIGN_SUM",
-          reducer="REDUCE_SUM", group_by=("state",)),
-    Panel("composer_tasks_by_state", "Task Instance Status", C + "environment/finished_task_instance_count",
-          "ALIGN_SUM", reducer="REDUCE_SUM", group_by=("state",)),
-    Panel("composer_task_errors", "Task Errors", L + "composer_task_errors", "ALIGN_SUM",
-          reducer="REDUCE_SUM", group_by=("dag_id", "task_id")),
-    Panel("composer_evictions", "Worker Pod Evictions", C + "environment/worker/pod_eviction_count", "ALIGN_SUM",
-          period_s=900),
-    Panel("composer_memory_used", "Worker Memory Used", C + "workload/memory/bytes_used", "ALIGN_MEAN",
-          reducer="REDUCE_SUM"),
-    Panel("composer_memory_limit", "Worker Memory Limit", C + "workload/memory/quota", "ALIGN_MEAN",
-          reducer="REDUCE_SUM"),
-    Panel("composer_parse_time", "DAG Parse Time", C + "environment/dag_processing/total_parse_time", "ALIGN_MEAN"),
-    Panel("composer_parse_errors", "DAG Parse Errors", L + "composer_dag_parse_errors", "ALIGN_SUM"),
-    Panel("stream_event_rate", "Stream Event Throughput", D + "event_count", "ALIGN_RATE",
-          reducer="REDUCE_SUM", group_by=("stream_id",)),
-    Panel("stream_lag", "Replication Lag", D + "freshness", "ALIGN_MAX", reducer="REDUCE_MAX",
-          group_by=("stream_id",)),
-    Panel("stream_unsupported", "Unsupported Events", D + "unsupported_event_count", "ALIGN_SUM",
-          reducer="REDUCE_SUM", group_by=("stream_id",)),
-    Panel("stream_bytes_rate", "Throughput (Bytes)", D + "bytes_count", "ALIGN_RATE", reducer="REDUCE_SUM",
-          group_by=("stream_id",)),
-    Panel("bq_slots_available", "Slots Available", B + "slots/total_available", "ALIGN_MEAN"),
-    Panel("bq_slots_allocated", "Slots Allocated", B + "slots/allocated_for_project", "ALIGN_MEAN"),
-    Panel("bq_jobs_in_flight", "Job Count by State", B + "job/num_in_flight", "ALIGN_MEAN",
-          reducer="REDUCE_SUM", group_by=("state",)),
-    Panel("bq_scanned_bytes", "Bytes Processed per Job", B + "query/scanned_bytes", "ALIGN_SUM"),
-    Panel("bq_query_errors", "Scheduled Query Errors", L + "bq_scheduled_query_failures", "ALIGN_SUM"),
-    Panel("summary_scheduler", "Scheduler", C + "environment/scheduler_heartbeat_count", "ALIGN_SUM",
-          scorecard=("BELOW", None, 1)),
-    Panel("summary_webserver", "Webserver", C + "environment/web_server/health", "ALIGN_FRACTION_TRUE",
-          scorecard=("BELOW", None, 0.9)),
-    Panel("summary_database", "Database", C + "environment/database_health", "ALIGN_FRACTION_TRUE",
-          scorecard=("BELOW", None, 0.9)),
-    Panel("summary_failed_runs_total", "Failed DAG Runs (Total)", C + "workflow/run_count", "ALIGN_DELTA",
-          period_s=3600, reducer="REDUCE_SUM", label_filter=(("state", "failed"),), scorecard=("ABOVE", None, 1)),
-    Panel("summary_failed_runs_top", "Failed DAG Runs by Workflow (Top 10)", C + "workflow/run_count",
-          "ALIGN_DELTA", period_s=300, reducer="REDUCE_SUM", group_by=("workflow_name",),
-          label_filter=(("state", "failed"),), top_n=10),
-    Panel("bq_uploaded_bytes", "Uploaded Bytes", B + "storage/uploaded_bytes", "ALIGN_SUM",
-          reducer="REDUCE_SUM", group_by=("dataset_id",)),
-    Panel("bq_uploaded_rows", "Uploaded Rows", B + "storage/uploaded_row_count", "ALIGN_SUM",
-          reducer="REDUCE_SUM", group_by=("dataset_id",)),
-    Panel("bq_stored_bytes", "Total Stored Bytes", B + "storage/stored_bytes", "ALIGN_MEAN", period_s=86400,
-          reducer="REDUCE_SUM", group_by=("dataset_id",)),
-    Panel("bq_table_count", "Table Count per Dataset", B + "storage/table_count", "ALIGN_MEAN", period_s=86400,
-          reducer="REDUCE_SUM", group_by=("dataset_id",)),
-    Panel("bq_bytes_billed", "Query Bytes Scanned", B + "query/scanned_bytes_billed", "ALIGN_SUM"),
-    Panel("gcs_requests", "API Request Count", G + "api/request_count", "ALIGN_SUM", reducer="REDUCE_SUM",
-          group_by=("bucket_name",)),
-    Panel("gcs_egress", "Network Bytes Sent", G + "network/sent_bytes_count", "ALIGN_SUM",
-          reducer="REDUCE_SUM", group_by=("bucket_name",)),
-    Panel("gcs_bucket_size", "Bucket Size", G + "storage/total_bytes", "ALIGN_MEAN", period_s=86400,
-          reducer="REDUCE_SUM", group_by=("bucket_name",)),
-    Panel("gcs_object_count", "Object Count", G + "storage/object_count", "ALIGN_MEAN", period_s=86400,
-          reducer="REDUCE_SUM", group_by=("bucket_name",)),
-]
-
-
-def panel_table(spark: SparkSession, panels: list[Panel] = PANELS) -> DataFrame:
+def dashboard_panels(environment_name: str) -> list[Panel]:
+    """The 34 panels of the three dashboards in their order; the memory and slot
+    charts plot two metrics each, so there are 36 specs (fixed values: signal,
+    resource, aligner, period, reducer, group-by, scorecard thresholds).  A
+    resource is a type, or a type with the environment it is read from."""
+    own, workload = (M.ENVIRONMENT, environment_name), (M.WORKLOAD, environment_name)
+    return [
+        Panel("composer_db_health", M.DB_HEALTH, own, "ALIGN_FRACTION_TRUE", scorecard=("BELOW", None, 0.9)),
+        Panel("composer_heartbeat", M.HEARTBEAT, own, "ALIGN_SUM", scorecard=("BELOW", None, 1)),
+        Panel("composer_dagbag", M.DAGBAG, own, "ALIGN_MEAN", scorecard=("ABOVE", None, None)),
+        Panel("composer_unfinished", M.UNFINISHED, own, "ALIGN_MAX", scorecard=("ABOVE", 50, None)),
+        Panel("composer_zombies", M.ZOMBIES, own, "ALIGN_SUM", scorecard=("ABOVE", 1, None)),
+        Panel("composer_runs_by_state", M.COMPOSER_RUNS, M.WORKFLOW, "ALIGN_SUM", reducer="REDUCE_SUM", group_by=("state",)),
+        Panel("composer_tasks_by_state", M.COMPOSER_TASKS, own, "ALIGN_SUM", reducer="REDUCE_SUM", group_by=("state",)),
+        Panel("composer_task_errors", M.TASK_ERRORS, M.ENVIRONMENT, "ALIGN_SUM", reducer="REDUCE_SUM", group_by=("dag_id", "task_id")),
+        Panel("composer_evictions", M.EVICTIONS, own, "ALIGN_SUM", period_s=900),
+        Panel("composer_memory_used", M.MEMORY_USED, workload, "ALIGN_MEAN", reducer="REDUCE_SUM"),
+        Panel("composer_memory_limit", M.MEMORY_QUOTA, workload, "ALIGN_MEAN", reducer="REDUCE_SUM"),
+        Panel("composer_parse_time", M.PARSE_TIME, own, "ALIGN_MEAN"),
+        Panel("composer_parse_errors", M.PARSE_ERRORS, M.ENVIRONMENT, "ALIGN_SUM"),
+        Panel("stream_event_rate", M.STREAM_EVENTS, M.STREAM, "ALIGN_RATE", reducer="REDUCE_SUM", group_by=("stream_id",)),
+        Panel("stream_lag", M.STREAM_FRESHNESS, M.STREAM, "ALIGN_MAX", reducer="REDUCE_MAX", group_by=("stream_id",)),
+        Panel("stream_unsupported", M.STREAM_UNSUPPORTED, M.STREAM, "ALIGN_SUM", reducer="REDUCE_SUM", group_by=("stream_id",)),
+        Panel("stream_bytes_rate", M.STREAM_BYTES, M.STREAM, "ALIGN_RATE", reducer="REDUCE_SUM", group_by=("stream_id",)),
+        Panel("bq_slots_available", M.SLOTS_AVAILABLE, M.PROJECT, "ALIGN_MEAN"),
+        Panel("bq_slots_allocated", M.SLOTS_ALLOCATED, M.PROJECT, "ALIGN_MEAN"),
+        Panel("bq_jobs_in_flight", M.IN_FLIGHT, M.PROJECT, "ALIGN_MEAN", reducer="REDUCE_SUM", group_by=("state",)),
+        Panel("bq_scanned_bytes", M.SCANNED_BYTES, M.GLOBAL, "ALIGN_SUM"),
+        Panel("bq_query_errors", M.SQ_FAILURES, M.GLOBAL, "ALIGN_SUM"),
+        Panel("summary_scheduler", M.HEARTBEAT, own, "ALIGN_SUM", scorecard=("BELOW", None, 1)),
+        Panel("summary_webserver", M.WEB_HEALTH, own, "ALIGN_FRACTION_TRUE", scorecard=("BELOW", None, 0.9)),
+        Panel("summary_database", M.DB_HEALTH, own, "ALIGN_FRACTION_TRUE", scorecard=("BELOW", None, 0.9)),
+        Panel("summary_failed_runs_total", M.COMPOSER_RUNS, M.WORKFLOW, "ALIGN_DELTA", period_s=3600, reducer="REDUCE_SUM",
+              label_filter=(("state", "failed"),), scorecard=("ABOVE", None, 1)),
+        Panel("summary_failed_runs_top", M.COMPOSER_RUNS, M.WORKFLOW, "ALIGN_DELTA", period_s=300, reducer="REDUCE_SUM",
+              group_by=("workflow_name",), label_filter=(("state", "failed"),), top_n=10),
+        Panel("bq_uploaded_bytes", M.UPLOADED_BYTES, M.DATASET, "ALIGN_SUM", reducer="REDUCE_SUM", group_by=("dataset_id",)),
+        Panel("bq_uploaded_rows", M.UPLOADED_ROWS, M.DATASET, "ALIGN_SUM", reducer="REDUCE_SUM", group_by=("dataset_id",)),
+        Panel("bq_stored_bytes", M.STORED_BYTES, M.DATASET, "ALIGN_MEAN", period_s=86400, reducer="REDUCE_SUM", group_by=("dataset_id",)),
+        Panel("bq_table_count", M.TABLE_COUNT, M.DATASET, "ALIGN_MEAN", period_s=86400, reducer="REDUCE_SUM", group_by=("dataset_id",)),
+        Panel("bq_bytes_billed", M.BILLED_BYTES, M.GLOBAL, "ALIGN_SUM"),
+        Panel("gcs_requests", M.BUCKET_REQUESTS, M.BUCKET, "ALIGN_SUM", reducer="REDUCE_SUM", group_by=("bucket_name",)),
+        Panel("gcs_egress", M.BUCKET_EGRESS, M.BUCKET, "ALIGN_SUM", reducer="REDUCE_SUM", group_by=("bucket_name",)),
+        Panel("gcs_bucket_size", M.BUCKET_BYTES, M.BUCKET, "ALIGN_MEAN", period_s=86400, reducer="REDUCE_SUM", group_by=("bucket_name",)),
+        Panel("gcs_object_count", M.BUCKET_OBJECTS, M.BUCKET, "ALIGN_MEAN", period_s=86400, reducer="REDUCE_SUM", group_by=("bucket_name",)),
+    ]
+
+
+def panel_table(spark: SparkSession, panels: list[Panel]) -> DataFrame:
     for p in panels:
         series.check_spec(p.panel_id, p.aligner, p.reducer)
-    rows = [(p.panel_id, p.signal, dict(p.label_filter), p.aligner, int(p.period_s), p.reducer, list(p.group_by))
+    scope = {p.panel_id: p.resource if isinstance(p.resource, tuple) else (p.resource, None) for p in panels}
+    rows = [(p.panel_id, p.signal, scope[p.panel_id][0], {"environment_name": env} if (env := scope[p.panel_id][1]) else {},
+             dict(p.label_filter), p.aligner, int(p.period_s), p.reducer, list(p.group_by))
             for p in panels]
     return local_table(spark, rows, series.SPEC_SCHEMA)
 
 
-def evaluate_panels(points: DataFrame, panels: list[Panel] = PANELS, exact: bool = True) -> DataFrame:
+def evaluate_panels(points: DataFrame, panels: list[Panel], exact: bool = True) -> DataFrame:
     """All panel series in one pass: ``spec_id, series_key, labels, window_start,
     window_end, value, series_count`` (``spec_id`` = panel id)."""
     pct = sorted({p.signal for p in panels if p.aligner.startswith("ALIGN_PERCENTILE_")})
@@ -126,7 +99,7 @@ def evaluate_panels(points: DataFrame, panels: list[Panel] = PANELS, exact: bool
                                      percentile_signals=pct, other_signals=other)
 
 
-def scorecards(panel_series: DataFrame, panels: list[Panel] = PANELS) -> DataFrame:
+def scorecards(panel_series: DataFrame, panels: list[Panel]) -> DataFrame:
     """T12 for every scorecard panel: latest value per series and its colour."""
     cards = [p for p in panels if p.scorecard]
     latest = (panel_series.filter(F.col("spec_id").isin([p.panel_id for p in cards]))
@@ -146,7 +119,7 @@ def scorecards(panel_series: DataFrame, panels: list[Panel] = PANELS) -> DataFra
                          colour.alias("colour"))
 
 
-def top_panels(panel_series: DataFrame, panels: list[Panel] = PANELS) -> DataFrame:
+def top_panels(panel_series: DataFrame, panels: list[Panel]) -> DataFrame:
     """T10 for every ``top_n`` panel: the top series by total, ties by key.
 
     Each top panel gets its own rank filter with a literal limit, so Spark

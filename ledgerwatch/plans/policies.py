@@ -25,24 +25,9 @@ from pyspark.sql import functions as F
 from ledgerwatch.functions.scalar import render_template
 from ledgerwatch.operators import alerts, series
 from ledgerwatch.operators.joins import local_table, small_side
+from ledgerwatch.plans import metrics as M
 from ledgerwatch.session import scratch_path
 
-COMPOSER_RUNS = "composer.googleapis.com/workflow/run_count"
-COMPOSER_TASKS = "composer.googleapis.com/environment/finished_task_instance_count"
-HEARTBEAT = "composer.googleapis.com/environment/scheduler_heartbeat_count"
-EVICTIONS = "composer.googleapis.com/environment/worker/pod_eviction_count"
-DB_HEALTH = "composer.googleapis.com/environment/database_health"
-WEB_HEALTH = "composer.googleapis.com/environment/web_server/health"
-TASK_ERRORS = "logging.googleapis.com/user/composer_task_errors"
-PARSE_ERRORS = "logging.googleapis.com/user/composer_dag_parse_errors"
-STREAM_EVENTS = "datastream.googleapis.com/stream/event_count"
-STREAM_ERRORS = "logging.googleapis.com/user/datastream_stream_errors"
-BACKFILL_ERRORS = "logging.googleapis.com/user/datastream_backfill_errors"
-STREAM_LATENCY = "datastream.googleapis.com/stream/total_latencies"
-QUERY_TIMES = "bigquery.googleapis.com/query/execution_times"
-SQ_FAILURES = "logging.googleapis.com/user/bq_scheduled_query_failures"
-UPLOADED_ROWS = "bigquery.googleapis.com/storage/uploaded_row_count"
-
 
 @dataclass(frozen=True)
 class Policy:
@@ -61,9 +46,12 @@ class Policy:
     auto_close_s: int = 1800
     label_filter: dict = field(default_factory=dict)
     documentation: str = ""
+    condition: str = ""             # display name of the condition
     enabled: bool = True
     expected: tuple = ()            # absence: series that must report, as label dicts
     label_any: dict = field(default_factory=dict)   # label -> values, one of which a series must carry
+    resource_type: str | None = None                # None: any resource
+    resource_labels: dict = field(default_factory=dict)
 
 
 def monitoring_policies(environment_name: str, stream_ids: list[str] = (), monitored_datasets: list[str] = (),
@@ -72,60 +60,61 @@ def monitoring_policies(environment_name: str, stream_ids: list[str] = (), monit
     """The 15 policies (fixed values: signals, aligners, periods, conditions,
     severities and auto-close of the reference's monitoring specs)."""
     failed = {"state": "failed"}
+    own = {"resource_type": M.ENVIRONMENT, "resource_labels": {"environment_name": environment_name}}
     out = [
-        Policy("composer_failed_runs", "Composer - Failed DAG Runs", COMPOSER_RUNS, "threshold",
-               label_filter=failed, severity="CRITICAL", auto_close_s=1800,
+        Policy("composer_failed_runs", "Composer - Failed DAG Runs", M.COMPOSER_RUNS, "threshold",
+               condition="DAG run count with state=failed > 0", resource_type=M.WORKFLOW, label_filter=failed, severity="CRITICAL", auto_close_s=1800,
                documentation="A DAG run has failed in Cloud Composer environment '" + environment_name + "'."),
-        Policy("composer_failed_tasks", "Composer - Failed Task Instances", COMPOSER_TASKS, "threshold",
-               label_filter=failed, severity="CRITICAL", auto_close_s=1800,
+        Policy("composer_failed_tasks", "Composer - Failed Task Instances", M.COMPOSER_TASKS, "threshold",
+               condition="Finished task instance count with state=failed > 0", **own, label_filter=failed, severity="CRITICAL", auto_close_s=1800,
                documentation="Task instances have failed in environment '" + environment_name + "'."),
-        Policy("composer_heartbeat", "Composer - Scheduler Heartbeat Missing", HEARTBEAT, "absent",
-               duration_s=300, severity="CRITICAL", auto_close_s=3600, expected=({},),
+        Policy("composer_heartbeat", "Composer - Scheduler Heartbeat Missing", M.HEARTBEAT, "absent",
+               condition="Scheduler heartbeat absent for 5 minutes", **own, duration_s=300, severity="CRITICAL", auto_close_s=3600, expected=({},),
                documentation="The scheduler has stopped sending heartbeats."),
-        Policy("composer_evictions", "Composer - Worker Pod Evictions", EVICTIONS, "threshold",
-               period_s=900, severity="WARNING", auto_close_s=3600,
+        Policy("composer_evictions", "Composer - Worker Pod Evictions", M.EVICTIONS, "threshold",
+               condition="Worker pod eviction count > 0", **own, period_s=900, severity="WARNING", auto_close_s=3600,
                documentation="Worker pods are being evicted."),
-        Policy("composer_db_health", "Composer - Database Health Degraded", DB_HEALTH, "threshold",
-               aligner="ALIGN_FRACTION_TRUE", comparison="COMPARISON_LT", threshold=1, duration_s=300,
+        Policy("composer_db_health", "Composer - Database Health Degraded", M.DB_HEALTH, "threshold",
+               condition="Database health is unhealthy", **own, aligner="ALIGN_FRACTION_TRUE", comparison="COMPARISON_LT", threshold=1, duration_s=300,
                severity="WARNING", auto_close_s=3600, documentation="The metadata database is unhealthy."),
-        Policy("composer_error_logs", "Composer - Error Logs Detected", TASK_ERRORS, "threshold",
-               reducer="REDUCE_SUM", group_by=("dag_id", "task_id", "alert_type"), severity="CRITICAL",
+        Policy("composer_error_logs", "Composer - Error Logs Detected", M.TASK_ERRORS, "threshold",
+               condition="Error log count > 0", resource_type=M.ENVIRONMENT, reducer="REDUCE_SUM", group_by=("dag_id", "task_id", "alert_type"), severity="CRITICAL",
                auto_close_s=1800,
-               documentation="Error logs: DAG ${metric.labels.dag_id}, task ${metric.labels.task_id}, "
+               documentation="Error logs in environment '" + environment_name + "': DAG ${metric.labels.dag_id}, task ${metric.labels.task_id}, "
                              "type ${metric.labels.alert_type}."),
-        Policy("composer_parse_errors", "Composer - DAG Parse Errors", PARSE_ERRORS, "threshold",
-               severity="ERROR", auto_close_s=1800, documentation="DAG parsing errors have been detected."),
-        Policy("composer_web_health", "Composer - Webserver Health Degraded", WEB_HEALTH, "threshold",
-               aligner="ALIGN_FRACTION_TRUE", comparison="COMPARISON_LT", threshold=1, duration_s=300,
+        Policy("composer_parse_errors", "Composer - DAG Parse Errors", M.PARSE_ERRORS, "threshold",
+               condition="DAG parse error count > 0", resource_type=M.ENVIRONMENT, severity="ERROR", auto_close_s=1800, documentation="DAG parsing errors have been detected."),
+        Policy("composer_web_health", "Composer - Webserver Health Degraded", M.WEB_HEALTH, "threshold",
+               condition="Webserver health is unhealthy", **own, aligner="ALIGN_FRACTION_TRUE", comparison="COMPARISON_LT", threshold=1, duration_s=300,
                severity="CRITICAL", auto_close_s=3600, documentation="The webserver is unhealthy."),
     ]
     if stream_ids:   # E6: created only when stream ids are configured
         out += [
-            Policy("stream_stale", "Datastream - Stream Throughput Stale", STREAM_EVENTS, "absent",
-                   duration_s=900, severity="CRITICAL", auto_close_s=3600,
+            Policy("stream_stale", "Datastream - Stream Throughput Stale", M.STREAM_EVENTS, "absent",
+                   condition="Datastream event count absent for 15 minutes", resource_type=M.STREAM, duration_s=900, severity="CRITICAL", auto_close_s=3600,
                    expected=tuple({"stream_id": s} for s in stream_ids), label_any={"stream_id": tuple(stream_ids)},
                    documentation="No events received from stream ${metric.labels.stream_id} for 15 minutes."),
-            Policy("stream_unhealthy", "Datastream - Stream Unhealthy", STREAM_ERRORS, "threshold",
-                   severity="CRITICAL", auto_close_s=3600,
+            Policy("stream_unhealthy", "Datastream - Stream Unhealthy", M.STREAM_ERRORS, "threshold",
+                   condition="Datastream error log count > 0", resource_type=M.STREAM, severity="CRITICAL", auto_close_s=3600,
                    documentation="Stream ${metric.labels.stream_id} reports errors."),
-            Policy("stream_backfill", "Datastream - Backfill Failures", BACKFILL_ERRORS, "threshold",
-                   severity="WARNING", auto_close_s=3600, documentation="Backfill errors detected."),
-            Policy("stream_lag", "Datastream - High Replication Lag", STREAM_LATENCY, "threshold",
-                   aligner="ALIGN_PERCENTILE_99", threshold=lag_threshold_s, duration_s=300,
+            Policy("stream_backfill", "Datastream - Backfill Failures", M.BACKFILL_ERRORS, "threshold",
+                   condition="Backfill error count > 0", resource_type=M.STREAM, severity="WARNING", auto_close_s=3600, documentation="Backfill errors detected."),
+            Policy("stream_lag", "Datastream - High Replication Lag", M.STREAM_LATENCY, "threshold",
+                   condition=f"Replication lag > {lag_threshold_s:g}s", resource_type=M.STREAM, aligner="ALIGN_PERCENTILE_99", threshold=lag_threshold_s, duration_s=300,
                    severity="WARNING", auto_close_s=3600,
                    documentation="Replication lag above threshold on ${metric.labels.stream_id}."),
         ]
     out += [
-        Policy("bq_slot_time", "BigQuery - High Slot-Time Jobs", QUERY_TIMES, "threshold",
-               aligner="ALIGN_PERCENTILE_99", threshold=slot_time_threshold, severity="WARNING",
+        Policy("bq_slot_time", "BigQuery - High Slot-Time Jobs", M.QUERY_TIMES, "threshold",
+               condition=f"Job slot-seconds > {slot_time_threshold:g}", resource_type=M.PROJECT, aligner="ALIGN_PERCENTILE_99", threshold=slot_time_threshold, severity="WARNING",
                auto_close_s=3600, documentation="A job exceeded the slot-time threshold."),
-        Policy("bq_scheduled_failures", "BigQuery - Scheduled Query Failures", SQ_FAILURES, "threshold",
-               severity="CRITICAL", auto_close_s=1800,
+        Policy("bq_scheduled_failures", "BigQuery - Scheduled Query Failures", M.SQ_FAILURES, "threshold",
+               condition="Scheduled query failure count > 0", resource_type=M.GLOBAL, severity="CRITICAL", auto_close_s=1800,
                documentation="Scheduled query ${metric.labels.transfer_config_name} failed."),
     ]
     if monitored_datasets:   # E6 + Q8: one expected series per monitored dataset
-        out.append(Policy("bq_freshness", "BigQuery - Data Freshness Stale", UPLOADED_ROWS, "absent",
-                          duration_s=freshness_absent_s, severity="WARNING", auto_close_s=3600,
+        out.append(Policy("bq_freshness", "BigQuery - Data Freshness Stale", M.UPLOADED_ROWS, "absent",
+                          condition=f"Table last modified time absent for {freshness_absent_s}s", resource_type=M.DATASET, duration_s=freshness_absent_s, severity="WARNING", auto_close_s=3600,
                           expected=tuple({"dataset_id": d} for d in monitored_datasets),
                           label_any={"dataset_id": tuple(monitored_datasets)},
                           documentation="Dataset ${metric.labels.dataset_id} has had no uploads."))
@@ -139,11 +128,11 @@ def _entries(d: dict) -> list[tuple[str, str]]:
 def policy_table(spark: SparkSession, policies: list[Policy]) -> DataFrame:
     for p in policies:
         series.check_spec(p.policy_id, p.aligner, p.reducer, p.comparison)
-    rows = [(p.policy_id, p.name, p.signal, p.kind, dict(p.label_filter), p.aligner, int(p.period_s),
+    rows = [(p.policy_id, p.name, p.condition, p.signal, p.kind, p.resource_type, dict(p.resource_labels), dict(p.label_filter), p.aligner, int(p.period_s),
              p.reducer, list(p.group_by), p.comparison, float(p.threshold), int(p.duration_s),
              p.severity, int(p.auto_close_s)) for p in policies]
-    schema = ("spec_id string, policy_name string, signal string, kind string, "
-              "label_filter map<string,string>, aligner string, period_s int, reducer string, "
+    schema = ("spec_id string, policy_name string, condition_name string, signal string, kind string, "
+              "resource_filter string, resource_label_filter map<string,string>, label_filter map<string,string>, aligner string, period_s int, reducer string, "
               "group_by array<string>, comparison string, threshold double, duration_s int, "
               "severity string, auto_close_s int")
     return local_table(spark, rows, schema)
@@ -210,7 +199,7 @@ def evaluate_policies(points: DataFrame, policies: list[Policy], as_of, since=No
     episodes = hold.unionByName(gaps)
     inc = alerts.incidents(episodes, F.col("auto_close_s"), keys=keys)
 
-    names = small_side(cfg.select("spec_id", "policy_name", "severity"))
+    names = small_side(cfg.select("spec_id", "policy_name", "condition_name", "severity"))
     labels = F.map_from_entries("series_key")
     message = F.lit("")
     for p in policies:
@@ -219,6 +208,6 @@ def evaluate_policies(points: DataFrame, policies: list[Policy], as_of, since=No
         text = render_template(p.documentation, {f"metric.labels.{k}": labels[k] for k in var_keys})
         message = F.when(F.col("spec_id") == p.policy_id, text).otherwise(message)
     notes = (inc.join(names, "spec_id")
-                .select(F.col("spec_id").alias("policy_id"), "policy_name", "severity", labels.alias("labels"),
+                .select(F.col("spec_id").alias("policy_id"), "policy_name", "condition_name", "severity", labels.alias("labels"),
                         "incident_seq", "opened_at", "resolved_at", "episodes", message.alias("message")))
     return {"series": reduced, "episodes": episodes, "incidents": inc, "notifications": notes}

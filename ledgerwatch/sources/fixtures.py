@@ -28,7 +28,7 @@ from ledgerwatch.operators.upsert import (
     prepare_source,
     split_rejects,
 )
-from ledgerwatch.sources.contracts import BUSINESS_COLUMNS, MONEY, ORDER_KEY
+from ledgerwatch.sources.contracts import BUSINESS_COLUMNS, METRIC_POINTS, MONEY, ORDER_KEY
 
 # Fixed fixture parameters (deterministic stand-ins for CURRENT_TIMESTAMP()).
 SEED_INGEST_TS = "2002-01-01 00:00:00"
@@ -254,51 +254,90 @@ def metric_points(spark: SparkSession, sf_dir: str, health: bool = False) -> Dat
 
 STREAM_IDS = [f"orders-stream-{i}" for i in range(4)]
 DATASETS = ["orders_raw", "orders_silver"]
+#: Sources that nobody monitors: a second environment and a dataset off the list.
+OTHER_ENV, OTHER_DATASET = "other-composer", "scratch"
+BUCKETS = ["orders-landing", "orders-archive"]
 
 
-def monitoring_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+def monitoring_points(spark: SparkSession, sf_dir: str, signals: set[str] | None = None) -> DataFrame:
     """Signals for the policies and panels, derived from ``events``,
     ``log_entries`` and ``job_log`` (one fixture binding per signal type).
 
-    Each event feeds the signal of its type; the label values come from the
-    event's user and id.  Log metrics come from the five log-metric filters.
+    Each event feeds the signals of its type; labels and resource come from the
+    event's user and id (one user in five works in ``OTHER_ENV``, one in three
+    loads ``OTHER_DATASET``).  Log metrics come from the five log-metric filters.
+    ``signals`` leaves out feeds of other metrics when the plan is built.
     """
     from ledgerwatch.operators import logs as _logs
-    from ledgerwatch.plans import policies as P
+    from ledgerwatch.plans import metrics as M
 
     ev = read_table(spark, sf_dir, "events").select(
         "event_id", "user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"), "value")
-    stream = F.concat(F.lit("orders-stream-"), (F.col("user_id") % 4).cast("string"))
-    dag = _pick(DAG_IDS, F.col("event_id"))
+    value, user = F.col("value"), F.col("user_id")
+    whole = F.floor("value").cast("double")
     empty = F.create_map().cast("map<string,string>")
     one = F.lit(1.0)
-    et = F.col("event_type")
-    # (signal, event type, labels, value): fixed fixture binding
+    flag = lambda c: c.cast("double")
+    tag = lambda key, v: F.create_map(F.lit(key), v)
+    dag = _pick(DAG_IDS, F.col("event_id"))
+    stream = tag("stream_id", F.concat(F.lit("orders-stream-"), (user % 4).cast("string")))
+    dataset = tag("dataset_id", _pick([*DATASETS, OTHER_DATASET], user))
+    bucket = tag("bucket_name", _pick(BUCKETS, user))
+    state = lambda bad, good, when: tag("state", F.when(when, F.lit(bad)).otherwise(F.lit(good)))
+    env = tag("environment_name", F.when(user % 5 == 4, F.lit(OTHER_ENV)).otherwise(F.lit(ENV_NAME)))
+    project = tag("project_id", F.lit(PROJECT_ID))
+    run = lambda s: F.create_map(F.lit("state"), F.lit(s), F.lit("workflow_name"), dag)
+    # (signal, event type, resource type, resource labels, labels, value): fixed fixture binding
     binding = [
-        (P.COMPOSER_RUNS, "error", F.create_map(F.lit("state"), F.lit("failed"),
-                                                F.lit("workflow_name"), dag), one),
-        (P.COMPOSER_RUNS, "purchase", F.create_map(F.lit("state"), F.lit("success"),
-                                                   F.lit("workflow_name"), dag), one),
-        (P.COMPOSER_TASKS, "click", F.create_map(
-            F.lit("state"), F.when(F.col("value") > 40, F.lit("failed")).otherwise(F.lit("success"))), one),
-        (P.HEARTBEAT, "view", empty, one),
-        (P.EVICTIONS, "click", empty, (F.col("value") > 45).cast("double")),
-        (P.DB_HEALTH, "signup", empty, (F.col("value") > HEALTH_THRESHOLD).cast("double")),
-        (P.WEB_HEALTH, "click", empty, (F.col("value") > 2.0).cast("double")),
-        (P.STREAM_EVENTS, "purchase", F.create_map(F.lit("stream_id"), stream), one),
-        (P.STREAM_LATENCY, "view", F.create_map(F.lit("stream_id"), stream), F.col("value") * 60.0),
-        (P.UPLOADED_ROWS, "signup", F.create_map(
-            F.lit("dataset_id"), F.when(F.col("user_id") % 2 == 0, F.lit(DATASETS[1])).otherwise(F.lit(DATASETS[0]))),
-         F.col("value")),
+        (M.COMPOSER_RUNS, "error", M.WORKFLOW, project, run("failed"), one),
+        (M.COMPOSER_RUNS, "purchase", M.WORKFLOW, project, run("success"), one),
+        (M.COMPOSER_TASKS, "click", M.ENVIRONMENT, env, state("failed", "success", value > 40), one),
+        (M.HEARTBEAT, "view", M.ENVIRONMENT, env, empty, one),
+        (M.EVICTIONS, "click", M.ENVIRONMENT, env, empty, flag(value > 45)),
+        (M.DB_HEALTH, "signup", M.ENVIRONMENT, env, empty, flag(value > HEALTH_THRESHOLD)),
+        (M.WEB_HEALTH, "click", M.ENVIRONMENT, env, empty, flag(value > 2.0)),
+        (M.DAGBAG, "view", M.ENVIRONMENT, env, empty, whole),
+        (M.UNFINISHED, "click", M.ENVIRONMENT, env, empty, whole),
+        (M.ZOMBIES, "error", M.ENVIRONMENT, env, empty, flag(value > 40)),
+        (M.PARSE_TIME, "signup", M.ENVIRONMENT, env, empty, value),
+        (M.MEMORY_USED, "click", M.WORKLOAD, env, empty, whole * 1048576),
+        (M.MEMORY_QUOTA, "view", M.WORKLOAD, env, empty, F.lit(134217728.0)),
+        (M.STREAM_EVENTS, "purchase", M.STREAM, project, stream, one),
+        (M.STREAM_LATENCY, "view", M.STREAM, project, stream, value * 60.0),
+        (M.STREAM_FRESHNESS, "click", M.STREAM, project, stream, value),
+        (M.STREAM_UNSUPPORTED, "error", M.STREAM, project, stream, one),
+        (M.STREAM_BYTES, "purchase", M.STREAM, project, stream, whole * 1024),
+        (M.SLOTS_AVAILABLE, "view", M.PROJECT, project, empty, whole + 100),
+        (M.SLOTS_ALLOCATED, "purchase", M.PROJECT, project, empty, whole),
+        (M.IN_FLIGHT, "click", M.PROJECT, project, state("pending", "running", value > 30), whole),
+        (M.SCANNED_BYTES, "purchase", M.GLOBAL, project, empty, whole * 1048576),
+        (M.BILLED_BYTES, "view", M.GLOBAL, project, empty, whole * 10485760),
+        (M.UPLOADED_ROWS, "signup", M.DATASET, project, dataset, value),
+        (M.UPLOADED_BYTES, "signup", M.DATASET, project, dataset, whole * 1024),
+        (M.STORED_BYTES, "click", M.DATASET, project, dataset, whole * 1048576),
+        (M.TABLE_COUNT, "purchase", M.DATASET, project, dataset, whole),
+        (M.BUCKET_REQUESTS, "view", M.BUCKET, project, bucket, one),
+        (M.BUCKET_EGRESS, "click", M.BUCKET, project, bucket, whole * 2048),
+        (M.BUCKET_BYTES, "signup", M.BUCKET, project, bucket, whole * 1048576),
+        (M.BUCKET_OBJECTS, "purchase", M.BUCKET, project, bucket, whole),
     ]
-    structs = [F.when(et == e, F.struct(F.lit(sig).alias("metric"), lab.alias("labels"), val.cast("double").alias("value")))
-               for sig, e, lab, val in binding]
-    from_events = (ev.select("ts", F.explode(F.filter(F.array(*structs), lambda x: x.isNotNull())).alias("s"))
-                     .select(F.col("s.metric").alias("metric"), F.col("s.labels").alias("labels"), "ts",
-                             F.col("s.value").alias("value")))
-    log_pts = (_logs.all_log_metric_points(log_entries(spark, sf_dir), ENV_NAME)
-               .withColumn("metric", F.concat(F.lit("logging.googleapis.com/user/"), F.col("metric"))))
-    jobs = job_log(spark, sf_dir).filter(F.col("state") == "DONE").select(
-        F.lit(P.QUERY_TIMES).alias("metric"), empty.alias("labels"), F.col("creation_time").alias("ts"),
-        (F.col("total_slot_ms") / 1000.0).alias("value"))
-    return from_events.unionByName(log_pts).unionByName(jobs)
+    wanted = lambda signal: signals is None or signal in signals
+    feeds = []
+    structs = [F.when(F.col("event_type") == e, F.struct(
+        F.lit(sig).alias("metric"), F.lit(kind).alias("resource_type"), where.alias("resource_labels"), lab.alias("labels"),
+        val.cast("double").alias("value"))) for sig, e, kind, where, lab, val in binding if wanted(sig)]
+    if structs:
+        feeds.append(ev.select("ts", F.explode(F.filter(F.array(*structs), lambda x: x.isNotNull())).alias("s")).select("s.*", "ts"))
+    if any(map(wanted, (M.TASK_ERRORS, M.PARSE_ERRORS, M.STREAM_ERRORS, M.BACKFILL_ERRORS, M.SQ_FAILURES))):
+        feeds.append(_logs.all_log_metric_points(log_entries(spark, sf_dir), ENV_NAME)
+                     .withColumn("metric", F.concat(F.lit("logging.googleapis.com/user/"), F.col("metric"))))
+    if wanted(M.QUERY_TIMES):
+        feeds.append(job_log(spark, sf_dir).filter(F.col("state") == "DONE").select(
+            F.lit(M.QUERY_TIMES).alias("metric"), F.lit(M.PROJECT).alias("resource_type"), project.alias("resource_labels"),
+            empty.alias("labels"), F.col("creation_time").alias("ts"), (F.col("total_slot_ms") / 1000.0).alias("value")))
+    if not feeds:
+        return spark.createDataFrame([], METRIC_POINTS)
+    out = feeds[0]
+    for feed in feeds[1:]:
+        out = out.unionByName(feed)
+    return out
