@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwatch.functions.scalar import bucket_start, sorted_label_entries
@@ -85,8 +85,11 @@ def align(points: DataFrame, period_seconds: int, aligner: str = "SUM", exact: b
     Output: ``metric, series_key, labels, window_start, window_end, value,
     point_count``.  ``exact=False`` swaps exact percentiles for
     ``percentile_approx`` (bounded memory per group, mergeable; required in
-    streaming).
+    streaming).  Exact percentiles count equal values first
+    (:func:`_exact_percentile`), so no group's values lie in one buffer.
     """
+    if exact and aligner.upper().removeprefix("ALIGN_").startswith("PERCENTILE_"):
+        return _exact_percentile(points, period_seconds, int(aligner.split("_")[-1]) / 100.0)
     if streaming_window:
         w = F.window("ts", f"{int(period_seconds)} seconds")
         grouped = points.groupBy("metric", sorted_label_entries("labels").alias("series_key"), w.alias("w"))
@@ -103,6 +106,36 @@ def align(points: DataFrame, period_seconds: int, aligner: str = "SUM", exact: b
         F.col("value").cast("double").alias("value"), "point_count")
 
 
+def _exact_percentile(points: DataFrame, period_seconds: int, q: float) -> DataFrame:
+    """Exact percentile (interpolated between ranks) of every series and window.
+
+    Equal values of a window are counted by a partial and a final aggregate that
+    spreads a hot window over all tasks; the ranks then come from a running sum
+    over its distinct values, which sorts with spill and holds no buffer.  Null
+    values count as points but have no rank; a window of nulls has value NULL.
+    """
+    group = ["metric", "series_key", "window_start"]
+    counted = (points.groupBy("metric", sorted_label_entries("labels").alias("series_key"),
+                              bucket_start("ts", period_seconds).alias("window_start"), "value")
+               .agg(F.count(F.lit(1)).alias("n")))
+    known = F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)
+    whole = Window.partitionBy(*group)
+    running = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.select("*", F.sum(known).over(running).alias("up_to"),
+                            (F.lit(q) * (F.sum(known).over(whole) - 1)).alias("at"))
+    # Ranks count from 0: a value holds the ranks up_to - n to up_to - 1.
+    holds = lambda rank: F.col("value").isNotNull() & (rank >= F.col("up_to") - F.col("n")) & (rank < F.col("up_to"))
+    low, high = F.floor("at"), F.ceil("at")
+    found = ranked.groupBy(*group).agg(
+        F.max(F.when(holds(low), F.col("value"))).alias("low"), F.max(F.when(holds(high), F.col("value"))).alias("high"),
+        F.max(F.col("at") - low).alias("part"), F.sum("n").alias("point_count"))
+    value = F.col("low") * (1 - F.col("part")) + F.col("high") * F.col("part")
+    return found.select(
+        "metric", "series_key", F.map_from_entries("series_key").alias("labels"), "window_start",
+        F.timestamp_add("SECOND", F.lit(int(period_seconds)), F.col("window_start")).alias("window_end"),
+        value.cast("double").alias("value"), "point_count")
+
+
 def keep_labels(series_key: Column, group_by: Sequence[str]) -> Column:
     keys = F.array(*[F.lit(k) for k in group_by]) if group_by else F.array().cast("array<string>")
     return F.filter(series_key, lambda e: F.array_contains(keys, e["key"]))
@@ -190,8 +223,9 @@ def _align_specs(j: DataFrame, exact: bool, with_pct: bool) -> DataFrame:
             F.max_by("value", "ts").alias("_last")]
     if with_pct:
         pcts = F.array(*[F.lit(p) for p in _PCTS])
-        aggs.append((F.percentile(F.col("value"), pcts) if exact else
-                     F.percentile_approx(F.col("value"), pcts, F.lit(PERCENTILE_ACCURACY))).alias("_pct"))
+        held = F.when(aligner.startswith("ALIGN_PERCENTILE_"), F.col("value"))  # other specs keep an empty buffer
+        aggs.append((F.percentile(held, pcts) if exact else
+                     F.percentile_approx(held, pcts, F.lit(PERCENTILE_ACCURACY))).alias("_pct"))
     al = j.groupBy(*keys, sorted_label_entries("labels").alias("series_key"),
                    bucket_start("ts", F.col("period_s")).alias("window_start")).agg(*aggs)
     value = (F.when(aligner.isin("ALIGN_SUM", "ALIGN_DELTA"), F.col("_sum"))
@@ -208,9 +242,7 @@ def _align_specs(j: DataFrame, exact: bool, with_pct: bool) -> DataFrame:
     return al.select(*keys, "series_key", "window_start", value.cast("double").alias("value"))
 
 
-def align_reduce_specs(points: DataFrame, specs: DataFrame, exact: bool = True,
-                       percentile_signals: Sequence[str] | None = None,
-                       other_signals: Sequence[str] | None = None) -> DataFrame:
+def align_reduce_specs(points: DataFrame, specs: DataFrame, exact: bool = True, percentiles: bool = True) -> DataFrame:
     """Evaluate many (signal, resource, filter, aligner, period, reducer, group_by)
     specs over ``points``.
 
@@ -226,11 +258,10 @@ def align_reduce_specs(points: DataFrame, specs: DataFrame, exact: bool = True,
     aligner picks its value; a second aggregate applies the cross-series
     reducer (``reducer='NONE'`` keeps each series).
 
-    Percentile aligners need a per-group value buffer (an object aggregate), so
-    when the caller names the signals of percentile specs
-    (``percentile_signals``) and of the others (``other_signals``) they are
-    aggregated apart: each branch keeps the points of its own metrics, behind
-    the derivation of the points, so each branch reads their source.
+    All specs are aligned in one pass, so every source of the points is read
+    once.  Percentile specs fill a buffer beside the plain partial states, that
+    of ``percentile_approx`` unless ``exact``; ``percentiles=False`` leaves the
+    buffer out when no spec needs it (and the aggregate is a hash aggregate).
     """
     s = small_side(specs.withColumnRenamed("signal", "_signal"))
     empty_map = F.create_map().cast("map<string,string>")
@@ -243,25 +274,10 @@ def align_reduce_specs(points: DataFrame, specs: DataFrame, exact: bool = True,
         return F.forall(F.map_entries(F.coalesce(wanted, empty_map)),
                         lambda e: F.coalesce(F.col(labels)[e["key"]] == e["value"], F.lit(False)))
 
-    def joined(pts: DataFrame, spec_filter) -> DataFrame:
-        j = pts.join(s.filter(spec_filter), pts.metric == F.col("_signal"))
-        of_type = F.col("resource_filter").isNull() | F.coalesce(F.col("resource_type") == F.col("resource_filter"), F.lit(False))
-        return j.filter(of_type & carries("resource_labels", F.col("resource_label_filter")) & carries("labels", F.col("label_filter")))
-
-    is_pct = F.col("aligner").startswith("ALIGN_PERCENTILE_")
-    if percentile_signals is None or other_signals is None:
-        al = _align_specs(joined(points, F.lit(True)), exact, with_pct=True)
-    else:
-        parts = []
-        if other_signals:
-            parts.append(_align_specs(joined(points.filter(F.col("metric").isin(list(other_signals))), ~is_pct),
-                                      exact, with_pct=False))
-        if percentile_signals:
-            parts.append(_align_specs(joined(points.filter(F.col("metric").isin(list(percentile_signals))), is_pct),
-                                      exact, with_pct=True))
-        al = parts[0]
-        for p in parts[1:]:
-            al = al.unionByName(p)
+    j = points.join(s, points.metric == F.col("_signal"))
+    of_type = F.col("resource_filter").isNull() | F.coalesce(F.col("resource_type") == F.col("resource_filter"), F.lit(False))
+    j = j.filter(of_type & carries("resource_labels", F.col("resource_label_filter")) & carries("labels", F.col("label_filter")))
+    al = _align_specs(j, exact, percentiles)
     keys = ["spec_id", "aligner", "period_s", "reducer", "group_by"]
     reducer = F.col("reducer")
     red_key = F.when(reducer == "NONE", F.col("series_key")).otherwise(

@@ -93,10 +93,8 @@ def panel_table(spark: SparkSession, panels: list[Panel]) -> DataFrame:
 def evaluate_panels(points: DataFrame, panels: list[Panel], exact: bool = True) -> DataFrame:
     """All panel series in one pass: ``spec_id, series_key, labels, window_start,
     window_end, value, series_count`` (``spec_id`` = panel id)."""
-    pct = sorted({p.signal for p in panels if p.aligner.startswith("ALIGN_PERCENTILE_")})
-    other = sorted({p.signal for p in panels if not p.aligner.startswith("ALIGN_PERCENTILE_")})
-    return series.align_reduce_specs(points, panel_table(points.sparkSession, panels), exact=exact,
-                                     percentile_signals=pct, other_signals=other)
+    return series.align_reduce_specs(points, panel_table(points.sparkSession, panels), exact,
+                                     any(p.aligner.startswith("ALIGN_PERCENTILE_") for p in panels))
 
 
 def scorecards(panel_series: DataFrame, panels: list[Panel]) -> DataFrame:

@@ -147,6 +147,15 @@ def expected_table(spark: SparkSession, policies: list[Policy]) -> DataFrame:
     return local_table(spark, rows, "spec_id string, series_key array<struct<key:string,value:string>>")
 
 
+def policy_series(points: DataFrame, policies: list[Policy], cfg: DataFrame, exact: bool = False) -> DataFrame:
+    """The aligned and reduced series of every policy; each source of the points is read once."""
+    reduced = series.align_reduce_specs(points, cfg, exact, any(p.aligner.startswith("ALIGN_PERCENTILE_") for p in policies))
+    for p in policies:
+        for k, values in p.label_any.items():  # E6: only the configured streams and datasets
+            reduced = reduced.filter((F.col("spec_id") != p.policy_id) | F.coalesce(F.col("labels")[k].isin(*values), F.lit(False)))
+    return reduced
+
+
 def evaluate_policies(points: DataFrame, policies: list[Policy], as_of, since=None,
                       exact: bool = False) -> dict[str, DataFrame]:
     """Evaluate every policy over ``points`` in one pass.
@@ -162,12 +171,7 @@ def evaluate_policies(points: DataFrame, policies: list[Policy], as_of, since=No
     cfg = policy_table(spark, policies)
     meta = small_side(cfg.select("spec_id", "kind", "comparison", "threshold", "duration_s",
                                   "auto_close_s", "period_s"))
-    pct = sorted({p.signal for p in policies if p.aligner.startswith("ALIGN_PERCENTILE_")})
-    other = sorted({p.signal for p in policies if not p.aligner.startswith("ALIGN_PERCENTILE_")})
-    reduced = series.align_reduce_specs(points, cfg, exact=exact, percentile_signals=pct, other_signals=other)
-    for p in policies:
-        for k, values in p.label_any.items():  # E6: only the configured streams and datasets
-            reduced = reduced.filter((F.col("spec_id") != p.policy_id) | F.coalesce(F.col("labels")[k].isin(*values), F.lit(False)))
+    reduced = policy_series(points, policies, cfg, exact)
     # Hold, absence and the expected series all read the aligned series, which is small: it is written once.
     path = scratch_path(spark, "policy-series")
     reduced.write.parquet(path)

@@ -18,6 +18,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",  # no call site per column: plans are built faster
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

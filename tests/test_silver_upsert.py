@@ -122,3 +122,15 @@ def test_policy_plans_read_the_aligned_series_only(spark):
     for name in ("episodes", "notifications"):
         plan = out[name]._jdf.queryExecution().optimizedPlan().toString()
         assert "event_type" not in plan and "props" not in plan
+    series_plan = PL.policy_series(points, policies, PL.policy_table(spark, policies))._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= series_plan.count("Relation [") <= 3  # events as signals, as log entries and as jobs, once each
+
+
+def test_exact_percentile_of_a_hot_window_equals_the_buffered_one(spark):
+    hot = spark.range(30_000).selectExpr("'m' metric", "map('k', if(id % 3 = 0, 'a', 'b')) labels", "timestamp_ntz '2024-01-01 00:01:00' ts",
+                                         "cast(if(id % 7 = 0, null, (id * 7919) % 10007) as double) / 8 value")
+    odd = spark.createDataFrame([("m", {"k": "c"}, dt.datetime(2024, 1, 1), None), ("m", {"k": "d"}, dt.datetime(2024, 1, 1), 2.5)], hot.schema)
+    points = hot.unionByName(odd)
+    got = {r["labels"]["k"]: (r["value"], r["point_count"]) for r in series.align(points, 300, "ALIGN_PERCENTILE_99").collect()}
+    want = points.groupBy(F.col("labels")["k"].alias("k")).agg(F.percentile("value", F.lit(0.99)).alias("v"), F.count(F.lit(1)).alias("n")).collect()
+    assert len(got) == 4 and got == {r["k"]: (pytest.approx(r["v"]) if r["v"] is not None else None, r["n"]) for r in want}
