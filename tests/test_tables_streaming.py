@@ -7,6 +7,7 @@ from ledgerwatch.operators import alerts, series, upsert
 from ledgerwatch.sources import fixtures as fx
 from ledgerwatch.sources.tables import SilverTable, branch_counts_row
 from ledgerwatch.streaming import absence as SA
+from ledgerwatch.streaming import alerts as STA
 from ledgerwatch.streaming import cdc
 from ledgerwatch.streaming import series as SS
 
@@ -110,3 +111,32 @@ def test_absence_waits_for_late_windows_and_forgets_silent_series():
     assert SA.decide([300, 1500], 1200, period, duration) == ([300], [1500])  # a window too late
     assert SA.decide([1500, 300, 600, 300], 0, period, duration) == ([], [1500])
     assert SA.decide([300], 1000, period, 700) == ([], [300])               # 700 s settle on the grid at 1200
+
+
+def test_stream_episodes_and_incidents_equal_batch(spark, tmp_dir):
+    pts = fx.metric_points(spark, SF).withColumn("labels", F.create_map().cast("map<string,string>"))
+    path = os.path.join(tmp_dir, "points")
+    pts.write.parquet(path)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    latest = pts.agg(F.max("ts")).first()[0]
+
+    def run(df, name):
+        q = df.writeStream.format("memory").queryName(name).outputMode("append").start()
+        q.processAllAvailable()
+        q.stop()
+        return spark.sql(f"select * from {name}")
+
+    flagged = alerts.threshold_flags(series.align(pts, 300, "ALIGN_SUM"), "COMPARISON_GT", 20.0)
+    for duration, name in ((0, "hold_0"), (300, "hold_300")):
+        got = run(STA.stream_hold_episodes(stream, 300, duration, "COMPARISON_GT", 20.0, watermark="0 seconds"), name)
+        cols = ["metric", "episode_start", "fired_at", "episode_end", "windows", F.round("peak_value", 6).alias("p")]
+        closed = alerts.hold_episodes(flagged, 300, duration).filter(F.timestamp_add("SECOND", F.lit(600), "episode_end") < F.lit(latest))
+        want, rows = {tuple(r) for r in closed.select(*cols).collect()}, [tuple(r) for r in got.select(*cols).collect()]
+        assert want and want <= set(rows) and len(rows) == len(set(rows))
+        assert set(rows) <= {tuple(r) for r in alerts.hold_episodes(flagged, 300, duration).select(*cols).collect()}
+
+    got = run(STA.stream_incidents(stream, 300, 3600, "COMPARISON_GT", 20.0, watermark="0 seconds"), "incidents_t")
+    batch = alerts.incidents(alerts.hold_episodes(flagged, 300, 0), 3600).select("metric", "opened_at", "resolved_at")
+    closed = batch.filter(F.timestamp_add("SECOND", F.lit(4200), "resolved_at") < F.lit(latest))
+    want, rows = {tuple(r) for r in closed.collect()}, [tuple(r) for r in got.select("metric", "opened_at", "resolved_at").collect()]
+    assert want and want <= set(rows) <= {tuple(r) for r in batch.collect()} and len(rows) == len(set(rows))
