@@ -6,12 +6,19 @@ tokens are hashed and joined with the benchmark's windows.  A document leaks an
 item in one of two ways, each at ``containment`` of the item's windows or more:
 
 * ``exact``: the item's literal windows occur in the document;
-* ``template``: its template windows occur on one diagonal (same distance of
-  document and item place) and the slots are consistent: a value that the item
-  repeats is replaced by the same value throughout.
-
-Each text is hashed in two variants, with names kept as words and with names as
-placeholders, so that a passage set in other capitals is found by the first.
+* ``template``: its template windows occur on neighbouring diagonals (distances
+  of document and item place, at most ``DRIFT`` tokens from one of them) and the
+  slots are consistent: a value that the item repeats is replaced by the same
+  value throughout.  From a diagonal outwards, one whose slots contradict those
+  taken before is left out.
+
+A run of names, or of number words behind a number, is one placeholder, so that
+'Paris' and 'New York', '48' and 'forty eight' have the same windows.  Places
+are those of the plain tokens.
+
+Each text is hashed in variants: all words literal, numbers and units as
+placeholders, and names too, so that a passage set in other capitals is found
+by the first ones.
 A two-bit Bloom filter of fixed size (``FILTER_BITS``, 2 MB whatever the
 benchmark's size) keeps document windows that cannot match out of the shuffle;
 what passes is joined exactly.
@@ -33,7 +40,7 @@ from string import punctuation
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import byte_rows, map_arrow, ragged, staged
 
@@ -41,6 +48,8 @@ WINDOW = 5
 CONTAINMENT = 0.8
 #: A window needs so many words that are no placeholders.
 LEAST_WORDS = 2
+#: Tokens by which words put in or left out may shift the windows of a re-parameterised item.
+DRIFT = 16
 FILTER_BITS = 1 << 24
 #: Tokens that are hashed at a time, and words that are remembered.
 CHUNK, MEMO = 1 << 18, 1 << 19
@@ -56,8 +65,10 @@ UNITS = frozenset("""mm cm m km in inch inches ft foot feet yd yard yards mi mil
     centimeter centimeters centimetre centimetres""".split())
 
 _TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+")
-WORD, NUMBER, UNIT, CAPITAL, NAME = range(5)
-_END = 8
+WORD, NUMBER, UNIT, CAPITAL, NAME, DIGITS = range(6)
+#: Bits of a kind: behind the token a sentence ends; a run of names or numbers ends.
+_END, _BREAK = 8, 16
+LITERAL, SLOT, NAMED = range(3)
 _PUNCTUATION, _STOPS = punctuation.encode(), frozenset(b".!?:;")
 _PLACES = np.array([xxhash.xxh64_intdigest(f"<{k}>".encode()) for k in ("", "number", "unit", "", "name")], np.uint64)
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -68,7 +79,7 @@ def _kinds(names: Iterable[str]) -> dict[str, int]:
 
 
 class Words:
-    """Tokens of white-space words, remembered by word: literal hash, and kind with a bit for a sentence's end behind it."""
+    """Tokens of white-space words, remembered by word: literal hash, and kind with bits for what ends behind it."""
 
     def __init__(self, names: Iterable[str] = ()):
         self.kinds = _kinds(names)
@@ -102,21 +113,23 @@ class Words:
         kind = [get(x, WORD) or (CAPITAL if t != x and t[0].isupper() and (len(t) == 1 or not t.isupper()) else WORD) for t, x in zip(texts, low)]
         for k in range(plain, len(texts)):
             word = words[k]
-            if not _STOPS.isdisjoint(word[len(word.rstrip(_PUNCTUATION)):]):
-                kind[k] += _END
+            behind = word[len(word.rstrip(_PUNCTUATION)):]
+            kind[k] += (0 if _STOPS.isdisjoint(behind) else _END) + (_BREAK if behind else 0)
         count = [1] * len(words)
         for word, text in odd:
             n, at = len(literal), -1
             for m in _TOKEN.finditer(text):
+                if at >= 0 and text[at:m.start()].strip("-'\u2019\u00a0"):
+                    kind[-1] += _BREAK
                 token, at = m[0], m.end()
                 x = token.lower()
-                known = NUMBER if token[0].isdigit() else get(x, WORD)
+                known = DIGITS if token[0].isdigit() else get(x, WORD)
                 if known == WORD and token[0].isupper() and (len(token) == 1 or not token.isupper()):
                     known = CAPITAL
                 literal.append(xxhash.xxh64_intdigest(x))
                 kind.append(known)
-            if at >= 0 and any(c in ".!?:;" for c in text[at:]):
-                kind[-1] += _END
+            if at >= 0:
+                kind[-1] += (_END if any(c in ".!?:;" for c in text[at:]) else 0) + (_BREAK if text[at:] else 0)
             words.append(word)
             count.append(len(literal) - n)
         self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
@@ -140,14 +153,6 @@ class Words:
         return self.literal[at], self.kind[at], ends
 
 
-def row_hashes(rows: np.ndarray) -> np.ndarray:
-    """A hash of each row of literal hashes."""
-    out = np.zeros(len(rows), np.uint64)
-    for k in range(rows.shape[1]):
-        out = out * _PRIME + rows[:, k]
-    return _mix(out)
-
-
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -155,44 +160,82 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 def _rolled(h: np.ndarray, window: int) -> np.ndarray:
-    n = len(h) - window + 1
+    n = max(0, len(h) - window + 1)
     out = np.zeros(n, np.uint64)
     for k in range(window):
         out = out * _PRIME + h[k:k + n]
     return _mix(out)
 
 
-def windows(words: Words, texts: list[list[bytes]], window: int) -> Iterator[tuple]:
-    """Template windows of many texts: (variant, first token, hash) and what the caller needs to look at them.
+def windows(words: Words, texts: list[list[bytes]], window: int, full: bool = False) -> Iterator[tuple]:
+    """Windows of many texts: variant, first tokens, hashes, literal hashes of the slots (0 elsewhere), and the offsets of the texts.
 
-    Variant 1 has only the windows that hold a name; the others are those of variant 0.
+    A variant has only the windows that hold one of its own placeholders; the others are those of the variant before.
+    ``full`` adds these for texts that have windows of their own in the variant.
     """
     literal, kind, ends = words.tokens(texts)
-    n = len(literal) - window + 1
-    if n <= 0:
+    if not len(literal):
         return
-    end, kind = kind >= _END, kind & (_END - 1)
+    end, broken, kind = (kind & _END) > 0, (kind & _BREAK) > 0, kind & (_END - 1)
     first = np.zeros(len(literal), bool)
     first[ends[:-1][ends[:-1] < len(literal)]] = True
-    number = kind == NUMBER
+    spoken = kind == NUMBER
+    number = spoken | (kind == DIGITS)
     behind = np.zeros(len(literal), bool)
     behind[1:] = number[:-1] & ~first[1:]
     slot = np.where(number, NUMBER, np.where((kind == UNIT) & behind, UNIT, WORD)).astype(np.int8)
     opens = first.copy()
     opens[1:] |= end[:-1]
     names = (kind == NAME) | (kind == CAPITAL) & ~opens
-    named = np.where(names, np.int8(NAME), slot)
+    joins = ~first
+    joins[1:] &= ~(broken | end)[:-1]
+    good = np.flatnonzero(_whole(ends, len(literal), window))
+    yield LITERAL, good, _rolled(literal, window)[good], np.zeros((len(good), window), np.uint64), ends
+    before = None
+    for variant, own in ((SLOT, None), (NAMED, names)):
+        slots = slot if own is None else np.where(own, np.int8(NAME), slot)
+        own = slot > 0 if own is None else own
+        if not own.any():
+            if full and before is None:
+                before = good, _rolled(literal, window)[good], np.zeros((len(good), window), np.uint64)
+            continue
+        run = np.zeros(len(literal), bool)  # the token goes on with the placeholder of the one before
+        run[1:] = joins[1:] & (slots[1:] == slots[:-1]) & ((slots[1:] == NAME) | spoken[1:] & (slots[1:] == NUMBER))
+        starts = np.flatnonzero(~run)
+        values = literal.copy()
+        values[run] = _mix(literal[run] + (np.arange(len(literal)) - starts[np.cumsum(~run) - 1])[run].astype(np.uint64))
+        values, own, slots = np.add.reduceat(values, starts), np.logical_or.reduceat(own, starts), slots[starts]
+        usable = _whole(np.searchsorted(starts, ends), len(starts), window)
+        if len(usable):
+            usable &= _sums(slots > 0, window) <= window - LEAST_WORDS
+        new = np.flatnonzero(usable & (_sums(own, window) > 0)) if len(usable) else np.zeros(0, np.int64)
+        hashes = _rolled(np.where(slots > 0, _PLACES[slots], values), window)[new] if len(new) else np.zeros(0, np.uint64)
+        at = new[:, None] + np.arange(window)
+        rows = starts[new], hashes, np.where(slots[at] > 0, values[at], np.uint64(0))
+        if full:
+            if before is None:  # of the literal windows, those that hold no placeholder
+                plain = np.flatnonzero(usable & (_sums(own, window) == 0)) if len(usable) else np.zeros(0, np.int64)
+                held = np.searchsorted(good, starts[plain])
+                older = good[held], _rolled(literal, window)[good[held]], np.zeros((len(held), window), np.uint64)
+            else:
+                kept = ~run[before[0]] & ~np.isin(before[0], rows[0])
+                older = tuple(x[kept] for x in before)
+            before = tuple(np.concatenate([x, y]) for x, y in zip(rows, older))
+            text = lambda x: np.searchsorted(ends, x, side="right") - 1
+            of = np.isin(text(before[0]), text(rows[0]))
+            yield variant, *(x[of] for x in before), ends
+        else:
+            yield variant, *rows, ends
+
+
+def _whole(ends: np.ndarray, n_tokens: int, window: int) -> np.ndarray:
+    """Whether the window from each token stays in its text."""
+    n = max(0, n_tokens - window + 1)
     whole = np.ones(n, bool)
-    for k in range(1, window):  # windows that reach into the next text
+    for k in range(1, window):
         over = ends[1:-1] - k
         whole[over[(over >= 0) & (over < n)]] = False
-    for variant, slots in enumerate((slot, named)):
-        if variant and not names.any():
-            return
-        used = _sums(slots > 0, window) <= window - LEAST_WORDS
-        good = np.flatnonzero(whole & used & (_sums(names, window) > 0) if variant else whole & used)
-        hashes = _rolled(np.where(slots > 0, _PLACES[slots], literal), window)[good]
-        yield variant, good, hashes, literal, slots, ends
+    return whole
 
 
 def _sums(flags: np.ndarray, window: int) -> np.ndarray:
@@ -201,8 +244,8 @@ def _sums(flags: np.ndarray, window: int) -> np.ndarray:
 
 
 _SCHEMA = pa.schema([("id", pa.int64()), ("variant", pa.int8()), ("place", pa.int64()), ("hash", pa.int64()),
-                     ("exact", pa.int64()), ("slots", pa.list_(pa.int64()))])
-_DDL = "id long, variant byte, place long, hash long, exact long, slots array<long>"
+                     ("slots", pa.list_(pa.int64()))])
+_DDL = "id long, variant byte, place long, hash long, slots array<long>"
 
 
 def _places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -216,24 +259,22 @@ def _windows(window: int, names: tuple[str, ...], filter_of=None):
 
         def rows(ids: list, texts: list) -> Iterator[pa.RecordBatch]:
             ids = np.array(ids, np.int64)
-            for variant, good, hashes, literal, slots, ends in windows(words, texts, window):
+            for variant, good, hashes, slots, ends in windows(words, texts, window, bits is None):
                 if bits is not None:
                     a, b = _places(hashes)
                     one = np.uint64(1)
                     hit = np.flatnonzero(bits[a >> np.uint64(6)] >> (a & np.uint64(63)) & one)
                     b = b[hit]
                     hit = hit[(bits[b >> np.uint64(6)] >> (b & np.uint64(63)) & one).astype(bool)]
-                    good, hashes = good[hit], hashes[hit]
+                    good, hashes, slots = good[hit], hashes[hit], slots[hit]
                 if not len(good):
                     continue
                 text = np.searchsorted(ends, good, side="right") - 1
-                at = good[:, None] + np.arange(window)
-                exact = row_hashes(literal[at])
-                filled = np.where(slots[at] > 0, literal[at], np.uint64(0)).view(np.int64).ravel()
+                filled = np.ascontiguousarray(slots).view(np.int64).ravel()
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(filled) + 1, window), pa.int32()), pa.array(filled))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids[text]), pa.array(np.full(len(good), variant, np.int8)), pa.array(good - ends[text]),
-                    pa.array(hashes.view(np.int64)), pa.array(exact.view(np.int64)), lists], schema=_SCHEMA)
+                    pa.array(hashes.view(np.int64)), lists], schema=_SCHEMA)
 
         for batch in batches:
             ids, texts, size = [], [], 0
@@ -261,6 +302,19 @@ def _filter(items: DataFrame) -> np.ndarray:
     return found.view(np.uint64)
 
 
+#: Windows of an item on the diagonals around one, taken from it outwards as long as their slots do not contradict.
+_ALIGNED = """
+size(aggregate(
+    array_sort(transform(near, x -> struct(abs(x.diagonal - diagonal) as far, x.diagonal as at, x.hits as hits))),
+    struct(cast(array() as array<bigint>) as places, cast(array() as array<struct<item_slots: bigint, slots: bigint>>) as pairs),
+    (acc, x) -> transform(array(filter(x.hits, h -> not array_contains(acc.places, h.place))),
+        new -> transform(array(array_distinct(concat(acc.pairs, flatten(transform(new, h -> h.pairs))))),
+            pairs -> if(size(pairs) = size(array_distinct(transform(pairs, p -> p.item_slots))),
+                        struct(concat(acc.places, transform(new, h -> h.place)) as places, pairs as pairs), acc))[0])[0],
+    acc -> acc.places))
+"""
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
           item_text_col: str = "text", window: int = WINDOW, containment: float = CONTAINMENT,
           names: Iterable[str] = ()) -> DataFrame:
@@ -272,33 +326,31 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     spark = docs.sparkSession
     unique = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(item_text_col).alias("t")).groupBy("i").agg(F.max("t").alias("t"))
     own = map_arrow(unique, _windows(window, names), _DDL)
-    # Variant 1 of an item: its windows with names as placeholders, and those that hold no name.
-    named = own.filter("variant = 1").select("id", "place").withColumnsRenamed({"id": "nid", "place": "nplace"})
-    plain = own.filter("variant = 0").join(named, (F.col("id") == F.col("nid")) & (F.col("place") == F.col("nplace")), "left_anti")
-    items = staged(own.unionByName(plain.withColumn("variant", F.lit(1).cast("byte"))), "benchmark-windows").select(
+    items = staged(own, "benchmark-windows").select(
         F.col("id").alias("item_id"), F.col("variant").alias("iv"), F.col("place").alias("item_place"), F.col("hash").alias("item_hash"),
-        F.col("exact").alias("item_exact"), F.col("slots").alias("item_slots"))
+        F.col("slots").alias("item_slots"))
     totals = items.groupBy(F.col("item_id").alias("ti"), F.col("iv").alias("tv")).agg(F.count(F.lit(1)).alias("total"))
     bloom = spark.sparkContext.broadcast(_filter(items.withColumnRenamed("item_hash", "hash")))
     found = map_arrow(docs.select(F.col(id_col).cast("long"), F.col(text_col)), _windows(window, names, bloom), _DDL)
     pairs = F.filter(F.arrays_zip("item_slots", "slots"), lambda p: p["item_slots"] != 0)
     met = found.join(items, F.col("hash") == F.col("item_hash")).select(
         F.col("id").alias("doc_id"), "item_id", F.col("iv").alias("variant"), "item_place", (F.col("place") - F.col("item_place")).alias("diagonal"),
-        (F.col("exact") == F.col("item_exact")).alias("same"), pairs.alias("pairs"))
+        pairs.alias("pairs"))
     met = staged(met, "benchmark-hits")  # small, and read twice below
-    # A document's windows on one diagonal are as many as the item's, so the sets below stay as small as an item.
-    aligned = met.groupBy("doc_id", "item_id", "variant", "diagonal").agg(
-        F.collect_set("item_place").alias("hits"), F.collect_set(F.when(F.col("same"), F.col("item_place"))).alias("same_hits"),
-        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    steady = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"])))
-    regions = aligned.select("doc_id", "item_id", "variant", F.when(steady, F.size("hits")).otherwise(0).alias("template_n"), "same_hits")
-    best = regions.groupBy("doc_id", "item_id", "variant").agg(F.max("template_n").alias("template_n"))
-    exact = (regions.select("doc_id", "item_id", "variant", F.explode("same_hits").alias("p")).distinct()
-             .groupBy("doc_id", "item_id", "variant").agg(F.count(F.lit(1)).alias("exact_n")))
     keys = ["doc_id", "item_id", "variant"]
-    scored = best.join(exact, keys, "left").join(totals, (F.col("item_id") == F.col("ti")) & (F.col("variant") == F.col("tv")))
-    shares = scored.select("doc_id", "item_id", (F.coalesce("exact_n", F.lit(0)) / F.col("total")).alias("e"), (F.col("template_n") / F.col("total")).alias("t"),
-                           F.greatest(F.coalesce("exact_n", F.lit(0)), "template_n").alias("n"))
+    of_total = (F.col("item_id") == F.col("ti")) & (F.col("variant") == F.col("tv"))
+    places = met.select(*keys, "item_place").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    # No alignment has more windows than all diagonals together.
+    held = staged(places.join(totals, of_total).filter(F.col("n") / F.col("total") >= containment), "benchmark-held").select(*keys, "n", "total")
+    exact = held.filter(F.col("variant") == LITERAL).select("doc_id", "item_id", (F.col("n") / F.col("total")).alias("e"), F.lit(0.0).alias("t"), "n")
+    whole = met.filter(F.col("variant") != LITERAL).join(held.select(*keys), keys, "left_semi")
+    # A document's windows on one diagonal are as many as the item's, so the sets below stay as small as an item.
+    aligned = whole.groupBy(*keys, "diagonal").agg(F.collect_set(F.struct(F.col("item_place").alias("place"), "pairs")).alias("hits"))
+    near = Window.partitionBy(*keys).orderBy("diagonal").rangeBetween(-DRIFT, DRIFT)
+    around = aligned.withColumn("near", F.collect_list(F.struct("diagonal", "hits")).over(near))
+    best = around.select(*keys, F.expr(_ALIGNED).alias("n")).groupBy(*keys).agg(F.max("n").alias("n"))
+    template = best.join(held.drop("n"), keys).select("doc_id", "item_id", F.lit(0.0).alias("e"), (F.col("n") / F.col("total")).alias("t"), "n")
+    shares = exact.unionByName(template)
     per = shares.groupBy("doc_id", "item_id").agg(F.max("e").alias("e"), F.max("t").alias("t"), F.max("n").alias("n"))
     return per.filter(F.greatest("e", "t") >= containment).select(
         "doc_id", "item_id", F.when(F.col("e") >= containment, "exact").otherwise("template").alias("kind"),

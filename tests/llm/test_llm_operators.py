@@ -179,6 +179,16 @@ def test_reparameterised_questions(spark):
     assert decontamination.leaks(df.limit(0), bench).count() == 0 == decontamination.leaks(df, bench.limit(0)).count()
 
 
+def test_reparameterised_questions_of_other_token_counts(spark):
+    item = "the old baker from Paris sold 48 loaves of dark bread to a school near the river and then packed another 48 loaves for them"
+    more = lambda t: t.replace("and then", "and soon then")
+    rows = [(1, item.replace("Paris", "New York")), (2, item.replace("48", "sixty five")), (3, more(item).replace("48", "9")),
+            (4, item.replace("48", "sixty five", 1)), (5, more(item).replace("Paris", "New York").replace("48", "seventy two")),
+            (6, more(item).replace("48", "9", 1)), (7, more(item))]
+    got = {r["doc_id"]: r["kind"] for r in decontamination.leaks(frame(spark, rows), frame(spark, [(1, item)], "item_id long, text string")).collect()}
+    assert got == {1: "template", 2: "template", 3: "template", 5: "template", 7: "exact"}
+
+
 # --- op 4 -------------------------------------------------------------------------------------------------------------
 
 def test_warc_records_link_and_read_back(spark):
