@@ -17,8 +17,9 @@ A run of names, or of number words behind a number, is one placeholder, so that
 are those of the plain tokens.
 
 Each text is hashed in variants: all words literal, numbers and units as
-placeholders, and names too, so that a passage set in other capitals is found
-by the first ones.
+placeholders, names too, and capitalised words that open a sentence too, so
+that a passage set in other capitals is found by the first ones and a question
+whose sentences open with another name by the last.
 A two-bit Bloom filter of fixed size (``FILTER_BITS``, 2 MB whatever the
 benchmark's size) keeps document windows that cannot match out of the shuffle;
 what passes is joined exactly.
@@ -68,7 +69,7 @@ _TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+")
 WORD, NUMBER, UNIT, CAPITAL, NAME, DIGITS = range(6)
 #: Bits of a kind: behind the token a sentence ends; a run of names or numbers ends.
 _END, _BREAK = 8, 16
-LITERAL, SLOT, NAMED = range(3)
+LITERAL, SLOT, NAMED, OPENER = range(4)
 _PUNCTUATION, _STOPS = punctuation.encode(), frozenset(b".!?:;")
 _PLACES = np.array([xxhash.xxh64_intdigest(f"<{k}>".encode()) for k in ("", "number", "unit", "", "name")], np.uint64)
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -187,14 +188,14 @@ def windows(words: Words, texts: list[list[bytes]], window: int, full: bool = Fa
     opens = first.copy()
     opens[1:] |= end[:-1]
     names = (kind == NAME) | (kind == CAPITAL) & ~opens
+    openers = (kind == CAPITAL) & opens
     joins = ~first
     joins[1:] &= ~(broken | end)[:-1]
     good = np.flatnonzero(_whole(ends, len(literal), window))
     yield LITERAL, good, _rolled(literal, window)[good], np.zeros((len(good), window), np.uint64), ends
     before = None
-    for variant, own in ((SLOT, None), (NAMED, names)):
-        slots = slot if own is None else np.where(own, np.int8(NAME), slot)
-        own = slot > 0 if own is None else own
+    for variant, own, named in ((SLOT, slot > 0, None), (NAMED, names, names), (OPENER, openers, names | openers)):
+        slots = slot if named is None else np.where(named, np.int8(NAME), slot)
         if not own.any():
             if full and before is None:
                 before = good, _rolled(literal, window)[good], np.zeros((len(good), window), np.uint64)
@@ -320,7 +321,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
           names: Iterable[str] = ()) -> DataFrame:
     """One row per document and leaked item: doc_id, item_id, kind, containment, n_windows.
 
-    ``names`` adds given names that are placeholders even where a sentence opens.
+    ``names`` adds given names that are placeholders in whatever case, with those within a sentence.
     """
     names = tuple(names)
     spark = docs.sparkSession

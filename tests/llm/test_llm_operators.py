@@ -189,6 +189,15 @@ def test_reparameterised_questions_of_other_token_counts(spark):
     assert got == {1: "template", 2: "template", 3: "template", 5: "template", 7: "exact"}
 
 
+def test_reparameterised_names_that_open_sentences(spark):
+    item = ("Natalia sold clips to many of the friends in the town. Natalia then paid for a cake with all of it. "
+            "How much of the money was left in the end?")
+    rows = [(1, "Question: " + item.replace("Natalia", "Emma")), (2, item.replace("Natalia", "Emma", 1).replace("Natalia", "Ruth")),
+            (3, "so " + item.replace("Natalia", "Emma Lou")), (4, item.lower())]
+    got = {r["doc_id"]: r["kind"] for r in decontamination.leaks(frame(spark, rows), frame(spark, [(1, item)], "item_id long, text string")).collect()}
+    assert got == {1: "template", 3: "template", 4: "exact"}
+
+
 # --- op 4 -------------------------------------------------------------------------------------------------------------
 
 def test_warc_records_link_and_read_back(spark):
