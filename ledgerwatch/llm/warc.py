@@ -8,7 +8,7 @@ response's id and the record's type, so a task that runs again writes the same
 records.
 
 Defined cases: a null block counts as empty, a block without an empty line as
-header only; a response without a record id gets one from its URI and payload;
+header only; a head that is not closed ends where the body begins; a response without a record id gets one from its URI and payload;
 missing URIs or dates leave the field out; repeated rows give repeated records
 of the same ids; an empty table gives no rows; other columns are not read.
 """
@@ -30,7 +30,10 @@ from .common import byte_rows, map_arrow
 
 VERSION = "WARC/1.1"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL name space of RFC 4122
-_DROP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_OPENS = re.compile(r"<!--|<(script|style|noscript|template|head)\b", re.I)
+_IN_HEAD = re.compile(r"(<!--)|(</head\s*>)|<(title|script|style|noscript|template)\b|(<(?:meta|link|base)\b[^>]*>)|</?(?:body|head|p|div|br|li|ul|ol|table|tr|td|th|"
+                      r"h[1-6]|article|section|nav|header|footer|aside|main|blockquote|pre|form|dl|dt|dd|hr)\b", re.I)
+_CLOSES = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("title", "script", "style", "noscript", "template")} | {"": re.compile("-->")}
 _BLOCK = re.compile(r"</?(?:p|div|br|li|ul|ol|table|tr|td|th|h[1-6]|article|section|nav|header|footer|aside|main|blockquote|pre|form|dl|dt|dd|hr|title)\b[^>]*>", re.I)
 _TAG = re.compile(r"<[/!?a-zA-Z][^>]*(?:>|\Z)")
 
@@ -67,10 +70,53 @@ def plain_text(payload: bytes, content_type: str) -> str:
         text = payload.decode("utf-8", "replace")
     if "html" not in content_type.lower():
         return text
-    text = html.unescape(_TAG.sub("", _BLOCK.sub("\n", _DROP.sub("\n", text))))
+    text = html.unescape(_TAG.sub("", _BLOCK.sub("\n", _without_hidden(text))))
     return "\n".join(line for x in text.split("\n") if (line := " ".join(x.split())))
 
 
+def _without_hidden(page: str) -> str:
+    """The page without comments, scripts, styles, closed noscript and template elements, and its head.
+
+    A comment, script or style that is not closed goes on to the end of the page, as in a browser; a noscript or
+    template that is not closed hides nothing.
+    """
+    kept, at, unclosed = [], 0, set()
+
+    def end_of(name: str, start: int) -> int | None:
+        m = None if name in unclosed else _CLOSES[name].search(page, start)
+        if m is None:
+            unclosed.add(name)
+        return m and m.end()
+
+    def end_of_head(start: int) -> int:
+        """Behind ``</head>``, or behind the last element that can only stand in a head if the body begins without."""
+        last = start
+        while m := _IN_HEAD.search(page, start):
+            if m[2]:
+                return m.end()
+            end = m.end() if m[4] else end_of((m[3] or "").lower(), m.end()) if m[1] or m[3] else None
+            if end is None:
+                return last
+            start = last = end
+        return last
+
+    while m := _OPENS.search(page, at):
+        name = (m[1] or "").lower()
+        if name == "head":
+            close = page.find(">", m.end())
+            end = end_of_head(close + 1) if close >= 0 else len(page)
+        else:
+            end = end_of(name, m.end())
+            if end is None:
+                end = m.start() if name in ("noscript", "template") else len(page)
+        kept += [page[at:m.start()], "\n"]
+        if end == m.start():  # the tag itself goes with the other markup
+            kept.append(page[end:m.end()])
+            end = m.end()
+        at = end
+    return "".join([*kept, page[at:]])
+
+
 def derivatives(rid: str | None, uri: str | None, date: str | None, block: bytes) -> Iterator[tuple]:
     """(type, header fields, block) of the metadata and the conversion record of one response."""
     status, fields, payload = split_response(block)

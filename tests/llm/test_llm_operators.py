@@ -229,6 +229,15 @@ def test_warc_edges(spark):
     assert got[3, "conversion"]["block"] == "t\na < b" and got[1, "conversion"]["block"] == ""
 
 
+def test_warc_text_of_unclosed_elements():
+    text = lambda page: warc.plain_text(page.encode(), "text/html")
+    for page in ("<html><head><title>t</title><body><p>hello world</p>", "<head><meta charset=u><title>t</title><script>'<p>'</script>hello <b>world</b>",
+                 "<head><!-- <p> --><style>p{}</style><p>hello world", "<noscript><p>hello world</p>", "hello <template>world",
+                 "<HEAD><TITLE>t</TITLE><noscript><p>no</p></noscript>\n</HEAD >hello world<script>x", "<script>'<head>'</script>hello world<!-- x",
+                 "<head>\n<link rel=x><title>t</title>\n<header>hello world</header>"):
+        assert text(page).split() == ["hello", "world"], page
+
+
 # --- op 5 -------------------------------------------------------------------------------------------------------------
 
 def test_url_filter_against_brute_force(spark):
