@@ -25,8 +25,9 @@ benchmark's size) keeps document windows that cannot match out of the shuffle;
 what passes is joined exactly.
 
 Defined cases: null texts have no windows; an item with fewer than ``window``
-tokens, or whose windows are nearly all placeholders, has none and matches
-nothing; a text that holds an item many times leaks it once; rows without an id
+tokens leaks where all its tokens stand in a row, one whose windows are nearly
+all placeholders by its literal windows, one without a token never; letters of
+scripts without spaces are tokens of their own; a text that holds an item many times leaks it once; rows without an id
 are not reported; repeated ids or items count as one; empty tables give no
 rows; other columns are not read by ``leaks`` and pass through ``clean``.
 """
@@ -65,11 +66,22 @@ UNITS = frozenset("""mm cm m km in inch inches ft foot feet yd yard yards mi mil
     pa kpa bar b kb mb gb tb bit bits byte bytes meter meters metre metres kilometer kilometers kilometre kilometres
     centimeter centimeters centimetre centimetres""".split())
 
-_TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+")
+#: Letters of scripts without spaces (Thai, Lao, Burmese, Khmer, kana, Han); each is a token.
+_UNSPACED = ("\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ece\u0edc-\u0edf\u1000-\u103f\u1050-\u108f\u1780-\u17d3\u3005-\u3007\u3041-\u3096"
+             "\u309d-\u309f\u30a1-\u30fa\u30fc-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff")
+_TOKEN = re.compile(rf"\d+(?:[.,]\d+)*|[{_UNSPACED}]|[^\W\d_{_UNSPACED}]+")
+_DENSE = re.compile(f"[{_UNSPACED}]")
+
+
+def _is_word(text: str) -> bool:
+    """Whether the letters of the text are one token."""
+    return text.isalpha() and (text.isascii() or not _DENSE.search(text))
+
+
 WORD, NUMBER, UNIT, CAPITAL, NAME, DIGITS = range(6)
 #: Bits of a kind: behind the token a sentence ends; a run of names or numbers ends.
 _END, _BREAK = 8, 16
-LITERAL, SLOT, NAMED, OPENER = range(4)
+SHORT, LITERAL, SLOT, NAMED, OPENER = range(-1, 4)
 _PUNCTUATION, _STOPS = punctuation.encode(), frozenset(b".!?:;")
 _PLACES = np.array([xxhash.xxh64_intdigest(f"<{k}>".encode()) for k in ("", "number", "unit", "", "name")], np.uint64)
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -94,7 +106,7 @@ class Words:
         words, texts, rest = [], [], []
         for word in new:
             text = word.decode("utf-8", "replace")
-            if text.isalpha():
+            if _is_word(text):
                 words.append(word)
                 texts.append(text)
             else:
@@ -103,7 +115,7 @@ class Words:
         odd = []
         for word, text in rest:
             core = text.strip(punctuation)
-            if core.isalpha():  # letters with punctuation around them
+            if _is_word(core):  # letters with punctuation around them
                 words.append(word)
                 texts.append(core)
             else:
@@ -168,11 +180,12 @@ def _rolled(h: np.ndarray, window: int) -> np.ndarray:
     return _mix(out)
 
 
-def windows(words: Words, texts: list[list[bytes]], window: int, full: bool = False) -> Iterator[tuple]:
+def windows(words: Words, texts: list[list[bytes]], window: int, full: bool = False, widths: Iterable[int] = ()) -> Iterator[tuple]:
     """Windows of many texts: variant, first tokens, hashes, literal hashes of the slots (0 elsewhere), and the offsets of the texts.
 
     A variant has only the windows that hold one of its own placeholders; the others are those of the variant before.
-    ``full`` adds these for texts that have windows of their own in the variant.
+    ``full`` adds these for texts that have windows of their own in the variant, and texts of under ``window`` tokens
+    as one window each (variant SHORT); else SHORT are all windows of ``widths`` tokens.
     """
     literal, kind, ends = words.tokens(texts)
     if not len(literal):
@@ -191,6 +204,9 @@ def windows(words: Words, texts: list[list[bytes]], window: int, full: bool = Fa
     openers = (kind == CAPITAL) & opens
     joins = ~first
     joins[1:] &= ~(broken | end)[:-1]
+    for width in range(1, window) if full else widths:
+        good = ends[:-1][np.diff(ends) == width] if full else np.flatnonzero(_whole(ends, len(literal), width))
+        yield SHORT, good, _rolled(literal, width)[good] + np.uint64(width), np.zeros((len(good), width), np.uint64), ends
     good = np.flatnonzero(_whole(ends, len(literal), window))
     yield LITERAL, good, _rolled(literal, window)[good], np.zeros((len(good), window), np.uint64), ends
     before = None
@@ -253,14 +269,14 @@ def _places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h & np.uint64(FILTER_BITS - 1), (h >> np.uint64(32)) & np.uint64(FILTER_BITS - 1)
 
 
-def _windows(window: int, names: tuple[str, ...], filter_of=None):
+def _windows(window: int, names: tuple[str, ...], filter_of=None, widths: tuple[int, ...] = ()):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(names)
         bits = filter_of.value if filter_of is not None else None
 
         def rows(ids: list, texts: list) -> Iterator[pa.RecordBatch]:
             ids = np.array(ids, np.int64)
-            for variant, good, hashes, slots, ends in windows(words, texts, window, bits is None):
+            for variant, good, hashes, slots, ends in windows(words, texts, window, bits is None, widths):
                 if bits is not None:
                     a, b = _places(hashes)
                     one = np.uint64(1)
@@ -271,8 +287,11 @@ def _windows(window: int, names: tuple[str, ...], filter_of=None):
                 if not len(good):
                     continue
                 text = np.searchsorted(ends, good, side="right") - 1
+                if variant == SHORT:  # once a text will do
+                    _, once = np.unique(np.stack([text.astype(np.uint64), hashes], 1), axis=0, return_index=True)
+                    good, hashes, slots, text = good[once], hashes[once], slots[once], text[once]
                 filled = np.ascontiguousarray(slots).view(np.int64).ravel()
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(filled) + 1, window), pa.int32()), pa.array(filled))
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(filled) + 1, slots.shape[1]), pa.int32()), pa.array(filled))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids[text]), pa.array(np.full(len(good), variant, np.int8)), pa.array(good - ends[text]),
                     pa.array(hashes.view(np.int64)), lists], schema=_SCHEMA)
@@ -332,7 +351,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         F.col("slots").alias("item_slots"))
     totals = items.groupBy(F.col("item_id").alias("ti"), F.col("iv").alias("tv")).agg(F.count(F.lit(1)).alias("total"))
     bloom = spark.sparkContext.broadcast(_filter(items.withColumnRenamed("item_hash", "hash")))
-    found = map_arrow(docs.select(F.col(id_col).cast("long"), F.col(text_col)), _windows(window, names, bloom), _DDL)
+    widths = tuple(r["w"] for r in items.filter(F.col("iv") == SHORT).select(F.size("item_slots").alias("w")).distinct().collect())  # under ``window``
+    found = map_arrow(docs.select(F.col(id_col).cast("long"), F.col(text_col)), _windows(window, names, bloom, widths), _DDL)
     pairs = F.filter(F.arrays_zip("item_slots", "slots"), lambda p: p["item_slots"] != 0)
     met = found.join(items, F.col("hash") == F.col("item_hash")).select(
         F.col("id").alias("doc_id"), "item_id", F.col("iv").alias("variant"), "item_place", (F.col("place") - F.col("item_place")).alias("diagonal"),
@@ -343,8 +363,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     places = met.select(*keys, "item_place").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     # No alignment has more windows than all diagonals together.
     held = staged(places.join(totals, of_total).filter(F.col("n") / F.col("total") >= containment), "benchmark-held").select(*keys, "n", "total")
-    exact = held.filter(F.col("variant") == LITERAL).select("doc_id", "item_id", (F.col("n") / F.col("total")).alias("e"), F.lit(0.0).alias("t"), "n")
-    whole = met.filter(F.col("variant") != LITERAL).join(held.select(*keys), keys, "left_semi")
+    exact = held.filter(F.col("variant") <= LITERAL).select("doc_id", "item_id", (F.col("n") / F.col("total")).alias("e"), F.lit(0.0).alias("t"), "n")
+    whole = met.filter(F.col("variant") > LITERAL).join(held.select(*keys), keys, "left_semi")
     # A document's windows on one diagonal are as many as the item's, so the sets below stay as small as an item.
     aligned = whole.groupBy(*keys, "diagonal").agg(F.collect_set(F.struct(F.col("item_place").alias("place"), "pairs")).alias("hits"))
     near = Window.partitionBy(*keys).orderBy("diagonal").rangeBetween(-DRIFT, DRIFT)

@@ -198,6 +198,15 @@ def test_reparameterised_names_that_open_sentences(spark):
     assert got == {1: "template", 3: "template", 4: "exact"}
 
 
+def test_short_unspaced_and_arithmetic_items_leak_word_for_word(spark):
+    bench = ["Name the capital!", "12 + 7 * 3 = 33", "中国的首都是哪个城市?", "你好吗", "1 2 3 4 5 6 7", "?!", "เมืองหลวงของไทย", "yes"]
+    rows = ["so name the capital. name the capital", "is 12 + 7 * 3 = 33 or", "他问:中国的首都是哪个城市?我说不知道。", "他说你好吗。", "0 1 2 3 4 5 6 7 8", "?! the capital",
+            "ถามว่าเมืองหลวงของไทยคืออะไร", "12 7 3", "name capital yesterday", "Yes, yes", "你好"]
+    got = decontamination.leaks(frame(spark, list(enumerate(rows))), frame(spark, list(enumerate(bench)), "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["kind"], r["containment"]) for r in got) == [
+        (d, i, "exact", 1.0) for d, i in ((0, 0), (1, 1), (2, 2), (3, 3), (4, 4), (6, 6), (9, 7))]
+
+
 # --- op 4 -------------------------------------------------------------------------------------------------------------
 
 def test_warc_records_link_and_read_back(spark):
