@@ -7,7 +7,8 @@ stand around form a graph that is scored in rounds: a pattern by the mean score
 of its instances (with one unknown instance added, so few are not enough), an
 instance by the patterns that extract it (noisy or).  Patterns that reach
 ``confidence`` with ``least_seeds`` different seeds find unseen identifiers:
-tokens with a digit or an ``@`` that no base span touches.
+tokens with a digit or an ``@``, and runs of tokens with a digit, that no base
+span touches; of two found spans one within the other, the longer is reported.
 
 Everything is DataFrame functions.  Texts are read once; spans and candidates,
 a small part of the text, are written to the shared folder with their contexts.
@@ -40,8 +41,10 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+#: Tokens with a digit in a row, without punctuation that ends a clause between them.
+RUN = r"(?<!\S)[^\s0-9]*+[0-9]\S*+(?:(?<![.,;:!?])[ \t]++[^\s0-9]*+[0-9]\S*+)++"
 #: A cheap test that a text may hold a kind at all.
-_MAY = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]", "candidate": "[0-9@]"}
+_MAY = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]", "candidate": "[0-9@]", "run": r"[0-9]\S*+[ \t]"}
 ROUNDS, CONFIDENCE, LEAST_SEEDS = 3, 0.6, 3
 #: Characters looked at for the words of a context.
 CONTEXT = 64
@@ -59,12 +62,19 @@ def _cut(docs: DataFrame, patterns: dict[str, str]) -> DataFrame:
 
 
 def _hits(kind: str) -> Column:
-    """Hits with the number of characters since the last one and the text around them."""
+    """Hits with the number of characters since the last one and the text around them, other hits in it or not."""
     gaps, hits = F.col(f"gaps_{kind}"), F.col(f"hits_{kind}")
-    around = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), F.slice(gaps, F.lit(2), F.greatest(F.size(gaps), F.lit(1))).alias("next"))
+    none = F.lit("")
+    at = lambda c, i: F.coalesce(F.get(c, i), none)
+    last = lambda c: F.substring(c, -CONTEXT, CONTEXT)
+    fore = lambda c: F.substring(c, 1, CONTEXT)
+    around = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"))
+    # Two words before and one behind: at most two hits and one.
+    before = lambda i: F.concat(*(last(at(c, i - k)) for k, c in ((2, gaps), (2, hits), (1, gaps), (1, hits), (0, gaps))))
+    behind = lambda i: F.concat(*(fore(at(c, i + k)) for k, c in ((1, gaps), (1, hits), (2, gaps))))
     rows = F.transform(around, lambda z, i: F.struct(
         F.lit(kind).alias("kind"), i.alias("pos"), F.length(z["gap"]).alias("gap"), z["hit"].alias("hit"),
-        F.substring(z["gap"], -CONTEXT, CONTEXT).alias("before"), F.substring(z["next"], 1, CONTEXT).alias("behind")))
+        last(before(i)).alias("before"), fore(behind(i)).alias("behind")))
     return F.filter(rows, lambda z: z["hit"].isNotNull())
 
 
@@ -100,10 +110,11 @@ def spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     docs = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), text.alias("t"))
     marker = F.array(F.struct(F.lit("").alias("kind"), F.lit(0).alias("pos"), F.lit(0).alias("gap"), F.lit("").alias("hit"),
                               F.lit("").alias("before"), F.lit("").alias("behind"))).cast(_HIT)
-    patterns = PATTERNS | {"candidate": CANDIDATE}
+    patterns = PATTERNS | {"candidate": CANDIDATE, "run": RUN}
     rows = _cut(docs, patterns).select("row", "doc_id", F.inline(F.concat(marker, *map(_hits, patterns)))).repartition("row")
     ordered = Window.partitionBy("row", "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("end", F.sum(F.col("gap") + F.length("hit")).over(ordered)).withColumn("start", F.col("end") - F.length("hit"))
+    rows = rows.withColumn("kind", F.when(F.col("kind") == "run", "candidate").otherwise(F.col("kind")))
     rows = rows.filter((F.col("kind") == "") | (F.col("kind") == "candidate") | _valid(F.col("kind"), F.col("hit")))
     # A candidate is the token without the punctuation around it.
     is_candidate, edge = F.col("kind") == "candidate", r"[^\p{L}\p{N}]"
@@ -157,6 +168,9 @@ def extract(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
         F.col("pattern").alias("p"), F.struct(best.alias("score"), kind.alias("kind")).alias("as"))
     unseen = found.filter("kind = 'candidate'").select("row", "doc_id", "start", "end", F.explode("patterns").alias("pattern"))
     new = unseen.join(sure, F.col("pattern") == F.col("p")).groupBy("row", "doc_id", "start", "end").agg(F.max("as").alias("as"))
+    # Of a run and a token in it the run: it starts no later and ends no sooner.
+    longer = Window.partitionBy("row").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    new = new.withColumn("reach", F.max("end").over(longer)).filter("reach is null or reach < end")
     return (found.filter("kind <> 'candidate'").select("row", "doc_id", "kind", "start", "end", F.lit(False).alias("found"))
             .unionByName(new.select("row", "doc_id", F.col("as.kind").alias("kind"), "start", "end", F.lit(True).alias("found"))))
 

@@ -507,6 +507,14 @@ def test_context_finds_unseen_identifiers_only_by_sure_patterns(spark):
     assert pii.digest(pii.extract(frame(spark, []))).count() == 0
 
 
+def test_context_finds_identifiers_with_spaces_and_behind_numbers(spark):
+    phones = ("+1 (017) 555-7713", "+49 30 123 45 67", "+44 20 7946 0958", "+1 212 555 0199")
+    rows = [f"Please call tel no {n} now or write" for n in (*phones, "030 123 4567")] + [f"and line no 2 {n} too" for n in (*phones, "030-1234567")]
+    got = {r["doc_id"]: r["spans"] for r in pii.digest(pii.extract(frame(spark, list(enumerate(rows))))).collect()}
+    assert got[4] == "context_phone:19:31" and rows[4][19:31] == "030 123 4567"
+    assert "context_phone:14:25" in got[9].split(",") and rows[9][14:25] == "030-1234567"
+
+
 def test_pii_is_native(spark, docs):
     plan = pii.spans(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
