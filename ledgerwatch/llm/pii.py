@@ -9,6 +9,7 @@ instance by the patterns that extract it (noisy or).  Patterns that reach
 ``confidence`` with ``least_seeds`` different seeds find unseen identifiers:
 tokens with a digit or an ``@``, and runs of tokens with a digit, that no base
 span touches; of two found spans one within the other, the longer is reported.
+What a sure pattern extracts is a seed of the next round.
 
 Everything is DataFrame functions.  Texts are read once; spans and candidates,
 a small part of the text, are written to the shared folder with their contexts.
@@ -138,22 +139,33 @@ def spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
                        F.when(F.col("kind") != "", F.array_compact(both)).otherwise(F.array().cast("array<string>")).alias("patterns"))
 
 
-def pattern_scores(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Patterns of the graph: pattern, seeds (different seed instances), and a score per kind."""
+def _sure(confidence: float, least_seeds: int) -> Column:
+    """Whether a pattern's finds are reported, and seeds of the next round."""
+    return (F.col("seeds") >= least_seeds) & (F.greatest(*(F.col(f"s_{k}") for k in KINDS)) >= confidence)
+
+
+def pattern_scores(found: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE, least_seeds: int = LEAST_SEEDS) -> DataFrame:
+    """Patterns of the graph: pattern, seeds (different instances that are base spans or what sure patterns extract), and a score per kind."""
     edges = staged(found.filter("kind <> ''").select(F.explode("patterns").alias("pattern"), "instance",
                    F.when(F.col("kind") != "candidate", F.col("kind")).alias("seed")).distinct(), "pii-edges")
     score = lambda k: f"s_{k}"
     seeds = edges.select("instance", *(F.when(F.col("seed") == k, 1.0).otherwise(0.0).alias(score(k)) for k in KINDS))
-    instances = seeds.groupBy("instance").agg(*(F.max(score(k)).alias(score(k)) for k in KINDS))
+    instances = seeds.groupBy("instance").agg(*(F.max(score(k)).alias(score(k)) for k in KINDS)).withColumn("promoted", F.lit(False))
     unknown = edges.groupBy("instance").agg(F.max("seed").alias("s")).filter("s is null").select(F.col("instance").alias("i"))
+    best = F.greatest(*(F.col(score(k)) for k in KINDS))
     patterns = None
     for _ in range(rounds):
         patterns = staged(edges.select("pattern", "instance", "seed").join(instances, "instance").groupBy("pattern").agg(
-            F.count("seed").alias("seeds"), *((F.sum(score(k)) / (F.count(F.lit(1)) + 1)).alias(score(k)) for k in KINDS)), "pii-patterns")
-        told = edges.join(unknown, F.col("instance") == F.col("i"), "left_semi").join(patterns.drop("seeds"), "pattern")
-        guessed = told.groupBy("instance").agg(*((1 - F.exp(F.sum(F.log(1 - F.col(score(k)))))).alias(score(k)) for k in KINDS))
+            F.count(F.when(F.col("seed").isNotNull() | F.col("promoted"), 1)).alias("seeds"),
+            *((F.sum(score(k)) / (F.count(F.lit(1)) + 1)).alias(score(k)) for k in KINDS)), "pii-patterns")
+        told = edges.join(unknown, F.col("instance") == F.col("i"), "left_semi").join(
+            patterns.withColumn("sure", _sure(confidence, least_seeds)).withColumn("best", best), "pattern")
+        guess = lambda k: 1 - F.exp(F.sum(F.log(1 - F.col(score(k)))))
+        held = lambda k: F.max(F.when(F.col("sure") & (F.col(score(k)) == F.col("best")), 1.0).otherwise(0.0))
+        guessed = told.groupBy("instance").agg(*(F.greatest(guess(k), held(k)).alias(score(k)) for k in KINDS), F.max("sure").alias("promoted"))
         sure = edges.filter("seed is not null").select("instance", *(F.when(F.col("seed") == k, 1.0).otherwise(0.0).alias(score(k)) for k in KINDS))
-        instances = staged(sure.groupBy("instance").agg(*(F.max(score(k)).alias(score(k)) for k in KINDS)).unionByName(guessed), "pii-instances")
+        known = sure.groupBy("instance").agg(*(F.max(score(k)).alias(score(k)) for k in KINDS)).withColumn("promoted", F.lit(False))
+        instances = staged(known.unionByName(guessed), "pii-instances")
     return patterns
 
 
@@ -161,10 +173,10 @@ def extract(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
             least_seeds: int = LEAST_SEEDS) -> DataFrame:
     """All spans: row, doc_id, kind, start, end, found (by context).  Every text has at least its marker row (kind '')."""
     found = staged(spans(df, id_col, text_col), "pii-spans")
-    patterns = pattern_scores(found, rounds)
+    patterns = pattern_scores(found, rounds, confidence, least_seeds)
     best = F.greatest(*(F.col(f"s_{k}") for k in KINDS))
     kind = F.coalesce(*(F.when(F.col(f"s_{k}") == best, F.lit(k)) for k in KINDS))
-    sure = patterns.filter((F.col("seeds") >= least_seeds) & (best >= confidence)).select(
+    sure = patterns.filter(_sure(confidence, least_seeds)).select(
         F.col("pattern").alias("p"), F.struct(best.alias("score"), kind.alias("kind")).alias("as"))
     unseen = found.filter("kind = 'candidate'").select("row", "doc_id", "start", "end", F.explode("patterns").alias("pattern"))
     new = unseen.join(sure, F.col("pattern") == F.col("p")).groupBy("row", "doc_id", "start", "end").agg(F.max("as").alias("as"))

@@ -515,6 +515,13 @@ def test_context_finds_identifiers_with_spaces_and_behind_numbers(spark):
     assert "context_phone:14:25" in got[9].split(",") and rows[9][14:25] == "030-1234567"
 
 
+def test_found_identifiers_are_seeds_of_the_next_round(spark):
+    phones, unseen = [f"+49 30 123 45 {k}" for k in range(60, 68)], [f"030-{k}" for k in range(1111, 1115)]
+    rows = [f"please dial {n}" for n in (*phones, *unseen)] + [f"or fax {n}" for n in (*unseen, "0177-9999")]
+    got = {r["doc_id"]: r["spans"] for r in pii.digest(pii.extract(frame(spark, list(enumerate(rows))))).collect()}
+    assert got[16] == "context_phone:7:16" and got[8] == "context_phone:12:20"
+
+
 def test_pii_is_native(spark, docs):
     plan = pii.spans(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
