@@ -3,7 +3,7 @@
 Markup is stripped into lines: a block-level tag ends a line, an inline tag
 leaves no trace, and a line remembers whether it stands in an element that is
 no article text (menu, header, footer, sidebar, notice, advert, form, comments)
-or is mostly link text.  Such lines, and those outside the article element
+or, outside an article element, is mostly link text.  Such lines, and those outside the article element
 where a page has one, keep their place but have length zero.  Text lengths are
 summed over sliding windows of ``window`` lines; the distribution surges where
 a sum passes ``surge`` (the first line of text where the page has an article
@@ -80,7 +80,7 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
     def end_line():
         nonlocal pieces, linked
         text = " ".join(html.unescape("".join(pieces)).split()) if pieces else ""
-        counts = 0 if apart or not text or linked > 0.5 * len(text) else len(text)
+        counts = 0 if apart or not text or not article and linked > 0.5 * len(text) else len(text)
         found.append((text, counts, article > 0))
         pieces, linked = [], 0
 

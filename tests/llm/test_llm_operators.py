@@ -331,6 +331,12 @@ def test_main_text_without_an_article_element():
     assert html_text.main_text(page) == f"Head {para} a < b {para}bold x"
 
 
+def test_main_text_keeps_links_of_the_article():
+    page = ("<body><ul><li><a href=0>menu</a></ul><article><h1><a href=1>Title</a></h1><nav><a href=2>menu</a></nav><p><a href=3>A linked paragraph.</a> Yes.</p>"
+            "<p>Text.</p><ul><li><a href=4>Source</a></ul></article><p><a href=5>more</a></p>")
+    assert html_text.main_text(page) == "Title A linked paragraph. Yes. Text. Source"
+
+
 def test_main_text_edges(spark):
     rows = [(1, None, None), (2, "u", ""), (3, "u", "<p>"), (4, "u", "no markup but enough text to count as the main text of a page"), (5, "u", "<article><p>x</article"),
             (6, "u", "<article>" + "<div>y" * 5000), (6, "u", "<a 'b")]
