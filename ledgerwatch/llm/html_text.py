@@ -9,9 +9,10 @@ summed over sliding windows of ``window`` lines; the distribution surges where
 a sum passes ``surge`` (the first line of text where the page has an article
 element) and dives where it falls to zero.  The text between is kept.
 
-Without an article element a run between surge and dive is kept when it holds
-at least ``share`` of the heaviest run's text, so a page cut in two by an advert
-keeps both halves.
+Without an article element the runs between surge and dive that hold at least
+``share`` of the heaviest run's text (of all runs, where none surges) tell the
+container: the innermost element around them that does not merely set text, such
+as a paragraph, a list or a section.  All lines that count in it are kept.
 
 Defined cases: a null or empty page, or one without text, gives an empty text;
 pages cut off in the middle of an element or a tag are read to their end; a
@@ -24,6 +25,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -39,6 +41,9 @@ RAW = frozenset("script style noscript template textarea title iframe object svg
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 APART = frozenset("nav footer aside form button menu dialog".split())
 ARTICLE = frozenset("article main".split())
+#: Elements that set a text's parts and are no container of an article.
+SETTING = frozenset("""p h1 h2 h3 h4 h5 h6 hgroup ul ol li dl dt dd blockquote pre figure figcaption table thead tbody tfoot tr
+    section address details summary""".split())
 _APART_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 _APART_WORDS = frozenset("""ad ads adbox advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner
     nav navbar navigation menu menubar breadcrumb breadcrumbs footer sidebar aside widget notice cookie cookies consent
@@ -68,20 +73,22 @@ def _apart(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """(text, characters that count, in an article element) of each line, and whether the page has an article element."""
-    found: list[tuple[str, int, bool]] = []
+def lines(page: str) -> tuple[list[tuple[str, int, bool, int]], bool, list[list]]:
+    """(text, characters that count, in an article element, element) of each line, whether the page has an article element,
+    and of each element name, element around it (-1: none), and its first line and the one behind its last."""
+    found: list[tuple[str, int, bool, int]] = []
+    elements: list[list] = []
     pieces: list[str] = []
     linked = 0
     has_article = False
-    open_tags: list[tuple[str, bool, bool]] = []  # name, apart, article
+    open_tags: list[tuple[str, bool, bool, int]] = []  # name, apart, article, element
     apart = article = links = 0
 
     def end_line():
         nonlocal pieces, linked
         text = " ".join(html.unescape("".join(pieces)).split()) if pieces else ""
         counts = 0 if apart or not text or not article and linked > 0.5 * len(text) else len(text)
-        found.append((text, counts, article > 0))
+        found.append((text, counts, article > 0, open_tags[-1][3] if open_tags else -1))
         pieces, linked = [], 0
 
     at, n = 0, len(page)
@@ -120,7 +127,8 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
             is_article = name in ARTICLE or bool(re.search(r"role\s*=\s*[\"']?main|itemprop\s*=\s*[\"']?articleBody", m[3]))
             is_apart = _apart(name, m[3], article > 0)
             if not m[3].rstrip().endswith("/"):
-                open_tags.append((name, is_apart, is_article))
+                elements.append([name, open_tags[-1][3] if open_tags else -1, len(found), None])
+                open_tags.append((name, is_apart, is_article, len(elements) - 1))
                 apart += is_apart
                 article += is_article
                 has_article |= is_article and not apart
@@ -128,31 +136,45 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         else:
             for k in range(len(open_tags) - 1, -1, -1):
                 if open_tags[k][0] == name:
-                    for _, was_apart, was_article in open_tags[k:]:
+                    for _, was_apart, was_article, element in open_tags[k:]:
+                        elements[element][3] = len(found)
                         apart -= was_apart
                         article -= was_article
                     del open_tags[k:]
                     break
             links = 0
     end_line()
-    return found, has_article
+    for *_, element in open_tags:
+        elements[element][3] = len(found)
+    return found, has_article, elements
+
+
+def _container(found: list[tuple[str, int, bool, int]], elements: list[list], first: int, last: int) -> tuple[int, int]:
+    """First line, and the one behind the last, of the innermost container around the lines from ``first`` to ``last``."""
+    element = found[first][3]
+    while element >= 0:
+        name, around, start, stop = elements[element]
+        if name not in SETTING and stop > last and (last > first or sum(1 for x in islice(found, start, stop) if x[0]) > 1):
+            return start, stop
+        element = around
+    return 0, len(found)
 
 
 def main_text(page: str, window: int = WINDOW, surge: int = SURGE, share: float = SHARE) -> str:
     """The article's blocks in page order, joined by a space."""
     if not page:
         return ""
-    found, has_article = lines(page)
+    found, has_article, elements = lines(page)
     # Empty lines come from markup alone; a line of boilerplate leaves a gap as wide as the window.
-    kept: list[tuple[str, int]] = []
-    for text, counts, in_article in found:
+    kept: list[tuple[str, int, int]] = []
+    for k, (text, counts, in_article, _) in enumerate(found):
         if has_article and not in_article:
             counts = 0
         if counts:
-            kept.append((text, counts))
+            kept.append((text, counts, k))
         elif text:
-            kept.extend([("", 0)] * window)
-    lengths = [c for _, c in kept] + [0] * window
+            kept.extend([("", 0, k)] * window)
+    lengths = [c for _, c, _ in kept] + [0] * window
     sums, total = [], sum(lengths[:window])
     for k in range(len(kept)):
         sums.append(total)
@@ -164,14 +186,18 @@ def main_text(page: str, window: int = WINDOW, surge: int = SURGE, share: float
         if start is not None:
             risen |= s >= (1 if has_article else surge)
             if s == 0:
-                if risen:
-                    runs.append((start, k))
+                runs.append((start, k, risen))
                 start = None
+    if has_article:
+        return " ".join(t for a, b, risen in runs if risen for t, c, _ in kept[a:b] if c)
     if not runs:
         return ""
-    weight = [sum(lengths[a:b]) for a, b in runs]
-    least = 0 if has_article else share * max(weight)
-    return " ".join(t for (a, b), w in zip(runs, weight) if w >= least for t, c in kept[a:b] if c)
+    runs = [r for r in runs if r[2]] or runs
+    weight = [sum(lengths[a:b]) for a, b, _ in runs]
+    least = share * max(weight)
+    told = [k for (a, b, _), w in zip(runs, weight) if w >= least for _, c, k in kept[a:b] if c]
+    first, behind = _container(found, elements, told[0], told[-1])
+    return " ".join(t for t, c, k in kept if c and first <= k < behind)
 
 
 def _extract(window: int, surge: int, share: float):

@@ -337,6 +337,17 @@ def test_main_text_keeps_links_of_the_article():
     assert html_text.main_text(page) == "Title A linked paragraph. Yes. Text. Source"
 
 
+def test_main_text_keeps_all_runs_of_the_container():
+    long, closing = "A long paragraph of the text. " * 30, "The closing words of the page, of some length."
+    ad, side = "<div class=ad>Buy this</div>", "<div><p>Weather: sun.</p><p>Tides: low.</p></div>"
+    want = f"{long.strip()} {closing}"
+    for page in (f"<body>{side}{ad}<div><p>{long}</p>{ad}<p>{closing}</p></div>{ad}{side}", f"<div><section><p>{long}</p></section>{ad}<section>{closing}</section></div>{ad}{side}",
+                 f"<div><div>{long}</div>{ad}<div>{closing}</div></div>{ad}{side}", f"<div><ul><li>{long}<li>{ad}</ul><p>{closing}</div>"):
+        assert html_text.main_text(page) == want, page
+    assert html_text.main_text("<body><div class=menu>Home</div><div><h1>Short</h1><p>text</p></div>") == "Short text"
+    assert html_text.main_text("<div>y" * 5000).count("y") == 5000
+
+
 def test_main_text_edges(spark):
     rows = [(1, None, None), (2, "u", ""), (3, "u", "<p>"), (4, "u", "no markup but enough text to count as the main text of a page"), (5, "u", "<article><p>x</article"),
             (6, "u", "<article>" + "<div>y" * 5000), (6, "u", "<a 'b")]
