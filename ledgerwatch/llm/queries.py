@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, exact_dedup, html_text, pieces, pii, quality, simhash, token_counts, url_filter, warc
+from . import (byte_bpe, collocations, decontamination, exact_dedup, html_text, pieces, pii, quality, simhash, spelling, token_counts,
+               url_filter, warc)
 from .common import new_path, read_table, staged
 
 
@@ -103,7 +104,52 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.extract(read_table(spark, sf_dir, "documents")))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+with t as (
+    select row_number() over () as doc, coalesce(lang, 'und') as lang,
+           string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') as pieces
+    from documents),
+p as (select lang, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') as w from t),
+g as (
+    select lang, m, array_to_string(list_slice(w, s, s + m - 1), ' ') as phrase
+    from (select lang, w, unnest(range(1, len(w) + 1)) as s from p where len(w) > 0), (values (1), (2), (3), (4)) as lengths(m)
+    where s + m - 1 <= len(w)),
+f as (select lang, m, phrase, count(*) as f from g group by all),
+totals as (select lang, sum(f)::bigint as n from f where m = 1 group by lang),
+often as (select * from f where f >= 30),
+c as (select lang, m, phrase, f as a, string_split(phrase, ' ') as w from often where m > 1),
+cuts as (
+    select c.lang, m, phrase, a, k, array_to_string(list_slice(w, 1, k), ' ') as head, array_to_string(list_slice(w, k + 1, m), ' ') as tail
+    from c, (values (1), (2), (3)) as places(k) where k < m),
+scores as (
+    select cuts.*, h.f as l, t.f as r, (2000000::hugeint * a // (h.f + t.f))::bigint as score
+    from cuts join often h on h.lang = cuts.lang and h.phrase = head join often t on t.lang = cuts.lang and t.phrase = tail),
+best as (select * from scores qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+around as (
+    select lang, array_to_string(list_slice(w, s, s + z - 1), ' ') as inner_phrase, max(a) as most
+    from c, (values (1), (2), (3)) as starts(s), (values (2), (3)) as sizes(z) where z < m and s + z - 1 <= m group by all),
+kept as (
+    select best.* from best left join around on best.lang = around.lang and phrase = inner_phrase
+    where most is null or 100 * most::hugeint < 80 * a::hugeint)
+select lang, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank, phrase, a, l, r, n, score
+from kept join totals using (lang)
+qualify rank <= 2000
+"""
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(read_table(spark, sf_dir, "documents"), *byte_bpe.public_vocabulary())
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_token_rollup, op3_decontamination, op4_warc, op5_url_filter, op6_quality, op7_html_text, op8_pieces,
-    op9_simhash, op10_pii)}
-ORACLE = {"op1_exact_dedup": OP1_SQL, "op5_url_filter": OP5_SQL}
+    op9_simhash, op10_pii, op11_spelling_variants, op12_collocations, op13_byte_bpe)}
+ORACLE = {"op1_exact_dedup": OP1_SQL, "op5_url_filter": OP5_SQL, "op12_collocations": OP12_SQL}
