@@ -12,15 +12,36 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 
 
 def pack(values: np.ndarray) -> bytes:
-    """32-bit integers by byte planes: small numbers leave whole planes of zeros, which Spark's codecs shrink."""
-    return np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """32-bit integers by byte planes, compressed: small numbers leave whole planes of zeros."""
+    return zstandard.compress(np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
 
 def unpack(data) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def pack64(values: np.ndarray) -> bytes:
+    """64-bit integers by byte planes, compressed."""
+    return zstandard.compress(np.ascontiguousarray(values, "<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unpack64(data) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
+def pack_strings(parts: list[bytes]) -> tuple[bytes, bytes]:
+    """Byte strings as (lengths, bytes in a row)."""
+    return pack(np.fromiter(map(len, parts), np.int64, len(parts))), zstandard.compress(b"".join(parts), 1)
+
+
+def unpack_strings(lengths, data) -> list[bytes]:
+    ends = np.cumsum(unpack(lengths).astype(np.int64)).tolist()
+    whole = zstandard.decompress(data)
+    return [whole[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def record_batches(rows: Iterator[tuple], schema: pa.Schema, max_bytes: int = 4 << 20, max_rows: int = 8192) -> Iterator[pa.RecordBatch]:
@@ -39,11 +60,3 @@ def record_batches(rows: Iterator[tuple], schema: pa.Schema, max_bytes: int = 4
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
-
-def pack64(values: np.ndarray) -> bytes:
-    """64-bit integers by byte planes."""
-    return np.ascontiguousarray(values, "<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
-
-
-def unpack64(data) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<i8").ravel()

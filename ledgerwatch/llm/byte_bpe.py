@@ -3,11 +3,11 @@
 Encoding.  Texts are split into pre-tokens, the matches of the public pattern.
 A task numbers the distinct pre-tokens of a block of texts and keeps the texts
 as sequences of those numbers, so a pre-token's positions travel as integers.
-The distinct pre-tokens of all blocks are made distinct once more over the
-whole input, each is encoded once, and its ids are joined back to every block
-that holds it; texts are reassembled by position.  A word as frequent as "the"
-sends one row per block into that join, and a partition that still stands out
-is a skewed side that AQE splits.
+The distinct pre-tokens of all blocks are shuffled by the word's hash, packed
+into one row per block and hash bucket.  A bucket makes them distinct over the
+whole input, encodes each once and sends its ids back to every block that holds
+it; texts are reassembled by position.  A word as frequent as "the" travels once
+per block, and every bucket gets at most one row per block, so there is no hot key.
 
 Decoding.  The distinct ids of a block of id sequences meet the table of token
 bytes in a join; sequences are reassembled by position as bytes.  The table is a
@@ -30,18 +30,24 @@ import base64
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import chain
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .blocks import pack, record_batches, unpack
+from .blocks import pack, pack_strings, record_batches, unpack, unpack_strings
 from .common import byte_rows, map_arrow, new_path, ragged
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: A block is closed once its texts hold this many bytes.
-BLOCK = 4 << 20
+#: A block is closed once its texts hold this many bytes; a bucket remembers words up to a bound in bytes.
+BLOCK, HELD = 8 << 20, 64 << 20
+MOST_BUCKETS = 4096
+#: Pre-tokens of more bytes are merged by a heap.
+SHORT = 64
+_NONE = 1 << 62
 #: Bound of the table of token bytes, which is broadcast (public vocabularies hold 50,000 to 260,000 entries).
 MAX_TOKENS = 1 << 20
 
@@ -71,6 +77,26 @@ def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     whole = ranks.get(piece)
     if whole is not None:
         return [whole]
+    if len(piece) > SHORT:
+        return _merged_long(piece, ranks)
+    parts = [piece[k:k + 1] for k in range(len(piece))]
+    pairs = [ranks.get(piece[k:k + 2], _NONE) for k in range(len(piece) - 1)]
+    while pairs:
+        least = min(pairs)
+        if least == _NONE:
+            break
+        k = pairs.index(least)
+        parts[k] += parts.pop(k + 1)
+        del pairs[k]
+        if k < len(pairs):
+            pairs[k] = ranks.get(parts[k] + parts[k + 1], _NONE)
+        if k:
+            pairs[k - 1] = ranks.get(parts[k - 1] + parts[k], _NONE)
+    return [ranks[p] for p in parts]
+
+
+def _merged_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same with the pairs in a heap: time in proportion to n log n."""
     n = len(piece)
     ends, before = list(range(1, n + 1)), list(range(-1, n - 1))  # of the part that starts here; 0: merged into another
     heap = [(r, k) for k in range(n - 1) if (r := ranks.get(piece[k:k + 2])) is not None]
@@ -93,79 +119,119 @@ def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 # --- encoding ---------------------------------------------------------------------------------------------------------
 
-_CUT = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("place", pa.int32()), ("doc_id", pa.int64()), ("data", pa.binary())])
-_CUT_DDL = "block long, kind int, place int, doc_id long, data binary"
-WORD, TEXT = 0, 1
+_CUT = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int32()), ("places", pa.binary()), ("lengths", pa.binary()),
+                  ("data", pa.binary()), ("doc_ids", pa.list_(pa.int64()))])
+_CUT_DDL = "block long, kind int, bucket int, places binary, lengths binary, data binary, doc_ids array<long>"
+WORDS, TEXTS = 0, 1
 
 
-def _cut(pattern: str, max_bytes: int):
-    """Rows of words (place: their number) and of texts (data: the numbers of their words) of every block."""
+def _cut(pattern: str, max_bytes: int, buckets: int):
+    """A block's distinct pre-tokens, a row per bucket (places: their numbers), and a row of its texts (data: the numbers in order)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
         split = regex.compile(pattern).findall
         block = TaskContext.get().partitionId() << 32
-        numbers: dict[str, int] = {}
-        texts: list[tuple[int | None, np.ndarray]] = []
+        chunk_numbers: dict[str, int] = {}
+        doc_ids: list[int | None] = []
+        texts: list[np.ndarray] = []
 
         def rows():
-            words: dict[str, int] = {}
+            numbers: dict[str, int] = {}
             of_chunks: list[int] = []
-            counts = np.zeros(len(numbers), np.int64)
-            for k, chunk in enumerate(numbers):
+            counts = np.zeros(len(chunk_numbers), np.int64)
+            for k, chunk in enumerate(chunk_numbers):
                 found = split(chunk)
                 counts[k] = len(found)
-                of_chunks.extend([words.setdefault(w, len(words)) for w in found])
-            flat, first = np.array(of_chunks, np.int64), np.cumsum(counts) - counts
-            for word, k in words.items():
-                yield block, WORD, k, None, word.encode()
-            for k, (doc_id, chunks) in enumerate(texts):
-                yield block, TEXT, k, doc_id, pack(flat[ragged(first[chunks], counts[chunks])])
+                for word in set(found).difference(numbers):
+                    numbers[word] = len(numbers)
+                of_chunks.extend(map(numbers.__getitem__, found))
+            flat, first = np.array(of_chunks, np.int32), np.cumsum(counts) - counts
+            chunks = np.concatenate(texts)
+            of = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+            lengths = np.bincount(of, counts[chunks], len(texts)).astype(np.int64)
+            del of
+            sequence = flat[ragged(first[chunks], counts[chunks])]
+            often = np.argsort(-np.bincount(sequence, minlength=len(numbers)), kind="stable")  # frequent ones get small numbers
+            rank = np.empty(len(often), np.int32)
+            rank[often] = np.arange(len(often))
+            words = [w.encode() for w in numbers]
+            words = [words[k] for k in often.tolist()]
+            bucket = np.fromiter(map(crc32, words), np.int64, len(words)) % buckets
+            order = np.argsort(bucket, kind="stable")
+            for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(words) else ():
+                yield (block, WORDS, int(bucket[part[0]]), pack(np.diff(part, prepend=0)), *pack_strings([words[k] for k in part.tolist()]), None)
+            yield block, TEXTS, None, None, pack(lengths), pack(rank[sequence]), doc_ids
 
         size = 0
         for batch in batches:
             for doc_id, data in zip(batch.column(0).to_pylist(), byte_rows(batch.column(1))):
                 chunks = _CHUNKS.findall(data.decode("utf-8", "replace"))
-                for chunk in set(chunks).difference(numbers):
-                    numbers[chunk] = len(numbers)
-                texts.append((doc_id, np.fromiter(map(numbers.__getitem__, chunks), np.int32, len(chunks))))
+                for chunk in set(chunks).difference(chunk_numbers):
+                    chunk_numbers[chunk] = len(chunk_numbers)
+                doc_ids.append(doc_id)
+                texts.append(np.fromiter(map(chunk_numbers.__getitem__, chunks), np.int32, len(chunks)))
                 size += len(data) + 64
                 if size >= max_bytes:
                     yield from record_batches(rows(), _CUT)
-                    numbers, texts, size, block = {}, [], 0, block + 1
+                    chunk_numbers, doc_ids, texts, size, block = {}, [], [], 0, block + 1
         if texts:
             yield from record_batches(rows(), _CUT)
     return run
 
 
-def _encode(shared):
+def _encode(shared, held: int):
+    """Rows sorted by bucket: each distinct pre-token of a bucket is encoded once, and every block gets the ids of its own."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = shared.value
-        for batch in batches:
-            ids = [np.array(merged(w, ranks), "<u4").tobytes() for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["of_word", "ids"])
+
+        def rows():
+            now, memo, size = None, {}, 0
+            for batch in batches:
+                for bucket, block, places, lengths, data in zip(*(batch.column(k).to_pylist() for k in range(5))):
+                    if bucket != now or size > held:  # beyond the bound a bucket's words are encoded anew
+                        now, memo, size = bucket, {}, 0
+                    words = unpack_strings(lengths, data)
+                    for word in set(words).difference(memo):
+                        memo[word] = merged(word, ranks)
+                        size += 200 + len(word) + 8 * len(memo[word])
+                    found = [memo[w] for w in words]
+                    yield (block, WORDS, places, pack(np.fromiter(map(len, found), np.int64, len(found))),
+                           pack(np.fromiter(chain.from_iterable(found), np.int64)), None)
+        yield from record_batches(rows(), _BACK)
     return run
 
 
+_BACK = pa.schema([f for f in _CUT if f.name != "bucket"])
+_BACK_DDL = "block long, kind int, places binary, lengths binary, data binary, doc_ids array<long>"
+
+
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by block, words (their ids) before texts (their numbers): a row of ids per text."""
+    """Rows sorted by block, ids of words before the texts: a row of ids per text."""
     def rows():
-        block, words, flat, first, count = None, [], None, None, None
+        now, replies = None, []
         for batch in batches:
-            columns = [batch.column(k).to_pylist() for k in range(5)]
-            for now, kind, place, doc_id, data in zip(*columns):
-                if now != block:
-                    block, words, flat = now, [], None
-                if kind == WORD:
-                    assert place == len(words), "every word of a block has its ids"
-                    words.append(data)
+            for block, kind, places, lengths, data, doc_ids in zip(*(batch.column(k).to_pylist() for k in range(6))):
+                if block != now:
+                    now, replies = block, []
+                if kind == WORDS:
+                    replies.append((np.cumsum(unpack(places).astype(np.int64)), unpack(lengths), unpack(data)))
                     continue
-                if flat is None:
-                    count = np.fromiter(map(len, words), np.int64, len(words)) // 4
-                    flat, first, words = np.frombuffer(b"".join(words), "<u4"), np.cumsum(count) - count, []
-                numbers = unpack(data)
-                ids = flat[ragged(first[numbers], count[numbers])]
-                yield doc_id, len(ids), ids.tobytes()
+                numbers, texts = unpack(data), unpack(lengths).astype(np.int64)
+                if replies:
+                    place, counts, flat = (np.concatenate(x) for x in zip(*replies))
+                    assert len(place) == int(place.max()) + 1, "every word of a block has its ids"
+                    first, count = np.empty(len(place), np.int64), np.empty(len(place), np.int64)
+                    first[place], count[place] = np.cumsum(counts.astype(np.int64)) - counts, counts
+                else:
+                    first = count = flat = np.zeros(0, np.int64)
+                replies = []
+                stop = 0
+                for doc_id, n in zip(doc_ids, texts.tolist()):
+                    of = numbers[stop:stop + n]
+                    stop += n
+                    ids = flat[ragged(first[of], count[of])].astype("<u4")
+                    yield doc_id, len(ids), ids.tobytes()
 
     yield from record_batches(rows(), _ENCODED)
 
@@ -174,18 +240,18 @@ _ENCODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids",
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           block_bytes: int = BLOCK) -> DataFrame:
+           block_bytes: int = BLOCK, held: int = HELD) -> DataFrame:
     """One row per input row: doc_id, n_tokens, ids (unsigned 32-bit integers, little-endian)."""
     spark = docs.sparkSession
+    buckets = min(MOST_BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     path = new_path(spark, "bpe-blocks")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    map_arrow(rows, _cut(pattern, block_bytes), _CUT_DDL).write.option("compression", "zstd").partitionBy("kind").parquet(path)
+    map_arrow(rows, _cut(pattern, block_bytes, buckets), _CUT_DDL).write.option("compression", "zstd").partitionBy("kind").parquet(path)
     cut = spark.read.schema(_CUT_DDL).parquet(path)
-    words = cut.filter(F.col("kind") == WORD)
-    encoded = map_arrow(words.select("data").distinct(), _encode(spark.sparkContext.broadcast(ranks)), "of_word binary, ids binary")
-    back = words.join(encoded, F.col("data") == F.col("of_word")).select("block", "kind", "place", "doc_id", F.col("ids").alias("data"))
-    both = back.unionByName(cut.filter(F.col("kind") == TEXT).select(*back.columns))
-    return map_arrow(both.repartition("block").sortWithinPartitions("block", "kind", "place"), _assemble, "doc_id long, n_tokens long, ids binary")
+    words = cut.filter(F.col("kind") == WORDS).select("bucket", "block", "places", "lengths", "data")
+    back = map_arrow(words.repartition("bucket").sortWithinPartitions("bucket"), _encode(spark.sparkContext.broadcast(ranks), held), _BACK_DDL)
+    both = back.unionByName(cut.filter(F.col("kind") == TEXTS).select(*back.columns))
+    return map_arrow(both.repartition("block").sortWithinPartitions("block", "kind"), _assemble, "doc_id long, n_tokens long, ids binary")
 
 
 # --- decoding ---------------------------------------------------------------------------------------------------------
@@ -207,10 +273,18 @@ def _id_blocks(max_bytes: int):
             block, held, size = 0, [], 0
 
             def close():
-                for token in np.unique(np.concatenate([np.frombuffer(ids, "<u4") for _, ids in held])).tolist():
-                    yield block, WORD, token, None, None
+                seen = np.zeros(0, bool)
+                for _, ids in held:
+                    tokens = np.frombuffer(ids, "<u4")
+                    if len(tokens) and (most := int(tokens.max())) >= len(seen):
+                        if most >= MAX_TOKENS:
+                            raise ValueError(f"id {most} has no entry in the table of token bytes")
+                        seen = np.concatenate([seen, np.zeros(most + 1 - len(seen), bool)])
+                    seen[tokens] = True
+                for token in np.flatnonzero(seen).tolist():
+                    yield block, WORDS, token, None, None
                 for doc_id, ids in held:
-                    yield block, TEXT, None, doc_id, ids
+                    yield block, TEXTS, None, doc_id, ids
 
             for batch in batches:
                 for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -226,24 +300,27 @@ def _id_blocks(max_bytes: int):
 
 
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by block, distinct ids with their bytes before the sequences: the bytes of each sequence."""
     def rows():
         block, tokens, data = None, [], []
         for batch in batches:
-            columns = [batch.column(k).to_pylist() for k in range(6)]
-            for now, kind, token, doc_id, ids, of_token in zip(*columns):
+            for now, kind, token, doc_id, ids, of_token in zip(*(batch.column(k).to_pylist() for k in range(6))):
                 if now != block:
                     block, tokens, data = now, [], []
-                if kind == WORD:
+                if kind == WORDS:
                     if of_token is None:
                         raise ValueError(f"id {token} has no entry in the table of token bytes")
                     tokens.append(token)
                     data.append(of_token)
                     continue
-                if isinstance(tokens, list):
-                    tokens, count = np.array(tokens, np.int64), np.fromiter(map(len, data), np.int64, len(data))
-                    flat, first = np.frombuffer(b"".join(data), np.uint8), np.cumsum(count) - count
-                at = np.searchsorted(tokens, np.frombuffer(ids, "<u4"))
-                yield doc_id, ids, flat[ragged(first[at], count[at])].tobytes()
+                if data is not None:
+                    places = np.array(tokens, np.int64)
+                    first, count = (np.zeros(int(places.max()) + 1 if len(places) else 0, np.int64) for _ in range(2))
+                    count[places] = np.fromiter(map(len, data), np.int64, len(data))
+                    first[places] = np.cumsum(count[places]) - count[places]
+                    flat, data = np.frombuffer(b"".join(data), np.uint8), None
+                of = np.frombuffer(ids, "<u4")
+                yield doc_id, ids, flat[ragged(first[of], count[of])].tobytes()
     yield from record_batches(rows(), _DECODED)
 
 

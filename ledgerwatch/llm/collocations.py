@@ -45,7 +45,7 @@ LEAST, LONGEST, TOP, SHARE = 30, 4, 2000, 80
 BREAK = b"\xff"
 _PIECES = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", BREAK * 10)
 #: Words of a block, blocks summed in one step, pairs a bucket's second step should hold.
-BLOCK, MERGE, HELD = 1 << 21, 256, 1 << 21
+BLOCK, MERGE, HELD = 1 << 20, 512, 1 << 21
 #: Ranks along a tile's side (2^10), and pairs from which a tile is counted densely.
 BITS, DENSE = 10, 1 << 16
 SIDE = 1 << BITS
@@ -156,7 +156,8 @@ def count_pairs(i: np.ndarray, j: np.ndarray, dense: int = DENSE) -> tuple[np.nd
             found.append((cells | (inside[0] >> 20 << 20), counts[cells]))
         keys = keys[~full[tile]]
     found.append(np.unique(keys, return_counts=True))
-    return _merged(found)
+    del keys
+    return _merged(found) if len(found) > 1 else found[0]
 
 
 def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -186,7 +187,7 @@ def _round(block: int, words: np.ndarray, units: np.ndarray, length: int, bucket
     if length > 1:
         fits &= units[1:here + 1] > 0
     at = np.flatnonzero(fits)
-    keys, counts = count_pairs(units[at] - 1, words[at + length] - 1)
+    keys, counts = count_pairs(units[at].astype(np.int64) - 1, words[at + length].astype(np.int64) - 1)
     if not last and len(keys):
         left = np.zeros(len(words), bool)
         left[at + length] = True
@@ -220,8 +221,8 @@ def _first_round(buckets: int):
                         break
                     if blocks[stop] == now:
                         sequence = unpack(batch.column(4)[stop].as_py())
-                        of_number = np.zeros(int(sequence.max()) + 1, np.int64)
-                        of_number[np.concatenate(places)] = np.concatenate(ids).astype(np.int64) + 1
+                        of_number = np.zeros(int(sequence.max()) + 1, np.uint32)
+                        of_number[np.concatenate(places)] = np.concatenate(ids) + 1
                         words = of_number[sequence]
                         yield from _round(int(now), words, words, 1, buckets, False)
                     now, places, ids = None, [], []
@@ -247,15 +248,16 @@ def _next_round(length: int, buckets: int, last: bool):
                     keys, ids = np.concatenate([k for k, _ in replies]), np.concatenate([i for _, i in replies])
                     order = np.argsort(keys)
                     keys, ids, replies = keys[order], ids[order], []
-                    words, units = unpack(a).astype(np.int64), unpack(b).astype(np.int64)
+                    words, units = unpack(a), unpack(b)
                     here = max(0, len(words) - length + 1)
                     fits = np.flatnonzero((units[:here] > 0) & (words[length - 1:length - 1 + here] > 0))
-                    asked = pair_keys(units[fits] - 1, words[fits + length - 1] - 1)
+                    asked = pair_keys(units[fits].astype(np.int64) - 1, words[fits + length - 1].astype(np.int64) - 1)
                     at = np.searchsorted(keys, asked)
                     at[at == len(keys)] = 0
                     met = keys[at] == asked
-                    longer = np.zeros(len(words), np.int64)
-                    longer[fits[met]] = ids[at[met]].astype(np.int64) + 1
+                    longer = np.zeros(len(words), np.uint32)
+                    longer[fits[met]] = ids[at[met]] + 1
+                    del keys, ids, fits, asked, at, met, units
                     yield from _round(block, words, longer, length, buckets, last)
         yield from record_batches(rows(), _ROWS)
     return run
