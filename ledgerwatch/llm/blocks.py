@@ -17,7 +17,7 @@ import zstandard
 
 def pack(values: np.ndarray) -> bytes:
     """32-bit integers by byte planes, compressed: small numbers leave whole planes of zeros."""
-    return zstandard.compress(np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+    return zstandard.compress(np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
 
 
 def unpack(data) -> np.ndarray:
@@ -26,7 +26,7 @@ def unpack(data) -> np.ndarray:
 
 def pack64(values: np.ndarray) -> bytes:
     """64-bit integers by byte planes, compressed."""
-    return zstandard.compress(np.ascontiguousarray(values, "<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+    return zstandard.compress(np.ascontiguousarray(values, "<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), 3)
 
 
 def unpack64(data) -> np.ndarray:
@@ -35,7 +35,7 @@ def unpack64(data) -> np.ndarray:
 
 def pack_strings(parts: list[bytes]) -> tuple[bytes, bytes]:
     """Byte strings as (lengths, bytes in a row)."""
-    return pack(np.fromiter(map(len, parts), np.int64, len(parts))), zstandard.compress(b"".join(parts), 1)
+    return pack(np.fromiter(map(len, parts), np.int64, len(parts))), zstandard.compress(b"".join(parts), 3)
 
 
 def unpack_strings(lengths, data) -> list[bytes]:

@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .blocks import pack, pack_strings, record_batches, unpack, unpack_strings
-from .common import byte_rows, map_arrow, new_path, ragged
+from .common import byte_rows, map_arrow, ragged
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: A block is closed once its texts hold this many bytes; a bucket remembers words up to a bound in bytes.
@@ -119,9 +119,9 @@ def _merged_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 # --- encoding ---------------------------------------------------------------------------------------------------------
 
-_CUT = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int32()), ("places", pa.binary()), ("lengths", pa.binary()),
+_CUT = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int64()), ("places", pa.binary()), ("lengths", pa.binary()),
                   ("data", pa.binary()), ("doc_ids", pa.list_(pa.int64()))])
-_CUT_DDL = "block long, kind int, bucket int, places binary, lengths binary, data binary, doc_ids array<long>"
+_CUT_DDL = "block long, kind int, bucket long, places binary, lengths binary, data binary, doc_ids array<long>"
 WORDS, TEXTS = 0, 1
 
 
@@ -152,16 +152,16 @@ def _cut(pattern: str, max_bytes: int, buckets: int):
             lengths = np.bincount(of, counts[chunks], len(texts)).astype(np.int64)
             del of
             sequence = flat[ragged(first[chunks], counts[chunks])]
-            often = np.argsort(-np.bincount(sequence, minlength=len(numbers)), kind="stable")  # frequent ones get small numbers
+            words, count = list(numbers), np.bincount(sequence, minlength=len(numbers)).tolist()
+            often = sorted(range(len(words)), key=lambda k: (-count[k], words[k]))  # frequent ones get small numbers, a block always the same
             rank = np.empty(len(often), np.int32)
             rank[often] = np.arange(len(often))
-            words = [w.encode() for w in numbers]
-            words = [words[k] for k in often.tolist()]
+            words = [words[k].encode() for k in often]
             bucket = np.fromiter(map(crc32, words), np.int64, len(words)) % buckets
             order = np.argsort(bucket, kind="stable")
             for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(words) else ():
                 yield (block, WORDS, int(bucket[part[0]]), pack(np.diff(part, prepend=0)), *pack_strings([words[k] for k in part.tolist()]), None)
-            yield block, TEXTS, None, None, pack(lengths), pack(rank[sequence]), doc_ids
+            yield block, TEXTS, block, None, pack(lengths), pack(rank[sequence]), doc_ids
 
         size = 0
         for batch in batches:
@@ -181,14 +181,20 @@ def _cut(pattern: str, max_bytes: int, buckets: int):
 
 
 def _encode(shared, held: int):
-    """Rows sorted by bucket: each distinct pre-token of a bucket is encoded once, and every block gets the ids of its own."""
+    """Rows sorted by kind and bucket: each distinct pre-token of a bucket is encoded once, and every block gets the ids of its own.
+
+    Rows of texts pass.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = shared.value
 
         def rows():
             now, memo, size = None, {}, 0
             for batch in batches:
-                for bucket, block, places, lengths, data in zip(*(batch.column(k).to_pylist() for k in range(5))):
+                for block, kind, bucket, places, lengths, data, doc_ids in zip(*(batch.column(k).to_pylist() for k in range(7))):
+                    if kind == TEXTS:
+                        yield block, TEXTS, places, lengths, data, doc_ids
+                        continue
                     if bucket != now or size > held:  # beyond the bound a bucket's words are encoded anew
                         now, memo, size = bucket, {}, 0
                     words = unpack_strings(lengths, data)
@@ -220,7 +226,8 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 numbers, texts = unpack(data), unpack(lengths).astype(np.int64)
                 if replies:
                     place, counts, flat = (np.concatenate(x) for x in zip(*replies))
-                    assert len(place) == int(place.max()) + 1, "every word of a block has its ids"
+                    if len(place) != int(place.max()) + 1:
+                        raise ValueError("words of a block without ids")
                     first, count = np.empty(len(place), np.int64), np.empty(len(place), np.int64)
                     first[place], count[place] = np.cumsum(counts.astype(np.int64)) - counts, counts
                 else:
@@ -241,16 +248,16 @@ _ENCODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids",
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
            block_bytes: int = BLOCK, held: int = HELD) -> DataFrame:
-    """One row per input row: doc_id, n_tokens, ids (unsigned 32-bit integers, little-endian)."""
+    """One row per input row: doc_id, n_tokens, ids (unsigned 32-bit integers, little-endian).
+
+    ``docs`` should be read from files: a task that is run again has to see its rows in the same order, or the job fails.
+    """
     spark = docs.sparkSession
     buckets = min(MOST_BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    path = new_path(spark, "bpe-blocks")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    map_arrow(rows, _cut(pattern, block_bytes, buckets), _CUT_DDL).write.option("compression", "zstd").partitionBy("kind").parquet(path)
-    cut = spark.read.schema(_CUT_DDL).parquet(path)
-    words = cut.filter(F.col("kind") == WORDS).select("bucket", "block", "places", "lengths", "data")
-    back = map_arrow(words.repartition("bucket").sortWithinPartitions("bucket"), _encode(spark.sparkContext.broadcast(ranks), held), _BACK_DDL)
-    both = back.unionByName(cut.filter(F.col("kind") == TEXTS).select(*back.columns))
+    cut = map_arrow(rows, _cut(pattern, block_bytes, buckets), _CUT_DDL)
+    dealt = cut.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket")
+    both = map_arrow(dealt, _encode(spark.sparkContext.broadcast(ranks), held), _BACK_DDL)
     return map_arrow(both.repartition("block").sortWithinPartitions("block", "kind"), _assemble, "doc_id long, n_tokens long, ids binary")
 
 
