@@ -8,6 +8,7 @@ places so both engines are compared on the same footing.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -399,6 +400,40 @@ def q_table_upsert(spark, sf_dir):
     return silver.read().select(*_SILVER_COLS)
 
 
+@register("m1_table_version", O.ORDERS_CTES + """
+SELECT *, CAST(created_at AS DATE) AS order_date FROM seed_silver""", _SILVER_COLS, ["unit_price", "total_price"])
+def q_table_version(spark, sf_dir):
+    """The version before the incoming batch, read after that batch is in."""
+    seed, incoming = fx.split_raw(fx.raw_orders(spark, sf_dir))
+    silver = tables.SilverTable(spark, scratch_path(spark, "m1-versions"))
+    before = silver.upsert(seed, fx.SEED_INGEST_TS, extra_order=fx.TIE_BREAK, batch_id="seed").version
+    silver.upsert(incoming, fx.INCOMING_INGEST_TS, extra_order=fx.TIE_BREAK, batch_id="incoming")
+    return silver.read(version=before).select(*_SILVER_COLS)
+
+
+_SKIPS = {"key": {"order_id": (500, 520)}, "cluster": {"region": ("ASIA", "ASIA"), "status": ("pending", "pending")},
+          "dates": {"order_date": (dt.date(1996, 3, 1), dt.date(1996, 6, 30)), "region": ("EUROPE", "EUROPE")}}
+_SKIP_SQL = {"key": "order_id BETWEEN 500 AND 520", "cluster": "region = 'ASIA' AND status = 'pending'",
+             "dates": "order_date BETWEEN DATE '1996-03-01' AND DATE '1996-06-30' AND region = 'EUROPE'"}
+
+
+@register("s6_data_skipping", O.ORDERS_CTES + ", seeded AS (SELECT *, CAST(created_at AS DATE) AS order_date FROM seed_silver)" + " UNION ALL".join(
+    f"\nSELECT '{name}' AS filter, COUNT(*) AS row_count, SUM(quantity)::BIGINT AS quantity, TRUE AS opens_half_the_files_at_most FROM seeded WHERE {where}"
+    for name, where in _SKIP_SQL.items()))
+def q_data_skipping(spark, sf_dir):
+    """Filters on the cluster columns: their rows, and whether the manifest ruled out half of the files or more."""
+    seed, _ = fx.split_raw(fx.raw_orders(spark, sf_dir))
+    rows = report.row_count(fx.silver_seed(spark, sf_dir)).first()[0]
+    silver = tables.SilverTable(spark, scratch_path(spark, "s6-skipping"), rows_per_file=max(1, rows // 64))
+    silver.upsert(seed, fx.SEED_INGEST_TS, extra_order=fx.TIE_BREAK, batch_id="seed")
+    n_files, out = len(silver.files()), None
+    for name, where in _SKIPS.items():
+        found = silver.read(where=where).agg(F.count(F.lit(1)).alias("row_count"), F.sum("quantity").alias("quantity")).select(
+            F.lit(name).alias("filter"), "row_count", "quantity", F.lit(2 * len(silver.files(where=where)) <= n_files).alias("opens_half_the_files_at_most"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 @register("s7_rejects", O.ORDERS_CTES + """
 SELECT order_id, customer_id, product, quantity, l_partkey, l_suppkey, l_linenumber,
        'null:' || CASE WHEN region = 'ASIA' THEN 'status,region' ELSE 'status' END AS reason

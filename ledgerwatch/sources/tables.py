@@ -1,23 +1,20 @@
 """Table sources and sinks: SILVER table, marts, reports, structured logs.
 
-SILVER is a parquet table partitioned by ``order_date`` (= ``DATE(created_at)``)
-and clustered by sorting each file on ``region, status`` (S6).  An upsert
-(:meth:`SilverTable.upsert`) rewrites only the partitions the batch touches:
-
-1. the batch is cast, split into valid rows and rejects, reduced to the
-   latest row per key, and staged; rejects are always written, by batch id;
-2. the dates to read are those of stored rows whose key is in the batch (a
-   key and date scan of SILVER, semi-joined with the batch) and the batch's own
-   dates, since a newer version may carry another ``created_at``; the list is at
-   most the calendar's days and reaches the scan as a partition filter;
-3. the merge result is written to a staging folder under the cluster's
-   shared ``spark.checkpoint.dir`` - this cuts the lineage, so a lost executor
-   recomputes from the staged files, never from the half-overwritten table;
-4. the staged partitions with an insert or update replace those of the table
-   (dynamic partition overwrite), and the staging folders are removed.
-
-Readers that must not see the middle of step 4 should read a copy; a plain
-parquet folder has no snapshots.
+SILVER is a table of versions (:mod:`ledgerwatch.sources.snapshots`), its files
+ordered by ``order_date, region, status, order_id`` with their least and greatest
+values in the manifest (S6).  An upsert (:meth:`SilverTable.upsert`)
+
+1. casts the batch, splits it into valid rows and rejects, reduces it to the
+   latest row per key and stages it; rejects are always written, by batch id;
+2. finds the files that hold a key of the batch (a key scan of the files whose
+   key range meets the batch's), wherever the row's ``created_at`` put it;
+3. merges their rows with the batch into a staging folder under the cluster's
+   shared ``spark.checkpoint.dir``, which cuts the lineage;
+4. writes the result as new files and publishes a version in which they stand
+   in place of the old ones.
+
+A reader sees one version to its end.  An upsert that loses against another
+writer is run again on the version that won.
 """
 
 from __future__ import annotations
@@ -34,10 +31,12 @@ from ledgerwatch.operators.upsert import ACTIONS, merge_counts, merge_upsert, pr
 from ledgerwatch.session import drop_path, scratch_path
 from ledgerwatch.sources.contracts import (
     FAILURE_RECORD,
+    ORDER_KEY,
     SILVER_CLUSTER,
     SILVER_ORDERS,
     SILVER_PARTITION,
 )
+from ledgerwatch.sources.snapshots import ROWS_PER_FILE, CommitConflict, SnapshotTable
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -70,6 +69,9 @@ class UpsertResult:
     counts: DataFrame          # rows per branch (_action, rows)
     changed_dates: DataFrame   # order_date values with an insert or update
     rejects_path: str          # folder of this batch's rejected rows
+    base: int | None = None    # version the batch was merged into
+    version: int | None = None # version that holds it (the base, if it changed nothing)
+    gone: tuple = ()           # files of the base that the version replaces
 
 
 #: More partition dates than this are not listed: the target is then read whole, with the same result.
@@ -86,27 +88,29 @@ def _delete_partitions(spark: SparkSession, path: str, column: str, values: list
             fs.delete(p, True)
 
 
-class SilverTable:
+class SilverTable(SnapshotTable):
     """SILVER ``orders`` at ``path``."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path
+    #: An upsert that finds its base version overtaken starts again so often.
+    ATTEMPTS = 5
 
-    def create_if_missing(self) -> None:
-        """CREATE TABLE IF NOT EXISTS (typed, partitioned, empty)."""
-        if not _exists(self.spark, self.path):
-            self.spark.createDataFrame([], SILVER_ORDERS).write.partitionBy(SILVER_PARTITION).parquet(self.path)
+    def __init__(self, spark: SparkSession, path: str, rows_per_file: int = ROWS_PER_FILE):
+        super().__init__(spark, path, SILVER_ORDERS, [SILVER_PARTITION, *SILVER_CLUSTER, ORDER_KEY], rows_per_file=rows_per_file)
 
-    def read(self) -> DataFrame:
-        return self.spark.read.schema(SILVER_ORDERS).parquet(self.path)
+    def create_if_missing(self) -> None:
+        """CREATE TABLE IF NOT EXISTS (typed, empty)."""
+        if self.latest() is None:
+            try:
+                self.commit(None, self.manifest())
+            except CommitConflict:
+                pass  # created meanwhile
 
     def count(self) -> DataFrame:
         return self.read().agg(F.count(F.lit(1)).alias("row_count"))
 
     def upsert(self, raw: DataFrame, ingest_ts=None, extra_order: tuple = (), rejects_path: str | None = None,
                batch_id: str | None = None) -> UpsertResult:
-        """MERGE a RAW batch; returns branch counts and the changed dates.
+        """MERGE a RAW batch; returns branch counts, the changed dates and the version.
 
         ``ingest_ts`` defaults to the current time (S8 default of
         ``_ingested_at``).  Rejected rows (NULL contract columns, Q11) go to
@@ -118,31 +122,48 @@ class SilverTable:
         source, rejects = prepare_source(raw, extra_order=list(extra_order))
         rejected = f"{(rejects_path or self.path + '_rejects').rstrip('/')}/batch_id={batch_id or uuid.uuid4().hex}"
         rejects.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(rejected)
-        batch, stage = scratch_path(self.spark, "silver-batch"), scratch_path(self.spark, "silver-stage")
+        batch = scratch_path(self.spark, "silver-batch")
         source.write.parquet(batch)
         source = self.spark.read.schema(source.schema).parquet(batch)
-        target = self.target_of(source)
-        merge_upsert(target, source, ts).write.parquet(stage)
-        staged = self.spark.read.schema(
-            T.StructType(SILVER_ORDERS.fields + [T.StructField("_action", T.StringType())])).parquet(stage)
-        counts = [tuple(r) for r in merge_counts(staged).collect()]
-        # Only partitions with an insert or update are replaced; each is
-        # rewritten whole (its untouched rows included), as dynamic overwrite needs.
-        changed = staged.filter(F.col("_action").isin("inserted", "updated")).select(SILVER_PARTITION).distinct()
-        dates = [r[0] for r in changed.collect()]
-        if dates:
-            write_partitioned(staged.filter(F.col(SILVER_PARTITION).isin(dates)).drop("_action"), self.path)
-        for path in (batch, stage):
-            drop_path(self.spark, path)
+        try:
+            for attempt in range(self.ATTEMPTS):
+                try:
+                    return self._merge(source, ts, rejected)
+                except CommitConflict:
+                    if attempt == self.ATTEMPTS - 1:
+                        raise
+        finally:
+            drop_path(self.spark, batch)
+
+    def _merge(self, source: DataFrame, ts, rejected: str) -> UpsertResult:
+        base = self.latest()
+        touched = self.files_of(source, base)
+        stage = scratch_path(self.spark, "silver-stage")
+        try:
+            merge_upsert(self.open(touched), source, ts).write.parquet(stage)
+            staged = self.spark.read.schema(
+                T.StructType(SILVER_ORDERS.fields + [T.StructField("_action", T.StringType())])).parquet(stage)
+            counts = [tuple(r) for r in merge_counts(staged).collect()]
+            changed = staged.filter(F.col("_action").isin("inserted", "updated")).select(SILVER_PARTITION).distinct()
+            dates = [r[0] for r in changed.collect()]
+            version = self.replace(base, touched, staged, sum(n for _, n in counts)) if dates else base
+        finally:
+            drop_path(self.spark, stage)
         return UpsertResult(self.spark.createDataFrame(counts, "_action string, rows long"),
-                            self.spark.createDataFrame([(d,) for d in dates], f"{SILVER_PARTITION} date"), rejected)
-
-    def target_of(self, source: DataFrame) -> DataFrame:
-        """The stored partitions a batch can touch: those that hold its keys, and its own dates."""
-        stored = self.read().select("order_id", SILVER_PARTITION).join(source.select("order_id"), "order_id", "left_semi")
-        own = source.select(F.to_date("created_at").alias(SILVER_PARTITION))
-        dates = [r[0] for r in stored.select(SILVER_PARTITION).unionByName(own).distinct().limit(MAX_DATES + 1).collect()]
-        return self.read() if len(dates) > MAX_DATES else self.read().filter(F.col(SILVER_PARTITION).isin(dates))
+                            self.spark.createDataFrame([(d,) for d in dates], f"{SILVER_PARTITION} date"), rejected, base, version, touched)
+
+    def files_of(self, source: DataFrame, version: int | None = None) -> list[str]:
+        """The files of a version that hold a key of the batch."""
+        ends = source.agg(F.min(ORDER_KEY), F.max(ORDER_KEY)).first()
+        if ends[0] is None:
+            return []
+        files = self.files(version, {ORDER_KEY: tuple(ends)})
+        if not files:
+            return []
+        keys = source.select(F.col(ORDER_KEY).alias("_key"))
+        stored = self.open(files).select(ORDER_KEY, F.col("_metadata.file_path").alias("_file"))
+        held = {r[0].rsplit("/", 1)[1] for r in stored.join(keys, F.col(ORDER_KEY) == F.col("_key"), "left_semi").select("_file").distinct().collect()}
+        return [f for f in files if f.rsplit("/", 1)[1] in held]
 
 
 def refresh_revenue_mart(silver: SilverTable, changed_dates: DataFrame, mart_path: str) -> None:
@@ -150,7 +171,7 @@ def refresh_revenue_mart(silver: SilverTable, changed_dates: DataFrame, mart_pat
 
     A1 groups by ``order_date`` (= DATE(created_at), never changed by an
     update), so a batch can only alter the mart rows of the dates it inserted or
-    updated.  Those dates are read from SILVER by partition pruning, aggregated
+    updated.  Those dates are read from the files of SILVER that hold them, aggregated
     and written over the same partitions of the mart (dynamic overwrite).  A
     changed date left without rows (e.g. every order cancelled) has its mart
     partition removed; that list is at most the batch's changed dates.
@@ -160,8 +181,9 @@ def refresh_revenue_mart(silver: SilverTable, changed_dates: DataFrame, mart_pat
     dates = [r[0] for r in changed_dates.select(SILVER_PARTITION).distinct().limit(MAX_DATES + 1).collect()]
     if not dates:
         return
-    part = silver.read().filter(F.col(SILVER_PARTITION).isin(dates)) if len(dates) <= MAX_DATES else \
-        silver.read().join(changed_dates, SILVER_PARTITION, "left_semi")
+    stored = silver.read(where={SILVER_PARTITION: (min(dates), max(dates))})
+    part = stored.filter(F.col(SILVER_PARTITION).isin(dates)) if len(dates) <= MAX_DATES else \
+        stored.join(changed_dates, SILVER_PARTITION, "left_semi")
     fresh = revenue_by_product(part)
     stage = scratch_path(spark, "revenue-stage")
     fresh.write.parquet(stage)
