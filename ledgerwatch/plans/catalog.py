@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwatch.operators import alerts, audit, logs, marts, report, series, upsert
+from ledgerwatch.operators import alerts, audit, changes, combine, logs, maintained, marts, report, series, upsert
+from ledgerwatch.operators.joins import local_table
 from ledgerwatch.plans import oracle_signals as OS
 from ledgerwatch.plans import oracle_sql as O
 from ledgerwatch.plans import panels as PN
@@ -381,6 +382,33 @@ def q_incidents(spark, sf_dir):
     return inc.select("metric", "incident_seq", "opened_at", "last_fired_at", "resolved_at", "episodes")
 
 
+#: (policy, condition, metric, threshold of an hour's sum, series that must violate it) and each policy's combiner.
+_CONDITIONS = [("both", "c1", "purchase", 60.0, 2), ("both", "c2", "error", 60.0, 1), ("any", "c1", "signup", 120.0, 1), ("any", "c2", "click", 90.0, 2),
+               ("three", "c1", "view", 25.0, 1), ("three", "c2", "click", 25.0, 2), ("three", "c3", "signup", 25.0, 1)]
+_COMBINERS = [("both", "AND"), ("any", "OR"), ("three", "AND")]
+_COMBINED_SQL = f"""
+WITH {O.aligned_cte(3600, "SUM(value)")},
+cfg(policy_id, condition_id, metric, threshold, needed) AS (VALUES {", ".join(map(str, _CONDITIONS))}),
+pol(policy_id, combiner) AS (VALUES {", ".join(map(str, _COMBINERS))}),
+c AS (SELECT policy_id, condition_id, window_start FROM aligned JOIN cfg USING (metric) WHERE value > threshold
+      GROUP BY policy_id, condition_id, needed, window_start HAVING COUNT(*) >= needed),
+h AS (SELECT policy_id, window_start FROM c JOIN pol USING (policy_id) GROUP BY policy_id, combiner, window_start
+      HAVING combiner = 'OR' OR COUNT(*) = (SELECT COUNT(*) FROM cfg WHERE cfg.policy_id = c.policy_id)),
+i AS (SELECT *, window_start - to_hours(row_number() OVER (PARTITION BY policy_id ORDER BY window_start)) AS island FROM h)
+SELECT policy_id, MIN(window_start) AS started_at, MAX(window_start) + INTERVAL '1 hour' AS ended_at FROM i GROUP BY policy_id, island"""
+
+
+@register("e5_combined_conditions", _COMBINED_SQL)
+def q_combined(spark, sf_dir):
+    aligned = series.align(fx.metric_points(spark, sf_dir), 3600, "ALIGN_SUM")
+    conditions = local_table(spark, _CONDITIONS, "policy_id string, condition_id string, on_metric string, threshold double, trigger_count int")
+    met = aligned.join(F.broadcast(conditions), F.col("metric") == F.col("on_metric"))
+    flagged = alerts.threshold_flags(met, "COMPARISON_GT", F.col("threshold"))
+    episodes = alerts.hold_episodes(flagged, 3600, 0, keys=["policy_id", "condition_id", "series_key"])
+    policies = local_table(spark, _COMBINERS, "policy_id string, combiner string")
+    return combine.policy_intervals(episodes, conditions, policies)
+
+
 # --------------------------------------------------------------------------- tables and sinks, written and read back
 
 DRIFT_DAYS = 3
@@ -434,6 +462,66 @@ def q_data_skipping(spark, sf_dir):
     return out
 
 
+#: Days from the fixture's epoch at which the change feed begins, and between the backfill's chunks; half a window behind its low end a chunk is read.
+FEED_START, CHUNK_EVERY, CHUNK_HALF = 250, 60, 20
+_DAY = 100_000_000_000
+
+
+@register("s3_change_records", "WITH " + O.RAW_CTE + f"""
+SELECT {O.BUSINESS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY date_diff('minute', created_at, updated_at) DESC, l_partkey DESC, l_linenumber DESC) AS rn
+  FROM raw) x WHERE rn = 1 AND quantity <> 7""", _BUS, ["unit_price", "total_price"])
+def q_change_records(spark, sf_dir):
+    """RAW lines as a log in which quantity 7 deletes the order: its later part comes as events out of order and partly twice, its
+    earlier part only in the chunks of a backfill that ran meanwhile."""
+    raw = upsert.cast_projection(fx.raw_orders(spark, sf_dir), keep=["l_partkey", "l_linenumber"])
+    place = (F.expr("timestampdiff(MINUTE, created_at, updated_at)") + 2000) * _DAY + F.col("l_partkey") * 1000 + F.col("l_linenumber")
+    path = scratch_path(spark, "s3-log")
+    raw.select(*_BUS, place.alias("position"), F.when(F.col("quantity") == 7, changes.DELETE).otherwise(changes.UPDATE).alias("op"),
+               F.pmod(F.xxhash64("order_id", "l_linenumber"), F.lit(3)).alias("batch")).write.parquet(path)
+    log = spark.read.parquet(path)
+    start = (FEED_START + 2000) * _DAY
+    feed = log.filter(F.col("position") > start)
+    batch = lambda k: changes.events(feed.filter(F.col("batch") == k), F.col("op"), F.col("position"))
+
+    def chunk(k):
+        low = start + k * CHUNK_EVERY * _DAY
+        seen = log.filter((F.col("position") <= low + CHUNK_HALF * _DAY) & (F.pmod("order_id", F.lit(4)) == k))
+        state = upsert.latest_per_key(seen, "order_id", ["position"]).filter(F.col("op") != changes.DELETE)
+        return changes.chunk(state, low, low + 2 * CHUNK_HALF * _DAY)
+
+    replica = changes.ReplicaTable(spark, scratch_path(spark, "s3-replica"))
+    for records in (batch(1).unionByName(chunk(0)), batch(2).unionByName(chunk(1)).unionByName(chunk(3)), batch(0).unionByName(chunk(2)), batch(1)):
+        replica.apply(records)
+    return replica.current()
+
+
+def _maintained(spark, sf_dir, definition, name):
+    """A mart that follows SILVER through three batches, refreshed behind each."""
+    seed, incoming = fx.split_raw(fx.raw_orders(spark, sf_dir))
+    silver = tables.SilverTable(spark, scratch_path(spark, f"{name}-silver"))
+    mart = maintained.MaintainedMart(spark, scratch_path(spark, f"{name}-mart"), silver, definition)
+    half = F.pmod("order_id", F.lit(2))
+    for k, (rows, ts) in enumerate(((seed, fx.SEED_INGEST_TS), (incoming.filter(half == 0), fx.INCOMING_INGEST_TS), (incoming.filter(half == 1), fx.INCOMING_INGEST_TS))):
+        silver.upsert(rows, ts, extra_order=fx.TIE_BREAK, batch_id=str(k))
+        mart.refresh()
+    return mart.mart()
+
+
+@register("a1_revenue_maintained", O.ORDERS_CTES + O.REVENUE_MART,
+          ["product", "region", "order_date", "order_count", "total_quantity", "total_revenue",
+           "avg_order_value", "first_order", "last_order"], ["total_revenue", "avg_order_value"])
+def q_revenue_maintained(spark, sf_dir):
+    return _maintained(spark, sf_dir, maintained.revenue_definition(), "a1")
+
+
+@register("a2_status_maintained", O.ORDERS_CTES + O.STATUS_MART,
+          ["status", "region", "status_date", "order_count", "total_value", "avg_processing_minutes"],
+          ["total_value", "avg_processing_minutes"])
+def q_status_maintained(spark, sf_dir):
+    return _maintained(spark, sf_dir, maintained.status_definition(), "a2")
+
+
 @register("s7_rejects", O.ORDERS_CTES + """
 SELECT order_id, customer_id, product, quantity, l_partkey, l_suppkey, l_linenumber,
        'null:' || CASE WHEN region = 'ASIA' THEN 'status,region' ELSE 'status' END AS reason

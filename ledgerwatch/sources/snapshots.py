@@ -147,11 +147,39 @@ class SnapshotTable:
             return self.spark.createDataFrame([], self._manifest_schema)
         return self.spark.read.schema(self._manifest_schema).parquet(f"{self.path}/_manifests/{self._entry(version)['manifest']}")
 
-    def commit(self, base: int | None, manifest: DataFrame) -> int:
-        """Publish ``manifest`` as the version behind ``base``."""
+    def note(self, version: int) -> dict:
+        """What was published with a version."""
+        return self._entry(version).get("note") or {}
+
+    def difference(self, before: int, after: int) -> tuple[list[str], list[str]]:
+        """The files that only the one version holds, and those that only the other does."""
+        one, other = self.manifest(before).select("file"), self.manifest(after).select("file")
+        return tuple([f"{self.path}/{r[0]}" for r in a.join(b, "file", "left_anti").collect()] for a, b in ((one, other), (other, one)))
+
+    def files_of(self, rows: DataFrame, keys: Sequence[str], version: int | None = None) -> list[str]:
+        """The files of a version that hold a key of ``rows``: a scan of the key columns of those whose range meets the rows'."""
+        known = [c for c in keys if c in self.stats]
+        ends = rows.agg(F.count(F.lit(1)), *[f(c) for c in known for f in (F.min, F.max, F.count)]).first()
+        if not ends[0]:
+            return []
+        # a null lies in no range
+        where = {c: (ends[3 * k + 1], ends[3 * k + 2]) for k, c in enumerate(known) if ends[3 * k + 3] == ends[0]}
+        files = self.files(version, where)
+        if not files:
+            return []
+        asked = rows.select(*[F.col(c).alias(f"_k_{c}") for c in keys])
+        same = F.lit(True)
+        for c in keys:
+            same = same & (F.col(c).eqNullSafe(F.col(f"_k_{c}")))
+        stored = self.open(files).select(*keys, F.col("_metadata.file_path").alias("_file"))
+        held = {r[0].rsplit("/", 1)[1] for r in stored.join(asked, same, "left_semi").select("_file").distinct().collect()}
+        return [f for f in files if f.rsplit("/", 1)[1] in held]
+
+    def commit(self, base: int | None, manifest: DataFrame, note: dict | None = None) -> int:
+        """Publish ``manifest``, with a note, as the version behind ``base``."""
         name, version = uuid.uuid4().hex, 0 if base is None else base + 1
         manifest.select(*self._manifest_schema.names).coalesce(1).write.parquet(f"{self.path}/_manifests/{name}")
-        entry = json.dumps({"version": version, "manifest": name})
+        entry = json.dumps({"version": version, "manifest": name, "note": note})
         if not Files(self.spark, self.path).publish(entry, f"{self.path}/_versions/{version:012d}"):
             raise CommitConflict(f"version {version} of {self.path} is taken")
         return version
@@ -198,11 +226,11 @@ class SnapshotTable:
         ends = [end(c).alias(f"{c}_{n}") for c in self.stats for n, end in (("min", F.min), ("max", F.max))]
         return written.groupBy(name.alias("file")).agg(F.count(F.lit(1)).alias("rows"), *ends)
 
-    def replace(self, base: int | None, gone: Sequence[str], rows: DataFrame, n_rows: int) -> int:
+    def replace(self, base: int | None, gone: Sequence[str], rows: DataFrame, n_rows: int, note: dict | None = None) -> int:
         """The version behind ``base`` without the files ``gone`` and with ``rows``."""
         relative = self.spark.createDataFrame([(f.removeprefix(self.path + "/"),) for f in gone], "file string")
         kept = self.manifest(base).join(relative, "file", "left_anti")
-        return self.commit(base, kept.unionByName(self.write_files(rows, n_rows)))
+        return self.commit(base, kept.unionByName(self.write_files(rows, n_rows)), note)
 
     def optimize(self) -> int | None:
         """All rows in cluster order, in files of ``rows_per_file``: a version of its own."""

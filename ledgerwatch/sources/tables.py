@@ -137,7 +137,7 @@ class SilverTable(SnapshotTable):
 
     def _merge(self, source: DataFrame, ts, rejected: str) -> UpsertResult:
         base = self.latest()
-        touched = self.files_of(source, base)
+        touched = self.files_of(source, [ORDER_KEY], base)
         stage = scratch_path(self.spark, "silver-stage")
         try:
             merge_upsert(self.open(touched), source, ts).write.parquet(stage)
@@ -152,19 +152,6 @@ class SilverTable(SnapshotTable):
         return UpsertResult(self.spark.createDataFrame(counts, "_action string, rows long"),
                             self.spark.createDataFrame([(d,) for d in dates], f"{SILVER_PARTITION} date"), rejected, base, version, touched)
 
-    def files_of(self, source: DataFrame, version: int | None = None) -> list[str]:
-        """The files of a version that hold a key of the batch."""
-        ends = source.agg(F.min(ORDER_KEY), F.max(ORDER_KEY)).first()
-        if ends[0] is None:
-            return []
-        files = self.files(version, {ORDER_KEY: tuple(ends)})
-        if not files:
-            return []
-        keys = source.select(F.col(ORDER_KEY).alias("_key"))
-        stored = self.open(files).select(ORDER_KEY, F.col("_metadata.file_path").alias("_file"))
-        held = {r[0].rsplit("/", 1)[1] for r in stored.join(keys, F.col(ORDER_KEY) == F.col("_key"), "left_semi").select("_file").distinct().collect()}
-        return [f for f in files if f.rsplit("/", 1)[1] in held]
-
 
 def refresh_revenue_mart(silver: SilverTable, changed_dates: DataFrame, mart_path: str) -> None:
     """Incremental A1: recompute the revenue mart only for changed order dates.

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerwatch.operators.changes import ReplicaTable, silver_rows
 from ledgerwatch.sources.contracts import RAW_ORDERS
 from ledgerwatch.sources.tables import SilverTable, refresh_revenue_mart
 
@@ -67,3 +68,17 @@ def start_table_upserts(spark: SparkSession, root: str, targets: dict[str, Silve
     """One stream per included table, each merged into its own target."""
     return {t: start_silver_upsert(cdc_stream(spark, root, [t]), silver, f"{checkpoint_root.rstrip('/')}/{t}", table=t, **settings)
             for t, silver in targets.items()}
+
+
+def start_change_feed(records: DataFrame, replica: ReplicaTable, silver: SilverTable, checkpoint_location: str,
+                      processing_time: str | None = "15 minutes", available_now: bool = False, ingest_ts=None) -> StreamingQuery:
+    """Change records (``operators.changes.CHANGES``, of events and backfill chunks alike) into the replica, what changed into SILVER.
+
+    A batch that broke off behind the replica's commit reports its rows again, and SILVER ignores what it has.
+    """
+    def apply_batch(batch: DataFrame, epoch_id: int) -> None:
+        applied = replica.apply(batch)
+        silver.upsert(silver_rows(applied.changed), ingest_ts=ingest_ts, batch_id=f"changes-{epoch_id}")
+
+    w = records.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint_location)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)).start()
