@@ -214,35 +214,35 @@ def check_spec(spec_id: str, aligner: str, reducer: str, comparison: str | None
             raise ValueError(f"{spec_id}: unknown {name!r}")
 
 
-def _align_specs(j: DataFrame, exact: bool, with_pct: bool) -> DataFrame:
+def _align_specs(j: DataFrame, exact: bool, with_pct: bool, aligners: frozenset) -> DataFrame:
+    """Aligned series of specs: the partial states that ``aligners`` read, and no others."""
     aligner = F.col("aligner")
     keys = ["spec_id", "aligner", "period_s", "reducer", "group_by"]
-    aggs = [F.sum("value").alias("_sum"), F.avg("value").alias("_mean"), F.max("value").alias("_max"),
-            F.min("value").alias("_min"), F.count("value").alias("_n"),
-            F.avg((F.col("value") != 0).cast("double")).alias("_frac"),
-            F.max_by("value", "ts").alias("_last")]
+    states = {"_sum": (F.sum("value"), ("SUM", "DELTA", "RATE")), "_mean": (F.avg("value"), ("MEAN",)), "_max": (F.max("value"), ("MAX",)),
+              "_min": (F.min("value"), ("MIN",)), "_n": (F.count("value"), ("COUNT",)),
+              "_frac": (F.avg((F.col("value") != 0).cast("double")), ("FRACTION_TRUE",)), "_last": (F.max_by("value", "ts"), ("NEXT_OLDER",))}
+    aggs = [e.alias(k) for k, (e, names) in states.items() if not aligners.isdisjoint(f"ALIGN_{n}" for n in names)]
     if with_pct:
         pcts = F.array(*[F.lit(p) for p in _PCTS])
         held = F.when(aligner.startswith("ALIGN_PERCENTILE_"), F.col("value"))  # other specs keep an empty buffer
         aggs.append((F.percentile(held, pcts) if exact else
                      F.percentile_approx(held, pcts, F.lit(PERCENTILE_ACCURACY))).alias("_pct"))
-    al = j.groupBy(*keys, sorted_label_entries("labels").alias("series_key"),
-                   bucket_start("ts", F.col("period_s")).alias("window_start")).agg(*aggs)
-    value = (F.when(aligner.isin("ALIGN_SUM", "ALIGN_DELTA"), F.col("_sum"))
-              .when(aligner == "ALIGN_RATE", F.col("_sum") / F.col("period_s"))
-              .when(aligner == "ALIGN_MEAN", F.col("_mean"))
-              .when(aligner == "ALIGN_MAX", F.col("_max"))
-              .when(aligner == "ALIGN_MIN", F.col("_min"))
-              .when(aligner == "ALIGN_COUNT", F.col("_n").cast("double"))
-              .when(aligner == "ALIGN_FRACTION_TRUE", F.col("_frac"))
-              .when(aligner == "ALIGN_NEXT_OLDER", F.col("_last")))
+    al = j.groupBy(*keys, "series_key", bucket_start("ts", F.col("period_s")).alias("window_start")).agg(*aggs or [F.count(F.lit(1)).alias("_any")])
+    values = {"ALIGN_SUM": F.col("_sum"), "ALIGN_DELTA": F.col("_sum"), "ALIGN_RATE": F.col("_sum") / F.col("period_s"), "ALIGN_MEAN": F.col("_mean"),
+              "ALIGN_MAX": F.col("_max"), "ALIGN_MIN": F.col("_min"), "ALIGN_COUNT": F.col("_n").cast("double"),
+              "ALIGN_FRACTION_TRUE": F.col("_frac"), "ALIGN_NEXT_OLDER": F.col("_last")}
+    value = F.when(F.lit(False), F.lit(None).cast("double"))
+    for name, column in values.items():
+        if name in aligners:
+            value = value.when(aligner == name, column)
     if with_pct:
         for i, p in enumerate(_PCTS):
             value = value.when(aligner == f"ALIGN_PERCENTILE_{int(p * 100):02d}", F.col("_pct")[i])
     return al.select(*keys, "series_key", "window_start", value.cast("double").alias("value"))
 
 
-def align_reduce_specs(points: DataFrame, specs: DataFrame, exact: bool = True, percentiles: bool = True) -> DataFrame:
+def align_reduce_specs(points: DataFrame, specs: DataFrame, exact: bool = True, percentiles: bool = True,
+                       aligners: frozenset = SPEC_ALIGNERS) -> DataFrame:
     """Evaluate many (signal, resource, filter, aligner, period, reducer, group_by)
     specs over ``points``.
 
@@ -262,6 +262,7 @@ def align_reduce_specs(points: DataFrame, specs: DataFrame, exact: bool = True,
     once.  Percentile specs fill a buffer beside the plain partial states, that
     of ``percentile_approx`` unless ``exact``; ``percentiles=False`` leaves the
     buffer out when no spec needs it (and the aggregate is a hash aggregate).
+    ``aligners`` names those that the specs use; the states of others are not kept.
     """
     s = small_side(specs.withColumnRenamed("signal", "_signal"))
     empty_map = F.create_map().cast("map<string,string>")
@@ -274,10 +275,12 @@ def align_reduce_specs(points: DataFrame, specs: DataFrame, exact: bool = True,
         return F.forall(F.map_entries(F.coalesce(wanted, empty_map)),
                         lambda e: F.coalesce(F.col(labels)[e["key"]] == e["value"], F.lit(False)))
 
-    j = points.join(s, points.metric == F.col("_signal"))
+    # The series key is made once per point, not once per point and spec.
+    keyed = points.withColumn("series_key", sorted_label_entries("labels"))
+    j = keyed.join(s, keyed.metric == F.col("_signal"))
     of_type = F.col("resource_filter").isNull() | F.coalesce(F.col("resource_type") == F.col("resource_filter"), F.lit(False))
     j = j.filter(of_type & carries("resource_labels", F.col("resource_label_filter")) & carries("labels", F.col("label_filter")))
-    al = _align_specs(j, exact, percentiles)
+    al = _align_specs(j, exact, percentiles, aligners)
     keys = ["spec_id", "aligner", "period_s", "reducer", "group_by"]
     reducer = F.col("reducer")
     red_key = F.when(reducer == "NONE", F.col("series_key")).otherwise(
@@ -296,3 +299,42 @@ def align_reduce_specs(points: DataFrame, specs: DataFrame, exact: bool = True,
         "spec_id", "series_key", F.map_from_entries("series_key").alias("labels"), "window_start",
         F.timestamp_add("SECOND", F.col("period_s"), F.col("window_start")).alias("window_end"),
         rvalue.cast("double").alias("value"), F.col("_n").alias("series_count"))
+
+
+def counter_delta(points: DataFrame, period_seconds: int) -> DataFrame:
+    """T7 on cumulative counters: how much each series rose in each window.
+
+    A value below the one before it tells a reset, behind which the counter has
+    risen by the value.  A rise between two points is spread evenly over the time
+    between them, so one across a window's edge counts for both windows in
+    proportion.  Points of one time count in the order of their values.
+
+    A window folds to its first and last point and the rises between its points,
+    whatever a series sends; only these states meet across windows, one row per
+    series and window, where neighbours' last and first points give the rise over the edge.
+    """
+    keys = ["metric", "series_key"]
+    rows = points.filter(F.col("value").isNotNull()).select(
+        "metric", sorted_label_entries("labels").alias("series_key"), "ts", "value",
+        bucket_start("ts", F.lit(int(period_seconds))).alias("window_start"))
+
+    def rise(value, before):
+        return F.when(value >= before, value - before).otherwise(value)
+
+    before = F.lag("value").over(Window.partitionBy(*keys, "window_start").orderBy("ts", "value"))
+    states = (rows.withColumn("_rise", F.when(before.isNotNull(), rise(F.col("value"), before)).otherwise(F.lit(0.0)))
+              .groupBy(*keys, "window_start").agg(F.sum("_rise").alias("rises"), F.min(F.struct("ts", "value")).alias("first"),
+                                                  F.max(F.struct("ts", "value")).alias("last")))
+    in_order = Window.partitionBy(*keys).orderBy("window_start")
+    met = states.select("*", F.lag("last").over(in_order).alias("before"), F.lag("window_start").over(in_order).alias("_from"))
+    period = F.expr(f"INTERVAL {int(period_seconds)} SECONDS")
+    edge = met.filter(F.col("before").isNotNull()).select(
+        *keys, "before", "first", rise(F.col("first.value"), F.col("before.value")).alias("_rise"),
+        F.explode(F.sequence("_from", "window_start", period)).alias("window_start"))
+    micros = lambda a, b: F.timestamp_diff("MICROSECOND", a, b).cast("double")
+    inside = micros(F.greatest(F.col("before.ts"), F.col("window_start")), F.least(F.col("first.ts"), F.col("window_start") + period))
+    over = edge.select(*keys, "window_start", (F.col("_rise") * inside / micros(F.col("before.ts"), F.col("first.ts"))).alias("value"))
+    every = states.select(*keys, "window_start", F.col("rises").alias("value")).unionByName(over)
+    return (every.groupBy(*keys, "window_start").agg(F.sum("value").alias("value"))
+            .select("metric", "series_key", F.map_from_entries("series_key").alias("labels"), "window_start",
+                    (F.col("window_start") + period).alias("window_end"), "value"))

@@ -21,7 +21,7 @@ from ledgerwatch.plans import oracle_signals as OS
 from ledgerwatch.plans import oracle_sql as O
 from ledgerwatch.plans import panels as PN
 from ledgerwatch.plans import policies as PL
-from ledgerwatch.session import scratch_path
+from ledgerwatch.session import scratch_path, staged
 from ledgerwatch.sources import fixtures as fx
 from ledgerwatch.sources import tables
 
@@ -122,7 +122,13 @@ def q_status_dist(spark, sf_dir):
            "top_total_revenue", "top_product", "top_product_count", "status_distribution"],
           ["minutes_since_last_ingest", "top_total_revenue"])
 def q_summary(spark, sf_dir):
-    silver, rev, st = _marts(spark, sf_dir)
+    return _summary(spark, sf_dir)
+
+
+def _summary(spark, sf_dir):
+    """Three branches over one evaluation of SILVER."""
+    silver = staged(fx.silver_merged(spark, sf_dir), "a7-silver")
+    rev, st = marts.revenue_by_product(silver), marts.order_status_summary(silver)
     return report.report_summary(report.silver_quality(silver, fx.REPORT_AS_OF),
                                  report.revenue_top(rev, 10), report.status_distribution(st),
                                  fx.REPORT_DATE, fx.PROJECT_ID)
@@ -237,6 +243,25 @@ _align_query("t6_align_fraction_true", 300, "ALIGN_FRACTION_TRUE",
 _align_query("t7_align_delta_hourly", 3600, "ALIGN_DELTA", "SUM(value)")
 
 
+_COUNTER_SQL = """
+WITH n AS (SELECT event_type AS metric, CAST(user_id AS VARCHAR) AS user_id, ts, value, event_id,
+                  row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts, event_id) // 20 AS life FROM events),
+c AS (SELECT metric, user_id, ts, SUM(value) OVER (PARTITION BY metric, user_id, life ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS value FROM n),
+d AS (SELECT *, lag(value) OVER w AS pv, lag(ts) OVER w AS pt FROM c WINDOW w AS (PARTITION BY metric, user_id ORDER BY ts, value)),
+i AS (SELECT *, CASE WHEN pv IS NULL THEN 0 WHEN value >= pv THEN value - pv ELSE value END AS rise FROM d),
+s AS (SELECT *, unnest(generate_series(time_bucket(INTERVAL '1 hour', coalesce(pt, ts)), time_bucket(INTERVAL '1 hour', ts), INTERVAL '1 hour')) AS window_start
+      FROM i)
+SELECT metric, user_id, window_start, window_start + INTERVAL '1 hour' AS window_end,
+       round(SUM(CASE WHEN pt IS NULL OR pt = ts THEN rise
+                ELSE rise * (epoch_us(least(ts, window_start + INTERVAL '1 hour')) - epoch_us(greatest(pt, window_start))) / (epoch_us(ts) - epoch_us(pt)) END), 6) AS value
+FROM s GROUP BY ALL"""
+
+
+@register("t7_counter_delta", _COUNTER_SQL)
+def q_counter_delta(spark, sf_dir):
+    return _flat(series.counter_delta(fx.counter_points(spark, sf_dir), 3600), extra=())
+
+
 @register("t8_reduce_sum_by_label", f"""
 WITH {O.log_entries_cte()},
 m AS (
@@ -553,18 +578,19 @@ def q_report_table(spark, sf_dir):
     return spark.read.parquet(path).select("dataset_id", "table_count", "total_logical_bytes", "recommended_billing_model")
 
 
-@register("s13_json_report", O.merged_query(O.REPORT_SUMMARY), ["report_date", "total_rows", "invalid_prices", "top_product"])
+_REPORT_FIELDS = {"report_date": ("$.report_date", "string"), "project_id": ("$.project_id", "string"), **{
+    f: (f"$.data_quality.{f}", t) for f, t in (("total_rows", "bigint"), ("null_order_ids", "bigint"), ("null_customer_ids", "bigint"),
+                                              ("empty_products", "bigint"), ("invalid_prices", "bigint"), ("minutes_since_last_ingest", "double"),
+                                              ("freshness_ok", "boolean"))},
+    "top_total_revenue": ("$.revenue.total_revenue", "double"), "top_product": ("$.revenue.top_product", "string"),
+    "top_product_count": ("$.revenue.product_count", "bigint"), "status_distribution": ("$.status_distribution", "string")}
+
+
+@register("s13_json_report", O.merged_query(O.REPORT_SUMMARY), list(_REPORT_FIELDS), ["minutes_since_last_ingest", "top_total_revenue"])
 def q_json_report(spark, sf_dir):
-    silver, revenue, status = _marts(spark, sf_dir)
-    quality = report.silver_quality(silver, fx.REPORT_AS_OF)
-    summary = report.report_summary(quality, report.revenue_top(revenue, 10), report.status_distribution(status),
-                                    fx.REPORT_DATE, fx.PROJECT_ID)
     path = scratch_path(spark, "s13-report")
-    tables.write_json_report(report.summary_json(summary, fx.REPORT_AS_OF), path)
-    field = lambda p, t="string": F.get_json_object("value", p).cast(t)
-    return spark.read.text(path).select(field("$.report_date").alias("report_date"), field("$.data_quality.total_rows", "bigint").alias("total_rows"),
-                                        field("$.data_quality.invalid_prices", "bigint").alias("invalid_prices"),
-                                        field("$.revenue.top_product").alias("top_product"))
+    tables.write_json_report(report.summary_json(_summary(spark, sf_dir), fx.REPORT_AS_OF), path)
+    return spark.read.text(path).select(*[F.get_json_object("value", p).cast(t).alias(name) for name, (p, t) in _REPORT_FIELDS.items()])
 
 
 # --------------------------------------------------------------------------- policies and panels

@@ -94,7 +94,7 @@ def evaluate_panels(points: DataFrame, panels: list[Panel], exact: bool = True)
     """All panel series in one pass: ``spec_id, series_key, labels, window_start,
     window_end, value, series_count`` (``spec_id`` = panel id)."""
     return series.align_reduce_specs(points, panel_table(points.sparkSession, panels), exact,
-                                     any(p.aligner.startswith("ALIGN_PERCENTILE_") for p in panels))
+                                     any(p.aligner.startswith("ALIGN_PERCENTILE_") for p in panels), frozenset(p.aligner for p in panels))
 
 
 def scorecards(panel_series: DataFrame, panels: list[Panel]) -> DataFrame:

@@ -64,3 +64,10 @@ def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a staging folder that has been consumed."""
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def staged(df, name: str):
+    """``df`` written to the shared folder and read back: evaluated once, however many branches read it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

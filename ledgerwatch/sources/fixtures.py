@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerwatch.operators.joins import small_side
@@ -250,6 +250,20 @@ def metric_points(spark: SparkSession, sf_dir: str, health: bool = False) -> Dat
         value.cast("double").alias("value"))
 
 
+COUNTER_LIFE = 20
+
+
+def counter_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cumulative counters from ``events``: the running sum per type and user, which starts anew every ``COUNTER_LIFE`` points."""
+    ev = read_table(spark, sf_dir, "events").select("event_type", F.col("user_id").cast("string").alias("user_id"), "event_id",
+                                                    F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("value").cast("double").alias("value"))
+    order = Window.partitionBy("event_type", "user_id").orderBy("ts", "event_id")
+    lives = ev.withColumn("_life", F.floor(F.row_number().over(order) / COUNTER_LIFE))
+    total = Window.partitionBy("event_type", "user_id", "_life").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    return lives.select(F.col("event_type").alias("metric"), F.create_map(F.lit("user_id"), "user_id").alias("labels"), "ts",
+                        F.sum("value").over(total).alias("value"))
+
+
 # --------------------------------------------------------------------------- monitoring signals
 
 STREAM_IDS = [f"orders-stream-{i}" for i in range(4)]
