@@ -39,8 +39,8 @@ from .common import byte_rows, map_arrow, ragged
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Words remembered by a task, and searched at a time; longer words (in bytes) are searched alone.
-MEMO, WORDS_AT_ONCE, LONG_WORD = 1 << 18, 1 << 13, 64
+#: Words, and bytes of words, remembered by a task; words searched at a time; longer words (in bytes) are searched alone.
+MEMO, MEMO_BYTES, WORDS_AT_ONCE, LONG_WORD = 1 << 18, 16 << 20, 1 << 13, 64
 #: Text bytes (or ids) handled at a time.
 BYTES_AT_ONCE = 1 << 20
 
@@ -212,9 +212,9 @@ class Tables:
         at = n
         while at > 0:
             i = start[at]
-            ids[:0] = [piece[at]] if piece[at] >= 0 else [self.bytes[b] for b in word[i:at]]
+            ids.extend([piece[at]] if piece[at] >= 0 else [self.bytes[b] for b in reversed(word[i:at])])
             at = i
-        return tuple(ids)
+        return tuple(reversed(ids))
 
 
 #: A word with the spaces before it; a line feed, unknown to most models, stands alone if it is unknown.
@@ -234,12 +234,12 @@ class Encoder:
 
     def clear(self):
         self.place: dict[str, int] = {}
-        self.first, self.count, self.flat, self.n = [], [], [], 0
+        self.first, self.count, self.flat, self.n, self.held = [], [], [], 0, 0
 
     def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and the offsets of the texts in it."""
         found = [self.words.findall(" " + t.decode("utf-8", "replace")) if t else [] for t in texts]
-        if len(self.place) > MEMO:
+        if len(self.place) > MEMO or self.held > MEMO_BYTES:
             self.clear()
         place = self.place
         new = set(chain.from_iterable(found)).difference(place)
@@ -255,6 +255,7 @@ class Encoder:
 
     def learn(self, words: list[str]):
         data = [w.replace(" ", MARK).encode("utf-8") for w in words]
+        self.held += sum(map(len, data))
         order = sorted(range(len(words)), key=lambda k: len(data[k]))
         for a in range(0, len(order), WORDS_AT_ONCE):
             part = order[a:a + WORDS_AT_ONCE]

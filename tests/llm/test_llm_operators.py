@@ -377,14 +377,31 @@ def test_piece_segmentations_are_the_best(texts):
     encoder = pieces.Encoder(tables)
     words = sorted({w for t in list(texts.values())[:40] for w in t.split()})[:400] + ["日本語", "x😀y", "a" * 90, "naïve▁"]
     ids, ends = encoder.ids([w.encode() for w in words])
+    of_byte = {i: b for b, i in enumerate(tables.bytes)}
     for k, word in enumerate(words):
         own = ids[ends[k]:ends[k + 1]].tolist()
-        score, run = 0.0, 0
-        for i in own:  # byte pieces stand for unknown characters
-            run += i in tables.byte_ids
-            score += 0 if i in tables.byte_ids else tables.scores[i]
-        unknown = sum(1 for c in word.replace("▁", "") if not any(c.encode() in o for o in tables.out if len(o) > 1) and c.encode() not in tables.out) if run else 0
-        assert score + unknown * tables.unknown == pytest.approx(_best(tables, pieces.MARK + word)) or run
+        score = 0.0
+        for i in own:  # the byte pieces of an unknown character count once
+            byte = of_byte.get(i)
+            score += tables.scores[i] if byte is None else tables.unknown if byte < 0x80 or byte >= 0xC0 else 0.0
+        assert score == pytest.approx(_best(tables, pieces.MARK + word)), word
+
+
+def test_long_unspaced_texts_take_linear_time_and_bounded_memory():
+    import time
+
+    with open(pieces.MODEL, "rb") as file:
+        encoder = pieces.Encoder(pieces.Tables(file.read()))
+    took = []
+    for n in (100_000, 2_000_000):
+        text = ("\u65e5\u672c\u8a9e\u306e\u6587\u7ae0" * (n // 6)).encode()
+        began = time.process_time()
+        ids, ends = encoder.ids([text])
+        took.append(time.process_time() - began)
+        assert len(ids) == ends[-1] > n // 4
+    assert took[1] < 40 * took[0] + 5
+    encoder.ids([b"x"] + [(f"\u65e5{k} " * 3).encode() for k in range(9)])
+    assert encoder.held <= pieces.MEMO_BYTES  # the long ones are forgotten
 
 
 def test_piece_ids_agree_with_the_public_library(texts):
