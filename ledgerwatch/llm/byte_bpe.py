@@ -43,7 +43,7 @@ from .common import byte_rows, map_arrow, ragged
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: A block is closed once its texts hold this many bytes; a bucket remembers words up to a bound in bytes.
-BLOCK, HELD = 8 << 20, 64 << 20
+BLOCK, HELD = 16 << 20, 64 << 20
 MOST_BUCKETS = 4096
 #: Pre-tokens of more bytes are merged by a heap.
 SHORT = 64
@@ -253,7 +253,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     ``docs`` should be read from files: a task that is run again has to see its rows in the same order, or the job fails.
     """
     spark = docs.sparkSession
-    buckets = min(MOST_BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = min(MOST_BUCKETS, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     cut = map_arrow(rows, _cut(pattern, block_bytes, buckets), _CUT_DDL)
     dealt = cut.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket")
