@@ -27,11 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwatch.operators.upsert import ACTIONS, merge_counts, merge_upsert, prepare_source
+from ledgerwatch.operators.upsert import ACTIONS, cast_projection, merge_counts, merge_upsert, prepare_source
 from ledgerwatch.session import drop_path, scratch_path
 from ledgerwatch.sources.contracts import (
     FAILURE_RECORD,
     ORDER_KEY,
+    RAW_ORDERS,
     SILVER_CLUSTER,
     SILVER_ORDERS,
     SILVER_PARTITION,
@@ -217,17 +218,41 @@ def read_typed(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return reader.format(fmt).load(path) if fmt != "parquet" else reader.parquet(path)
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
-              partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
-              partitions: int = 1) -> DataFrame:
-    """S1 option: read the source table over JDBC, split on a numeric key."""
-    r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    for k, v in (properties or {}).items():
-        r = r.option(k, v)
-    if partition_column:
-        r = (r.option("partitionColumn", partition_column).option("lowerBound", lower)
-              .option("upperBound", upper).option("numPartitions", partitions))
-    return r.load()
+def jdbc_options(url: str, table: str, properties: dict | None = None, partition_column: str | None = None, lower=None, upper=None,
+                 partitions: int = 1, fetch_size: int = 10_000) -> dict[str, str]:
+    """Options of a JDBC read; more than one partition needs a column and both of its bounds."""
+    if partitions < 1:
+        raise ValueError(f"partitions: {partitions}")
+    options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **{k: str(v) for k, v in (properties or {}).items()}}
+    if partitions > 1:
+        if partition_column is None or lower is None or upper is None:
+            raise ValueError("a read in several partitions needs partition_column, lower and upper")
+        if lower > upper:
+            raise ValueError(f"lower {lower} is above upper {upper}")
+        options |= {"partitionColumn": partition_column, "lowerBound": str(lower), "upperBound": str(upper), "numPartitions": str(partitions)}
+    return options
+
+
+def jdbc_bounds_query(table: str, partition_column: str) -> str:
+    """What to read for the bounds of a split."""
+    return f"(SELECT MIN({partition_column}) AS low, MAX({partition_column}) AS high FROM {table}) AS bounds"
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None, partition_column: str = ORDER_KEY,
+              lower: int | None = None, upper: int | None = None, partitions: int = 16, schema: T.StructType = RAW_ORDERS) -> DataFrame:
+    """S1 option: the source table over JDBC, split on a numeric key, cast to the contract.
+
+    Bounds that are not given are read from the table first.  They only deal out the rows: values
+    beyond them, and nulls, are read by the outer partitions.
+    """
+    if partitions > 1 and (lower is None or upper is None):
+        ends = spark.read.format("jdbc").options(**jdbc_options(url, jdbc_bounds_query(table, partition_column), properties)).load().first()
+        if ends["low"] is None:  # an empty table needs no split
+            partitions = 1
+        else:
+            lower, upper = (ends["low"] if lower is None else lower), (ends["high"] if upper is None else upper)
+    rows = spark.read.format("jdbc").options(**jdbc_options(url, table, properties, partition_column, lower, upper, partitions)).load()
+    return cast_projection(rows, schema)
 
 
 def table_path(root: str, name: str) -> str:

@@ -61,3 +61,17 @@ def test_report_and_mart_writes_replace(spark, tmp_dir):
     tables.write_report(rev.groupBy("region").count(), rep_path)
     tables.write_report(one_region.groupBy("region").count(), rep_path)
     assert spark.read.parquet(rep_path).count() == 1
+
+
+def test_jdbc_reads_are_split_on_known_bounds():
+    import pytest
+
+    o = tables.jdbc_options("jdbc:x", "orders", {"user": "u"}, "order_id", 1, 900, 8)
+    assert o == {"url": "jdbc:x", "dbtable": "orders", "fetchsize": "10000", "user": "u", "partitionColumn": "order_id", "lowerBound": "1",
+                 "upperBound": "900", "numPartitions": "8"}
+    assert "numPartitions" not in tables.jdbc_options("jdbc:x", "orders")
+    for bad in ({"partitions": 4}, {"partitions": 4, "partition_column": "k", "lower": 1}, {"partitions": 0},
+                {"partitions": 2, "partition_column": "k", "lower": 5, "upper": 1}):
+        with pytest.raises(ValueError):
+            tables.jdbc_options("jdbc:x", "orders", **bad)
+    assert tables.jdbc_bounds_query("orders", "order_id") == "(SELECT MIN(order_id) AS low, MAX(order_id) AS high FROM orders) AS bounds"
