@@ -42,8 +42,8 @@ from .blocks import pack, pack_strings, record_batches, unpack, unpack_strings
 from .common import byte_rows, map_arrow, ragged
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: A block is closed once its texts hold this many bytes; a bucket remembers words up to a bound in bytes.
-BLOCK, HELD = 16 << 20, 64 << 20
+#: A block is closed once its texts (of ids: its sequences) hold this many bytes; a bucket remembers words up to a bound in bytes.
+BLOCK, ID_BLOCK, HELD = 16 << 20, 4 << 20, 64 << 20
 MOST_BUCKETS = 4096
 #: Pre-tokens of more bytes are merged by a heap.
 SHORT = 64
@@ -147,11 +147,11 @@ def _cut(pattern: str, max_bytes: int, buckets: int):
                     numbers[word] = len(numbers)
                 of_chunks.extend(map(numbers.__getitem__, found))
             flat, first = np.array(of_chunks, np.int32), np.cumsum(counts) - counts
-            chunks = np.concatenate(texts)
-            of = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-            lengths = np.bincount(of, counts[chunks], len(texts)).astype(np.int64)
-            del of
-            sequence = flat[ragged(first[chunks], counts[chunks])]
+            for k, chunks in enumerate(texts):  # one at a time: the places in between take several times a text's numbers
+                texts[k] = flat[ragged(first[chunks], counts[chunks])]
+            lengths, sequence = np.fromiter(map(len, texts), np.int64, len(texts)), np.concatenate(texts)
+            texts.clear()
+            chunk_numbers.clear()
             words, count = list(numbers), np.bincount(sequence, minlength=len(numbers)).tolist()
             often = sorted(range(len(words)), key=lambda k: (-count[k], words[k]))  # frequent ones get small numbers, a block always the same
             rank = np.empty(len(often), np.int32)
@@ -334,7 +334,7 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _DECODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
 
 
-def decode(encoded: DataFrame, table: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", block_bytes: int = BLOCK) -> DataFrame:
+def decode(encoded: DataFrame, table: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", block_bytes: int = ID_BLOCK) -> DataFrame:
     """One row per input row: doc_id, ids, decoded (bytes).  No shuffle."""
     rows = encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).alias("ids"))
     cut = map_arrow(rows, _id_blocks(block_bytes), "block long, kind int, token long, doc_id long, ids binary")
@@ -346,6 +346,6 @@ def decode(encoded: DataFrame, table: DataFrame, id_col: str = "doc_id", ids_col
 def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
                block_bytes: int = BLOCK) -> DataFrame:
     """One row per input row: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    decoded = decode(encode(docs, ranks, pattern, id_col, text_col, block_bytes), token_bytes(docs.sparkSession, ranks), block_bytes=block_bytes)
+    decoded = decode(encode(docs, ranks, pattern, id_col, text_col, block_bytes), token_bytes(docs.sparkSession, ranks), block_bytes=min(block_bytes, ID_BLOCK))
     return decoded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
                           F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
