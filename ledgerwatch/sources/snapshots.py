@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +33,8 @@ from pyspark.sql import types as T
 #: Steps per cluster column (2^BITS), and the accuracy of their quantiles.
 BITS, ACCURACY = 5, 2000
 ROWS_PER_FILE = 2_000_000
+#: A write takes a task per so many rows, up to the number of slots, however few files they would fill.
+ROWS_PER_TASK = 20_000
 
 
 class CommitConflict(RuntimeError):
@@ -97,10 +100,6 @@ def ordinal(column: str, kind: T.DataType) -> Column:
     return c.cast("double")
 
 
-def _at_most(value: Column):
-    return lambda edge: edge <= value
-
-
 def z_order(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> Column:
     """The interleaved steps of ``columns``; one aggregate finds the quantiles (2^bits a column on the driver)."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
@@ -110,7 +109,9 @@ def z_order(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> Column:
     for k, c in enumerate(columns):
         edges = sorted(found[k] or [])  # equal edges stay: few values are spread over all steps
         value = ordinal(c, kinds[c])
-        step = F.size(F.filter(F.array(*[F.lit(float(e)) for e in edges]), _at_most(value))) if edges else F.lit(0)
+        step = F.lit(0)
+        for edge, times in sorted(Counter(edges).items()):
+            step = step + F.when(value >= F.lit(float(edge)), F.lit(times)).otherwise(F.lit(0))
         step = F.when(F.col(c).isNull(), F.lit(0)).otherwise(step).cast("long")
         for bit in range(bits):
             z = z.bitwiseOR(F.shiftleft(F.shiftright(step, bit).bitwiseAND(F.lit(1).cast("long")), bit * len(columns) + k))
@@ -216,7 +217,7 @@ class SnapshotTable:
         if not n_rows:
             return self.spark.createDataFrame([], self._manifest_schema)
         folder = f"data/{uuid.uuid4().hex}"
-        n_files = -(-n_rows // self.rows_per_file)
+        n_files = max(-(-n_rows // self.rows_per_file), min(-(-n_rows // ROWS_PER_TASK), self.spark.sparkContext.defaultParallelism))
         ordered = rows.select(*self.schema.names, z_order(rows, self.cluster).alias("_z"))
         # a stated number of range partitions is not merged into one by its bytes
         (ordered.repartitionByRange(n_files, "_z", *self.cluster).sortWithinPartitions("_z", *self.cluster).drop("_z")

@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from ledgerwatch.operators.upsert import ACTIONS, cast_projection, merge_counts, merge_upsert, prepare_source
 from ledgerwatch.session import drop_path, scratch_path
 from ledgerwatch.sources.contracts import (
+    BUSINESS_COLUMNS,
     FAILURE_RECORD,
     ORDER_KEY,
     RAW_ORDERS,
@@ -120,11 +121,15 @@ class SilverTable(SnapshotTable):
         """
         self.create_if_missing()
         ts = F.current_timestamp().cast("timestamp_ntz") if ingest_ts is None else ingest_ts
-        source, rejects = prepare_source(raw, extra_order=list(extra_order))
+        # The batch is evaluated once: its rejects and its latest rows are read from a typed copy.
+        typed = cast_projection(raw, keep=[c for c in extra_order if c not in BUSINESS_COLUMNS])
+        held, batch = scratch_path(self.spark, "silver-typed"), scratch_path(self.spark, "silver-batch")
+        typed.write.parquet(held)
+        source, rejects = prepare_source(self.spark.read.schema(typed.schema).parquet(held), extra_order=list(extra_order), cast=False)
         rejected = f"{(rejects_path or self.path + '_rejects').rstrip('/')}/batch_id={batch_id or uuid.uuid4().hex}"
         rejects.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(rejected)
-        batch = scratch_path(self.spark, "silver-batch")
         source.write.parquet(batch)
+        drop_path(self.spark, held)
         source = self.spark.read.schema(source.schema).parquet(batch)
         try:
             for attempt in range(self.ATTEMPTS):
