@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwatch.operators import alerts, audit, changes, combine, logs, maintained, marts, report, series, upsert
+from ledgerwatch.operators import alerts, audit, changes, combine, logs, maintained, marts, report, series, sketches, upsert
 from ledgerwatch.operators.joins import local_table
 from ledgerwatch.plans import oracle_signals as OS
 from ledgerwatch.plans import oracle_sql as O
@@ -262,6 +262,27 @@ def q_counter_delta(spark, sf_dir):
     return _flat(series.counter_delta(fx.counter_points(spark, sf_dir), 3600), extra=())
 
 
+_SKETCHED = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+
+
+@register("t5_percentile_states", """
+SELECT event_type AS metric, date_trunc('day', ts)::TIMESTAMP AS window_start, date_trunc('day', ts)::TIMESTAMP + INTERVAL '1 day' AS window_end,
+       COUNT(*) AS point_count, COUNT(value) AS n, round(MIN(value), 6) AS least, round(MAX(value), 6) AS greatest,
+       TRUE AS p50_within, TRUE AS p90_within, TRUE AS p99_within
+FROM events GROUP BY ALL""")
+def q_percentile_states(spark, sf_dir):
+    """Daily percentiles over all series, merged from hourly states of each; the points are read again only to tell whether every
+    percentile's rank is within the stated error."""
+    points = fx.metric_points(spark, sf_dir)
+    states = staged(sketches.percentile_states(points, 3600), "t5-states")
+    daily = staged(sketches.percentiles(sketches.merge_states(states, 86400, ()), _SKETCHED).drop("series_key"), "t5-daily")
+    keys = [c for c in daily.columns if c not in _SKETCHED]
+    seen = points.select(F.col("metric").alias("m"), F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"), "value")
+    met = seen.join(daily, (F.col("m") == F.col("metric")) & (F.col("day") == F.col("window_start")))
+    within = [sketches.rank_within(F.col("value"), F.col(c), q, F.col("n")).alias(f"{c}_within") for c, q in _SKETCHED.items()]
+    return met.groupBy(*keys).agg(*within)
+
+
 @register("t8_reduce_sum_by_label", f"""
 WITH {O.log_entries_cte()},
 m AS (
@@ -547,6 +568,28 @@ def q_status_maintained(spark, sf_dir):
     return _maintained(spark, sf_dir, maintained.status_definition(), "a2")
 
 
+@register("a3_quality_states", O.merged_query(f"""
+SELECT q.*, TRUE AS customers_within, TRUE AS products_within, TRUE AS reads_new_files_only FROM ({O.SILVER_QUALITY}) q"""))
+def q_quality_states(spark, sf_dir):
+    """The quality report of SILVER behind two batches, merged from the states of its files; whether its distinct counts are within
+    the stated error, and whether the second refresh read the files that the second batch wrote and no other."""
+    seed, incoming = fx.split_raw(fx.raw_orders(spark, sf_dir))
+    silver = tables.SilverTable(spark, scratch_path(spark, "a3-silver"))
+    states = sketches.FileStatistics(spark, scratch_path(spark, "a3-states"), silver)
+    first = silver.upsert(seed, fx.SEED_INGEST_TS, extra_order=fx.TIE_BREAK, batch_id="seed")
+    states.refresh()
+    second = silver.upsert(incoming, fx.INCOMING_INGEST_TS, extra_order=fx.TIE_BREAK, batch_id="incoming")
+    read = states.refresh()
+    came = silver.manifest(second.version).join(silver.manifest(first.version).select("file"), "file", "left_anti")
+    exact = silver.read().agg(F.count_distinct("customer_id").alias("c"), F.count_distinct("product").alias("p"))
+    within = lambda found, true: F.abs(F.col(found) - F.col(true)) <= sketches.DISTINCT_ERROR * F.col(true)
+    return states.quality(fx.REPORT_AS_OF).join(exact).join(came.agg(F.sum("rows").alias("r"), F.count(F.lit(1)).alias("f"))).select(
+        "total_rows", "null_order_ids", "null_customer_ids", "empty_products", "invalid_prices", "empty_statuses", "earliest_order", "latest_order",
+        "last_ingestion", "minutes_since_last_ingest", within("distinct_customers", "c").alias("customers_within"),
+        within("distinct_products", "p").alias("products_within"),
+        ((F.col("r") == read["rows_read"]) & (F.col("f") == read["files_read"])).alias("reads_new_files_only"))
+
+
 @register("s7_rejects", O.ORDERS_CTES + """
 SELECT order_id, customer_id, product, quantity, l_partkey, l_suppkey, l_linenumber,
        'null:' || CASE WHEN region = 'ASIA' THEN 'status,region' ELSE 'status' END AS reason
