@@ -31,10 +31,7 @@ def op2_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines are revised to the text without them; exact copies (equal text, a greater id) are deleted at their
     revised counts.  The second batch is sent twice, and counts once."""
     docs = read_table(spark, sf_dir, "documents")
-    text = F.coalesce("text", F.lit(""))
-    keyed = docs.select("doc_id", F.sha2(text, 256).alias("sha"))
-    first = keyed.groupBy("sha").agg(F.min("doc_id").alias("first_id")).withColumnRenamed("sha", "first_sha")
-    copies = staged(keyed.join(first, F.col("sha") == F.col("first_sha")).filter("doc_id > first_id").select("doc_id"), "copies")
+    copies = staged(token_counts.copies(docs), "copies")
     counted = staged(token_counts.counts(docs), "token-counts")
     images = lambda rows, before, after: token_counts.signed_changes(rows.select(
         *token_counts.KEYS, before.alias("n_before"), after.alias("n_after")))
@@ -51,8 +48,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+#: Date of the capture of ``pages``, which have none of their own.
+CAPTURED = "2024-01-01T00:00:00Z"
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.build(warc.responses_of(read_table(spark, sf_dir, "pages")))
+    return warc.build(warc.responses_of(read_table(spark, sf_dir, "pages"), CAPTURED))
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

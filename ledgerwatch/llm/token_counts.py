@@ -7,7 +7,7 @@ first, so a source with a third of all rows is no hot key) and written under
 its batch id; a marker written behind it makes the batch count.  Committing a
 batch id again does nothing; a batch that broke off before its marker is
 written anew over its remains.  Totals sum the committed batches.
-``compact`` folds them into one base that remembers their ids.
+``compact`` folds them into one base, remembers their ids and removes what it folded.
 
 Defined cases: null sources and languages are keys of their own; a null text
 has no tokens and counts as a document; an unknown sign or null count raises;
@@ -27,64 +27,104 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerwatch.session import drop_path
+
 from .common import byte_rows, map_arrow
 
 KEYS = ["source", "lang", "tokenizer_version"]
 _STORED = "source string, lang string, tokenizer_version string, n_docs long, n_tokens long"
-_MARK = "batch_id string, base boolean, folded array<string>"
+_MARK = "batch_id string, base boolean"
 
 
 class Rollup:
-    """A rollup store in a folder that all executors share."""
+    """A rollup store in a folder that all executors share.
+
+    ``commits`` holds a marker per batch, ``deltas`` its rows.  A compaction writes the totals as a base, and
+    the ids it folds under ``folded``, where they keep a batch from counting again; these are only filtered by
+    Spark, never collected.  What the compaction before it folded goes, so that a reader that listed the
+    markers meanwhile still finds the rows it needs.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _marks(self) -> list:
+    def _read(self, schema: str, folder: str) -> DataFrame:
         try:
-            return self.spark.read.schema(_MARK).option("recursiveFileLookup", "true").parquet(f"{self.path}/commits").collect()
+            return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.path}/{folder}")
         except AnalysisException as e:
             if "PATH_NOT_FOUND" in str(e):
-                return []
+                return self.spark.createDataFrame([], schema)
             raise
 
-    def committed(self) -> set[str]:
-        """Ids of the batches that count; a commit log has a row per batch."""
-        return {b for m in self._marks() for b in ((m["folded"] or []) if m["base"] else [m["batch_id"]])}
+    def _bases(self) -> list[str]:
+        """Names of the bases, the latest last; a row per compaction that is not removed yet."""
+        found = {r["batch_id"] for r in self._read(_MARK, "commits").filter("base").collect()}
+        return sorted(found, key=lambda n: int(n.removeprefix("base-")))
+
+    def _folded(self, bases: list[str]) -> DataFrame:
+        paths = [f"{self.path}/folded/{b}" for b in bases]
+        return self.spark.read.schema("batch_id string").parquet(*paths).distinct() if paths else self.spark.createDataFrame([], "batch_id string")
+
+    def _pending(self, bases: list[str]) -> list[str]:
+        """Batches that no base holds: those since the last compaction."""
+        marks = self._read(_MARK, "commits").filter("not base").select("batch_id").distinct()
+        return sorted(r["batch_id"] for r in marks.join(self._folded(bases), "batch_id", "left_anti").collect())
+
+    def is_committed(self, batch_id: str) -> bool:
+        marked = self._read(_MARK, "commits").filter(~F.col("base") & (F.col("batch_id") == batch_id)).select("batch_id")
+        return not marked.union(self._folded(self._bases()).filter(F.col("batch_id") == batch_id)).isEmpty()
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
         """Add signed rows (source, lang, tokenizer_version, sign, n_tokens); False if the batch is already in."""
-        if not re.fullmatch(r"[\w.-]+", batch_id):
-            raise ValueError(f"a batch id is made of letters, digits, '.', '_' and '-': {batch_id!r}")
-        if batch_id in self.committed():
+        if not re.fullmatch(r"[\w.-]+", batch_id) or re.fullmatch(r"base-\d+|\.+", batch_id):
+            raise ValueError(f"a batch id is made of letters, digits, '.', '_' and '-', and names no base: {batch_id!r}")
+        if self.is_committed(batch_id):
             return False
         signed = changes.select(*KEYS, F.when(F.col("sign").isin(-1, 1) & F.col("n_tokens").isNotNull(), F.col("sign").cast("long"))
                                 .otherwise(F.raise_error("a change needs sign 1 or -1 and a token count").cast("long")).alias("sign"), "n_tokens")
         delta = signed.groupBy(*KEYS).agg(F.sum("sign").alias("n_docs"), F.sum(F.col("sign") * F.col("n_tokens")).alias("n_tokens"))
-        self._write(batch_id, delta, False, None)
+        self._write(delta, f"deltas/{batch_id}")
+        self._mark(batch_id, False)
         return True
 
-    def _write(self, name: str, delta: DataFrame, base: bool, folded: list[str] | None):
-        delta.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.path}/deltas/{name}")
-        mark = self.spark.createDataFrame([(name, base, folded)], _MARK).coalesce(1)
-        mark.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.path}/commits/{name}")
+    def _write(self, rows: DataFrame, folder: str):
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.path}/{folder}")
+
+    def _mark(self, name: str, base: bool):
+        self._write(self.spark.createDataFrame([(name, base)], _MARK).coalesce(1), f"commits/{name}")
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer_version, n_docs, n_tokens over all committed batches."""
-        marks = self._marks()
-        bases = [m for m in marks if m["base"]]
-        base = max(bases, key=lambda m: len(m["folded"]), default=None)
-        within = set(base["folded"]) if base else set()
-        paths = [f"{self.path}/deltas/{n}" for n in ([base["batch_id"]] if base else []) + sorted(m["batch_id"] for m in marks if not m["base"] and m["batch_id"] not in within)]
+        bases = self._bases()
+        return self._totals(bases[-1:] + self._pending(bases))
+
+    def _totals(self, names: list[str]) -> DataFrame:
+        paths = [f"{self.path}/deltas/{n}" for n in names]
         rows = self.spark.read.schema(_STORED).parquet(*paths) if paths else self.spark.createDataFrame([], _STORED)
         return (rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
                 .filter("n_docs <> 0 or n_tokens <> 0"))
 
-    def compact(self) -> None:
-        """Fold all committed batches into a base; later totals read it in their place."""
-        ids = sorted(self.committed())
-        if ids:
-            self._write(f"base-{len(ids)}", self.totals(), True, ids)
+    def compact(self, grace: int = 1) -> None:
+        """Fold the batches since the last compaction into a base; later totals read it in their place.
+
+        Markers and rows that the last ``grace`` compactions folded stay for readers under way; older ones are removed.
+        A single writer compacts at a time; commits may go on meanwhile.
+        """
+        bases = self._bases()
+        pending = self._pending(bases)
+        if pending:
+            name = f"base-{(int(bases[-1].removeprefix('base-')) if bases else 0) + 1}"
+            self._write(self._totals(bases[-1:] + pending), f"deltas/{name}")
+            self._write(self.spark.createDataFrame([(b,) for b in pending], "batch_id string"), f"folded/{name}")
+            self._mark(name, True)
+            bases.append(name)
+        old = bases[:len(bases) - grace]
+        gone = self._read(_MARK, "commits").filter("not base").select("batch_id").distinct().join(self._folded(old), "batch_id", "left_semi")
+        for batch in [r["batch_id"] for r in gone.collect()]:  # folded since the compaction before: as many as it had pending
+            drop_path(self.spark, f"{self.path}/deltas/{batch}")
+            drop_path(self.spark, f"{self.path}/commits/{batch}")  # last: while it is there, a removal that broke off is done again
+        for base in bases[:max(0, len(bases) - 1 - grace)]:  # its marker stays: it names a folder of folded ids
+            drop_path(self.spark, f"{self.path}/deltas/{base}")
 
 
 def signed_changes(images: DataFrame) -> DataFrame:
@@ -98,6 +138,23 @@ def signed_changes(images: DataFrame) -> DataFrame:
     return changed.select(*KEYS, F.inline(F.filter(rows, lambda r: r["n_tokens"].isNotNull())))
 
 
+#: Parts of a group of copies, so that a text that a third of all rows repeat is no hot key.
+PARTS = 256
+
+
+def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Ids of rows whose text a row of a smaller id has too (null counts as empty); a null id is no copy.
+
+    Rows of equal id and text are not copies of each other.
+    """
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("sha"))
+    keyed = keyed.filter("doc_id is not null").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int"))
+    parts = keyed.groupBy("sha", "part").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+    groups = parts.groupBy("sha").agg(F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id"), F.collect_set("part").alias("parts"))
+    first = groups.filter("first_id < last_id").select(F.col("sha").alias("of_sha"), F.explode("parts").alias("of_part"), "first_id")
+    return keyed.join(first, (F.col("sha") == F.col("of_sha")) & (F.col("part") == F.col("of_part"))).filter("doc_id > first_id").select("doc_id").distinct()
+
+
 # --- counting ---------------------------------------------------------------------------------------------------------
 
 #: White space of the split pattern (Unicode White_Space); a token never goes from a non-space to a space.
