@@ -122,20 +122,20 @@ def _pack(radius: int, tiles: dict[int, int]):
         held, key, out, size = [], None, [], 0
 
         def flush():
-            return send(*key, np.concatenate(held)) if held else ()
+            nonlocal out, size
+            for row in send(*key, np.concatenate(held)) if held else ():
+                out.append(row)
+                size += len(row[4]) + 40
+                if size > 4 << 20:
+                    yield _sent(out)
+                    out, size = [], 0
 
         for now, part in _runs(batches, 2):
             if now != key:
-                for row in flush():
-                    out.append(row)
-                    size += len(row[4]) + 40
-                    if size > 4 << 20:
-                        yield _sent(out)
-                        out, size = [], 0
+                yield from flush()
                 held, key = [], now
             held.append(part.column(2).to_numpy())
-        for row in flush():
-            out.append(row)
+        yield from flush()
         if out:
             yield _sent(out)
     return run

@@ -3,24 +3,31 @@
 Each response gives a ``metadata`` record (header fields of its HTTP response
 and facts about its payload) and a ``conversion`` record (its text), both with
 ``WARC-Refers-To`` naming the response, its target URI and date, the payload's
-digest, and digests of their own blocks.  Record ids are derived from the
+digest, and digests of their own blocks.  The payload is the body without its
+transfer coding (chunks); its text is read behind the content codings gzip,
+deflate and x-gzip.  Record ids are derived from the
 response's id and the record's type, so a task that runs again writes the same
 records.
 
 Defined cases: a null block counts as empty, a block without an empty line as
 header only; a head that is not closed ends where the body begins; a response without a record id gets one from its URI and payload;
-missing URIs or dates leave the field out; repeated rows give repeated records
+a missing URI leaves the field out, and its controls and spaces are percent-encoded there; a missing date is that of the response's
+``Date`` field, else ``default_date``; a body whose coding is broken is decoded as far as it goes, one in an unknown coding has no text;
+repeated rows give repeated records
 of the same ids; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import base64
+import datetime as dt
+import email.utils
 import gzip
 import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,10 +38,10 @@ from .common import byte_rows, map_arrow
 VERSION = "WARC/1.1"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL name space of RFC 4122
 _OPENS = re.compile(r"<!--|<(script|style|noscript|template|head)\b", re.I)
-_IN_HEAD = re.compile(r"(<!--)|(</head\s*>)|<(title|script|style|noscript|template)\b|(<(?:meta|link|base)\b[^>]*>)|</?(?:body|head|p|div|br|li|ul|ol|table|tr|td|th|"
+_IN_HEAD = re.compile(r"(<!--)|(</head\s*>)|<(title|script|style|noscript|template)\b|(<(?:meta|link|base)\b[^>]*(?:>|\Z))|</?(?:body|head|p|div|br|li|ul|ol|table|tr|td|th|"
                       r"h[1-6]|article|section|nav|header|footer|aside|main|blockquote|pre|form|dl|dt|dd|hr)\b", re.I)
 _CLOSES = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("title", "script", "style", "noscript", "template")} | {"": re.compile("-->")}
-_BLOCK = re.compile(r"</?(?:p|div|br|li|ul|ol|table|tr|td|th|h[1-6]|article|section|nav|header|footer|aside|main|blockquote|pre|form|dl|dt|dd|hr|title)\b[^>]*>", re.I)
+_BLOCK = re.compile(r"</?(?:p|div|br|li|ul|ol|table|tr|td|th|h[1-6]|article|section|nav|header|footer|aside|main|blockquote|pre|form|dl|dt|dd|hr|title)\b[^>]*(?:>|\Z)", re.I)
 _TAG = re.compile(r"<[/!?a-zA-Z][^>]*(?:>|\Z)")
 
 
@@ -61,6 +68,72 @@ def split_response(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     return first, fields, payload
 
 
+_CHUNK = re.compile(rb"\s*([0-9a-fA-F]+)[^\r\n]*\r?\n")
+
+
+def without_chunks(body: bytes) -> bytes:
+    """A chunked body's payload: up to the last chunk, or as far as the chunks go; a body that does not begin with one as it is."""
+    parts, at = [], 0
+    while m := _CHUNK.match(body, at):
+        size = int(m[1], 16)
+        if not size:
+            return b"".join(parts)
+        parts.append(body[m.end():m.end() + size])
+        at = m.end() + size
+    return b"".join(parts) if parts else body
+
+
+def decoded(payload: bytes, codings: str) -> bytes:
+    """The payload behind its content codings, as far as they can be read."""
+    for coding in reversed([c.strip().lower() for c in codings.split(",") if c.strip()]):
+        if coding == "identity":
+            continue
+        if coding not in ("gzip", "x-gzip", "deflate"):
+            return b""
+        if coding == "deflate" and payload[:1] and payload[0] & 15 != 8:
+            payload = _inflated(payload, -zlib.MAX_WBITS)  # without the zlib header, as some servers send it
+        else:
+            payload = _inflated(payload, zlib.MAX_WBITS | (0 if coding == "deflate" else 16))
+    return payload
+
+
+def _inflated(data: bytes, bits: int) -> bytes:
+    parts = []
+    while data:  # gzip members in a row
+        stream = zlib.decompressobj(bits)
+        try:
+            for at in range(0, len(data), 1 << 16):
+                parts.append(stream.decompress(data[at:at + (1 << 16)]))
+                if stream.eof:
+                    break
+            parts.append(stream.flush())
+        except zlib.error:
+            break
+        data = stream.unused_data + data[at + (1 << 16):] if stream.eof else b""
+    return b"".join(parts)
+
+
+_CONTROLS = re.compile(r"[\x00-\x20\x7f]")
+
+
+def header_uri(uri: str) -> str:
+    """The URI as a header field can hold it."""
+    return _CONTROLS.sub(lambda m: f"%{ord(m[0]):02X}", uri)
+
+
+def _one_line(value: str) -> str:
+    return _CONTROLS.sub(" ", value).strip()
+
+
+def http_date(value: str) -> str | None:
+    """A ``Date`` field as WARC-Date; null if it is none."""
+    try:
+        found = email.utils.parsedate_to_datetime(value)
+    except (TypeError, ValueError):
+        return None
+    return found.astimezone(dt.UTC).strftime("%Y-%m-%dT%H:%M:%SZ") if found.tzinfo else found.strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
 def plain_text(payload: bytes, content_type: str) -> str:
     """The payload as text: of HTML one line per block without markup, else the decoded payload."""
     charset = re.search(r"charset=[\"']?([\w.:-]+)", content_type, re.I)
@@ -117,21 +190,25 @@ def _without_hidden(page: str) -> str:
     return "".join([*kept, page[at:]])
 
 
-def derivatives(rid: str | None, uri: str | None, date: str | None, block: bytes) -> Iterator[tuple]:
+def derivatives(rid: str | None, uri: str | None, date: str | None, block: bytes, default_date: str) -> Iterator[tuple]:
     """(type, header fields, block) of the metadata and the conversion record of one response."""
     status, fields, payload = split_response(block)
+    status, fields = _one_line(status), [(_one_line(k), _one_line(v)) for k, v in fields]
+    field = lambda name, default: next((v for k, v in fields if k.lower() == name), default)
+    if field("transfer-encoding", "").lower().split(",")[-1].strip() == "chunked":
+        payload = without_chunks(payload)
     payload_digest = digest(payload)
-    rid = rid or record_id("response", uri or "", payload_digest)
-    content_type = next((v for k, v in fields if k.lower() == "content-type"), "application/octet-stream")
-    text = plain_text(payload, content_type).encode("utf-8")
+    rid = _one_line(rid or "") or record_id("response", uri or "", payload_digest)
+    date = _one_line(date or "") or http_date(field("date", "")) or default_date
+    codings = ",".join(v for k, v in fields if k.lower() == "content-encoding")
+    text = plain_text(decoded(payload, codings), field("content-type", "application/octet-stream")).encode("utf-8")
     about = [("status", status), *((f"header-{k.lower()}", v) for k, v in fields), ("payload-digest", payload_digest),
              ("payload-length", str(len(payload))), ("text-length", str(len(text)))]
     body = "".join(f"{k}: {v}\r\n" for k, v in about).encode("utf-8")
     for kind, kind_type, data in (("metadata", "application/warc-fields", body), ("conversion", "text/plain; charset=utf-8", text)):
         header = [("WARC-Type", kind), ("WARC-Record-ID", record_id(kind, rid)), ("WARC-Refers-To", rid)]
-        header += [("WARC-Target-URI", uri)] if uri else []
-        header += [("WARC-Date", date)] if date else []
-        header += [("WARC-Payload-Digest", payload_digest), ("WARC-Block-Digest", digest(data)), ("Content-Type", kind_type),
+        header += [("WARC-Target-URI", header_uri(uri))] if uri else []
+        header += [("WARC-Date", date), ("WARC-Payload-Digest", payload_digest), ("WARC-Block-Digest", digest(data)), ("Content-Type", kind_type),
                    ("Content-Length", str(len(data)))]
         yield kind, header, data
 
@@ -161,22 +238,28 @@ _TYPES = (pa.int64(), *[pa.string()] * 7, pa.int64(), pa.string(), pa.string())
 _NAMES = [x.split()[0] for x in _DDL.split(", ")]
 
 
-def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        for source, rid, uri, date, block in zip(*(batch.column(k).to_pylist() for k in range(4)), byte_rows(batch.column(4))):
-            for kind, header, data in derivatives(rid, uri, date, block):
-                of = dict(header)
-                rows.append((source, kind, of["WARC-Record-ID"], of["WARC-Refers-To"], uri, of["Content-Type"], of["WARC-Payload-Digest"],
-                             of["WARC-Block-Digest"], len(data), "".join(f"{k}: {v}\r\n" for k, v in header), data.decode("utf-8", "replace")))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], names=_NAMES)
+def _build(default_date: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for source, rid, uri, date, block in zip(*(batch.column(k).to_pylist() for k in range(4)), byte_rows(batch.column(4))):
+                for kind, header, data in derivatives(rid, uri, date, block, default_date):
+                    of = dict(header)
+                    rows.append((source, kind, of["WARC-Record-ID"], of["WARC-Refers-To"], uri, of["Content-Type"], of["WARC-Payload-Digest"],
+                                 of["WARC-Block-Digest"], len(data), "".join(f"{k}: {v}\r\n" for k, v in header), data.decode("utf-8", "replace")))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], names=_NAMES)
+    return run
 
 
-def build(responses: DataFrame) -> DataFrame:
-    """Two records per row of ``responses`` (source_id, record_id, target_uri, warc_date, block binary).  No shuffle."""
+def build(responses: DataFrame, default_date: str | None = None) -> DataFrame:
+    """Two records per row of ``responses`` (source_id, record_id, target_uri, warc_date, block binary).  No shuffle.
+
+    ``default_date`` (default: the time of this call) dates responses that carry no date.
+    """
+    default_date = default_date or dt.datetime.now(dt.UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     cols = [F.col("source_id").cast("long"), *(F.col(c).cast("string") for c in ("record_id", "target_uri", "warc_date")), F.col("block").cast("binary")]
-    return map_arrow(responses.select(*cols), _build, _DDL)
+    return map_arrow(responses.select(*cols), _build(default_date), _DDL)
 
 
 def responses_of(pages: DataFrame, warc_date: str | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
