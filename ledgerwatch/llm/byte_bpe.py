@@ -252,17 +252,23 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
 
     ``docs`` should be read from files: a task that is run again has to see its rows in the same order, or the job fails.
     """
+    return map_arrow(_answered(docs, ranks, pattern, id_col, text_col, block_bytes, held), _assemble, "doc_id long, n_tokens long, ids binary")
+
+
+def _answered(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str, text_col: str, block_bytes: int, held: int) -> DataFrame:
+    """Rows sorted by block: the ids of its words, then its texts."""
     spark = docs.sparkSession
     buckets = min(MOST_BUCKETS, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     cut = map_arrow(rows, _cut(pattern, block_bytes, buckets), _CUT_DDL)
     dealt = cut.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket")
     both = map_arrow(dealt, _encode(spark.sparkContext.broadcast(ranks), held), _BACK_DDL)
-    return map_arrow(both.repartition("block").sortWithinPartitions("block", "kind"), _assemble, "doc_id long, n_tokens long, ids binary")
+    return both.repartition("block").sortWithinPartitions("block", "kind")
 
 
 # --- decoding ---------------------------------------------------------------------------------------------------------
 
+_IDS_DDL = "block long, kind int, token long, doc_id long, ids binary"
 _IDS = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("token", pa.int64()), ("doc_id", pa.int64()), ("ids", pa.binary())])
 
 
@@ -306,6 +312,12 @@ def _id_blocks(max_bytes: int):
     return run
 
 
+def _assembled_blocks(max_bytes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _id_blocks(max_bytes)(b.select(["doc_id", "ids"]) for b in _assemble(batches))
+    return run
+
+
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by block, distinct ids with their bytes before the sequences: the bytes of each sequence."""
     def rows():
@@ -337,7 +349,11 @@ _DECODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded",
 def decode(encoded: DataFrame, table: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", block_bytes: int = ID_BLOCK) -> DataFrame:
     """One row per input row: doc_id, ids, decoded (bytes).  No shuffle."""
     rows = encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).alias("ids"))
-    cut = map_arrow(rows, _id_blocks(block_bytes), "block long, kind int, token long, doc_id long, ids binary")
+    return _decoded(map_arrow(rows, _id_blocks(block_bytes), _IDS_DDL), table)
+
+
+def _decoded(cut: DataFrame, table: DataFrame) -> DataFrame:
+    """The rows of ``_id_blocks`` with the bytes of their tokens."""
     met = cut.join(F.broadcast(table.select(F.col("id").alias("of_id"), "bytes")), F.col("token") == F.col("of_id"), "left")
     ordered = met.select("block", "kind", "token", "doc_id", "ids", "bytes").sortWithinPartitions("block", "kind", "token")
     return map_arrow(ordered, _decode, "doc_id long, ids binary, decoded binary")
@@ -345,7 +361,12 @@ def decode(encoded: DataFrame, table: DataFrame, id_col: str = "doc_id", ids_col
 
 def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
                block_bytes: int = BLOCK) -> DataFrame:
-    """One row per input row: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    decoded = decode(encode(docs, ranks, pattern, id_col, text_col, block_bytes), token_bytes(docs.sparkSession, ranks), block_bytes=min(block_bytes, ID_BLOCK))
+    """One row per input row: doc_id, n_tokens, ids_sha256, decoded_sha256.
+
+    ``decode`` of ``encode``; the sequences pass from one to the other within a Python worker.
+    """
+    answered = _answered(docs, ranks, pattern, id_col, text_col, block_bytes, HELD)
+    cut = map_arrow(answered, _assembled_blocks(min(block_bytes, ID_BLOCK)), _IDS_DDL)
+    decoded = _decoded(cut, token_bytes(docs.sparkSession, ranks))
     return decoded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
                           F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
