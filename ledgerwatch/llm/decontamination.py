@@ -24,6 +24,13 @@ A two-bit Bloom filter of fixed size (``FILTER_BITS``, 2 MB whatever the
 benchmark's size) keeps document windows that cannot match out of the shuffle;
 what passes is joined exactly.
 
+Items with the same windows and the same pattern of equal slots in a variant
+are one class there, joined once through its smallest item, so a question in
+many parameterisations meets a document once.  A document that lacks all of a
+class's rarest windows, one more than it may lack, cannot leak it; only those
+windows look for candidates, so a prompt that many items share multiplies
+nothing, and a candidate's other windows are counted by document and hash.
+
 Defined cases: null texts have no windows; an item with fewer than ``window``
 tokens leaks where all its tokens stand in a row, one whose windows are nearly
 all placeholders by its literal windows, one without a token never; letters of
@@ -263,6 +270,30 @@ def _sums(flags: np.ndarray, window: int) -> np.ndarray:
 _SCHEMA = pa.schema([("id", pa.int64()), ("variant", pa.int8()), ("place", pa.int64()), ("hash", pa.int64()),
                      ("slots", pa.list_(pa.int64()))])
 _DDL = "id long, variant byte, place long, hash long, slots array<long>"
+#: The benchmark's windows: slots are labels of equal values, and a digest tells the class of the item in the variant.
+_ITEM_SCHEMA = _SCHEMA.append(pa.field("class", pa.binary()))
+_ITEM_DDL = _DDL + ", class binary"
+#: Parts into which the windows of one hash are dealt by document.
+SALTS = 8
+
+
+def _labels(text: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """For every slot value, 1 + where its text has it first; the rows come by text and place."""
+    width = slots.shape[1]
+    flat, of = slots.ravel(), np.repeat(text, width).astype(np.uint64)
+    _, at, which = np.unique(np.stack([of, flat], 1), axis=0, return_index=True, return_inverse=True)
+    start = np.searchsorted(text, text) * width
+    return np.where(flat > 0, at[which.ravel()] - np.repeat(start, width) + 1, 0).astype(np.uint64).reshape(slots.shape)
+
+
+def _digests(text: np.ndarray, variant: int, *rows: np.ndarray) -> list[bytes]:
+    """A digest of the rows of its text for every row."""
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(text)) + 1, [len(text)]])
+    out = []
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        data = b"".join([bytes([variant + 1]), *(x[a:b].tobytes() for x in rows)])
+        out += [xxhash.xxh3_128_digest(data)] * int(b - a)
+    return out
 
 
 def _places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -290,11 +321,17 @@ def _windows(window: int, names: tuple[str, ...], filter_of=None, widths: tuple[
                 if variant == SHORT:  # once a text will do
                     _, once = np.unique(np.stack([text.astype(np.uint64), hashes], 1), axis=0, return_index=True)
                     good, hashes, slots, text = good[once], hashes[once], slots[once], text[once]
+                extra = []
+                if bits is None:
+                    order = np.lexsort((good, text))
+                    good, hashes, slots, text = good[order], hashes[order], slots[order], text[order]
+                    slots = _labels(text, slots)
+                    extra = [pa.array(_digests(text, variant, good - ends[text], hashes, slots), pa.binary())]
                 filled = np.ascontiguousarray(slots).view(np.int64).ravel()
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(filled) + 1, slots.shape[1]), pa.int32()), pa.array(filled))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids[text]), pa.array(np.full(len(good), variant, np.int8)), pa.array(good - ends[text]),
-                    pa.array(hashes.view(np.int64)), lists], schema=_SCHEMA)
+                    pa.array(hashes.view(np.int64)), lists, *extra], schema=_ITEM_SCHEMA if extra else _SCHEMA)
 
         for batch in batches:
             ids, texts, size = [], [], 0
@@ -335,51 +372,105 @@ size(aggregate(
 """
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-          item_text_col: str = "text", window: int = WINDOW, containment: float = CONTAINMENT,
-          names: Iterable[str] = ()) -> DataFrame:
-    """One row per document and leaked item: doc_id, item_id, kind, containment, n_windows.
+def _classes(own: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Windows of the smallest item of every class, and the items of the classes of every variant.
 
-    ``names`` adds given names that are placeholders in whatever case, with those within a sentence.
+    Classes with the same items in several variants have one ``class_id``.
     """
-    names = tuple(names)
+    of_item = own.select("id", "variant", "class").distinct()
+    least = of_item.groupBy("variant", "class").agg(F.min("id").alias("item_id"), F.count(F.lit(1)).alias("n"),
+                                                    F.expr("bit_xor(xxhash64(id))").alias("x"), F.expr("bit_xor(xxhash64(id, 1))").alias("y"))
+    least = least.withColumn("class_id", F.concat_ws("-", F.col("item_id"), F.col("n"), F.hex("x"), F.hex("y")))
+    members = staged(of_item.join(least, ["variant", "class"]).select(
+        F.col("variant").alias("iv"), "item_id", "class_id", F.col("id").alias("member")), "benchmark-classes")
+    items = own.join(least.select("variant", "class", F.col("item_id").alias("least")), ["variant", "class"]).filter(
+        F.col("id") == F.col("least")).select(F.col("id").alias("item_id"), F.col("variant").alias("iv"), F.col("place").alias("item_place"),
+                                              F.col("hash").alias("item_hash"), F.col("slots").alias("item_slots"))
+    return items, members
+
+
+def _rarest(items: DataFrame, totals: DataFrame, containment: float) -> DataFrame:
+    """The windows of every class that fewest classes hold, one more than a document may lack."""
+    often = items.groupBy("item_hash").agg(F.count(F.lit(1)).alias("often"))
+    order = Window.partitionBy("item_id", "iv").orderBy("often", "item_place")  # as long as an item
+    ranked = items.drop("item_slots").join(often, "item_hash").withColumn("rank", F.row_number().over(order))
+    need = F.greatest(F.ceil(F.col("total") * containment - 1e-9), F.lit(1))
+    return ranked.join(totals, (F.col("item_id") == F.col("ti")) & (F.col("iv") == F.col("tv"))).filter(
+        F.col("rank") <= F.col("total") - need + 1).select("item_id", "iv", "item_hash")
+
+
+def _leaked(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, window: int,
+            containment: float, names: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """One row per document and leaked class, and the classes' items."""
     spark = docs.sparkSession
     unique = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(item_text_col).alias("t")).groupBy("i").agg(F.max("t").alias("t"))
-    own = map_arrow(unique, _windows(window, names), _DDL)
-    items = staged(own, "benchmark-windows").select(
-        F.col("id").alias("item_id"), F.col("variant").alias("iv"), F.col("place").alias("item_place"), F.col("hash").alias("item_hash"),
-        F.col("slots").alias("item_slots"))
+    own = staged(map_arrow(unique, _windows(window, names), _ITEM_DDL), "benchmark-windows")
+    items, members = _classes(own)
+    items = staged(items, "benchmark-items")
     totals = items.groupBy(F.col("item_id").alias("ti"), F.col("iv").alias("tv")).agg(F.count(F.lit(1)).alias("total"))
     bloom = spark.sparkContext.broadcast(_filter(items.withColumnRenamed("item_hash", "hash")))
     widths = tuple(r["w"] for r in items.filter(F.col("iv") == SHORT).select(F.size("item_slots").alias("w")).distinct().collect())  # under ``window``
-    found = map_arrow(docs.select(F.col(id_col).cast("long"), F.col(text_col)), _windows(window, names, bloom, widths), _DDL)
+    found = staged(map_arrow(docs.select(F.col(id_col).cast("long"), F.col(text_col)), _windows(window, names, bloom, widths), _DDL), "benchmark-found")
+    keys = ["doc_id", "item_id", "variant"]
+    rare = _rarest(items, totals, containment).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = found.select(F.col("id").alias("doc_id"), "hash", F.pmod("id", F.lit(SALTS)).cast("int").alias("salt")).distinct()
+    candidates = dealt.join(rare, (F.col("hash") == F.col("item_hash")) & (dealt["salt"] == rare["salt"])).select("doc_id", "item_id", "iv").distinct()
+    wanted = candidates.join(items, ["item_id", "iv"])
     pairs = F.filter(F.arrays_zip("item_slots", "slots"), lambda p: p["item_slots"] != 0)
-    met = found.join(items, F.col("hash") == F.col("item_hash")).select(
-        F.col("id").alias("doc_id"), "item_id", F.col("iv").alias("variant"), "item_place", (F.col("place") - F.col("item_place")).alias("diagonal"),
+    met = found.join(wanted, (F.col("id") == F.col("doc_id")) & (F.col("hash") == F.col("item_hash"))).select(
+        "doc_id", "item_id", F.col("iv").alias("variant"), "item_place", (F.col("place") - F.col("item_place")).alias("diagonal"),
         pairs.alias("pairs"))
     met = staged(met, "benchmark-hits")  # small, and read twice below
-    keys = ["doc_id", "item_id", "variant"]
     of_total = (F.col("item_id") == F.col("ti")) & (F.col("variant") == F.col("tv"))
     places = met.select(*keys, "item_place").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     # No alignment has more windows than all diagonals together.
     held = staged(places.join(totals, of_total).filter(F.col("n") / F.col("total") >= containment), "benchmark-held").select(*keys, "n", "total")
-    exact = held.filter(F.col("variant") <= LITERAL).select("doc_id", "item_id", (F.col("n") / F.col("total")).alias("e"), F.lit(0.0).alias("t"), "n")
+    exact = held.filter(F.col("variant") <= LITERAL).select(*keys, (F.col("n") / F.col("total")).alias("e"), F.lit(0.0).alias("t"), "n")
     whole = met.filter(F.col("variant") > LITERAL).join(held.select(*keys), keys, "left_semi")
     # A document's windows on one diagonal are as many as the item's, so the sets below stay as small as an item.
     aligned = whole.groupBy(*keys, "diagonal").agg(F.collect_set(F.struct(F.col("item_place").alias("place"), "pairs")).alias("hits"))
     near = Window.partitionBy(*keys).orderBy("diagonal").rangeBetween(-DRIFT, DRIFT)
     around = aligned.withColumn("near", F.collect_list(F.struct("diagonal", "hits")).over(near))
     best = around.select(*keys, F.expr(_ALIGNED).alias("n")).groupBy(*keys).agg(F.max("n").alias("n"))
-    template = best.join(held.drop("n"), keys).select("doc_id", "item_id", F.lit(0.0).alias("e"), (F.col("n") / F.col("total")).alias("t"), "n")
-    shares = exact.unionByName(template)
-    per = shares.groupBy("doc_id", "item_id").agg(F.max("e").alias("e"), F.max("t").alias("t"), F.max("n").alias("n"))
-    return per.filter(F.greatest("e", "t") >= containment).select(
+    template = best.join(held.drop("n"), keys).select(*keys, F.lit(0.0).alias("e"), (F.col("n") / F.col("total")).alias("t"), "n")
+    sets = members.filter(F.col("item_id") == F.col("member")).select("item_id", F.col("iv").alias("variant"), "class_id")
+    per = exact.unionByName(template).join(sets, ["item_id", "variant"]).groupBy("doc_id", "class_id", "item_id").agg(
+        F.max("e").alias("e"), F.max("t").alias("t"), F.max("n").alias("n"))
+    rows = per.filter(F.greatest("e", "t") >= containment).select(
         "doc_id", "item_id", F.when(F.col("e") >= containment, "exact").otherwise("template").alias("kind"),
-        F.round(F.greatest("e", "t"), 6).alias("containment"), F.col("n").cast("int").alias("n_windows"))
+        F.round(F.greatest("e", "t"), 6).alias("containment"), F.col("n").cast("int").alias("n_windows"), "class_id")
+    return staged(rows, "leaks"), members.select("class_id", "member").distinct()
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+          item_text_col: str = "text", window: int = WINDOW, containment: float = CONTAINMENT,
+          names: Iterable[str] = ()) -> DataFrame:
+    """Documents and the items they leak: doc_id, item_id, kind, containment, n_windows, class_id.
+
+    A document that leaks a class leaks every item of it.  The smallest document
+    of a class has a row for each of its items, the other documents one row,
+    with the smallest item; so there are rows for documents plus items, and the
+    items of a class are those with its ``class_id`` (see ``every_pair``).
+
+    ``names`` adds given names that are placeholders in whatever case, with those within a sentence.
+    """
+    rows, members = _leaked(docs, benchmark, id_col, text_col, item_col, item_text_col, window, containment, tuple(names))
+    first = rows.groupBy("class_id").agg(F.min("doc_id").alias("doc_id"))
+    listed = rows.join(first, ["class_id", "doc_id"], "left_semi").join(members, "class_id").filter(F.col("member") != F.col("item_id"))
+    return rows.unionByName(listed.drop("item_id").withColumnRenamed("member", "item_id"))
+
+
+def every_pair(found: DataFrame) -> DataFrame:
+    """All pairs of a document and an item that rows of ``leaks`` stand for; as many as documents times items of a class."""
+    of_class = found.select("class_id", F.col("item_id").alias("member")).distinct()
+    once = found.dropDuplicates(["doc_id", "class_id"]).drop("item_id")
+    pairs = once.join(of_class, "class_id").groupBy("doc_id", F.col("member").alias("item_id"))
+    return pairs.agg(F.min("kind").alias("kind"), F.max("containment").alias("containment"), F.max("n_windows").alias("n_windows"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+          item_text_col: str = "text", window: int = WINDOW, containment: float = CONTAINMENT, names: Iterable[str] = ()) -> DataFrame:
     """The rows of ``docs`` that leak no item, whole; rows without an id stay."""
-    found = leaks(docs, benchmark, id_col=id_col, **settings).select(F.col("doc_id").alias("__leak_id")).distinct()
-    found = staged(found, "leaks")  # its size is known when the next join is planned
+    rows, _ = _leaked(docs, benchmark, id_col, text_col, item_col, item_text_col, window, containment, tuple(names))
+    found = staged(rows.select(F.col("doc_id").alias("__leak_id")).distinct(), "leak-ids")  # its size is known when the next join is planned
     return docs.join(found, docs[id_col].cast("long") == F.col("__leak_id"), "left_anti").select(*docs.columns)

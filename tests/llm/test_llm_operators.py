@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 import duckdb
@@ -207,6 +208,61 @@ def test_short_unspaced_and_arithmetic_items_leak_word_for_word(spark):
         (d, i, "exact", 1.0) for d, i in ((0, 0), (1, 1), (2, 2), (3, 3), (4, 4), (6, 6), (9, 7))]
 
 
+def test_parameterisations_of_one_question_are_one_class(spark):
+    """200 items of one template against 200 documents: rows for documents plus items, which stand for all pairs."""
+    ask = lambda a, b: f"a farmer packs {a} apples into every box and then sells {b} boxes on the market before noon"
+    items = [(k, ask(100 + k, 1000 + k)) for k in range(200)]
+    docs = [(k, f"intro {k} here: " + ask(5000 + k, 9000 + k)) for k in range(199)] + [(199, "so " + items[7][1])]
+    got = decontamination.leaks(frame(spark, docs), frame(spark, items, "item_id long, text string"))
+    rows = got.collect()
+    assert len(rows) <= 2 * (len(docs) + len(items)) and len({r["class_id"] for r in rows}) == 2
+    pairs = {(r["doc_id"], r["item_id"]): r["kind"] for r in decontamination.every_pair(got).collect()}
+    assert set(pairs) == {(d, i) for d in range(200) for i in range(200)}
+    assert [p for p, kind in pairs.items() if kind == "exact"] == [(199, 7)]
+
+
+def test_template_matches_equal_brute_force(spark):
+    """Random re-parameterisations, with values that must repeat, behind a prompt that all items and documents share."""
+    rnd = random.Random(5)
+    words = [a + b for a in "bcdfgklmnprstvz" for b in ("aro", "elin", "ivor", "otun", "uma")]
+    prompt = "read the task with care and give a short answer"
+    templates = []
+    for _ in range(6):
+        body = rnd.sample(words, 30)
+        slots = [rnd.randrange(3) for _ in range(4)]  # which value stands where
+        templates.append((body, slots))
+
+    def fill(t, values, free):
+        body, slots = templates[t]
+        out, used = list(body), []
+        for k, s in enumerate(slots):
+            used.append(rnd.randrange(10, 99) if free else values[s])
+            out.insert(6 + 7 * k, str(used[-1]))
+        return f"{prompt} {' '.join(out)}", used
+
+    items, docs = [], []
+    for k in range(60):
+        t = rnd.randrange(6)
+        text, used = fill(t, [rnd.randrange(10, 14) for _ in range(3)], False)
+        items.append((k, text, t, used))
+    for k in range(120):
+        t = rnd.randrange(6)
+        text, used = fill(t, [rnd.randrange(10, 99) for _ in range(3)], k % 3 == 0)
+        docs.append((k, text, t, used))
+    docs.append((500, prompt, -1, []))
+    got = decontamination.leaks(frame(spark, [d[:2] for d in docs]), frame(spark, [i[:2] for i in items], "item_id long, text string"))
+    have = {(r["doc_id"], r["item_id"]) for r in decontamination.every_pair(got).collect()}
+    want = set()
+    for d, _, t, values in docs:
+        for i, _, u, own in items:
+            consistent = len(set(zip(own, values))) == len(set(own))
+            literal = sum(x != y for x, y in zip(own, values)) <= 1  # 35 of the 40 windows; two other values leave 30
+            if t == u and (consistent or literal):
+                want.add((d, i))
+    assert have == want and len(want) > 100
+    assert len({r["class_id"] for r in got.collect()}) < len(items)
+
+
 # --- op 4 -------------------------------------------------------------------------------------------------------------
 
 def test_warc_records_link_and_read_back(spark):
