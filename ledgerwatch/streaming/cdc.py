@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerwatch.operators.changes import ReplicaTable, silver_rows
 from ledgerwatch.sources.contracts import RAW_ORDERS
 from ledgerwatch.sources.tables import SilverTable, refresh_revenue_mart
+from ledgerwatch.streaming.lag import LagListener, observed
 
 
 def cdc_stream(spark: SparkSession, root: str, include_tables: list[str] = ("public_orders",),
@@ -44,12 +45,19 @@ def start_silver_upsert(feed: DataFrame, silver: SilverTable, checkpoint_locatio
                         processing_time: str | None = "15 minutes", available_now: bool = False,
                         ingest_ts=None, query_name: str | None = None,
                         revenue_mart_path: str | None = None, table: str = "public_orders",
-                        rejects_path: str | None = None) -> StreamingQuery:
+                        rejects_path: str | None = None, lag_points_path: str | None = None) -> StreamingQuery:
     """Start the continuous MERGE of one table's rows of the feed; returns the running query.
 
     With ``revenue_mart_path`` every micro-batch also refreshes the revenue
-    mart for the dates it changed (incremental A1).
+    mart for the dates it changed (incremental A1).  With ``lag_points_path``
+    every micro-batch adds its largest lag there as a metric point of the stream
+    ``table`` (``streaming.lag``).
     """
+    if lag_points_path:
+        spark = feed.sparkSession
+        feed = observed(feed, f"lag-{table}")
+        spark.streams.addListener(LagListener(spark, f"lag-{table}", lag_points_path, table))
+
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         rows = batch.filter(F.col("_table") == table).drop("_table")
         result = silver.upsert(rows, ingest_ts=ingest_ts, rejects_path=rejects_path, batch_id=f"{table}-{epoch_id}")
