@@ -312,6 +312,8 @@ def counter_delta(points: DataFrame, period_seconds: int) -> DataFrame:
     A window folds to its first and last point and the rises between its points,
     whatever a series sends; only these states meet across windows, one row per
     series and window, where neighbours' last and first points give the rise over the edge.
+    Each window's value is made there from its state and its neighbours, so the windows, which
+    may be far more than the points, are neither shuffled nor held by an aggregate.
     """
     keys = ["metric", "series_key"]
     rows = points.filter(F.col("value").isNotNull()).select(
@@ -326,15 +328,22 @@ def counter_delta(points: DataFrame, period_seconds: int) -> DataFrame:
               .groupBy(*keys, "window_start").agg(F.sum("_rise").alias("rises"), F.min(F.struct("ts", "value")).alias("first"),
                                                   F.max(F.struct("ts", "value")).alias("last")))
     in_order = Window.partitionBy(*keys).orderBy("window_start")
-    met = states.select("*", F.lag("last").over(in_order).alias("before"), F.lag("window_start").over(in_order).alias("_from"))
+    met = states.select("*", *[f("last" if f is F.lag else "first").over(in_order).alias(n) for n, f in (("before", F.lag), ("behind", F.lead))],
+                        F.lag("window_start").over(in_order).alias("_from"))
     period = F.expr(f"INTERVAL {int(period_seconds)} SECONDS")
-    edge = met.filter(F.col("before").isNotNull()).select(
-        *keys, "before", "first", rise(F.col("first.value"), F.col("before.value")).alias("_rise"),
-        F.explode(F.sequence("_from", "window_start", period)).alias("window_start"))
     micros = lambda a, b: F.timestamp_diff("MICROSECOND", a, b).cast("double")
-    inside = micros(F.greatest(F.col("before.ts"), F.col("window_start")), F.least(F.col("first.ts"), F.col("window_start") + period))
-    over = edge.select(*keys, "window_start", (F.col("_rise") * inside / micros(F.col("before.ts"), F.col("first.ts"))).alias("value"))
-    every = states.select(*keys, "window_start", F.col("rises").alias("value")).unionByName(over)
-    return (every.groupBy(*keys, "window_start").agg(F.sum("value").alias("value"))
-            .select("metric", "series_key", F.map_from_entries("series_key").alias("labels"), "window_start",
-                    (F.col("window_start") + period).alias("window_end"), "value"))
+
+    def over(a, b, start):
+        """The share of the rise from point a to point b, of different windows, that falls into the window at ``start``."""
+        inside = micros(F.greatest(a["ts"], start), F.least(b["ts"], start + period))
+        return F.when(a.isNotNull() & b.isNotNull(), rise(b["value"], a["value"]) * inside / micros(a["ts"], b["ts"]))
+
+    # A state's window takes its rises and its share over both edges; the empty windows before it lie over one edge only.
+    first, last, before, behind = (F.col(c) for c in ("first", "last", "before", "behind"))
+    own = F.col("rises") + F.coalesce(over(before, first, F.col("window_start")), F.lit(0.0)) + F.coalesce(over(last, behind, F.col("window_start")), F.lit(0.0))
+    out = met.select(*keys, "window_start", "before", "first", own.alias("_own"),
+                     F.explode(F.when(F.col("_from").isNull(), F.array("window_start"))
+                               .otherwise(F.slice(F.sequence("_from", "window_start", period), 2, 2147483647))).alias("_at"))
+    value = F.when(F.col("_at") == F.col("window_start"), F.col("_own")).otherwise(over(before, first, F.col("_at")))
+    return out.select("metric", "series_key", F.map_from_entries("series_key").alias("labels"), F.col("_at").alias("window_start"),
+                      (F.col("_at") + period).alias("window_end"), value.alias("value"))

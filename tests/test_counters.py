@@ -27,3 +27,13 @@ def test_ties_nulls_and_order(spark):
     got = deltas(spark, [("a", 20, 5.0), ("a", 10, 1.0), ("a", 20, 3.0), ("a", 15, None), ("a", 30, 5.0)])
     assert got == {("a", 0): pytest.approx(4)}
     assert deltas(spark, []) == {}
+
+
+def test_windows_between_far_points_are_not_shuffled(spark):
+    points = [("a", 0, 0.0), ("a", 60 * 5000 + 30, 10001.0), ("b", 30, 1.0), ("b", 90, 4.0), ("b", 150, 2.0)]
+    got = deltas(spark, points)
+    assert len(got) == 5001 + 3 and sum(v for (s, _), v in got.items() if s == "a") == pytest.approx(10001.0)
+    assert (got["b", 0], got["b", 60], got["b", 120]) == (pytest.approx(1.5), pytest.approx(2.5), pytest.approx(1.0))
+    df = spark.createDataFrame([("m", {"s": s}, T0 + dt.timedelta(seconds=t), v) for s, t, v in points], "metric string, labels map<string,string>, ts timestamp_ntz, value double")
+    plan = series.counter_delta(df, 60)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 2 and plan.rindex("Exchange ") > plan.index("Generate explode")
