@@ -6,17 +6,17 @@ estimate of that side (plan statistics, the same number Spark compares with
 Beyond the bound the side is returned unmarked, so the join stays a shuffle
 join that AQE may still turn into a broadcast after measuring the real size.
 Configuration tables built on the driver with :func:`local_table` are local
-relations whose estimate is exact (built from pandas through Arrow; with Arrow
-off Spark gives them no estimate, and the join is left to AQE's runtime size
-check); dimension scans are estimated from their file sizes.
+relations whose estimate is exact, whatever the session's Arrow setting (they
+are built from an Arrow table); dimension scans are estimated from their file sizes.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Largest side the library broadcasts on its own (bytes, plan estimate).
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
@@ -41,4 +41,6 @@ def small_side(df: DataFrame, max_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFra
 def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A small driver-built table (configuration rows) as a local relation."""
     struct = T.StructType.fromDDL(schema)
-    return spark.createDataFrame(pd.DataFrame(rows, columns=struct.names), struct)
+    arrow = to_arrow_schema(struct)
+    columns = [pa.array([r[k] for r in rows], f.type) for k, f in enumerate(arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), struct)

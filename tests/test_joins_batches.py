@@ -50,3 +50,18 @@ def test_batches_share_one_exchange(spark):
     j.collect()
     plan = j._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan
+
+
+def test_local_tables_are_broadcast_without_arrow(spark):
+    key = "spark.sql.execution.arrow.pyspark.enabled"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        rows = [("a", {"k": "v"}, ["x"], 1.5, [{"key": "p", "value": "q"}]), ("b", {}, [], None, [])]
+        small = joins.local_table(spark, rows, "spec string, wanted map<string,string>, by array<string>, at double, key array<struct<key:string,value:string>>")
+        assert joins.estimated_bytes(small) < 4096
+        assert joins.small_side(small) is not small
+        assert [(r.spec, r.wanted, r.by, r["at"], [e.asDict() for e in r.key]) for r in small.collect()] == rows
+        assert joins.local_table(spark, [], "k int, v string").collect() == []
+    finally:
+        spark.conf.set(key, was)
