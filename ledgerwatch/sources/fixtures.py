@@ -6,8 +6,10 @@ tables.  The mapping is documented in FIXTURES.md; the DuckDB oracle SQL in
 ``ledgerwatch/plans/oracle_sql.py`` derives the same inputs with the same rules.
 
 Join strategy for ``raw_orders``: lineitem and orders, the two large tables, are
-sort-merge joined on the order key at every size (skewed keys are split by AQE);
-customer joins on the customer key, by broadcast where its size allows; ``nation`` (25 rows) and
+sort-merge joined on the order key at every size, and that join comes last: its rows
+lie by order key, which the aggregates on ``order_id`` behind it need no exchange for.
+Customer joins the orders, part the lines before it (each by broadcast where its size
+allows), so no shuffle carries the joined lines on; ``nation`` (25 rows) and
 ``region`` (5 rows) have a size fixed by the TPC-H schema and are broadcast
 behind the plan-time size check of ``operators.joins.small_side``.
 """
@@ -70,9 +72,9 @@ def raw_orders(spark: SparkSession, sf_dir: str, lineage: bool = True) -> DataFr
                    .join(small_side(nation), customer.c_nationkey == nation.n_nationkey)
                    .join(small_side(region), F.col("n_regionkey") == region.r_regionkey)
                    .select("c_custkey", "r_name"))
-    j = (li.join(orders.hint("merge"), li.l_orderkey == orders.o_orderkey)
-           .join(cust_region, F.col("o_custkey") == cust_region.c_custkey)
-           .join(part, li.l_partkey == part.p_partkey))
+    placed = orders.join(cust_region, F.col("o_custkey") == cust_region.c_custkey)
+    lines = li.join(part, li.l_partkey == part.p_partkey)
+    j = lines.join(placed.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     minutes = F.datediff(F.to_date("l_shipdate"), F.lit(UPDATED_AT_EPOCH).cast("date"))
     cols = [
         F.col("l_orderkey").alias("order_id"),

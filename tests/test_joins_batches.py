@@ -65,3 +65,17 @@ def test_local_tables_are_broadcast_without_arrow(spark):
         assert joins.local_table(spark, [], "k int, v string").collect() == []
     finally:
         spark.conf.set(key, was)
+
+
+def test_latest_rows_of_raw_need_no_exchange_of_their_own(spark):
+    from ledgerwatch.sources import fixtures as fx
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = fx.latest_orders(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, was)
+    assert "hashpartitioning(l_orderkey" in plan and "hashpartitioning(order_id" not in plan
+    assert plan.count("Exchange hashpartitioning(o_custkey") == 1 and plan.count("Exchange hashpartitioning(l_") == 2
