@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from ledgerwatch.operators.upsert import latest_per_key
 from ledgerwatch.session import drop_path, scratch_path
 from ledgerwatch.sources.contracts import BUSINESS_COLUMNS, ORDER_KEY, RAW_ORDERS
-from ledgerwatch.sources.snapshots import ROWS_PER_FILE, CommitConflict, SnapshotTable
+from ledgerwatch.sources.snapshots import ROWS_PER_FILE, CommitConflict, Files, SnapshotTable
 
 INSERT, UPDATE, DELETE, READ = "insert", "update", "delete", "read"
 OPERATIONS = (INSERT, UPDATE, DELETE, READ)
@@ -128,26 +128,43 @@ class ReplicaTable(SnapshotTable):
             except CommitConflict:
                 pass
         base = self.latest()
-        batch, won, stage = (scratch_path(self.spark, f"replica-{n}") for n in ("batch", "won", "stage"))
-        read = lambda path: self.spark.read.schema(REPLICA).parquet(path)
+        batch, stage = (scratch_path(self.spark, f"replica-{n}") for n in ("batch", "stage"))
+        flagged = T.StructType(REPLICA.fields + [T.StructField("_newer", T.BooleanType())])
+        read = lambda path, schema=REPLICA: self.spark.read.schema(schema).parquet(path)
         latest_records(records).write.parquet(batch)
         touched = self.files_of(read(batch), [ORDER_KEY], base)
-        stored = self.open(touched)
-        old = stored.select(F.col(ORDER_KEY).alias("_key"), *[F.col(c).alias(f"_old{c}") for c in _PLACE])
-        place = lambda prefix: F.struct(*[F.col(f"{prefix}{c}") for c in _PLACE])
-        joined = read(batch).join(old, F.col(ORDER_KEY) == F.col("_key"), "left")
-        newer = F.col("_key").isNull() | (place("") > place("_old"))
+        if not touched:  # no stored row to compare with: the batch is what it changed
+            held = read(batch).withColumn("_newer", F.lit(True))
+            n_rows = held.count()
+            return Applied(self.replace(base, [], read(batch), n_rows) if n_rows else base, held.drop("_newer"))
+        # Batch and stored rows meet once; what the batch won and what stays are two folders of one write.
+        whole = lambda some, name: some.select(F.col(ORDER_KEY), F.struct(*REPLICA.names).alias(name))
+        place = lambda name: F.struct(*[F.col(f"{name}.{c}") for c in _PLACE])
+        met = whole(read(batch), "_new").join(whole(self.open(touched), "_old"), ORDER_KEY, "full_outer")
+        newer = F.col("_new").isNotNull() & (F.col("_old").isNull() | (place("_new") > place("_old")))
         # a batch that comes again reports its rows again: what follows may have broken off the first time
-        joined.filter(newer | (place("") == place("_old"))).select(*REPLICA.names, newer.alias("_newer")).write.parquet(won)
-        held = self.spark.read.schema(T.StructType(REPLICA.fields + [T.StructField("_newer", T.BooleanType())])).parquet(won)
-        new = held.filter("_newer").drop("_newer")
-        if new.limit(1).count():
-            new.unionByName(stored.join(new.select(ORDER_KEY), ORDER_KEY, "left_anti")).write.parquet(stage)
-            base = self.replace(base, touched, read(stage), read(stage).count())
-            drop_path(self.spark, stage)
+        again = F.col("_new").isNotNull() & F.col("_old").isNotNull() & (place("_new") == place("_old"))
+        outcome = lambda row, part, new: F.struct(F.col(row).alias("row"), F.lit(part).alias("_part"), F.lit(new).alias("_newer"))
+        rows = met.select(F.explode(F.filter(F.array(
+            F.when(newer, outcome("_new", "won", True)).otherwise(outcome("_old", "kept", False)),
+            F.when(again, outcome("_new", "won", False))), lambda x: x.isNotNull())).alias("x"))
+        rows.select("x.row.*", "x._newer", "x._part").write.partitionBy("_part").parquet(stage)
+        n_new, n_kept = (read(stage, T.StructType([*flagged.fields, T.StructField("_part", T.StringType())])).agg(
+            F.count_if("_newer"), F.count_if(F.col("_part") == "kept")).first())
+        held = read(f"{stage}/_part=won", flagged) if self._folder(f"{stage}/_part=won") else self.spark.createDataFrame([], flagged)
+        if n_new:
+            stays = held.filter("_newer").drop("_newer")
+            if n_kept:
+                stays = stays.unionByName(read(f"{stage}/_part=kept"))
+            base = self.replace(base, touched, stays, n_new + n_kept)
+        drop_path(self.spark, f"{stage}/_part=kept")
         drop_path(self.spark, batch)
         return Applied(base, held.drop("_newer"))
 
+    def _folder(self, path: str) -> bool:
+        files = Files(self.spark, path)
+        return files.fs.exists(files.path(path))
+
     def current(self, version: int | None = None) -> DataFrame:
         """The source's rows: all keys but the deleted ones."""
         return self.read(version).filter(F.col("_op") != DELETE).select(*BUSINESS_COLUMNS)
