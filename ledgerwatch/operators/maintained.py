@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerwatch.functions.scalar import minutes_between
-from ledgerwatch.session import drop_path, scratch_path
+from ledgerwatch.session import drop_path, scratch_path, staged
 from ledgerwatch.sources.snapshots import ROWS_PER_FILE, SnapshotTable
 from ledgerwatch.sources.tables import SilverTable
 
@@ -112,7 +112,7 @@ class MaintainedMart(SnapshotTable):
         delta = self.spark.read.schema(delta.schema).parquet(path)
         touched = self.files_of(delta, self.definition.cluster, base)
         merged, again = self._merged(delta, self.open(touched), to)
-        out = self._publish(base, touched, merged, to, sum(rows_read) + again)
+        out = self._publish(base, touched, merged, to, sum(rows_read) + again, held=bool(self.definition.extremes))
         drop_path(self.spark, path)
         return out
 
@@ -134,6 +134,7 @@ class MaintainedMart(SnapshotTable):
         return rows.groupBy(*d.keys).agg(*sums, *ends).filter(moved)
 
     def _merged(self, delta: DataFrame, stored: DataFrame, to: int) -> tuple[DataFrame, int]:
+        """The groups of ``stored`` and ``delta`` together, and the SILVER rows read again; of a mart with extremes they lie in staged files."""
         d = self.definition
         keys = list(d.keys)
         old = stored.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(k).alias(f"_o_{k}") for k in [*d.sums, *d.extremes]])
@@ -164,13 +165,15 @@ class MaintainedMart(SnapshotTable):
             return merged.drop("_lost"), 0
         rows = self.silver.read(to, where={d.located_by: (span[0], span[1])}).join(groups.select(d.located_by).distinct(), d.located_by, "left_semi")
         anew = self._state(rows, F.lit(1)).join(groups, keys, "left_semi")
-        return merged.filter(~F.col("_lost")).drop("_lost").unionByName(anew), rows.count()
+        return merged.filter(~F.col("_lost")).drop("_lost").unionByName(staged(anew, "mart-anew")), rows.count()
 
-    def _publish(self, base: int | None, gone: list[str], rows: DataFrame, silver_version: int, rows_read: int) -> dict:
+    def _publish(self, base: int | None, gone: list[str], rows: DataFrame, silver_version: int, rows_read: int, held: bool = False) -> dict:
+        if held:  # staged already
+            return {"version": self.replace(base, gone, rows, rows.count(), {"silver": silver_version}), "rows_read": rows_read}
         path = scratch_path(self.spark, "mart-stage")
         rows.select(*self.schema.names).write.parquet(path)
-        staged = self.spark.read.schema(self.schema).parquet(path)
-        version = self.replace(base, gone, staged, staged.count(), {"silver": silver_version})
+        fresh = self.spark.read.schema(self.schema).parquet(path)
+        version = self.replace(base, gone, fresh, fresh.count(), {"silver": silver_version})
         drop_path(self.spark, path)
         return {"version": version, "rows_read": rows_read}
 
