@@ -50,13 +50,16 @@ def split_rejects(df: DataFrame, required: Sequence[str] = NOT_NULL_COLUMNS) ->
     Returns ``(valid, rejects)``; rejects carry ``_reject_reason`` listing the
     NULL columns.  Both outputs are plain filters of the same scan.
     """
+    ok, reason = _contract(required)
+    return df.filter(ok), df.filter(~ok).withColumn("_reject_reason", reason)
+
+
+def _contract(required: Sequence[str]) -> tuple[Column, Column]:
     missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
     ok = F.lit(True)
     for c in required:
         ok = ok & F.col(c).isNotNull()
-    valid = df.filter(ok)
-    rejects = df.filter(~ok).withColumn("_reject_reason", F.concat(F.lit("null:"), missing))
-    return valid, rejects
+    return ok, F.concat(F.lit("null:"), missing)
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str],
@@ -205,3 +208,16 @@ def prepare_source(raw: DataFrame, order_by: Sequence[str] = ("updated_at",),
     valid, rejects = split_rejects(typed)
     latest = latest_per_key(valid, ORDER_KEY, list(order_by) + list(extra_order))
     return latest.select(*BUSINESS_COLUMNS), rejects
+
+
+def latest_or_rejected(typed: DataFrame, order_by: Sequence[str] = ("updated_at",), extra_order: Sequence[str] = (),
+                       required: Sequence[str] = NOT_NULL_COLUMNS) -> DataFrame:
+    """Both outputs of :func:`prepare_source` in one pass: the latest valid row per key, and every rejected row with its ``_reject_reason``.
+
+    A rejected row is a group of its own.  The groups lie within their key, so rows that
+    come by key (as RAW's join leaves them) are folded where they are.
+    """
+    ok, reason = _contract(required)
+    marked = typed.withColumn("_reject_reason", F.when(~ok, reason)).withColumn("_id", F.monotonically_increasing_id())
+    marked = marked.withColumn("_row", F.when(F.col("_reject_reason").isNotNull(), F.col("_id"))).drop("_id")
+    return latest_per_key(marked, [ORDER_KEY, "_row"], list(order_by) + list(extra_order)).drop("_row")

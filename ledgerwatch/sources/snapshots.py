@@ -100,22 +100,26 @@ def ordinal(column: str, kind: T.DataType) -> Column:
     return c.cast("double")
 
 
-def z_order(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> Column:
-    """The interleaved steps of ``columns``; one aggregate finds the quantiles (2^bits a column on the driver)."""
+def z_ordered(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> DataFrame:
+    """``df`` with ``_z``, the interleaved steps of ``columns``; one aggregate finds the quantiles (2^bits a column on the driver).
+
+    Numbers, steps and ``_z`` are projections of their own: each is made once a row, however often the next one reads it.
+    """
     kinds = {f.name: f.dataType for f in df.schema.fields}
     cuts = [k / (1 << bits) for k in range(1, 1 << bits)]
+    names = df.columns
     found = df.agg(*[F.percentile_approx(ordinal(c, kinds[c]), cuts, ACCURACY).alias(f"c{k}") for k, c in enumerate(columns)]).first()
-    z = F.lit(0).cast("long")
+    steps, z = [], F.lit(0).cast("long")
     for k, c in enumerate(columns):
-        edges = sorted(found[k] or [])  # equal edges stay: few values are spread over all steps
-        value = ordinal(c, kinds[c])
         step = F.lit(0)
-        for edge, times in sorted(Counter(edges).items()):
-            step = step + F.when(value >= F.lit(float(edge)), F.lit(times)).otherwise(F.lit(0))
-        step = F.when(F.col(c).isNull(), F.lit(0)).otherwise(step).cast("long")
+        # equal edges stay: few values are spread over all steps
+        for edge, times in sorted(Counter(found[k] or []).items()):
+            step = step + (F.col(f"_v{k}") >= F.lit(float(edge))).cast("int") * F.lit(times)
+        steps.append(F.when(F.col(c).isNull(), F.lit(0)).otherwise(step).cast("long").alias(f"_s{k}"))
         for bit in range(bits):
-            z = z.bitwiseOR(F.shiftleft(F.shiftright(step, bit).bitwiseAND(F.lit(1).cast("long")), bit * len(columns) + k))
-    return z
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(F.col(f"_s{k}"), bit).bitwiseAND(F.lit(1).cast("long")), bit * len(columns) + k))
+    values = [F.coalesce(ordinal(c, kinds[c]), F.lit(float("-inf"))).alias(f"_v{k}") for k, c in enumerate(columns)]
+    return df.select(*names, *values).select(*names, *steps).select(*names, z.alias("_z"))
 
 
 class SnapshotTable:
@@ -218,10 +222,11 @@ class SnapshotTable:
             return self.spark.createDataFrame([], self._manifest_schema)
         folder = f"data/{uuid.uuid4().hex}"
         n_files = max(-(-n_rows // self.rows_per_file), min(-(-n_rows // ROWS_PER_TASK), self.spark.sparkContext.defaultParallelism))
-        ordered = rows.select(*self.schema.names, z_order(rows, self.cluster).alias("_z"))
+        rows = rows.select(*self.schema.names)
+        # one column's Z order is its own order
+        ordered, order = (z_ordered(rows, self.cluster), ["_z", *self.cluster]) if len(self.cluster) > 1 else (rows, self.cluster)
         # a stated number of range partitions is not merged into one by its bytes
-        (ordered.repartitionByRange(n_files, "_z", *self.cluster).sortWithinPartitions("_z", *self.cluster).drop("_z")
-         .write.parquet(f"{self.path}/{folder}"))
+        ordered.repartitionByRange(n_files, *order).sortWithinPartitions(*order).drop("_z").write.parquet(f"{self.path}/{folder}")
         name = F.concat(F.lit(f"{folder}/"), F.col("_metadata.file_name"))
         written = self.spark.read.schema(self.schema).parquet(f"{self.path}/{folder}")
         ends = [end(c).alias(f"{c}_{n}") for c in self.stats for n, end in (("min", F.min), ("max", F.max))]

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwatch.operators.upsert import ACTIONS, cast_projection, merge_counts, merge_upsert, prepare_source
+from ledgerwatch.operators.upsert import ACTIONS, cast_projection, initial_load, latest_or_rejected, merge_counts, merge_upsert
 from ledgerwatch.session import drop_path, scratch_path
 from ledgerwatch.sources.contracts import (
     BUSINESS_COLUMNS,
@@ -121,16 +121,15 @@ class SilverTable(SnapshotTable):
         """
         self.create_if_missing()
         ts = F.current_timestamp().cast("timestamp_ntz") if ingest_ts is None else ingest_ts
-        # The batch is evaluated once: its rejects and its latest rows are read from a typed copy.
+        # The batch is evaluated once: its rejects and its latest rows are read from one staged copy.
         typed = cast_projection(raw, keep=[c for c in extra_order if c not in BUSINESS_COLUMNS])
-        held, batch = scratch_path(self.spark, "silver-typed"), scratch_path(self.spark, "silver-batch")
-        typed.write.parquet(held)
-        source, rejects = prepare_source(self.spark.read.schema(typed.schema).parquet(held), extra_order=list(extra_order), cast=False)
+        folded, batch = latest_or_rejected(typed, extra_order=list(extra_order)), scratch_path(self.spark, "silver-batch")
+        folded.write.parquet(batch)
+        held = self.spark.read.schema(folded.schema).parquet(batch)
+        rejects = held.filter(F.col("_reject_reason").isNotNull()).select(*typed.columns, "_reject_reason")
         rejected = f"{(rejects_path or self.path + '_rejects').rstrip('/')}/batch_id={batch_id or uuid.uuid4().hex}"
         rejects.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(rejected)
-        source.write.parquet(batch)
-        drop_path(self.spark, held)
-        source = self.spark.read.schema(source.schema).parquet(batch)
+        source = held.filter(F.col("_reject_reason").isNull()).select(*BUSINESS_COLUMNS)
         try:
             for attempt in range(self.ATTEMPTS):
                 try:
@@ -146,7 +145,8 @@ class SilverTable(SnapshotTable):
         touched = self.files_of(source, [ORDER_KEY], base)
         stage = scratch_path(self.spark, "silver-stage")
         try:
-            merge_upsert(self.open(touched), source, ts).write.parquet(stage)
+            merged = merge_upsert(self.open(touched), source, ts) if touched else initial_load(source, ts).withColumn("_action", F.lit("inserted"))
+            merged.write.parquet(stage)
             staged = self.spark.read.schema(
                 T.StructType(SILVER_ORDERS.fields + [T.StructField("_action", T.StringType())])).parquet(stage)
             counts = [tuple(r) for r in merge_counts(staged).collect()]
