@@ -344,6 +344,6 @@ def counter_delta(points: DataFrame, period_seconds: int) -> DataFrame:
     out = met.select(*keys, "window_start", "before", "first", own.alias("_own"),
                      F.explode(F.when(F.col("_from").isNull(), F.array("window_start"))
                                .otherwise(F.slice(F.sequence("_from", "window_start", period), 2, 2147483647))).alias("_at"))
-    value = F.when(F.col("_at") == F.col("window_start"), F.col("_own")).otherwise(over(before, first, F.col("_at")))
+    value = F.when(F.col("_at").eqNullSafe(F.col("window_start")), F.col("_own")).otherwise(over(before, first, F.col("_at")))
     return out.select("metric", "series_key", F.map_from_entries("series_key").alias("labels"), F.col("_at").alias("window_start"),
                       (F.col("_at") + period).alias("window_end"), value.alias("value"))

@@ -37,3 +37,10 @@ def test_windows_between_far_points_are_not_shuffled(spark):
     df = spark.createDataFrame([("m", {"s": s}, T0 + dt.timedelta(seconds=t), v) for s, t, v in points], "metric string, labels map<string,string>, ts timestamp_ntz, value double")
     plan = series.counter_delta(df, 60)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 2 and plan.rindex("Exchange ") > plan.index("Generate explode")
+
+
+def test_points_without_a_time_keep_their_window(spark):
+    df = spark.createDataFrame([("m", {"s": "a"}, None, 5.0), ("m", {"s": "a"}, T0, 1.0), ("m", {"s": "a"}, T0 + dt.timedelta(seconds=90), 4.0)],
+                               "metric string, labels map<string,string>, ts timestamp_ntz, value double")
+    got = {r["window_start"]: r["value"] for r in series.counter_delta(df, 60).collect()}
+    assert got == {None: 0.0, T0: pytest.approx(2.0), T0 + dt.timedelta(seconds=60): pytest.approx(1.0)}
